@@ -22,7 +22,7 @@ from markforge.functions.markup import extract_last_block, is_valid_markup, repa
 from markforge.functions.tokens import count_tokens, generation_budget
 from markforge.session import materialize
 
-# A generator maps a pandas batch with columns (id, prompt, chat,
+# A generator maps a pandas batch with columns (id, prompt, chat, round,
 # max_new_tokens) and the round's knobs to the decoded text of each row.
 Generator = Callable[[pd.DataFrame, RoundSpec], Sequence[str]]
 
@@ -53,7 +53,7 @@ def generate_round(inputs: DataFrame, generator: Generator, spec: RoundSpec, rou
 
     Output: (id, round, svg, valid).
     """
-    x = inputs.select("id", "prompt", "chat",
+    x = inputs.select("id", "prompt", "chat", F.lit(round_no).alias("round"),
                       generation_budget("n_input", spec.max_cap).alias("max_new_tokens"))
     id_type = dict(inputs.dtypes)["id"]
 

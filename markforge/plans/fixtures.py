@@ -101,3 +101,50 @@ def conversation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = c.where(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("output"))
     return u.join(a, ["conv_id", "turn"], "inner")
+
+
+# --------------------------------------------------------------------------
+# Validity fixture: eight root / closing variants by doc_id % 8, so the
+# expected strict and suffix verdicts follow from the id alone.
+# --------------------------------------------------------------------------
+
+SVG_NS = "http://www.w3.org/2000/svg"
+# (open tag, close tag, strict valid, suffix valid) per variant.
+VALIDITY_VARIANTS = (
+    (f'<svg xmlns="{SVG_NS}">', "</svg>", True, True),
+    ("<SVG>", "</SVG>", False, False),
+    ("<svg>", "", False, False),
+    ("<mysvg>", "</mysvg>", False, True),
+    (f'<s:svg xmlns:s="{SVG_NS}">', "</s:svg>", True, True),
+    ("<svg>", "</svg>junk", False, False),
+    ("<html>", "</html>", False, False),
+    ('<?xml version="1.0"?><svg>', "</svg>", True, True),
+)
+
+
+def validity_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, markup) with the variant of ``doc_id % 8``."""
+    d = read_table(spark, sf_dir, "documents").select("doc_id")
+    v = _mod(F.col("doc_id"), len(VALIDITY_VARIANTS))
+    opening = F.element_at(F.array(*[F.lit(o) for o, _, _, _ in VALIDITY_VARIANTS]), (v + 1).cast("int"))
+    closing = F.element_at(F.array(*[F.lit(c) for _, c, _, _ in VALIDITY_VARIANTS]), (v + 1).cast("int"))
+    return d.select("doc_id", F.concat(opening, markup_body(F.col("doc_id")), closing).alias("markup"))
+
+
+def markup_doc_py(m: int, upper: bool = False, truncated: bool = False) -> str:
+    """Python twin of :func:`markup_doc` (for stub generators and tests)."""
+    tag = "SVG" if upper else "svg"
+    body = PATH_EL * (m % 14) + CIRCLE_EL * (m % 11) + RECT_EL * (m % 10)
+    return f"<{tag}{XMLNS_VIEWBOX}{body}" + ("" if truncated else f"</{tag}>")
+
+
+def stub_generator(pdf, spec):
+    """Deterministic stand-in for a model: the decoded text of the candidate
+    fixture for (id, round), i.e. prompt preamble + markup, truncated when
+    (id+round)%5=0 or id%23=0."""
+    out = []
+    for i, prompt, rnd in zip(pdf["id"], pdf["prompt"], pdf["round"]):
+        m = int(i) + int(rnd)
+        trunc = m % 5 == 0 or int(i) % 23 == 0
+        out.append(PREAMBLE_SYSTEM + (prompt or "") + PREAMBLE_ASSISTANT + markup_doc_py(m, False, trunc))
+    return out
