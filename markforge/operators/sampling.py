@@ -49,9 +49,11 @@ def salted_hash(salt: str, keys: Sequence[str | Column]) -> Column:
 
 
 def long_order(c: str | Column) -> Column:
-    """Fixed-width hex encoding of a BIGINT whose string order is numeric order."""
+    """Fixed-width hex encoding of a BIGINT whose string order is numeric
+    order (NULL last)."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.lpad(F.hex(c.cast("long").bitwiseXOR(F.lit(MIN_LONG))), 16, "0")
+    enc = F.lpad(F.hex(c.cast("long").bitwiseXOR(F.lit(MIN_LONG))), 16, "0")
+    return F.coalesce(enc, F.lit("F" * 16))  # NULL sorts last
 
 
 def content_key(cols: Sequence[str]) -> Column:
@@ -179,21 +181,28 @@ def capped_sample(df: DataFrame, n: int | None, keys: Sequence[str | Column],
     return work.where(cut.predicate).drop(ORDER_KEY, ROW_ID)
 
 
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+
+
 def with_input_position(df_reader_result: DataFrame, out: str = "input_pos") -> DataFrame:
     """Position of each row in file order (file path order, then row index)
     for a Parquet scan; call it right on the result of ``spark.read``.
 
     The file list comes from the driver's file index (no job), so the
-    broadcast table is bounded by the number of files.
+    broadcast table is bounded by the number of files. Paths are compared
+    without their scheme and authority (``file:///x`` and ``file:/x``).
     """
+    import re
+
     spark = df_reader_result.sparkSession
-    files = sorted(df_reader_result.inputFiles())
-    ranks = spark.createDataFrame([(f, i) for i, f in enumerate(files)], "file_path string, file_rank long")
-    with_meta = df_reader_result.select("*", F.col("_metadata.file_path").alias("_fp"),
-                                        F.col("_metadata.row_index").alias("_ri"))
-    joined = with_meta.join(F.broadcast(ranks), with_meta["_fp"] == ranks["file_path"], "left")
+    files = sorted(re.sub(_SCHEME, "", f) for f in df_reader_result.inputFiles())
+    ranks = spark.createDataFrame([(f, i) for i, f in enumerate(files)], "_fp string, file_rank long")
+    with_meta = df_reader_result.select(
+        "*", F.regexp_replace(F.col("_metadata.file_path"), _SCHEME, "").alias("_fp"),
+        F.col("_metadata.row_index").alias("_ri"))
+    joined = with_meta.join(F.broadcast(ranks), "_fp", "left")
     pos = F.col("file_rank") * F.lit(2**40) + F.col("_ri")
-    return joined.withColumn(out, pos).drop("_fp", "_ri", "file_path", "file_rank")
+    return joined.withColumn(out, pos).drop("_fp", "_ri", "file_rank")
 
 
 def head_cap(df: DataFrame, n: int | None, order_col: str, unique: bool = True) -> DataFrame:
