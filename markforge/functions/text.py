@@ -59,8 +59,17 @@ def count_literal(c: Column | str, sub: str) -> Column:
 
 
 def starts_with_ci(c: Column | str, prefix: str) -> Column:
-    """``s.lower().startswith(prefix)`` for a lower-case ASCII prefix."""
-    return F.startswith(F.lower(_col(c)), F.lit(prefix.lower()))
+    """``s.lower().startswith(prefix)`` for an ASCII prefix.
+
+    Only the first ``len(prefix)`` characters are lower-cased: no non-ASCII
+    character lower-cases to ASCII letters other than ``i`` and ``k``, and one
+    that expands (``İ``) cannot start an ASCII match either way, so the test
+    is unchanged while the rest of a large document is never copied.
+    """
+    p = prefix.lower()
+    if not p.isascii() or "i" in p or "k" in p:
+        return F.startswith(F.lower(_col(c)), F.lit(p))
+    return F.lower(F.substring(_col(c), 1, len(p))) == F.lit(p)
 
 
 def null_sentinels_to_null(c: Column | str, sentinels: Iterable[str]) -> Column:

@@ -14,6 +14,17 @@ from markforge.functions.text import _col
 # Default token proxy: runs of word characters, or any single other
 # non-blank character. Whitespace is spelled out so that Java and RE2 agree.
 TOKEN_PATTERN = r"[A-Za-z0-9_]+|[^A-Za-z0-9_\t\n\x0B\f\r ]"
+WORD_RUN = r"[A-Za-z0-9_]+"
+TOKEN_BLANKS = "\t\n\x0b\f\r "
+
+
+def proxy_token_count(c: Column | str) -> Column:
+    """Matches of :data:`TOKEN_PATTERN`, counted without building a match
+    array: collapse every word run to one character, delete the blanks, and
+    every remaining character is one token (about 3x faster than
+    ``regexp_count``)."""
+    collapsed = F.regexp_replace(_col(c), F.lit(WORD_RUN), F.lit("a"))
+    return F.length(F.translate(collapsed, TOKEN_BLANKS, ""))
 
 
 def count_tokens(c: Column | str, counter: Callable[[str], int] | None = None) -> Column:
@@ -27,7 +38,7 @@ def count_tokens(c: Column | str, counter: Callable[[str], int] | None = None) -
     """
     c = _col(c)
     if counter is None:
-        return F.regexp_count(c, F.lit(TOKEN_PATTERN))
+        return proxy_token_count(c)
 
     is_factory = getattr(counter, "is_factory", False)
 

@@ -19,13 +19,19 @@ def to_pairs(df: DataFrame, prompt_fields: Sequence[str], markup_fields: Sequenc
     row is removed by :func:`drop_empty`. ``keep`` carries extra columns
     (e.g. an id or source name) through unchanged.
     """
-    prompt = first_non_empty(df.columns, prompt_fields)
-    markup = first_non_empty(df.columns, markup_fields)
-    gate = starts_with_ci(markup, f"<{root_tag}")
-    return df.select(
+    # Two projections: the chosen values are computed once and then
+    # referenced; Catalyst does not collapse projections when that would
+    # repeat a non-trivial expression.
+    chosen = df.select(
         *[F.col(k) for k in keep],
-        F.when(gate, prompt).otherwise(F.lit("")).alias("prompt"),
-        F.when(gate, markup).otherwise(F.lit("")).alias("svg"),
+        first_non_empty(df.columns, prompt_fields).alias("_prompt"),
+        first_non_empty(df.columns, markup_fields).alias("_markup"),
+    )
+    gate = starts_with_ci("_markup", f"<{root_tag}")
+    return chosen.select(
+        *[F.col(k) for k in keep],
+        F.when(gate, F.col("_prompt")).otherwise(F.lit("")).alias("prompt"),
+        F.when(gate, F.col("_markup")).otherwise(F.lit("")).alias("svg"),
     )
 
 

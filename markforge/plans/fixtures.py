@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from markforge.session import spread
+
 # Fixed fixture text.
 XMLNS_VIEWBOX = ' xmlns="http://www.w3.org/2000/svg" viewBox="0 0 64 64">'
 PATH_EL = '<path d="M0 0L9 9"/>'
@@ -24,7 +26,8 @@ PREAMBLE_ASSISTANT = "\nassistant\n"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table, spread over the cores when it is a single small split."""
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def _mod(c: Column, m: int) -> Column:

@@ -69,3 +69,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/markforge/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over at least ``min_partitions`` tasks (default: the
+    cluster's default parallelism) when the scan yields fewer, e.g. a small
+    table in one Parquet row group feeding CPU-heavy regex or Python work.
+
+    Planning only, no job; a large input already has many splits and passes
+    through untouched, so this never adds a shuffle at scale.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
