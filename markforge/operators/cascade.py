@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from markforge.config import DEFAULT_ROUNDS, FALLBACK_SVG, RoundSpec
 from markforge.functions.chat import generation_prompt
@@ -51,19 +52,24 @@ def generate_round(inputs: DataFrame, generator: Generator, spec: RoundSpec, rou
     """One round: budget per row, batch generation in ``mapInPandas``, then
     extraction, repair and validation as columns.
 
-    Output: (id, round, svg, valid).
+    The input columns travel through the generator batch unchanged, so the
+    rows a later round retries are read from this round's output: no join
+    back to the inputs. Output: input columns + (round, svg, valid).
     """
-    x = inputs.select("id", "prompt", "chat", F.lit(round_no).alias("round"),
+    cols = inputs.columns
+    x = inputs.select(*cols, F.lit(round_no).alias("round"),
                       generation_budget("n_input", spec.max_cap).alias("max_new_tokens"))
-    id_type = dict(inputs.dtypes)["id"]
+    out_schema = StructType([*inputs.schema.fields, StructField("raw", StringType())])
 
     def _run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts = list(generator(pdf, spec)) if len(pdf) else []
-            yield pd.DataFrame({"id": pdf["id"], "raw": pd.Series(texts, dtype=object)})
+            out = pdf[cols].copy()
+            out["raw"] = pd.Series(texts, index=pdf.index, dtype=object)
+            yield out
 
-    raw = x.mapInPandas(_run, f"id {id_type}, raw string")
-    out = raw.select("id", F.lit(round_no).alias("round"), postprocess("raw", tag, renames).alias("svg"))
+    raw = x.mapInPandas(_run, out_schema)
+    out = raw.select(*cols, F.lit(round_no).alias("round"), postprocess("raw", tag, renames).alias("svg"))
     return out.withColumn("valid", is_valid_markup("svg", tag))
 
 
@@ -74,18 +80,20 @@ def cascade(inputs: DataFrame, generator: Generator, rounds: Sequence[RoundSpec]
     ids failing every round get the fallback.
 
     Returns (id, svg, used_fallback, won_round) with exactly one row per
-    input id. Winners of different rounds are disjoint, so the result is a
-    union plus one anti-join for the fallbacks; no grouping by id.
+    input row. Each round's output is written before the next round reads
+    its failures, so the rows retried are exactly the rows that failed, even
+    if an executor is lost. Winners of different rounds are disjoint, so the
+    result is a plain union: no join, no grouping, no shuffle.
     """
-    pending = materialize(inputs, "gen-inputs") if stage else inputs
+    cols = inputs.columns
+    pending = inputs
     winners = []
     for i, spec in enumerate(rounds, start=1):
         res = generate_round(pending, generator, spec, i, tag, renames)
         res = materialize(res, f"gen-round{i}") if stage else res
         winners.append(res.where("valid").select("id", "svg", F.lit(False).alias("used_fallback"),
                                                  F.col("round").alias("won_round")))
-        failed = res.where(~F.col("valid")).select("id")
-        pending = pending.join(failed, "id", "left_semi")
+        pending = res.where(~F.col("valid")).select(*cols)
     lost = pending.select("id", F.lit(fallback_doc).alias("svg"), F.lit(True).alias("used_fallback"),
                           F.lit(None).cast("int").alias("won_round"))
     out = winners[0]
@@ -100,16 +108,19 @@ def first_valid_round(ids: DataFrame, cands: DataFrame, id_col: str = "id", roun
     """Offline choice from a candidate table (id, round, raw): the lowest
     valid round wins; ids without a valid candidate get the fallback.
 
-    One partial + final aggregate on id (``min_by``), then a left join from
-    the id table so that every input id yields exactly one row.
+    The id table and the valid candidates are unioned and grouped once by id
+    (partial + final ``min`` / ``min_by``, one exchange), so every id yields
+    exactly one row and no join is needed; a hot id is pre-aggregated
+    map-side like any other.
     """
     c = cands.select(F.col(id_col).alias("id"), F.col(round_col).cast("int").alias("round"),
                      postprocess(raw_col, tag, renames).alias("svg"))
-    c = c.withColumn("valid", is_valid_markup("svg", tag)).where("valid")
-    best = c.groupBy("id").agg(F.min("round").alias("won_round"),
-                               F.min_by("svg", "round").alias("best_svg"))
-    base = ids.select(F.col(id_col).alias("id")).join(best, "id", "left")
-    return base.select(
+    valid = c.where(is_valid_markup("svg", tag))
+    base = ids.select(F.col(id_col).alias("id"), F.lit(None).cast("int").alias("round"),
+                      F.lit(None).cast("string").alias("svg"))
+    best = base.unionByName(valid).groupBy("id").agg(
+        F.min("round").alias("won_round"), F.min_by("svg", "round").alias("best_svg"))
+    return best.select(
         "id",
         F.coalesce("best_svg", F.lit(fallback_doc)).alias("svg"),
         F.col("best_svg").isNull().alias("used_fallback"),

@@ -145,6 +145,23 @@ def rank_cut(df: DataFrame, k: int | Callable[[int], int], key: str = ORDER_KEY,
 # ---------------------------------------------------------------------------
 
 
+def _cut_source(work: DataFrame, unique: bool, stage: bool, name: str) -> tuple[DataFrame, DataFrame]:
+    """(frame to label, frame to cut on).
+
+    Unique keys: the order key is a pure function of the row, so the cut is
+    computed on a staged one-column table (the histogram passes read 32
+    bytes per row) and the label is applied to the recomputed input.
+    Non-unique keys: row ids are only stable on stored rows, so the keyed
+    input itself is staged and labelled.
+    """
+    if not unique:
+        stored = materialize(work, name)
+        return stored, stored
+    if stage:
+        return work, materialize(work.select(ORDER_KEY), f"{name}-keys")
+    return work, work
+
+
 def exact_split(df: DataFrame, keys: Sequence[str | Column], eval_share: float = 0.5,
                 salt: str = "split:", unique: bool = True, out: str = "split",
                 labels: tuple[str, str] = ("train", "eval"), stage: bool = True) -> DataFrame:
@@ -152,17 +169,17 @@ def exact_split(df: DataFrame, keys: Sequence[str | Column], eval_share: float =
 
     Rows are ranked by ``md5(salt || key)``; the lowest ranks go to eval.
     Counts equal the reference's; the split is deterministic and does not
-    depend on partitioning or input order. ``stage`` writes the keyed input
-    to the checkpoint folder first, so the histogram passes read one narrow
-    column and a lost executor re-reads files rather than the whole plan.
-    Set ``unique=False`` when keys may repeat (exact copies).
+    depend on partitioning or input order, and labelling is a projection
+    (no shuffle of the rows). Set ``unique=False`` when keys may repeat
+    (exact copies): rows then get a stored row id as the tie-breaker.
+    The input must be deterministic (a scan plus native expressions); stage
+    a nondeterministic input first.
     """
     work = with_order_key(df, salted_hash(salt, keys), unique)
-    if stage or not unique:
-        work = materialize(work, "split")
-    cut = rank_cut(work, lambda n: math.ceil(n * eval_share))
+    label, src = _cut_source(work, unique, stage, "split")
+    cut = rank_cut(src, lambda n: math.ceil(n * eval_share))
     train, ev = labels
-    res = work.withColumn(out, F.when(cut.predicate, F.lit(ev)).otherwise(F.lit(train)))
+    res = label.withColumn(out, F.when(cut.predicate, F.lit(ev)).otherwise(F.lit(train)))
     return res.drop(ORDER_KEY, ROW_ID)
 
 
@@ -173,12 +190,11 @@ def capped_sample(df: DataFrame, n: int | None, keys: Sequence[str | Column],
     if not n:
         return df
     work = with_order_key(df, salted_hash(salt, keys), unique)
-    if stage or not unique:
-        work = materialize(work, "cap")
-    cut = rank_cut(work, n)
+    label, src = _cut_source(work, unique, stage, "cap")
+    cut = rank_cut(src, n)
     if cut.n <= n:
         return df
-    return work.where(cut.predicate).drop(ORDER_KEY, ROW_ID)
+    return label.where(cut.predicate).drop(ORDER_KEY, ROW_ID)
 
 
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
