@@ -76,3 +76,16 @@ def null_sentinels_to_null(c: Column | str, sentinels: Iterable[str]) -> Column:
     """Map CSV null spellings (exact matches) to NULL."""
     c = _col(c)
     return F.when(c.isin(list(sentinels)), F.lit(None).cast("string")).otherwise(c)
+
+
+def evaluate_once(c: Column | str) -> Column:
+    """``c`` unchanged, but computed in its own projection.
+
+    Catalyst pushes a filter through a projection by substituting each
+    reference with the projected expression, so a budget filter over a
+    normalised column would repeat the whole normalisation once per
+    reference (dozens of copies of every strip). A projection holding a
+    nondeterministic expression is never pushed through; ``spark_partition_id()
+    >= 0`` is always true and costs one comparison.
+    """
+    return F.when(F.spark_partition_id() >= F.lit(0), _col(c))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from markforge.config import DEFAULT_BUDGET, StructuralBudget
-from markforge.functions.text import _col, count_literal
+from markforge.functions.text import _col, count_literal, evaluate_once
 from markforge.functions.tokens import count_tokens
 
 
@@ -32,7 +32,7 @@ def structural_filter(df: DataFrame, col: str = "svg", budget: StructuralBudget
 def with_token_count(df: DataFrame, text_col: str = "text", out: str = "n_tokens",
                      counter: Callable[[str], int] | None = None) -> DataFrame:
     """Add the token count of ``text_col`` (special tokens not added)."""
-    return df.withColumn(out, count_tokens(text_col, counter))
+    return df.withColumn(out, evaluate_once(count_tokens(text_col, counter)))
 
 
 def token_filter(df: DataFrame, max_tokens: int = 1700, text_col: str = "text",

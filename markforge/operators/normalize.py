@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from markforge.functions.text import first_non_empty, is_truthy, starts_with_ci
+from markforge.functions.text import evaluate_once, first_non_empty, is_truthy, starts_with_ci
 
 
 def to_pairs(df: DataFrame, prompt_fields: Sequence[str], markup_fields: Sequence[str],
@@ -19,13 +19,13 @@ def to_pairs(df: DataFrame, prompt_fields: Sequence[str], markup_fields: Sequenc
     row is removed by :func:`drop_empty`. ``keep`` carries extra columns
     (e.g. an id or source name) through unchanged.
     """
-    # Two projections: the chosen values are computed once and then
-    # referenced; Catalyst does not collapse projections when that would
-    # repeat a non-trivial expression.
+    # The chosen values are computed once in their own projection; later
+    # filters (gate, budgets, token limit) reference them instead of
+    # repeating the strip per reference.
     chosen = df.select(
         *[F.col(k) for k in keep],
-        first_non_empty(df.columns, prompt_fields).alias("_prompt"),
-        first_non_empty(df.columns, markup_fields).alias("_markup"),
+        evaluate_once(first_non_empty(df.columns, prompt_fields)).alias("_prompt"),
+        evaluate_once(first_non_empty(df.columns, markup_fields)).alias("_markup"),
     )
     gate = starts_with_ci("_markup", f"<{root_tag}")
     return chosen.select(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from markforge.config import CorpusConfig
 from markforge.functions.chat import training_text
+from markforge.functions.text import evaluate_once
 from markforge.functions.tokens import count_tokens
 from markforge.operators.budgets import within_structure
 from markforge.operators.normalize import normalize_pairs
@@ -29,7 +30,9 @@ def render_and_budget(split_df: DataFrame, cfg: CorpusConfig,
                       counter: Callable[[str], int] | None = None) -> DataFrame:
     """Add the chat text, its token count and the ``kept`` flag (token budget)."""
     text = training_text("prompt", "svg", cfg.system_prompt)
-    out = split_df.withColumn("text", text).withColumn("n_tokens", count_tokens("text", counter))
+    # Text and token count are computed once; the ``kept`` filter a caller
+    # applies stays above them instead of re-rendering and re-counting.
+    out = split_df.withColumn("text", text).withColumn("n_tokens", evaluate_once(count_tokens("text", counter)))
     return out.withColumn("kept", F.col("n_tokens") <= F.lit(cfg.max_tokens))
 
 
