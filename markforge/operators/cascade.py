@@ -34,15 +34,17 @@ def postprocess(raw_col: str = "raw", tag: str = "svg", renames: dict | None = N
 
 
 def generation_inputs(df: DataFrame, system_prompt: str, id_col: str = "id", prompt_col: str = "prompt",
-                      compat_nan: bool = True, counter: Callable[[str], int] | None = None) -> DataFrame:
+                      compat_nan: bool = True, counter: Callable[[str], int] | None = None,
+                      carry: Sequence[str] = ()) -> DataFrame:
     """(id, prompt, chat, n_input): rendered generation prompt and its tokens.
 
     ``compat_nan`` renders a missing prompt as the text ``nan``, as a pandas
-    read of the test file would; otherwise it renders as ``''``.
+    read of the test file would; otherwise it renders as ``''``. ``carry``
+    names extra columns (e.g. the input position) kept to the output.
     """
     missing = F.lit("nan") if compat_nan else F.lit("")
     prompt = F.coalesce(F.col(prompt_col).cast("string"), missing)
-    x = df.select(F.col(id_col).alias("id"), prompt.alias("prompt"))
+    x = df.select(*carry, F.col(id_col).alias("id"), prompt.alias("prompt"))
     x = x.withColumn("chat", generation_prompt("prompt", system_prompt))
     return x.withColumn("n_input", count_tokens("chat", counter))
 
@@ -75,7 +77,7 @@ def generate_round(inputs: DataFrame, generator: Generator, spec: RoundSpec, rou
 
 def cascade(inputs: DataFrame, generator: Generator, rounds: Sequence[RoundSpec] = DEFAULT_ROUNDS,
             tag: str = "svg", fallback_doc: str = FALLBACK_SVG, renames: dict | None = None,
-            stage: bool = True) -> DataFrame:
+            stage: bool = True, carry: Sequence[str] = ()) -> DataFrame:
     """N-round generation: round i runs only on ids that failed rounds < i;
     ids failing every round get the fallback.
 
@@ -91,10 +93,10 @@ def cascade(inputs: DataFrame, generator: Generator, rounds: Sequence[RoundSpec]
     for i, spec in enumerate(rounds, start=1):
         res = generate_round(pending, generator, spec, i, tag, renames)
         res = materialize(res, f"gen-round{i}") if stage else res
-        winners.append(res.where("valid").select("id", "svg", F.lit(False).alias("used_fallback"),
+        winners.append(res.where("valid").select(*carry, "id", "svg", F.lit(False).alias("used_fallback"),
                                                  F.col("round").alias("won_round")))
         pending = res.where(~F.col("valid")).select(*cols)
-    lost = pending.select("id", F.lit(fallback_doc).alias("svg"), F.lit(True).alias("used_fallback"),
+    lost = pending.select(*carry, "id", F.lit(fallback_doc).alias("svg"), F.lit(True).alias("used_fallback"),
                           F.lit(None).cast("int").alias("won_round"))
     out = winners[0]
     for w in winners[1:]:

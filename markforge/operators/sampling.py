@@ -197,7 +197,7 @@ def capped_sample(df: DataFrame, n: int | None, keys: Sequence[str | Column],
     return label.where(cut.predicate).drop(ORDER_KEY, ROW_ID)
 
 
-_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
 
 
 def with_input_position(df_reader_result: DataFrame, out: str = "input_pos") -> DataFrame:
@@ -211,10 +211,10 @@ def with_input_position(df_reader_result: DataFrame, out: str = "input_pos") ->
     import re
 
     spark = df_reader_result.sparkSession
-    files = sorted(re.sub(_SCHEME, "", f) for f in df_reader_result.inputFiles())
+    files = sorted(re.sub(SCHEME, "", f) for f in df_reader_result.inputFiles())
     ranks = spark.createDataFrame([(f, i) for i, f in enumerate(files)], "_fp string, file_rank long")
     with_meta = df_reader_result.select(
-        "*", F.regexp_replace(F.col("_metadata.file_path"), _SCHEME, "").alias("_fp"),
+        "*", F.regexp_replace(F.col("_metadata.file_path"), SCHEME, "").alias("_fp"),
         F.col("_metadata.row_index").alias("_ri"))
     joined = with_meta.join(F.broadcast(ranks), "_fp", "left")
     pos = F.col("file_rank") * F.lit(2**40) + F.col("_ri")

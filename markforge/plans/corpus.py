@@ -1,28 +1,42 @@
 """Corpus preparation: sources -> normalised pairs -> budgets -> split ->
-chat text -> token budget, as one lazy plan with two small driver actions
-(the per-source count and the split histogram)."""
+chat text -> token budget, as one lazy plan with a few small driver actions
+(the cap and split histograms, and optional per-source counts)."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from markforge.config import CorpusConfig
+from markforge.config import CorpusConfig, SourceSpec
 from markforge.functions.chat import training_text
 from markforge.functions.text import evaluate_once
 from markforge.functions.tokens import count_tokens
 from markforge.operators.budgets import within_structure
 from markforge.operators.normalize import normalize_pairs
-from markforge.operators.sampling import capped_sample, exact_split
+from markforge.operators.report import require_sources, rows_per_group, split_counts
+from markforge.operators.sampling import capped_sample, content_key, exact_split
 from markforge.operators.union import union_sources
+from markforge.sources.readers import load_sources
+from markforge.sources.sinks import write_corpus
+
+PAIR_KEY = "pair_key"
 
 
 def prepare_source(df: DataFrame, prompt_fields: Sequence[str], markup_fields: Sequence[str],
-                   cfg: CorpusConfig, keys: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """Cap (before normalising, as the reference does), normalise, drop empties."""
-    capped = capped_sample(df, cfg.max_per_source, keys, salt=f"cap:{cfg.seed}:")
+                   cfg: CorpusConfig, keys: Sequence[str] = (), keep: Sequence[str] = ()) -> DataFrame:
+    """Cap (before normalising, as the reference does), normalise, drop empties.
+
+    Without ``keys`` the cap ranks rows by the content of their candidate
+    fields (rows repeat, so the cap uses stored row ids as tie-breakers).
+    """
+    if keys:
+        capped = capped_sample(df, cfg.max_per_source, list(keys), salt=f"cap:{cfg.seed}:")
+    else:
+        fields = [c for c in dict.fromkeys([*prompt_fields, *markup_fields]) if c in df.columns]
+        capped = capped_sample(df, cfg.max_per_source, [content_key(fields or df.columns)],
+                               salt=f"cap:{cfg.seed}:", unique=False)
     return normalize_pairs(capped, prompt_fields, markup_fields, cfg.root_tag, keep=keep)
 
 
@@ -36,16 +50,48 @@ def render_and_budget(split_df: DataFrame, cfg: CorpusConfig,
     return out.withColumn("kept", F.col("n_tokens") <= F.lit(cfg.max_tokens))
 
 
-def sft_corpus(sources: Sequence[tuple[str, DataFrame]], cfg: CorpusConfig, key: str,
+def sft_corpus(sources: Sequence[tuple[str, DataFrame]], cfg: CorpusConfig, key: str | None = None,
                counter: Callable[[str], int] | None = None, unique_key: bool = True,
                stage: bool = True) -> DataFrame:
     """Union of normalised sources -> structural budget -> exact split ->
     rendered text with token count and ``kept`` flag.
 
+    ``key`` names a unique id column carried through normalisation; without
+    one (training pairs carry no id) rows are keyed by the md5 of the
+    normalised pair and equal pairs are told apart by stored row ids.
     The caller filters ``kept`` for the training table, or reports entered /
     kept per split from the same frame (one pass).
     """
     pairs = union_sources(sources)
     fit = pairs.where(within_structure("svg", cfg.budget))
+    if key is None:
+        fit = fit.withColumn(PAIR_KEY, content_key(["prompt", "svg"]))
+        key, unique_key = PAIR_KEY, False
     split = exact_split(fit, [key], cfg.eval_share, salt=f"split:{cfg.seed}:", unique=unique_key, stage=stage)
     return render_and_budget(split, cfg, counter)
+
+
+def corpus_job(spark: SparkSession, specs: Sequence[SourceSpec], cfg: CorpusConfig, out_path: str | None = None,
+               counter: Callable[[str], int] | None = None, verify: str = "schema"):
+    """The whole preparation run over a source catalog.
+
+    Loads every source with failure isolation (a bad source is skipped and
+    reported; none loaded is an error), caps and normalises each, then builds
+    the corpus. Writes the kept rows partitioned by split when ``out_path`` is
+    given. Returns ``(corpus, report)`` where ``report`` holds the skipped
+    sources and, computed from the written table (or lazily), usable rows
+    per source and entered / kept rows per split.
+    """
+    def prepare(df, spec):
+        keys = [k for k in spec.key_fields if k in df.columns]
+        return prepare_source(df, spec.prompt_fields, spec.markup_fields, cfg, keys)
+
+    loaded, skipped, counts = load_sources(spark, specs, prepare, verify=verify)
+    require_sources(loaded)
+    corpus = sft_corpus(loaded, cfg, key=None, counter=counter)
+    report = {"skipped": skipped, "usable_per_source": counts}
+    if out_path:
+        write_corpus(corpus.where("kept").select("source_name", "split", "text", "n_tokens"), out_path)
+    report["per_source"] = rows_per_group(corpus, "source_name")
+    report["per_split"] = split_counts(corpus)
+    return corpus, report

@@ -2,18 +2,42 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from markforge.config import DEFAULT_ROUNDS, FALLBACK_SVG, RoundSpec
 from markforge.operators.cascade import Generator, cascade, generation_inputs
+from markforge.operators.report import fallback_report
+from markforge.session import materialize
+from markforge.sources.readers import read_test_prompts
+from markforge.sources.sinks import write_submission
 
 
 def run_inference(test: DataFrame, generator: Generator, system_prompt: str,
                   rounds: Sequence[RoundSpec] = DEFAULT_ROUNDS, id_col: str = "id", prompt_col: str = "prompt",
                   tag: str = "svg", fallback_doc: str = FALLBACK_SVG, compat_nan: bool = True,
-                  counter: Callable[[str], int] | None = None, stage: bool = True) -> DataFrame:
-    """(id, svg, used_fallback, won_round), one row per test id."""
-    inputs = generation_inputs(test, system_prompt, id_col, prompt_col, compat_nan, counter)
-    return cascade(inputs, generator, rounds, tag, fallback_doc, stage=stage)
+                  counter: Callable[[str], int] | None = None, stage: bool = True,
+                  carry: Sequence[str] = ()) -> DataFrame:
+    """(id, svg, used_fallback, won_round), one row per test row."""
+    inputs = generation_inputs(test, system_prompt, id_col, prompt_col, compat_nan, counter, carry)
+    return cascade(inputs, generator, rounds, tag, fallback_doc, stage=stage, carry=carry)
+
+
+def inference_job(spark: SparkSession, test_csv: str, generator: Generator, system_prompt: str,
+                  out_path: str, rounds: Sequence[RoundSpec] = DEFAULT_ROUNDS, single_file: bool = False) -> dict:
+    """Read the test CSV, run the cascade, write the submission CSV in test
+    file order and report rows, fallbacks and minutes.
+
+    The result is written to the checkpoint folder once and both the
+    submission and the report read it, so the generator runs once per row
+    and round.
+    """
+    t0 = time.time()
+    test = read_test_prompts(spark, test_csv, with_position=True)
+    result = materialize(run_inference(test, generator, system_prompt, rounds, carry=("input_pos",)),
+                         "inference-result")
+    write_submission(result, out_path, order_by="input_pos", single_file=single_file)
+    rep = fallback_report(result).first()
+    return {"rows": rep["n_rows"], "fallbacks": rep["n_fallback"], "minutes": round((time.time() - t0) / 60, 2)}

@@ -4,6 +4,7 @@ failure-isolated multi-source load."""
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 
 from markforge.config import NA_SENTINELS, SourceSpec
 from markforge.functions.text import null_sentinels_to_null
+from markforge.operators.sampling import SCHEME
 
 log = logging.getLogger(__name__)
 
@@ -48,9 +50,31 @@ def read_pairs_csv(spark: SparkSession, path: str, prompt_col: str = "prompt", m
     return read_csv_text(spark, path, [prompt_col, markup_col])
 
 
-def read_test_prompts(spark: SparkSession, path: str, id_col: str = "id", prompt_col: str = "prompt") -> DataFrame:
-    """Test prompts file (id, prompt); id is passed through as text."""
-    return read_csv_text(spark, path, [id_col, prompt_col])
+def read_test_prompts(spark: SparkSession, path: str, id_col: str = "id", prompt_col: str = "prompt",
+                      with_position: bool = False) -> DataFrame:
+    """Test prompts file (id, prompt); id is passed through as text.
+
+    ``with_position`` adds ``input_pos``, the row's position in file order
+    (a multi-line CSV file is read by one task, so the id of the row within
+    its task is its line order; files are ordered by path).
+    """
+    df = read_csv_text(spark, path, [id_col, prompt_col])
+    if not with_position:
+        return df
+    return with_csv_position(df)
+
+
+def with_csv_position(df: DataFrame, out: str = "input_pos") -> DataFrame:
+    """File-order position for a multi-line CSV read (one task per file):
+    file rank by path (from the driver's file index, broadcast, one row per
+    file) times 2**33 plus the row's index within its task."""
+    spark = df.sparkSession
+    files = sorted(re.sub(SCHEME, "", f) for f in df.inputFiles())
+    ranks = spark.createDataFrame([(f, i) for i, f in enumerate(files)], "_fp string, _file_rank long")
+    x = df.select("*", F.regexp_replace(F.input_file_name(), SCHEME, "").alias("_fp"),
+                  F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1)).alias("_row"))
+    x = x.join(F.broadcast(ranks), "_fp", "left")
+    return x.withColumn(out, F.col("_file_rank") * F.lit(2**33) + F.col("_row")).drop("_fp", "_row", "_file_rank")
 
 
 def csv_to_parquet(df: DataFrame, path: str, partitions: int | None = None) -> None:
