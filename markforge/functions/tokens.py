@@ -51,6 +51,24 @@ def count_tokens(c: Column | str, counter: Callable[[str], int] | None = None) -
     return _count(c)
 
 
+def token_ids(c: Column | str, encoder: Callable[[str], list[int]], max_len: int | None = MAX_SEQ_LENGTH) -> Column:
+    """Token ids of a text (``array<int>``), truncated to ``max_len``; only
+    for callers that need the ids themselves (counting needs no ids).
+
+    ``encoder`` maps a text to ids; like ``count_tokens`` it may be a factory
+    marked ``is_factory`` so a heavy tokenizer is built once per worker.
+    """
+    is_factory = getattr(encoder, "is_factory", False)
+
+    @F.pandas_udf("array<int>")
+    def _ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        fn = encoder() if is_factory else encoder
+        for s in batches:
+            yield pd.Series([None if v is None else [int(t) for t in fn(v)][:max_len] for v in s], dtype=object)
+
+    return _ids(_col(c))
+
+
 def truncated_length(n_tokens: Column | str, max_len: int = MAX_SEQ_LENGTH) -> Column:
     """Tokens kept after truncation to ``max_len`` (one example per row, no packing)."""
     return F.least(_col(n_tokens), F.lit(max_len))

@@ -189,6 +189,9 @@ def capped_sample(df: DataFrame, n: int | None, keys: Sequence[str | Column],
     table is larger (else it passes through). Exact count, no single-task top-k."""
     if not n:
         return df
+    if not unique and df.count() <= n:
+        # Only larger tables are capped; checked before staging row ids.
+        return df
     work = with_order_key(df, salted_hash(salt, keys), unique)
     label, src = _cut_source(work, unique, stage, "cap")
     cut = rank_cut(src, n)
