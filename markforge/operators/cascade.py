@@ -20,6 +20,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from markforge.config import DEFAULT_ROUNDS, FALLBACK_SVG, RoundSpec
 from markforge.functions.chat import generation_prompt
 from markforge.functions.markup import extract_last_block, is_valid_markup, repair_attributes
+from markforge.functions.text import evaluate_once
 from markforge.functions.tokens import count_tokens, generation_budget
 from markforge.session import materialize
 
@@ -29,8 +30,13 @@ Generator = Callable[[pd.DataFrame, RoundSpec], Sequence[str]]
 
 
 def postprocess(raw_col: str = "raw", tag: str = "svg", renames: dict | None = None):
-    """Decoded text -> last markup block -> attribute repair (Column)."""
-    return repair_attributes(extract_last_block(raw_col, tag), renames)
+    """Decoded text -> last markup block -> attribute repair (Column).
+
+    Evaluated in its own projection, so the validity UDF and the output read
+    the extracted markup instead of each re-running the regex over the raw
+    text.
+    """
+    return evaluate_once(repair_attributes(extract_last_block(raw_col, tag), renames))
 
 
 def generation_inputs(df: DataFrame, system_prompt: str, id_col: str = "id", prompt_col: str = "prompt",

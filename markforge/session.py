@@ -77,9 +77,13 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     table in one Parquet row group feeding CPU-heavy regex or Python work.
 
     Planning only, no job; a large input already has many splits and passes
-    through untouched, so this never adds a shuffle at scale.
+    through untouched, so this never adds a shuffle at scale. Set
+    ``markforge.spread.enabled=false`` to see the at-scale plan shapes.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    spark = df.sparkSession
+    if spark.conf.get("markforge.spread.enabled", "true") != "true":
+        return df
+    want = min_partitions or spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= want:
         return df
     return df.repartition(want)
