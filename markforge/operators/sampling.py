@@ -252,19 +252,24 @@ def seeded_shuffle(df: DataFrame, keys: Sequence[str | Column], salt: str = "shu
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = work.repartitionByRange(parts, F.col(ORDER_KEY)).sortWithinPartitions(ORDER_KEY)
     stored = materialize(ordered, "shuffle")
+    # A task writes its range in order, possibly over several files
+    # (part-<task>-<uuid>-c<nnn>); order files by (task, file counter).
+    fname = F.col("_metadata.file_name")
     located = stored.select(
         "*",
-        F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("long").alias("_part"),
+        fname.alias("_file"),
+        F.regexp_extract(fname, r"part-(\d+)", 1).cast("long").alias("_part"),
+        F.regexp_extract(fname, r"-c(\d+)", 1).cast("long").alias("_seq"),
         F.col("_metadata.row_index").alias("_ri"),
     )
-    counts = located.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).collect()
+    counts = located.groupBy("_part", "_seq", "_file").agg(F.count(F.lit(1)).alias("_n")).collect()
     offsets, acc = [], 0
-    for part, cnt in sorted((r["_part"], r["_n"]) for r in counts):
-        offsets.append((part, acc))
+    for _, _, file, cnt in sorted((r["_part"], r["_seq"] or 0, r["_file"], r["_n"]) for r in counts):
+        offsets.append((file, acc))
         acc += cnt
-    off_df = spark.createDataFrame(offsets, "_part long, _off long")
-    res = located.join(F.broadcast(off_df), "_part").withColumn(out, F.col("_off") + F.col("_ri") + F.lit(1))
-    return res.drop("_part", "_ri", "_off", ORDER_KEY, ROW_ID)
+    off_df = spark.createDataFrame(offsets, "_file string, _off long")
+    res = located.join(F.broadcast(off_df), "_file").withColumn(out, F.col("_off") + F.col("_ri") + F.lit(1))
+    return res.drop("_file", "_part", "_seq", "_ri", "_off", ORDER_KEY, ROW_ID)
 
 
 def preview(df: DataFrame, n: int = 5, order_cols: Sequence[str] = ("id",),

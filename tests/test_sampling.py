@@ -103,3 +103,14 @@ def test_seeded_shuffle_is_a_permutation(spark, docs):
     expected = {i: r + 1 for r, i in enumerate(brute_order(ids, "sh:"))}
     assert got == expected
     assert ORDER_KEY not in seeded_shuffle(docs, ["doc_id"], salt="sh:").columns
+
+
+def test_seeded_shuffle_with_split_files(spark, docs):
+    # several files per written task must still give a 1..n permutation
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "37")
+    try:
+        ids = [r[0] for r in docs.collect()]
+        got = dict(seeded_shuffle(docs, ["doc_id"], salt="sh:", partitions=3).select("doc_id", "shuffle_rank").collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert got == {i: r + 1 for r, i in enumerate(brute_order(ids, "sh:"))}
