@@ -58,7 +58,11 @@ def svg_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     svg_code: XML prolog if id%7=0 (fails the prefix gate), else a blank
     lead; ``<SVG`` if id%11=0; no close tag if id%5=0; one trailing blank.
     """
-    d = read_table(spark, sf_dir, "documents")
+    return svg_pairs_from(read_table(spark, sf_dir, "documents"))
+
+
+def svg_pairs_from(d: DataFrame) -> DataFrame:
+    """:func:`svg_pairs` over any frame with documents' columns."""
     i = F.col("doc_id")
     caption = (F.when(_mod(i, 17) == 0, F.lit(None).cast("string"))
                .when(_mod(i, 13) == 0, F.lit("\n \t"))

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from markforge.config import DEFAULT_BUDGET, STRICT_BUDGET, CorpusConfig, StructuralBudget
+from markforge.config import DEFAULT_BUDGET, STRICT_BUDGET, CorpusConfig, SourceSpec, StructuralBudget
 from markforge.functions.chat import generation_prompt, training_text
 from markforge.functions.markup import extract_last_block, is_valid_markup, repair_attributes
 from markforge.functions.text import first_non_empty
@@ -17,15 +17,22 @@ from markforge.functions.tokens import count_tokens, generation_budget, truncate
 from markforge.operators.budgets import structural_filter, token_filter
 from markforge.operators.cascade import first_valid_round
 from markforge.operators.normalize import normalize_pairs
-from markforge.operators.report import fallback_report, output_quality, rows_per_group, runtime_estimate, split_counts
+from markforge.operators.report import (
+    fallback_report,
+    output_quality,
+    require_sources,
+    rows_per_group,
+    runtime_estimate,
+    split_counts,
+)
 from markforge.operators.sampling import capped_sample, exact_split, head_cap, preview, seeded_shuffle
 from markforge.operators.union import union_sources
 from markforge.plans import fixtures as fx
 from markforge.plans.corpus import sft_corpus
 from markforge.plans.inference import run_inference
-from markforge.sources.readers import WIDE_SOURCE_FIELDS, read_csv_text
+from markforge.sources.readers import WIDE_SOURCE_FIELDS, load_sources, read_csv_text
 from markforge.sources.sinks import write_csv
-from markforge.session import checkpoint_dir
+from markforge.session import checkpoint_dir, spread
 
 # Query parameters (fixed so that Spark and the SQL oracles agree).
 SYSTEM = "You draw SVG."
@@ -77,20 +84,26 @@ def q_structural_filter_pages(spark, sf):
     return structural_filter(fx.read_table(spark, sf, "pages"), "html", PAGES_BUDGET).select("page_id", "url")
 
 
-def _wide_sources(spark, sf):
-    p = fx.svg_pairs(spark, sf)
-    out = []
-    for (lang, name), cols, (pf, mf) in zip(LANG_SOURCES, LANG_COLUMNS, WIDE_SOURCE_FIELDS):
-        src = p.where(F.col("lang") == lang).select(
-            "doc_id", F.col("caption").alias(cols[0]), F.col("name").alias(cols[1]),
-            F.col("svg_code").alias(cols[2]))
-        out.append((name, src, pf, mf))
-    return out
+def wide_catalog(sf):
+    """Four catalog sources over ``documents``, one per language, each with
+    its own field layout (the split column is ``lang``)."""
+    return [SourceSpec(name, path=f"{sf.rstrip('/')}/documents.parquet", split=lang, split_column="lang",
+                       prompt_fields=pf, markup_fields=mf, key_fields=("doc_id",))
+            for (lang, name), (pf, mf) in zip(LANG_SOURCES, WIDE_SOURCE_FIELDS)]
+
+
+def _as_wide_source(df, spec):
+    """Lay the pair fixture out in the source's own column names, normalise."""
+    cols = LANG_COLUMNS[[n for _, n in LANG_SOURCES].index(spec.name)]
+    p = fx.svg_pairs_from(spread(df))
+    src = p.select("doc_id", F.col("caption").alias(cols[0]), F.col("name").alias(cols[1]),
+                   F.col("svg_code").alias(cols[2]))
+    return normalize_pairs(src, spec.prompt_fields, spec.markup_fields, keep=["doc_id"])
 
 
 def q_union_sources(spark, sf):
-    named = [(name, normalize_pairs(src, pf, mf, keep=["doc_id"])) for name, src, pf, mf in _wide_sources(spark, sf)]
-    return union_sources(named)
+    loaded, _, _ = load_sources(spark, wide_catalog(sf), _as_wide_source)
+    return union_sources(require_sources(loaded))
 
 
 def q_source_counts(spark, sf):

@@ -83,7 +83,7 @@ def csv_to_parquet(df: DataFrame, path: str, partitions: int | None = None) -> N
 
 
 def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
-    """Read one catalog source. ``path`` may contain ``{split}``; a ``split``
+    """Read one catalog source. ``path`` may contain ``{split}``; the split
     column, if present, is filtered (partition pruning when partitioned)."""
     if spec.table:
         df = spark.table(spec.table)
@@ -96,8 +96,8 @@ def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
             df = read_csv_text(spark, path, spec.options.get("columns", cols))
         else:
             df = spark.read.format(spec.format).options(**spec.options).load(path)
-    if spec.split is not None and "split" in df.columns:
-        df = df.where(F.col("split") == F.lit(spec.split))
+    if spec.split is not None and spec.split_column in df.columns:
+        df = df.where(F.col(spec.split_column) == F.lit(spec.split))
     return df
 
 
