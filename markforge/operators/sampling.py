@@ -18,7 +18,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from markforge.session import materialize
+from markforge.session import broadcast_if_small, materialize
 
 ORDER_KEY = "_order_key"
 ROW_ID = "_row_id"
@@ -61,10 +61,24 @@ def content_key(cols: Sequence[str]) -> Column:
     return F.md5(key_string(cols))
 
 
-def with_order_key(df: DataFrame, order: Column, unique: bool = True) -> DataFrame:
-    """Attach the order key. For a non-unique order, append a per-row id so
-    the order is total; the caller must materialise before using it, as the
-    id is only stable on stored data."""
+def file_row_id() -> Column:
+    """Stable identity of a row of a Parquet scan: md5 of its file path and
+    its index in that file (48 hex digits). It is recomputed identically by
+    a retried task, so it breaks ties of a repeating order key without
+    staging the rows; it resolves on the scan and through projections and
+    filters above it (not after a union, join or aggregation)."""
+    return F.concat(F.md5(F.col("_metadata.file_path")), long_order(F.col("_metadata.row_index")))
+
+
+def with_order_key(df: DataFrame, order: Column, unique: bool = True,
+                   tie_breaker: Column | None = None) -> DataFrame:
+    """Attach the order key. A ``tie_breaker`` (a stable, fixed-width,
+    unique string per row such as :func:`file_row_id`) is appended to make
+    the order total. Without one, a non-unique order gets a per-row id; the
+    caller must then materialise before using it, as that id is only stable
+    on stored data."""
+    if tie_breaker is not None:
+        return df.withColumn(ORDER_KEY, F.concat(order, tie_breaker))
     if unique:
         return df.withColumn(ORDER_KEY, order)
     return (df.withColumn(ROW_ID, F.monotonically_increasing_id())
@@ -164,19 +178,22 @@ def _cut_source(work: DataFrame, unique: bool, stage: bool, name: str) -> tuple[
 
 def exact_split(df: DataFrame, keys: Sequence[str | Column], eval_share: float = 0.5,
                 salt: str = "split:", unique: bool = True, out: str = "split",
-                labels: tuple[str, str] = ("train", "eval"), stage: bool = True) -> DataFrame:
+                labels: tuple[str, str] = ("train", "eval"), stage: bool = True,
+                tie_breaker: Column | None = None) -> DataFrame:
     """Seeded exact train/eval split: ``eval`` gets ``ceil(n * share)`` rows.
 
     Rows are ranked by ``md5(salt || key)``; the lowest ranks go to eval.
     Counts equal the reference's; the split is deterministic and does not
     depend on partitioning or input order, and labelling is a projection
     (no shuffle of the rows). Set ``unique=False`` when keys may repeat
-    (exact copies): rows then get a stored row id as the tie-breaker.
+    (exact copies): rows then get a stored row id as the tie-breaker, or,
+    cheaper, the given ``tie_breaker`` column (e.g. :func:`file_row_id`).
     The input must be deterministic (a scan plus native expressions); stage
     a nondeterministic input first.
     """
-    work = with_order_key(df, salted_hash(salt, keys), unique)
-    label, src = _cut_source(work, unique, stage, "split")
+    total = unique or tie_breaker is not None
+    work = with_order_key(df, salted_hash(salt, keys), unique, tie_breaker)
+    label, src = _cut_source(work, total, stage, "split")
     cut = rank_cut(src, lambda n: math.ceil(n * eval_share))
     train, ev = labels
     res = label.withColumn(out, F.when(cut.predicate, F.lit(ev)).otherwise(F.lit(train)))
@@ -184,16 +201,22 @@ def exact_split(df: DataFrame, keys: Sequence[str | Column], eval_share: float =
 
 
 def capped_sample(df: DataFrame, n: int | None, keys: Sequence[str | Column],
-                  salt: str = "cap:", unique: bool = True, stage: bool = False) -> DataFrame:
+                  salt: str = "cap:", unique: bool = True, stage: bool = False,
+                  tie_breaker: Column | None = None) -> DataFrame:
     """Seeded random cap: keep ``n`` rows chosen by salted hash, only if the
-    table is larger (else it passes through). Exact count, no single-task top-k."""
+    table is larger (else it passes through). Exact count, no single-task top-k.
+
+    Repeating keys (``unique=False``) are told apart by ``tie_breaker`` when
+    given (no rows are staged), else by stored row ids (the whole input is
+    staged once, so narrow it to the columns needed first)."""
     if not n:
         return df
-    if not unique and df.count() <= n:
+    total = unique or tie_breaker is not None
+    if not total and df.count() <= n:
         # Only larger tables are capped; checked before staging row ids.
         return df
-    work = with_order_key(df, salted_hash(salt, keys), unique)
-    label, src = _cut_source(work, unique, stage, "cap")
+    work = with_order_key(df, salted_hash(salt, keys), unique, tie_breaker)
+    label, src = _cut_source(work, total, stage, "cap")
     cut = rank_cut(src, n)
     if cut.n <= n:
         return df
@@ -207,9 +230,10 @@ def with_input_position(df_reader_result: DataFrame, out: str = "input_pos") ->
     """Position of each row in file order (file path order, then row index)
     for a Parquet scan; call it right on the result of ``spark.read``.
 
-    The file list comes from the driver's file index (no job), so the
-    broadcast table is bounded by the number of files. Paths are compared
-    without their scheme and authority (``file:///x`` and ``file:/x``).
+    The file list comes from the driver's file index (no job); the rank
+    table has one row per file and is broadcast only within the bound of
+    :func:`broadcast_if_small`. Paths are compared without their scheme
+    and authority (``file:///x`` and ``file:/x``).
     """
     import re
 
@@ -219,18 +243,20 @@ def with_input_position(df_reader_result: DataFrame, out: str = "input_pos") ->
     with_meta = df_reader_result.select(
         "*", F.regexp_replace(F.col("_metadata.file_path"), SCHEME, "").alias("_fp"),
         F.col("_metadata.row_index").alias("_ri"))
-    joined = with_meta.join(F.broadcast(ranks), "_fp", "left")
+    joined = with_meta.join(broadcast_if_small(ranks, len(files)), "_fp", "left")
     pos = F.col("file_rank") * F.lit(2**40) + F.col("_ri")
     return joined.withColumn(out, pos).drop("_fp", "_ri", "file_rank")
 
 
-def head_cap(df: DataFrame, n: int | None, order_col: str, unique: bool = True) -> DataFrame:
+def head_cap(df: DataFrame, n: int | None, order_col: str, unique: bool = True,
+             tie_breaker: Column | None = None) -> DataFrame:
     """First ``n`` rows by an integer order column (an id, or the position
-    from :func:`with_input_position`); passes through when not larger."""
+    from :func:`with_input_position`); passes through when not larger.
+    Repeating values are told apart as in :func:`capped_sample`."""
     if not n:
         return df
-    work = with_order_key(df, long_order(order_col), unique)
-    if not unique:
+    work = with_order_key(df, long_order(order_col), unique, tie_breaker)
+    if not unique and tie_breaker is None:
         work = materialize(work, "head")
     cut = rank_cut(work, n)
     if cut.n <= n:
@@ -245,7 +271,8 @@ def seeded_shuffle(df: DataFrame, keys: Sequence[str | Column], salt: str = "shu
     A range-partitioned sort on the (unique) hash key is written once; each
     row's rank is its file's offset plus its row index in the file. Range
     partitioning splits even a heavily repeated key across tasks, and the
-    per-file offset table has one row per file.
+    per-file offset table has one row per file (broadcast within the bound
+    of :func:`broadcast_if_small`).
     """
     spark = df.sparkSession
     work = with_order_key(df, salted_hash(salt, keys), unique)
@@ -268,7 +295,8 @@ def seeded_shuffle(df: DataFrame, keys: Sequence[str | Column], salt: str = "shu
         offsets.append((file, acc))
         acc += cnt
     off_df = spark.createDataFrame(offsets, "_file string, _off long")
-    res = located.join(F.broadcast(off_df), "_file").withColumn(out, F.col("_off") + F.col("_ri") + F.lit(1))
+    res = (located.join(broadcast_if_small(off_df, len(offsets)), "_file")
+           .withColumn(out, F.col("_off") + F.col("_ri") + F.lit(1)))
     return res.drop("_file", "_part", "_seq", "_ri", "_off", ORDER_KEY, ROW_ID)
 
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from markforge.config import CorpusConfig, SourceSpec
@@ -16,7 +16,7 @@ from markforge.functions.tokens import count_tokens
 from markforge.operators.budgets import within_structure
 from markforge.operators.normalize import normalize_pairs
 from markforge.operators.report import require_sources, rows_per_group, split_counts
-from markforge.operators.sampling import capped_sample, content_key, exact_split
+from markforge.operators.sampling import capped_sample, content_key, exact_split, file_row_id
 from markforge.operators.union import union_sources
 from markforge.sources.readers import load_sources
 from markforge.sources.sinks import write_corpus
@@ -25,18 +25,24 @@ PAIR_KEY = "pair_key"
 
 
 def prepare_source(df: DataFrame, prompt_fields: Sequence[str], markup_fields: Sequence[str],
-                   cfg: CorpusConfig, keys: Sequence[str] = (), keep: Sequence[str] = ()) -> DataFrame:
+                   cfg: CorpusConfig, keys: Sequence[str] = (), keep: Sequence[str] = (),
+                   tie_breaker: Column | None = None) -> DataFrame:
     """Cap (before normalising, as the reference does), normalise, drop empties.
 
     Without ``keys`` the cap ranks rows by the content of their candidate
-    fields (rows repeat, so the cap uses stored row ids as tie-breakers).
+    fields. Equal contents repeat, so ties are broken by ``tie_breaker``
+    (:func:`file_row_id` for a Parquet scan: only the order keys are
+    staged), else by stored row ids, for which the source is first narrowed
+    to the fields normalisation reads.
     """
     if keys:
         capped = capped_sample(df, cfg.max_per_source, list(keys), salt=f"cap:{cfg.seed}:")
     else:
         fields = [c for c in dict.fromkeys([*prompt_fields, *markup_fields]) if c in df.columns]
-        capped = capped_sample(df, cfg.max_per_source, [content_key(fields or df.columns)],
-                               salt=f"cap:{cfg.seed}:", unique=False)
+        narrow = df.select(*dict.fromkeys([*keep, *fields])) if fields else df
+        capped = capped_sample(narrow, cfg.max_per_source, [content_key(fields or df.columns)],
+                               salt=f"cap:{cfg.seed}:", unique=False, tie_breaker=tie_breaker,
+                               stage=tie_breaker is not None)
     return normalize_pairs(capped, prompt_fields, markup_fields, cfg.root_tag, keep=keep)
 
 
@@ -84,7 +90,9 @@ def corpus_job(spark: SparkSession, specs: Sequence[SourceSpec], cfg: CorpusConf
     """
     def prepare(df, spec):
         keys = [k for k in spec.key_fields if k in df.columns]
-        return prepare_source(df, spec.prompt_fields, spec.markup_fields, cfg, keys)
+        # A Parquet file source has a stable row identity; others stage row ids.
+        tie = file_row_id() if spec.table is None and spec.format == "parquet" else None
+        return prepare_source(df, spec.prompt_fields, spec.markup_fields, cfg, keys, tie_breaker=tie)
 
     loaded, skipped, counts = load_sources(spark, specs, prepare, verify=verify)
     require_sources(loaded)

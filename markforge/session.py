@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Configuration a corpus job wants regardless of cluster size.
 RECOMMENDED_CONF = {
@@ -71,6 +72,23 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+# Largest driver-built lookup table (one row per file) that is broadcast.
+DEFAULT_BROADCAST_MAX_ROWS = 50_000
+
+
+def broadcast_if_small(small: DataFrame, n_rows: int) -> DataFrame:
+    """Broadcast hint for a table of ``n_rows`` rows built on the driver
+    (file ranks, per-file offsets), given only when the count is within
+    ``markforge.broadcast.maxRows`` (default 50,000 rows, a few MB of
+    paths). Beyond that the hint is dropped and the planner joins by
+    shuffle (or AQE picks a broadcast from the measured size); the joined
+    key is a file, so no task receives more than one file's rows per key.
+    """
+    spark = small.sparkSession
+    limit = int(spark.conf.get("markforge.broadcast.maxRows", str(DEFAULT_BROADCAST_MAX_ROWS)))
+    return F.broadcast(small) if n_rows <= limit else small
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin ``df`` over at least ``min_partitions`` tasks (default: the
     cluster's default parallelism) when the scan yields fewer, e.g. a small

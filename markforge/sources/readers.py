@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from markforge.config import NA_SENTINELS, SourceSpec
 from markforge.functions.text import null_sentinels_to_null
 from markforge.operators.sampling import SCHEME
+from markforge.session import broadcast_if_small
 
 log = logging.getLogger(__name__)
 
@@ -66,14 +67,15 @@ def read_test_prompts(spark: SparkSession, path: str, id_col: str = "id", prompt
 
 def with_csv_position(df: DataFrame, out: str = "input_pos") -> DataFrame:
     """File-order position for a multi-line CSV read (one task per file):
-    file rank by path (from the driver's file index, broadcast, one row per
-    file) times 2**33 plus the row's index within its task."""
+    file rank by path (from the driver's file index, one row per file,
+    broadcast within the bound of ``broadcast_if_small``) times 2**33 plus
+    the row's index within its task."""
     spark = df.sparkSession
     files = sorted(re.sub(SCHEME, "", f) for f in df.inputFiles())
     ranks = spark.createDataFrame([(f, i) for i, f in enumerate(files)], "_fp string, _file_rank long")
     x = df.select("*", F.regexp_replace(F.input_file_name(), SCHEME, "").alias("_fp"),
                   F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1)).alias("_row"))
-    x = x.join(F.broadcast(ranks), "_fp", "left")
+    x = x.join(broadcast_if_small(ranks, len(files)), "_fp", "left")
     return x.withColumn(out, F.col("_file_rank") * F.lit(2**33) + F.col("_row")).drop("_fp", "_row", "_file_rank")
 
 

@@ -114,3 +114,80 @@ def test_seeded_shuffle_with_split_files(spark, docs):
     finally:
         spark.conf.unset("spark.sql.files.maxRecordsPerFile")
     assert got == {i: r + 1 for r, i in enumerate(brute_order(ids, "sh:"))}
+
+
+@pytest.fixture(scope="module")
+def hot_parquet(spark):
+    """Parquet in several files where a third of all rows carry one content
+    (a hot, repeating key) and the rest repeat in pairs."""
+    import tempfile
+
+    path = tempfile.mkdtemp(prefix="mf-hot-") + "/t"
+    d = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    rows = d.select(F.when(F.col("doc_id") % 3 == 0, F.lit("hot")).otherwise((F.col("doc_id") % 60).cast("string"))
+                    .alias("prompt"), F.lit("<svg/>").alias("svg"))
+    rows.repartition(4).write.parquet(path)
+    return path
+
+
+def test_cap_with_file_row_ids_is_exact(spark, hot_parquet):
+    from markforge.operators.sampling import content_key, file_row_id, long_order
+
+    src = spark.read.parquet(hot_parquet)
+    n = src.count()
+    for k in (1, 7, n // 3, n // 2, n - 1):
+        got = capped_sample(src, k, [content_key(["prompt", "svg"])], salt="cap:", unique=False,
+                            tie_breaker=file_row_id(), stage=True)
+        ids = got.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("r"))
+        ids = sorted(map(tuple, ids.collect()))
+        # brute force: a plain global sort by the same total order
+        order = F.concat(salted_hash("cap:", [content_key(["prompt", "svg"])]),
+                         F.md5(F.col("_metadata.file_path")), long_order(F.col("_metadata.row_index")))
+        want = src.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("r"),
+                          order.alias("o")).orderBy("o").limit(k).select("f", "r")
+        assert ids == sorted(map(tuple, want.collect()))
+
+
+def test_file_row_ids_ignore_split_size(spark, hot_parquet):
+    from markforge.operators.sampling import content_key, file_row_id
+
+    def kept():
+        src = spark.read.parquet(hot_parquet)
+        got = exact_split(src, [content_key(["prompt", "svg"])], 0.5, unique=False, tie_breaker=file_row_id())
+        return sorted(map(tuple, got.select(F.col("_metadata.file_path"), F.col("_metadata.row_index"), "split")
+                          .collect()))
+
+    a = kept()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
+    try:
+        b = kept()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert a == b
+    assert sum(1 for *_, s in a if s == "eval") == math.ceil(len(a) * 0.5)
+
+
+def test_broadcast_bound_falls_back_to_shuffle_join(spark, docs):
+    ids = [r[0] for r in docs.collect()]
+    spark.conf.set("markforge.broadcast.maxRows", "0")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        res = seeded_shuffle(docs, ["doc_id"], salt="sh:", partitions=3)
+        import contextlib
+        import io
+
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            res.explain()
+        plan = buf.getvalue()
+        got = dict(res.select("doc_id", "shuffle_rank").collect())
+        pos = with_input_position(spark.read.parquet(f"{SF}/documents.parquet"))
+        n_pos = pos.select("input_pos").distinct().count()
+    finally:
+        for k in ("markforge.broadcast.maxRows", "spark.sql.autoBroadcastJoinThreshold",
+                  "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.unset(k)
+    assert "Broadcast" not in plan
+    assert got == {i: r + 1 for r, i in enumerate(brute_order(ids, "sh:"))}
+    assert n_pos == len(ids)
