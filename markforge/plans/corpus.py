@@ -19,6 +19,7 @@ from markforge.operators.report import require_sources, rows_per_group, split_co
 from markforge.operators.sampling import capped_sample, content_key, exact_split, file_row_id
 from markforge.operators.union import union_sources
 from markforge.sources.readers import load_sources
+from markforge.session import materialize
 from markforge.sources.sinks import write_corpus
 
 PAIR_KEY = "pair_key"
@@ -64,16 +65,29 @@ def sft_corpus(sources: Sequence[tuple[str, DataFrame]], cfg: CorpusConfig, key:
 
     ``key`` names a unique id column carried through normalisation; without
     one (training pairs carry no id) rows are keyed by the md5 of the
-    normalised pair and equal pairs are told apart by stored row ids.
+    normalised pair and equal pairs are told apart by their row identity.
     The caller filters ``kept`` for the training table, or reports entered /
     kept per split from the same frame (one pass).
+
+    With ``stage`` (the default) the pairs that pass the structural budget
+    are written once to the checkpoint folder: the sources are read and
+    normalised once, the cut's histograms read only the key column of the
+    staged table, repeated keys are told apart by the staged files' row
+    identity (no second staging), and a lost executor re-reads files.
     """
     pairs = union_sources(sources)
     fit = pairs.where(within_structure("svg", cfg.budget))
     if key is None:
         fit = fit.withColumn(PAIR_KEY, content_key(["prompt", "svg"]))
         key, unique_key = PAIR_KEY, False
-    split = exact_split(fit, [key], cfg.eval_share, salt=f"split:{cfg.seed}:", unique=unique_key, stage=stage)
+    salt = f"split:{cfg.seed}:"
+    if stage:
+        fit = materialize(fit, "corpus-fit")
+        tie = None if unique_key else file_row_id()
+        split = exact_split(fit, [key], cfg.eval_share, salt=salt, unique=unique_key, stage=False,
+                            tie_breaker=tie)
+    else:
+        split = exact_split(fit, [key], cfg.eval_share, salt=salt, unique=unique_key, stage=False)
     return render_and_budget(split, cfg, counter)
 
 

@@ -2,7 +2,8 @@
 
 Amplifies ``documents`` by ``copies`` (each copy a distinct id) and makes one
 key hold a third of all rows, then times an exact split with unique ids, an
-exact split keyed by the hot, repeating key, and a seeded shuffle; checks the
+exact split keyed by the hot, repeating key (ties broken by stored row ids,
+then by Parquet file row ids), and a forced multi-round cut; checks the
 counts exactly.
 
     python tools/stress.py [sf_dir] [copies]
@@ -19,7 +20,13 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from markforge.operators.sampling import exact_split, rank_cut, salted_hash, with_order_key  # noqa: E402
+from markforge.operators.sampling import (  # noqa: E402
+    exact_split,
+    file_row_id,
+    rank_cut,
+    salted_hash,
+    with_order_key,
+)
 from markforge.session import local_session, materialize  # noqa: E402
 
 
@@ -48,6 +55,13 @@ def main():
     out["split_hot_key_sec"] = round(time.time() - t0, 2)
     assert ev == math.ceil(n * 0.5), (ev, n)
 
+    # the same split with the Parquet row identity as tie-breaker (no staged rows)
+    t0 = time.time()
+    s = exact_split(big, ["hot"], 0.5, unique=False, tie_breaker=file_row_id())
+    ev = s.where("split = 'eval'").count()
+    out["split_hot_key_file_ids_sec"] = round(time.time() - t0, 2)
+    assert ev == math.ceil(n * 0.5), (ev, n)
+
     # force several narrowing rounds: one hex digit per round, small final bucket
     work = materialize(with_order_key(big, salted_hash("s:", ["hot"]), unique=False), "stress-keys")
     t0 = time.time()
