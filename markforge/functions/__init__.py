@@ -1,6 +1,6 @@
 """Column -> Column scalars (native expressions unless stated otherwise)."""
 
-from markforge.functions.chat import generation_prompt, training_text
+from markforge.functions.chat import completion_text, decoded_prompt, generation_prompt, training_text
 from markforge.functions.markup import (
     block_pattern,
     ends_with_close_tag,
@@ -22,7 +22,8 @@ from markforge.functions.text import (
 from markforge.functions.tokens import TOKEN_PATTERN, count_tokens, generation_budget, truncated_length
 
 __all__ = [
-    "TOKEN_PATTERN", "blank_to_null", "block_pattern", "count_literal", "count_tokens",
+    "TOKEN_PATTERN", "blank_to_null", "block_pattern", "completion_text", "count_literal", "count_tokens",
+    "decoded_prompt",
     "ends_with_close_tag", "extract_last_block", "fallback", "first_non_empty",
     "generation_budget", "generation_prompt", "is_truthy", "is_valid_markup",
     "null_sentinels_to_null", "py_strip", "repair_attributes", "starts_with_ci",

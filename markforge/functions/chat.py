@@ -38,3 +38,21 @@ def training_text(prompt: Column | str, markup: Column | str, system_prompt: str
         F.coalesce(_col(markup), F.lit("")),
         F.lit(IM_END),
     )
+
+
+def decoded_prompt(chat: Column | str) -> Column:
+    """A rendered prompt as a decoder echoes it with special tokens skipped:
+    the chat markers removed (``system\n…\nuser\n…\nassistant\n``)."""
+    return F.replace(F.replace(_col(chat), F.lit(IM_START), F.lit("")), F.lit(IM_END), F.lit(""))
+
+
+def completion_text(raw: Column | str, chat: Column | str) -> Column:
+    """The part of a decoded output after the echoed prompt.
+
+    Decoder-only models return prompt + completion; extracting from the
+    whole text lets markup inside the prompt be captured. When the output
+    does not start with the echoed prompt (a generator that returns the
+    completion only, or a detokeniser that alters spacing) it is kept whole.
+    """
+    raw, echo = _col(raw), decoded_prompt(chat)
+    return F.when(F.startswith(raw, echo), F.right(raw, F.length(raw) - F.length(echo))).otherwise(raw)

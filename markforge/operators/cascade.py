@@ -13,12 +13,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from markforge.config import DEFAULT_ROUNDS, FALLBACK_SVG, RoundSpec
-from markforge.functions.chat import generation_prompt
+from markforge.functions.chat import completion_text, generation_prompt
 from markforge.functions.markup import extract_last_block, is_valid_markup, repair_attributes
 from markforge.functions.text import evaluate_once
 from markforge.functions.tokens import count_tokens, generation_budget
@@ -29,7 +29,7 @@ from markforge.session import materialize
 Generator = Callable[[pd.DataFrame, RoundSpec], Sequence[str]]
 
 
-def postprocess(raw_col: str = "raw", tag: str = "svg", renames: dict | None = None):
+def postprocess(raw_col: str | Column = "raw", tag: str = "svg", renames: dict | None = None):
     """Decoded text -> last markup block -> attribute repair (Column).
 
     Evaluated in its own projection, so the validity UDF and the output read
@@ -56,13 +56,15 @@ def generation_inputs(df: DataFrame, system_prompt: str, id_col: str = "id", pro
 
 
 def generate_round(inputs: DataFrame, generator: Generator, spec: RoundSpec, round_no: int,
-                   tag: str = "svg", renames: dict | None = None) -> DataFrame:
+                   tag: str = "svg", renames: dict | None = None, completion_only: bool = False) -> DataFrame:
     """One round: budget per row, batch generation in ``mapInPandas``, then
     extraction, repair and validation as columns.
 
     The input columns travel through the generator batch unchanged, so the
     rows a later round retries are read from this round's output: no join
     back to the inputs. Output: input columns + (round, svg, valid).
+    Extraction reads the whole decoded text (prompt included, as the
+    reference does) unless ``completion_only`` drops the echoed prompt.
     """
     cols = inputs.columns
     x = inputs.select(*cols, F.lit(round_no).alias("round"),
@@ -77,13 +79,14 @@ def generate_round(inputs: DataFrame, generator: Generator, spec: RoundSpec, rou
             yield out
 
     raw = x.mapInPandas(_run, out_schema)
-    out = raw.select(*cols, F.lit(round_no).alias("round"), postprocess("raw", tag, renames).alias("svg"))
+    source = completion_text("raw", "chat") if completion_only else F.col("raw")
+    out = raw.select(*cols, F.lit(round_no).alias("round"), postprocess(source, tag, renames).alias("svg"))
     return out.withColumn("valid", is_valid_markup("svg", tag))
 
 
 def cascade(inputs: DataFrame, generator: Generator, rounds: Sequence[RoundSpec] = DEFAULT_ROUNDS,
             tag: str = "svg", fallback_doc: str = FALLBACK_SVG, renames: dict | None = None,
-            stage: bool = True, carry: Sequence[str] = ()) -> DataFrame:
+            stage: bool = True, carry: Sequence[str] = (), completion_only: bool = False) -> DataFrame:
     """N-round generation: round i runs only on ids that failed rounds < i;
     ids failing every round get the fallback.
 
@@ -97,7 +100,7 @@ def cascade(inputs: DataFrame, generator: Generator, rounds: Sequence[RoundSpec]
     pending = inputs
     winners = []
     for i, spec in enumerate(rounds, start=1):
-        res = generate_round(pending, generator, spec, i, tag, renames)
+        res = generate_round(pending, generator, spec, i, tag, renames, completion_only)
         res = materialize(res, f"gen-round{i}") if stage else res
         winners.append(res.where("valid").select(*carry, "id", "svg", F.lit(False).alias("used_fallback"),
                                                  F.col("round").alias("won_round")))

@@ -87,3 +87,27 @@ def test_generator_sees_round_knobs(spark):
     res = cascade(generation_inputs(df, "S"), gen, rounds)
     assert res.where("used_fallback").count() == 4
     assert abs(seen.value - (0.5 * 4 + 1.0 * 4)) < 1e-9
+
+
+def test_completion_only_ignores_markup_in_prompt(spark):
+    # The decoded text echoes the prompt (markers skipped). By default the
+    # lazy pattern can start at a tag inside the prompt, as in the
+    # reference; completion_only extracts from the completion alone.
+    from markforge.config import ONE_ROUND
+
+    prompts = [(1, "draw <svg> text"), (2, "<svg><g/></svg> like this"), (3, "plain")]
+    completions = {1: "<svg><path/></svg>", 2: "sorry, no markup", 3: "<svg><rect/></svg>"}
+
+    def gen(pdf, spec):
+        return [f"system\nS\nuser\n{p}\nassistant\n{completions[int(i)]}" for i, p in zip(pdf["id"], pdf["prompt"])]
+
+    df = spark.createDataFrame(prompts, "id long, prompt string")
+    whole = {r.id: r for r in cascade(generation_inputs(df, "S"), gen, ONE_ROUND).collect()}
+    only = {r.id: r for r in cascade(generation_inputs(df, "S"), gen, ONE_ROUND, completion_only=True).collect()}
+    # id 1: the block starts at the prompt's <svg> and swallows the echo -> invalid
+    assert whole[1].used_fallback and whole[1].svg == FALLBACK_SVG
+    assert only[1].svg == "<svg><path/></svg>" and not only[1].used_fallback
+    # id 2: the prompt's own markup is taken by default, nothing with completion_only
+    assert whole[2].svg == "<svg><g/></svg>" and not whole[2].used_fallback
+    assert only[2].used_fallback and only[2].svg == FALLBACK_SVG
+    assert whole[3].svg == only[3].svg == "<svg><rect/></svg>"
