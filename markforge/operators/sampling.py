@@ -162,11 +162,11 @@ def rank_cut(df: DataFrame, k: int | Callable[[int], int], key: str = ORDER_KEY,
 def _cut_source(work: DataFrame, unique: bool, stage: bool, name: str) -> tuple[DataFrame, DataFrame]:
     """(frame to label, frame to cut on).
 
-    Unique keys: the order key is a pure function of the row, so the cut is
-    computed on a staged one-column table (the histogram passes read 32
-    bytes per row) and the label is applied to the recomputed input.
-    Non-unique keys: row ids are only stable on stored rows, so the keyed
-    input itself is staged and labelled.
+    Total orders (unique keys, or a tie-breaker): the order key is a pure
+    function of the row, so the cut is computed on the input itself or, with
+    ``stage``, on a staged one-column key table, and the label is applied to
+    the recomputed input. Otherwise row ids are only stable on stored rows,
+    so the keyed input itself is staged and labelled.
     """
     if not unique:
         stored = materialize(work, name)
@@ -178,7 +178,7 @@ def _cut_source(work: DataFrame, unique: bool, stage: bool, name: str) -> tuple[
 
 def exact_split(df: DataFrame, keys: Sequence[str | Column], eval_share: float = 0.5,
                 salt: str = "split:", unique: bool = True, out: str = "split",
-                labels: tuple[str, str] = ("train", "eval"), stage: bool = True,
+                labels: tuple[str, str] = ("train", "eval"), stage: bool = False,
                 tie_breaker: Column | None = None) -> DataFrame:
     """Seeded exact train/eval split: ``eval`` gets ``ceil(n * share)`` rows.
 
@@ -190,6 +190,13 @@ def exact_split(df: DataFrame, keys: Sequence[str | Column], eval_share: float =
     cheaper, the given ``tie_breaker`` column (e.g. :func:`file_row_id`).
     The input must be deterministic (a scan plus native expressions); stage
     a nondeterministic input first.
+
+    The cut reads the order key two to four times (histograms, boundary,
+    labels). By default it is recomputed each time, which for a key of a few
+    pruned columns costs less than writing and re-reading a 32-digit key
+    (10M ids, local[8]: 5.6 s recomputed vs 7.0 s staged). ``stage=True``
+    writes the keys once instead; use it when the input plan is expensive
+    (whole-text normalisation, joins), or stage the input itself.
     """
     total = unique or tie_breaker is not None
     work = with_order_key(df, salted_hash(salt, keys), unique, tie_breaker)
