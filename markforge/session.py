@@ -16,6 +16,9 @@ RECOMMENDED_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Markup rows can be large; keep Arrow batches modest for Python operators.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    # ... and bounded in bytes too: prompts are whole documents (a 2,000-row
+    # batch of 100 KB texts would be 200 MB per Python worker).
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
 }
