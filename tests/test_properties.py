@@ -44,3 +44,68 @@ def test_extraction_agrees_with_python(spark, texts):
         m = SVG_RE.findall(t)
         exp.append(m[-1].strip() if m else "")
     assert got == exp
+
+
+REPAIR_ALPHABET = st.sampled_from(["filling", "FiLLing", "data-", "é", "_", " ", " ", "\n", "=", '"', "'",
+                                   "evenodd", "x", "<path ", "/>", "fill-rule"])
+REPAIR_TEXTS = st.lists(st.lists(REPAIR_ALPHABET, max_size=30).map("".join), min_size=1, max_size=60)
+
+
+@SLOW
+@given(texts=REPAIR_TEXTS)
+def test_attribute_repair_agrees_with_python(spark, texts):
+    from markforge.functions.markup import repair_attributes
+
+    got = [r[0] for r in _frame(spark, texts).select(repair_attributes("t")).collect()]
+    exp = [re.sub(r'\bfilling\s*=\s*"([^"]*)"', r'fill-rule="\1"', t, flags=re.IGNORECASE).strip() for t in texts]
+    assert got == exp
+
+
+GATE_ALPHABET = st.sampled_from(["<", "s", "S", "v", "V", "g", "G", "ſ", "İ", "K", " ", "x", "<svg", "<SVG"])
+GATE_TEXTS = st.lists(st.lists(GATE_ALPHABET, max_size=8).map("".join), min_size=1, max_size=80)
+
+
+@SLOW
+@given(texts=GATE_TEXTS)
+def test_prefix_gate_agrees_with_python_lower(spark, texts):
+    from markforge.functions.text import starts_with_ci
+
+    got = [r[0] for r in _frame(spark, texts).select(starts_with_ci("t", "<svg")).collect()]
+    assert got == [t.lower().startswith("<svg") for t in texts]
+
+
+CELL = st.one_of(st.none(), st.sampled_from(["", " ", "\n\t", "　", "a", " b ", " c "]))
+
+
+@SLOW
+@given(rows=st.lists(st.tuples(CELL, CELL, CELL), min_size=1, max_size=40))
+def test_first_non_empty_agrees_with_python(spark, rows):
+    from markforge.functions.text import first_non_empty
+
+    df = spark.createDataFrame(rows, "a string, b string, c string")
+    got = [r[0] for r in df.select(first_non_empty(df.columns, ["missing", "a", "b", "c"])).collect()]
+
+    def pick(row):
+        for v in row:  # field present, not None, non-blank after str() + strip()
+            if v is not None and str(v).strip():
+                return str(v).strip()
+        return ""
+
+    assert got == [pick(r) for r in rows]
+
+
+XML_PARTS = st.sampled_from(["<svg>", "</svg>", "<svg/>", "<SVG>", "</SVG>", "<g>", "</g>", "<g/>", " ", "&amp;",
+                             "&nbsp;", "<?xml version=\"1.0\"?>", "<!-- c -->", "x", "<s:svg xmlns:s=\"u\">",
+                             "</s:svg>", "<mysvg>", "</mysvg>", "\n"])
+XML_TEXTS = st.lists(st.lists(XML_PARTS, max_size=6).map("".join), min_size=1, max_size=60)
+
+
+@SLOW
+@given(texts=XML_TEXTS)
+def test_validity_prefilter_only_skips_invalid_rows(spark, texts):
+    from markforge.functions.markup import is_valid_markup, valid_markup_py
+
+    df = _frame(spark, texts)
+    rows = df.select(is_valid_markup("t", "svg", "strict"), is_valid_markup("t", "svg", "suffix")).collect()
+    assert [tuple(r) for r in rows] == [(valid_markup_py(t, "svg", "strict"), valid_markup_py(t, "svg", "suffix"))
+                                        for t in texts]
