@@ -26,6 +26,9 @@ from markforge.session import materialize
 
 # A generator maps a pandas batch with columns (id, prompt, chat, round,
 # max_new_tokens) and the round's knobs to the decoded text of each row.
+# A zero-argument factory marked ``is_factory = True`` that returns such a
+# function is called once per task, so a model is loaded once per task and
+# not once per Arrow batch.
 Generator = Callable[[pd.DataFrame, RoundSpec], Sequence[str]]
 
 
@@ -71,9 +74,12 @@ def generate_round(inputs: DataFrame, generator: Generator, spec: RoundSpec, rou
                       generation_budget("n_input", spec.max_cap).alias("max_new_tokens"))
     out_schema = StructType([*inputs.schema.fields, StructField("raw", StringType())])
 
+    is_factory = getattr(generator, "is_factory", False)
+
     def _run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        generate = generator() if is_factory else generator
         for pdf in batches:
-            texts = list(generator(pdf, spec)) if len(pdf) else []
+            texts = list(generate(pdf, spec)) if len(pdf) else []
             out = pdf[cols].copy()
             out["raw"] = pd.Series(texts, index=pdf.index, dtype=object)
             yield out

@@ -111,3 +111,22 @@ def test_completion_only_ignores_markup_in_prompt(spark):
     assert whole[2].svg == "<svg><g/></svg>" and not whole[2].used_fallback
     assert only[2].used_fallback and only[2].svg == FALLBACK_SVG
     assert whole[3].svg == only[3].svg == "<svg><rect/></svg>"
+
+
+def test_generator_factory_is_built_once_per_task(spark):
+    built = spark.sparkContext.accumulator(0)
+
+    def factory():
+        built.add(1)
+        return lambda pdf, spec: ["<svg><g/></svg>"] * len(pdf)
+
+    factory.is_factory = True
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        df = spark.range(40).repartition(2).select(F.col("id"), F.lit("p").alias("prompt"))
+        res = cascade(generation_inputs(df, "S"), factory, ONE_ROUND)
+        rows = res.collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    assert len(rows) == 40 and not any(r.used_fallback for r in rows)
+    assert built.value <= 2  # one per task, not one per 3-row batch
