@@ -22,7 +22,7 @@ from markforge.functions.chat import completion_text, generation_prompt
 from markforge.functions.markup import extract_last_block, is_valid_markup, repair_attributes
 from markforge.functions.text import evaluate_once
 from markforge.functions.tokens import count_tokens, generation_budget
-from markforge.session import materialize
+from markforge.session import materialize, spread
 
 # A generator maps a pandas batch with columns (id, prompt, chat, round,
 # max_new_tokens) and the round's knobs to the decoded text of each row.
@@ -92,7 +92,8 @@ def generate_round(inputs: DataFrame, generator: Generator, spec: RoundSpec, rou
 
 def cascade(inputs: DataFrame, generator: Generator, rounds: Sequence[RoundSpec] = DEFAULT_ROUNDS,
             tag: str = "svg", fallback_doc: str = FALLBACK_SVG, renames: dict | None = None,
-            stage: bool = True, carry: Sequence[str] = (), completion_only: bool = False) -> DataFrame:
+            stage: bool = True, carry: Sequence[str] = (), completion_only: bool = False,
+            partitions: int | None = None) -> DataFrame:
     """N-round generation: round i runs only on ids that failed rounds < i;
     ids failing every round get the fallback.
 
@@ -101,9 +102,14 @@ def cascade(inputs: DataFrame, generator: Generator, rounds: Sequence[RoundSpec]
     its failures, so the rows retried are exactly the rows that failed, even
     if an executor is lost. Winners of different rounds are disjoint, so the
     result is a plain union: no join, no grouping, no shuffle.
+
+    Generation dominates the cost, so inputs arriving in fewer partitions
+    than ``partitions`` (default: the cluster's parallelism) are first
+    spread round-robin; a multi-line CSV of test prompts is one task per
+    file and would otherwise generate every row in one task.
     """
     cols = inputs.columns
-    pending = inputs
+    pending = spread(inputs, partitions)
     winners = []
     for i, spec in enumerate(rounds, start=1):
         res = generate_round(pending, generator, spec, i, tag, renames, completion_only)

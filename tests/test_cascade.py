@@ -124,9 +124,23 @@ def test_generator_factory_is_built_once_per_task(spark):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
     try:
         df = spark.range(40).repartition(2).select(F.col("id"), F.lit("p").alias("prompt"))
-        res = cascade(generation_inputs(df, "S"), factory, ONE_ROUND)
+        res = cascade(generation_inputs(df, "S"), factory, ONE_ROUND, partitions=2)
         rows = res.collect()
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     assert len(rows) == 40 and not any(r.used_fallback for r in rows)
     assert built.value <= 2  # one per task, not one per 3-row batch
+
+
+def test_cascade_spreads_a_single_partition_input(spark):
+    tasks = spark.sparkContext.accumulator(0)
+
+    def factory():
+        tasks.add(1)
+        return lambda pdf, spec: ["<svg><g/></svg>"] * len(pdf)
+
+    factory.is_factory = True
+    df = spark.range(64).coalesce(1).select(F.col("id"), F.lit("p").alias("prompt"))
+    rows = cascade(generation_inputs(df, "S"), factory, ONE_ROUND, partitions=4).collect()
+    assert sorted(r.id for r in rows) == list(range(64))
+    assert tasks.value == 4  # the generator ran in four tasks, not one
