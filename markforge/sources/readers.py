@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from markforge.config import NA_SENTINELS, SourceSpec
 from markforge.functions.text import null_sentinels_to_null
 from markforge.operators.sampling import SCHEME
-from markforge.session import broadcast_if_small
+from markforge.session import broadcast_if_small, spread
 
 log = logging.getLogger(__name__)
 
@@ -95,7 +95,9 @@ def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
         path = spec.path.format(split=spec.split) if "{split}" in spec.path else spec.path
         if spec.format == "csv":
             cols = list(dict.fromkeys([*spec.key_fields, *spec.prompt_fields, *spec.markup_fields]))
-            df = read_csv_text(spark, path, spec.options.get("columns", cols))
+            # A multi-line CSV is one task per file: spread a few large files
+            # over the cluster before the per-row work (no-op with many files).
+            df = spread(read_csv_text(spark, path, spec.options.get("columns", cols)))
         else:
             df = spark.read.format(spec.format).options(**spec.options).load(path)
     if spec.split is not None and spec.split_column in df.columns:
