@@ -16,7 +16,7 @@ from markforge.functions.tokens import count_tokens
 from markforge.operators.budgets import within_structure
 from markforge.operators.normalize import normalize_pairs
 from markforge.operators.report import require_sources, rows_per_group, split_counts
-from markforge.operators.sampling import capped_sample, content_key, exact_split, file_row_id
+from markforge.operators.sampling import capped_sample, content_key, exact_split, file_row_id, salted_hash
 from markforge.operators.union import union_sources
 from markforge.sources.readers import load_sources
 from markforge.session import materialize
@@ -92,13 +92,14 @@ def sft_corpus(sources: Sequence[tuple[str, DataFrame]], cfg: CorpusConfig, key:
 
 
 def corpus_job(spark: SparkSession, specs: Sequence[SourceSpec], cfg: CorpusConfig, out_path: str | None = None,
-               counter: Callable[[str], int] | None = None, verify: str = "schema"):
+               counter: Callable[[str], int] | None = None, verify: str = "schema", shuffle: bool = True):
     """The whole preparation run over a source catalog.
 
     Loads every source with failure isolation (a bad source is skipped and
     reported; none loaded is an error), caps and normalises each, then builds
     the corpus. Writes the kept rows partitioned by split when ``out_path`` is
-    given. Returns ``(corpus, report)`` where ``report`` holds the skipped
+    given, in a seeded shuffled order (``md5('shuffle:<seed>:' || pair key)``)
+    unless ``shuffle`` is off. Returns ``(corpus, report)`` where ``report`` holds the skipped
     sources and, computed from the written table (or lazily), usable rows
     per source and entered / kept rows per split.
     """
@@ -113,7 +114,12 @@ def corpus_job(spark: SparkSession, specs: Sequence[SourceSpec], cfg: CorpusConf
     corpus = sft_corpus(loaded, cfg, key=None, counter=counter)
     report = {"skipped": skipped, "usable_per_source": counts}
     if out_path:
-        write_corpus(corpus.where("kept").select("source_name", "split", "text", "n_tokens"), out_path)
+        cols = ["source_name", "split", "text", "n_tokens"]
+        if shuffle:
+            order = salted_hash(f"shuffle:{cfg.seed}:", [PAIR_KEY]).alias("_order")
+            write_corpus(corpus.where("kept").select(*cols, order), out_path, order_col="_order")
+        else:
+            write_corpus(corpus.where("kept").select(*cols), out_path)
     report["per_source"] = rows_per_group(corpus, "source_name")
     report["per_split"] = split_counts(corpus)
     return corpus, report

@@ -26,6 +26,18 @@ def write_submission(result: DataFrame, path: str, order_by: str | None = "id",
     write_csv(result.select("id", "svg"), path, order_by=order_by, single_file=single_file)
 
 
-def write_corpus(df: DataFrame, path: str, split_col: str = "split", mode: str = "overwrite") -> None:
-    """Prepared training text partitioned by split (train / eval folders)."""
+def write_corpus(df: DataFrame, path: str, split_col: str = "split", mode: str = "overwrite",
+                 order_col: str | None = None, partitions: int | None = None) -> None:
+    """Prepared training text partitioned by split (train / eval folders).
+
+    With ``order_col`` (e.g. a salted hash: a seeded shuffle) the rows are
+    range-partitioned on it and sorted by (split, order) inside each task:
+    that sort already satisfies the writer's ordering by the partition
+    column, so no second sort is added, and each split's files, read in name
+    order, hold the rows in that order. The order column is not written.
+    """
+    if order_col is not None:
+        ranged = (df.repartitionByRange(partitions, order_col) if partitions
+                  else df.repartitionByRange(order_col))
+        df = ranged.sortWithinPartitions(split_col, order_col).drop(order_col)
     df.write.mode(mode).partitionBy(split_col).parquet(path)

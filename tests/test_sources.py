@@ -1,3 +1,4 @@
+import hashlib
 import csv
 import os
 import tempfile
@@ -88,3 +89,26 @@ def test_read_source_split_and_table(spark):
     df.write.partitionBy("split").parquet(d + "/t")
     got = read_source(spark, SourceSpec("s", path=d + "/t", split="train")).collect()
     assert [r.prompt for r in got] == ["p"]
+
+
+def test_write_corpus_in_seeded_order(spark):
+    import glob
+    import os
+    import tempfile
+
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    from markforge.operators.sampling import salted_hash
+    from markforge.sources.sinks import write_corpus
+
+    d = spark.range(500).select(F.col("id"), F.when(F.col("id") % 4 == 0, "eval").otherwise("train").alias("split"))
+    out = tempfile.mkdtemp(prefix="mf-order-") + "/c"
+    write_corpus(d.withColumn("_o", salted_hash("shuffle:", ["id"])), out, order_col="_o", partitions=5)
+    for split in ("train", "eval"):
+        files = sorted(glob.glob(os.path.join(out, f"split={split}", "*.parquet")))
+        assert len(files) > 1
+        got = [i for f in files for i in pq.read_table(f).column("id").to_pylist()]
+        ids = [i for i in range(500) if (i % 4 == 0) == (split == "eval")]
+        assert got == sorted(ids, key=lambda i: hashlib.md5(f"shuffle:{i}".encode()).hexdigest())
+    assert "_o" not in spark.read.parquet(out).columns
