@@ -16,7 +16,15 @@ from markforge.functions.tokens import count_tokens
 from markforge.operators.budgets import within_structure
 from markforge.operators.normalize import normalize_pairs
 from markforge.operators.report import require_sources, rows_per_group, split_counts
-from markforge.operators.sampling import capped_sample, content_key, exact_split, file_row_id, salted_hash
+from markforge.operators.sampling import (
+    capped_sample,
+    content_key,
+    exact_split,
+    file_row_id,
+    head_cap,
+    long_order,
+    salted_hash,
+)
 from markforge.operators.union import union_sources
 from markforge.sources.readers import load_sources
 from markforge.session import materialize
@@ -27,20 +35,29 @@ PAIR_KEY = "pair_key"
 
 def prepare_source(df: DataFrame, prompt_fields: Sequence[str], markup_fields: Sequence[str],
                    cfg: CorpusConfig, keys: Sequence[str] = (), keep: Sequence[str] = (),
-                   tie_breaker: Column | None = None) -> DataFrame:
+                   tie_breaker: Column | None = None, position_col: str = "input_pos") -> DataFrame:
     """Cap (before normalising, as the reference does), normalise, drop empties.
 
-    Without ``keys`` the cap ranks rows by the content of their candidate
+    ``cfg.head_per_source`` first keeps the first rows in file order, read
+    from ``position_col`` (``read_source(with_position=True)``). Without
+    ``keys`` the seeded cap ranks rows by the content of their candidate
     fields. Equal contents repeat, so ties are broken by ``tie_breaker``
-    (:func:`file_row_id` for a Parquet scan: only the order keys are
-    staged), else by stored row ids, for which the source is first narrowed
-    to the fields normalisation reads.
+    (:func:`file_row_id` for a Parquet scan, or the file-order position:
+    only the order keys are staged), else by stored row ids, for which the
+    source is first narrowed to the fields normalisation reads.
     """
+    extra = []
+    if cfg.head_per_source:
+        if position_col not in df.columns:
+            raise ValueError(f"a head cap needs the file-order position column {position_col!r}")
+        df = head_cap(df, cfg.head_per_source, position_col)
+        # the position is a stable, unique row identity (file rank, row)
+        tie_breaker, extra = long_order(position_col), [position_col]
     if keys:
         capped = capped_sample(df, cfg.max_per_source, list(keys), salt=f"cap:{cfg.seed}:")
     else:
         fields = [c for c in dict.fromkeys([*prompt_fields, *markup_fields]) if c in df.columns]
-        narrow = df.select(*dict.fromkeys([*keep, *fields])) if fields else df
+        narrow = df.select(*dict.fromkeys([*keep, *fields, *extra])) if fields else df
         capped = capped_sample(narrow, cfg.max_per_source, [content_key(fields or df.columns)],
                                salt=f"cap:{cfg.seed}:", unique=False, tie_breaker=tie_breaker,
                                stage=tie_breaker is not None)
@@ -109,7 +126,8 @@ def corpus_job(spark: SparkSession, specs: Sequence[SourceSpec], cfg: CorpusConf
         tie = file_row_id() if spec.table is None and spec.format == "parquet" else None
         return prepare_source(df, spec.prompt_fields, spec.markup_fields, cfg, keys, tie_breaker=tie)
 
-    loaded, skipped, counts = load_sources(spark, specs, prepare, verify=verify)
+    loaded, skipped, counts = load_sources(spark, specs, prepare, verify=verify,
+                                           with_position=bool(cfg.head_per_source))
     require_sources(loaded)
     corpus = sft_corpus(loaded, cfg, key=None, counter=counter)
     report = {"skipped": skipped, "usable_per_source": counts}

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from markforge.config import NA_SENTINELS, SourceSpec
 from markforge.functions.text import null_sentinels_to_null
-from markforge.operators.sampling import SCHEME
+from markforge.operators.sampling import SCHEME, with_input_position
 from markforge.session import broadcast_if_small, spread
 
 log = logging.getLogger(__name__)
@@ -84,40 +84,53 @@ def csv_to_parquet(df: DataFrame, path: str, partitions: int | None = None) -> N
     (df.repartition(partitions) if partitions else df).write.mode("overwrite").parquet(path)
 
 
-def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
+def read_source(spark: SparkSession, spec: SourceSpec, with_position: bool = False) -> DataFrame:
     """Read one catalog source. ``path`` may contain ``{split}``; the split
-    column, if present, is filtered (partition pruning when partitioned)."""
+    column, if present, is filtered (partition pruning when partitioned).
+
+    ``with_position`` adds ``input_pos``, the row's place in file order,
+    captured right at the scan (CSV, or Parquet files / tables)."""
     if spec.table:
         df = spark.table(spec.table)
+        if with_position:
+            df = with_input_position(df)
     else:
         if spec.path is None:
             raise ValueError(f"source {spec.name}: no path or table")
         path = spec.path.format(split=spec.split) if "{split}" in spec.path else spec.path
         if spec.format == "csv":
             cols = list(dict.fromkeys([*spec.key_fields, *spec.prompt_fields, *spec.markup_fields]))
+            raw = read_csv_text(spark, path, spec.options.get("columns", cols))
             # A multi-line CSV is one task per file: spread a few large files
             # over the cluster before the per-row work (no-op with many files).
-            df = spread(read_csv_text(spark, path, spec.options.get("columns", cols)))
+            df = spread(with_csv_position(raw) if with_position else raw)
         else:
             df = spark.read.format(spec.format).options(**spec.options).load(path)
+            if with_position:
+                if spec.format != "parquet":
+                    raise ValueError(f"source {spec.name}: file order needs csv or parquet, not {spec.format}")
+                df = with_input_position(df)
     if spec.split is not None and spec.split_column in df.columns:
         df = df.where(F.col(spec.split_column) == F.lit(spec.split))
     return df
 
 
-def load_sources(spark: SparkSession, specs: Sequence[SourceSpec], prepare, verify: str = "schema"):
+def load_sources(spark: SparkSession, specs: Sequence[SourceSpec], prepare, verify: str = "schema",
+                 with_position: bool = False):
     """Load and prepare every source, skipping (and logging) those that fail.
 
     ``prepare(df, spec) -> DataFrame`` normalises one source. ``verify``:
     ``"schema"`` only resolves the plan (no job; missing paths and bad
     schemas are caught), ``"count"`` also runs the per-source usable-row
     count, as the reference does, which catches corrupt content at the cost
-    of one pass per source. Returns ``(loaded, skipped, counts)``.
+    of one pass per source. ``with_position`` reads each source with its
+    file-order position (see :func:`read_source`). Returns
+    ``(loaded, skipped, counts)``.
     """
     loaded, skipped, counts = [], [], {}
     for spec in specs:
         try:
-            df = prepare(read_source(spark, spec), spec)
+            df = prepare(read_source(spark, spec, with_position), spec)
             df.schema  # resolves the plan
             if verify == "count":
                 counts[spec.name] = df.count()

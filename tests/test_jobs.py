@@ -86,3 +86,59 @@ def test_idless_parquet_cap_file_ids_equal_stored_ids(spark):
     rows_a = sorted(map(tuple, a.collect()))
     assert rows_a == sorted(map(tuple, b.collect()))
     assert rows_a == sorted(map(tuple, a.collect()))  # recomputation gives the same rows
+
+
+def test_corpus_job_head_cap_in_file_order(spark):
+    # The earlier variant: first n rows of the file (before normalising), no
+    # seeded cap, 2% eval share.
+    d = tempfile.mkdtemp(prefix="mf-head-")
+    src = fx.svg_pairs(spark, SF).select("caption", "svg_code").toPandas()
+    src = src.rename(columns={"caption": "prompt", "svg_code": "svg"}).sample(frac=1.0, random_state=5)
+    src.to_csv(os.path.join(d, "train.csv"), index=False)
+    cfg = CorpusConfig(system_prompt="S", max_per_source=None, head_per_source=60, eval_share=0.02,
+                       budget=StructuralBudget(max_len=None, max_counts=()), max_tokens=10**6)
+    spec = SourceSpec("train_csv", path=os.path.join(d, "train.csv"), format="csv", split=None)
+    corpus, _ = corpus_job(spark, [spec], cfg)
+    got = sorted((r.prompt, r.svg) for r in corpus.collect())
+
+    def norm(v):
+        return "" if not isinstance(v, str) else v.strip()
+
+    head = pd.read_csv(os.path.join(d, "train.csv")).head(60)
+    exp = []
+    for p, s in zip(head["prompt"], head["svg"]):
+        p, s = norm(p), norm(s)
+        if not s.lower().startswith("<svg"):
+            p, s = "", ""
+        if p and s:
+            exp.append((p, s))
+    assert got == sorted(exp)
+    assert corpus.where("split = 'eval'").count() == math.ceil(len(exp) * 0.02)
+
+
+def test_corpus_job_head_then_seeded_cap_on_parquet(spark):
+    import hashlib
+
+    d = tempfile.mkdtemp(prefix="mf-head-pq-")
+    src = fx.svg_pairs(spark, SF).select("caption", "svg_code").toPandas()
+    src = src.rename(columns={"caption": "prompt", "svg_code": "svg"}).sample(frac=1.0, random_state=7)
+    src = pd.concat([src, src.head(10)])  # repeated contents tie in the seeded cap
+    src.to_parquet(os.path.join(d, "train.parquet"), index=False)
+    cfg = CorpusConfig(system_prompt="S", max_per_source=25, head_per_source=80, eval_share=0.5,
+                       budget=StructuralBudget(max_len=None, max_counts=()), max_tokens=10**6)
+    spec = SourceSpec("train_pq", path=os.path.join(d, "train.parquet"), split=None)
+    corpus, _ = corpus_job(spark, [spec], cfg)
+    got = sorted((r.prompt, r.svg) for r in corpus.collect())
+
+    def text(v):
+        return "" if v is None or (isinstance(v, float) and math.isnan(v)) else str(v)
+
+    head = list(src.head(80).itertuples(index=False))
+    content = [hashlib.md5(f"{text(r.prompt)}\x1f{text(r.svg)}".encode()).hexdigest() for r in head]
+    order = sorted(range(len(head)), key=lambda i: (hashlib.md5(f"cap:{cfg.seed}:{content[i]}".encode()).hexdigest(), i))
+    exp = []
+    for i in order[:25]:
+        p, s = text(head[i].prompt).strip(), text(head[i].svg).strip()
+        if s.lower().startswith("<svg") and p:
+            exp.append((p, s))
+    assert got == sorted(exp)
