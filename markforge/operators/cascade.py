@@ -59,7 +59,8 @@ def generation_inputs(df: DataFrame, system_prompt: str, id_col: str = "id", pro
 
 
 def generate_round(inputs: DataFrame, generator: Generator, spec: RoundSpec, round_no: int,
-                   tag: str = "svg", renames: dict | None = None, completion_only: bool = False) -> DataFrame:
+                   tag: str = "svg", renames: dict | None = None, completion_only: bool = False,
+                   validity: str = "strict") -> DataFrame:
     """One round: budget per row, batch generation in ``mapInPandas``, then
     extraction, repair and validation as columns.
 
@@ -68,6 +69,8 @@ def generate_round(inputs: DataFrame, generator: Generator, spec: RoundSpec, rou
     back to the inputs. Output: input columns + (round, svg, valid).
     Extraction reads the whole decoded text (prompt included, as the
     reference does) unless ``completion_only`` drops the echoed prompt.
+    ``validity`` is ``"strict"`` (root local name equals ``tag``) or
+    ``"suffix"`` (root name ends with it, the earlier variant's check).
     """
     cols = inputs.columns
     x = inputs.select(*cols, F.lit(round_no).alias("round"),
@@ -87,13 +90,13 @@ def generate_round(inputs: DataFrame, generator: Generator, spec: RoundSpec, rou
     raw = x.mapInPandas(_run, out_schema)
     source = completion_text("raw", "chat") if completion_only else F.col("raw")
     out = raw.select(*cols, F.lit(round_no).alias("round"), postprocess(source, tag, renames).alias("svg"))
-    return out.withColumn("valid", is_valid_markup("svg", tag))
+    return out.withColumn("valid", is_valid_markup("svg", tag, validity))
 
 
 def cascade(inputs: DataFrame, generator: Generator, rounds: Sequence[RoundSpec] = DEFAULT_ROUNDS,
             tag: str = "svg", fallback_doc: str = FALLBACK_SVG, renames: dict | None = None,
             stage: bool = True, carry: Sequence[str] = (), completion_only: bool = False,
-            partitions: int | None = None) -> DataFrame:
+            partitions: int | None = None, validity: str = "strict") -> DataFrame:
     """N-round generation: round i runs only on ids that failed rounds < i;
     ids failing every round get the fallback.
 
@@ -112,7 +115,7 @@ def cascade(inputs: DataFrame, generator: Generator, rounds: Sequence[RoundSpec]
     pending = spread(inputs, partitions)
     winners = []
     for i, spec in enumerate(rounds, start=1):
-        res = generate_round(pending, generator, spec, i, tag, renames, completion_only)
+        res = generate_round(pending, generator, spec, i, tag, renames, completion_only, validity)
         res = materialize(res, f"gen-round{i}") if stage else res
         winners.append(res.where("valid").select(*carry, "id", "svg", F.lit(False).alias("used_fallback"),
                                                  F.col("round").alias("won_round")))
@@ -127,7 +130,7 @@ def cascade(inputs: DataFrame, generator: Generator, rounds: Sequence[RoundSpec]
 
 def first_valid_round(ids: DataFrame, cands: DataFrame, id_col: str = "id", round_col: str = "round",
                       raw_col: str = "raw", tag: str = "svg", fallback_doc: str = FALLBACK_SVG,
-                      renames: dict | None = None) -> DataFrame:
+                      renames: dict | None = None, validity: str = "strict") -> DataFrame:
     """Offline choice from a candidate table (id, round, raw): the lowest
     valid round wins; ids without a valid candidate get the fallback.
 
@@ -138,7 +141,7 @@ def first_valid_round(ids: DataFrame, cands: DataFrame, id_col: str = "id", roun
     """
     c = cands.select(F.col(id_col).alias("id"), F.col(round_col).cast("int").alias("round"),
                      postprocess(raw_col, tag, renames).alias("svg"))
-    valid = c.where(is_valid_markup("svg", tag))
+    valid = c.where(is_valid_markup("svg", tag, validity))
     base = ids.select(F.col(id_col).alias("id"), F.lit(None).cast("int").alias("round"),
                       F.lit(None).cast("string").alias("svg"))
     best = base.unionByName(valid).groupBy("id").agg(

@@ -20,15 +20,16 @@ def run_inference(test: DataFrame, generator: Generator, system_prompt: str,
                   tag: str = "svg", fallback_doc: str = FALLBACK_SVG, compat_nan: bool = True,
                   counter: Callable[[str], int] | None = None, stage: bool = True,
                   carry: Sequence[str] = (), completion_only: bool = False,
-                  partitions: int | None = None) -> DataFrame:
+                  partitions: int | None = None, validity: str = "strict") -> DataFrame:
     """(id, svg, used_fallback, won_round), one row per test row."""
     inputs = generation_inputs(test, system_prompt, id_col, prompt_col, compat_nan, counter, carry)
     return cascade(inputs, generator, rounds, tag, fallback_doc, stage=stage, carry=carry,
-                   completion_only=completion_only, partitions=partitions)
+                   completion_only=completion_only, partitions=partitions, validity=validity)
 
 
 def inference_job(spark: SparkSession, test_csv: str, generator: Generator, system_prompt: str,
-                  out_path: str, rounds: Sequence[RoundSpec] = DEFAULT_ROUNDS, single_file: bool = False) -> dict:
+                  out_path: str, rounds: Sequence[RoundSpec] = DEFAULT_ROUNDS, single_file: bool = False,
+                  validity: str = "strict", completion_only: bool = False) -> dict:
     """Read the test CSV, run the cascade, write the submission CSV in test
     file order and report rows, fallbacks and minutes.
 
@@ -38,7 +39,8 @@ def inference_job(spark: SparkSession, test_csv: str, generator: Generator, syst
     """
     t0 = time.time()
     test = read_test_prompts(spark, test_csv, with_position=True)
-    result = materialize(run_inference(test, generator, system_prompt, rounds, carry=("input_pos",)),
+    result = materialize(run_inference(test, generator, system_prompt, rounds, carry=("input_pos",),
+                                       completion_only=completion_only, validity=validity),
                          "inference-result")
     write_submission(result, out_path, order_by="input_pos", single_file=single_file)
     rep = fallback_report(result).first()

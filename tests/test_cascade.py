@@ -144,3 +144,18 @@ def test_cascade_spreads_a_single_partition_input(spark):
     rows = cascade(generation_inputs(df, "S"), factory, ONE_ROUND, partitions=4).collect()
     assert sorted(r.id for r in rows) == list(range(64))
     assert tasks.value == 4  # the generator ran in four tasks, not one
+
+
+def test_validity_mode_reaches_the_validator(spark):
+    # For blocks the svg pattern extracts, the loose (suffix) and strict checks
+    # agree; the mode must still be passed through, and a bad mode rejected.
+    import pytest
+
+    test = fx.test_prompts(spark, SF01)
+    strict = {r.id: (r.svg, r.used_fallback) for r in run_inference(test, fx.stub_generator, "You draw SVG.").collect()}
+    loose = {r.id: (r.svg, r.used_fallback)
+             for r in run_inference(test, fx.stub_generator, "You draw SVG.", validity="suffix").collect()}
+    assert loose == strict
+    ids = fx.read_table(spark, SF01, "documents").select("doc_id")
+    with pytest.raises(ValueError):
+        first_valid_round(ids, fx.candidates(spark, SF01), id_col="doc_id", validity="bogus")
