@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -34,23 +35,64 @@ def count_tokens(c: Column | str, counter: Callable[[str], int] | None = None) -
     With a ``counter`` (e.g. a subword tokenizer's ``len(encode(text))``) it
     runs in an iterator pandas UDF, so a heavy tokenizer is built once per
     Python worker, not per row. The callable may also be a zero-argument
-    factory marked with ``counter.is_factory = True``.
+    factory marked with ``counter.is_factory = True``; one marked
+    ``batch = True`` takes the list of non-null texts of an Arrow batch and
+    returns their counts (see :func:`bpe_counter`).
     """
     c = _col(c)
     if counter is None:
         return proxy_token_count(c)
 
     is_factory = getattr(counter, "is_factory", False)
+    is_batch = getattr(counter, "batch", False)
 
     @F.pandas_udf("int")
     def _count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         fn = counter() if is_factory else counter
         for s in batches:
-            yield pd.Series([None if v is None else int(fn(v)) for v in s], dtype="Int32")
+            if is_batch:
+                present = s.notna().to_numpy()
+                values = np.zeros(len(s), dtype="int32")
+                if present.any():
+                    values[present] = fn(s[present].tolist())
+                yield pd.Series(pd.arrays.IntegerArray(values, ~present), index=s.index)
+            else:
+                yield pd.Series([None if v is None else int(fn(v)) for v in s], dtype="Int32")
 
     return _count(c)
 
 
+def bpe_counter(vocab: str = "byte_bpe_50k") -> Callable[[], Callable[[list[str]], list[int]]]:
+    """A subword token counter over an installed byte-level BPE vocabulary
+    (``byte_bpe_50k`` or ``byte_bpe_multi_50k`` of the ``public_tokenizers``
+    package, read as ``tiktoken`` ranks; no network), for ``count_tokens``.
+
+    The reference counts with its model's byte-level BPE tokenizer, which
+    needs a download; a public vocabulary of the same kind gives counts of
+    the same nature, unlike the regex proxy (they still differ in number).
+    Text is encoded as ordinary text: chat markers are not special tokens
+    of these vocabularies. Returned as a batch factory: the vocabulary loads
+    once per Python worker and each Arrow batch is encoded in one call.
+    """
+
+    def factory() -> Callable[[list[str]], list[int]]:
+        try:
+            import base64
+
+            import public_tokenizers as vocabs
+            import tiktoken
+        except ImportError as e:  # pragma: no cover - depends on the install
+            raise RuntimeError("bpe_counter needs tiktoken and the public_tokenizers vocabularies") from e
+        with open(vocabs.path(f"{vocab}.tiktoken"), "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in (ln.split() for ln in f if ln.strip())}
+        enc = tiktoken.Encoding(vocab, pat_str=vocabs.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        return lambda texts: [len(enc.encode_ordinary(t)) for t in texts]
+
+    factory.is_factory = True
+    factory.batch = True
+    return factory
+
+
 def token_ids(c: Column | str, encoder: Callable[[str], list[int]], max_len: int | None = MAX_SEQ_LENGTH) -> Column:
     """Token ids of a text (``array<int>``), truncated to ``max_len``; only
     for callers that need the ids themselves (counting needs no ids).
