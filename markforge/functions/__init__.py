@@ -19,13 +19,21 @@ from markforge.functions.text import (
     py_strip,
     starts_with_ci,
 )
-from markforge.functions.tokens import TOKEN_PATTERN, bpe_counter, count_tokens, generation_budget, truncated_length
+from markforge.functions.tokens import (
+    TOKEN_PATTERN,
+    bpe_counter,
+    bpe_encoder,
+    count_tokens,
+    generation_budget,
+    token_ids,
+    truncated_length,
+)
 
 __all__ = [
-    "TOKEN_PATTERN", "blank_to_null", "bpe_counter", "block_pattern", "completion_text", "count_literal", "count_tokens",
+    "TOKEN_PATTERN", "blank_to_null", "bpe_counter", "bpe_encoder", "block_pattern", "completion_text", "count_literal", "count_tokens",
     "decoded_prompt",
     "ends_with_close_tag", "extract_last_block", "fallback", "first_non_empty",
     "generation_budget", "generation_prompt", "is_truthy", "is_valid_markup",
     "null_sentinels_to_null", "py_strip", "repair_attributes", "starts_with_ci",
-    "training_text", "truncated_length", "valid_markup_py",
+    "token_ids", "training_text", "truncated_length", "valid_markup_py",
 ]

@@ -62,3 +62,13 @@ def test_bpe_counter_matches_the_tokenizer(spark):
     e = spark.createDataFrame([(None,), ("<|im_start|>user",)], "t string")
     counts = [r[0] for r in e.select(count_tokens("t", bpe_counter())).collect()]
     assert counts[0] is None and counts[1] == len(enc.encode_ordinary("<|im_start|>user"))
+
+
+def test_bpe_ids_truncate_and_agree_with_counts(spark):
+    from markforge.functions.tokens import bpe_counter, bpe_encoder
+
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text")
+    rows = df.select(F.size(token_ids("text", bpe_encoder(), max_len=None)).alias("n"),
+                     F.size(token_ids("text", bpe_encoder(), max_len=64)).alias("m"),
+                     count_tokens("text", bpe_counter()).alias("c")).collect()
+    assert all(r.n == r.c and r.m == min(r.c, 64) for r in rows if r.c is not None)
