@@ -140,6 +140,9 @@ def rank_cut(df: DataFrame, k: int | Callable[[int], int], key: str = ORDER_KEY,
                 break
             need -= c
             below += c
+        if chosen is None:
+            raise RuntimeError("rank_cut: the input changed between passes (a nondeterministic plan); "
+                               "stage it first (materialize, or stage=True)")
         b, c = chosen
         prefix += b
         if c <= max_final or len(b) < digits:
@@ -149,6 +152,9 @@ def rank_cut(df: DataFrame, k: int | Callable[[int], int], key: str = ORDER_KEY,
     # cut inexact, so the order must be total.
     scope = df.select(keyc).where(keyc.startswith(prefix))
     pair = [r[0] for r in scope.orderBy(keyc).offset(need - 1).limit(2).collect()]
+    if not pair:
+        raise RuntimeError("rank_cut: the input changed between passes (a nondeterministic plan); "
+                           "stage it first (materialize, or stage=True)")
     if len(pair) == 2 and pair[0] == pair[1]:
         raise ValueError("order key is not unique at the cut; use unique=False")
     return Cut(n, rank, pair[0], key)
