@@ -112,3 +112,23 @@ def test_write_corpus_in_seeded_order(spark):
         ids = [i for i in range(500) if (i % 4 == 0) == (split == "eval")]
         assert got == sorted(ids, key=lambda i: hashlib.md5(f"shuffle:{i}".encode()).hexdigest())
     assert "_o" not in spark.read.parquet(out).columns
+
+
+def test_read_source_with_position(spark):
+    from pyspark.sql import functions as F
+
+    d = tempfile.mkdtemp(prefix="mf-pos-")
+    spark.range(30).select(F.col("id").alias("k")).repartition(3).write.parquet(d + "/p")
+    spark.range(3).write.json(d + "/j")
+    got = read_source(spark, SourceSpec("p", path=d + "/p", split=None), with_position=True)
+    rows = got.select("k", "input_pos").collect()
+    assert len({r.input_pos for r in rows}) == 30
+    # position order = file order, then row order within a file
+    ordered = [r.k for r in sorted(rows, key=lambda r: r.input_pos)]
+    files = sorted(os.listdir(d + "/p"))
+    import pyarrow.parquet as pq
+
+    expected = [k for f in files if f.endswith(".parquet") for k in pq.read_table(os.path.join(d, "p", f)).column("k").to_pylist()]
+    assert ordered == expected
+    with pytest.raises(ValueError):
+        read_source(spark, SourceSpec("j", path=d + "/j", format="json", split=None), with_position=True)
