@@ -29,18 +29,21 @@ def run_inference(test: DataFrame, generator: Generator, system_prompt: str,
 
 def inference_job(spark: SparkSession, test_csv: str, generator: Generator, system_prompt: str,
                   out_path: str, rounds: Sequence[RoundSpec] = DEFAULT_ROUNDS, single_file: bool = False,
-                  validity: str = "strict", completion_only: bool = False) -> dict:
+                  validity: str = "strict", completion_only: bool = False,
+                  counter: Callable[[str], int] | None = None) -> dict:
     """Read the test CSV, run the cascade, write the submission CSV in test
     file order and report rows, fallbacks and minutes.
 
     The result is written to the checkpoint folder once and both the
     submission and the report read it, so the generator runs once per row
-    and round.
+    and round. ``counter`` (e.g. ``bpe_counter()``) sizes each row's
+    new-token budget from its prompt's token count; the default is the
+    native proxy.
     """
     t0 = time.time()
     test = read_test_prompts(spark, test_csv, with_position=True)
     result = materialize(run_inference(test, generator, system_prompt, rounds, carry=("input_pos",),
-                                       completion_only=completion_only, validity=validity),
+                                       completion_only=completion_only, validity=validity, counter=counter),
                          "inference-result")
     write_submission(result, out_path, order_by="input_pos", single_file=single_file)
     rep = fallback_report(result).first()
