@@ -159,3 +159,17 @@ def test_validity_mode_reaches_the_validator(spark):
     ids = fx.read_table(spark, SF01, "documents").select("doc_id")
     with pytest.raises(ValueError):
         first_valid_round(ids, fx.candidates(spark, SF01), id_col="doc_id", validity="bogus")
+
+
+def test_first_valid_round_with_a_hot_id(spark):
+    # id 0 holds a third of all candidate rows (300 rounds); its first valid
+    # round is 137. Every other id has rounds 1..3, valid from round id % 3 + 1.
+    good, bad = "<svg><g/></svg>", "<svg><g>"
+    rows = [(0, r, good if r >= 137 else bad) for r in range(1, 301)]
+    rows += [(i, r, good if r >= i % 3 + 1 else bad) for i in range(1, 201) for r in range(1, 4)]
+    cands = spark.createDataFrame(rows, "id long, round int, raw string").repartition(6)
+    ids = spark.range(0, 201)
+    got = {r.id: (r.won_round, r.used_fallback) for r in first_valid_round(ids, cands).collect()}
+    assert got[0] == (137, False)
+    assert all(got[i] == (i % 3 + 1, False) for i in range(1, 201))
+    assert len(got) == 201
