@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from markforge.config import CorpusConfig, SourceSpec
@@ -116,9 +116,10 @@ def corpus_job(spark: SparkSession, specs: Sequence[SourceSpec], cfg: CorpusConf
     reported; none loaded is an error), caps and normalises each, then builds
     the corpus. Writes the kept rows partitioned by split when ``out_path`` is
     given, in a seeded shuffled order (``md5('shuffle:<seed>:' || pair key)``)
-    unless ``shuffle`` is off. Returns ``(corpus, report)`` where ``report`` holds the skipped
-    sources and, computed from the written table (or lazily), usable rows
-    per source and entered / kept rows per split.
+    unless ``shuffle`` is off. Returns ``(corpus, report)`` where ``report``
+    holds the skipped sources and rows per source and entered / kept rows
+    per split: observed during the write (no extra pass) when ``out_path``
+    is given, else lazy aggregations.
     """
     def prepare(df, spec):
         keys = [k for k in spec.key_fields if k in df.columns]
@@ -131,13 +132,29 @@ def corpus_job(spark: SparkSession, specs: Sequence[SourceSpec], cfg: CorpusConf
     require_sources(loaded)
     corpus = sft_corpus(loaded, cfg, key=None, counter=counter)
     report = {"skipped": skipped, "usable_per_source": counts}
-    if out_path:
-        cols = ["source_name", "split", "text", "n_tokens"]
-        if shuffle:
-            order = salted_hash(f"shuffle:{cfg.seed}:", [PAIR_KEY]).alias("_order")
-            write_corpus(corpus.where("kept").select(*cols, order), out_path, order_col="_order")
-        else:
-            write_corpus(corpus.where("kept").select(*cols), out_path)
-    report["per_source"] = rows_per_group(corpus, "source_name")
-    report["per_split"] = split_counts(corpus)
+    if not out_path:
+        report["per_source"] = rows_per_group(corpus, "source_name")
+        report["per_split"] = split_counts(corpus)
+        return corpus, report
+    # The reports are observed during the write (one pass over the corpus,
+    # tokens counted once); sources and split labels are known up front.
+    names = [name for name, _ in loaded]
+    labels = ("train", "eval")
+    src, split, kept = F.col("source_name"), F.col("split"), F.col("kept")
+    metrics = [F.count_if(src == F.lit(n)).alias(f"src{i}") for i, n in enumerate(names)]
+    metrics += [F.count_if(split == F.lit(s)).alias(f"in_{s}") for s in labels]
+    metrics += [F.count_if((split == F.lit(s)) & kept).alias(f"kept_{s}") for s in labels]
+    obs = Observation("corpus-report")
+    cols = ["source_name", "split", "text", "n_tokens", "kept"]
+    if shuffle:
+        order = salted_hash(f"shuffle:{cfg.seed}:", [PAIR_KEY]).alias("_order")
+        write_corpus(corpus.select(*cols, order), out_path, order_col="_order", keep_col="kept",
+                     observation=(obs, metrics))
+    else:
+        write_corpus(corpus.select(*cols), out_path, keep_col="kept", observation=(obs, metrics))
+    m = obs.get
+    per_source = [(n, m[f"src{i}"]) for i, n in enumerate(names) if m[f"src{i}"]]
+    per_split = [(s, m[f"in_{s}"], m[f"kept_{s}"]) for s in labels if m[f"in_{s}"]]
+    report["per_source"] = spark.createDataFrame(per_source, "source_name string, n_rows long")
+    report["per_split"] = spark.createDataFrame(per_split, "split string, n_entered long, n_kept long")
     return corpus, report

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
 
 
 def write_csv(df: DataFrame, path: str, order_by: str | None = None, single_file: bool = False,
@@ -27,17 +30,30 @@ def write_submission(result: DataFrame, path: str, order_by: str | None = "id",
 
 
 def write_corpus(df: DataFrame, path: str, split_col: str = "split", mode: str = "overwrite",
-                 order_col: str | None = None, partitions: int | None = None) -> None:
+                 order_col: str | None = None, partitions: int | None = None, keep_col: str | None = None,
+                 observation: tuple[Observation, Sequence[Column]] | None = None) -> None:
     """Prepared training text partitioned by split (train / eval folders).
 
     With ``order_col`` (e.g. a salted hash: a seeded shuffle) the rows are
     range-partitioned on it and sorted by (split, order) inside each task:
     that sort already satisfies the writer's ordering by the partition
     column, so no second sort is added, and each split's files, read in name
-    order, hold the rows in that order. The order column is not written.
+    order, hold the rows in that order. ``keep_col`` writes only the rows
+    where it is true. Neither column is written.
+
+    ``observation`` = (``Observation``, metric columns) is collected over all
+    rows, kept or not, during the write itself: no extra pass for reports.
+    It sits after the ordering exchange, in the write's result stage, where
+    Spark applies each task's metrics once even when tasks are retried.
     """
     if order_col is not None:
-        ranged = (df.repartitionByRange(partitions, order_col) if partitions
-                  else df.repartitionByRange(order_col))
-        df = ranged.sortWithinPartitions(split_col, order_col).drop(order_col)
+        df = df.repartitionByRange(partitions, order_col) if partitions else df.repartitionByRange(order_col)
+    if observation is not None:
+        obs, metrics = observation
+        df = df.observe(obs, *metrics)
+    if order_col is not None:
+        df = df.sortWithinPartitions(split_col, order_col)
+    if keep_col is not None:
+        df = df.where(F.col(keep_col))
+    df = df.drop(*[c for c in (order_col, keep_col) if c is not None])
     df.write.mode(mode).partitionBy(split_col).parquet(path)

@@ -4,6 +4,7 @@ import os
 import tempfile
 
 import pandas as pd
+from pyspark.sql import functions as F
 
 from markforge.config import CorpusConfig, SourceSpec, StructuralBudget
 from markforge.plans import fixtures as fx
@@ -142,3 +143,24 @@ def test_corpus_job_head_then_seeded_cap_on_parquet(spark):
         if s.lower().startswith("<svg") and p:
             exp.append((p, s))
     assert got == sorted(exp)
+
+
+def test_corpus_job_observed_reports_equal_lazy_ones(spark):
+    from markforge.operators.report import rows_per_group, split_counts
+
+    d = tempfile.mkdtemp(prefix="mf-obs-")
+    src = fx.svg_pairs(spark, SF)
+    src.select(F.col("caption").alias("prompt"), F.col("svg_code").alias("svg")).write.parquet(os.path.join(d, "a"))
+    src.select("doc_id", "name", "svg_code").write.parquet(os.path.join(d, "b"))
+    specs = [SourceSpec("a", path=os.path.join(d, "a"), split=None),
+             SourceSpec("b", path=os.path.join(d, "b"), prompt_fields=("name",), markup_fields=("svg_code",),
+                        key_fields=("doc_id",), split=None)]
+    cfg = CorpusConfig(system_prompt="S", max_per_source=150, budget=StructuralBudget(400), max_tokens=1700)
+    corpus, report = corpus_job(spark, specs, cfg, out_path=os.path.join(d, "out"))
+    observed_src = sorted(map(tuple, report["per_source"].collect()))
+    observed_split = sorted(map(tuple, report["per_split"].collect()))
+    assert observed_src == sorted(map(tuple, rows_per_group(corpus, "source_name").collect()))
+    assert observed_split == sorted(map(tuple, split_counts(corpus).collect()))
+    kept = sum(k for _, _, k in observed_split)
+    assert 0 < kept <= sum(e for _, e, _ in observed_split)
+    assert spark.read.parquet(os.path.join(d, "out")).count() == kept

@@ -132,3 +132,28 @@ def test_read_source_with_position(spark):
     assert ordered == expected
     with pytest.raises(ValueError):
         read_source(spark, SourceSpec("j", path=d + "/j", format="json", split=None), with_position=True)
+
+
+def test_write_corpus_keep_and_observe_keep_the_order(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    from markforge.operators.sampling import salted_hash
+    from markforge.sources.sinks import write_corpus
+
+    d = spark.range(500).select(F.col("id"), F.when(F.col("id") % 4 == 0, "eval").otherwise("train").alias("split"),
+                                (F.col("id") % 5 != 0).alias("kept"))
+    out = tempfile.mkdtemp(prefix="mf-order-") + "/c"
+    obs = Observation("t")
+    write_corpus(d.withColumn("_o", salted_hash("shuffle:", ["id"])), out, order_col="_o", partitions=5,
+                 keep_col="kept", observation=(obs, [F.count(F.lit(1)).alias("n"), F.count_if("kept").alias("k")]))
+    assert obs.get == {"n": 500, "k": 400}
+    for split in ("train", "eval"):
+        files = sorted(glob.glob(os.path.join(out, f"split={split}", "*.parquet")))
+        got = [i for f in files for i in pq.read_table(f).column("id").to_pylist()]
+        ids = [i for i in range(500) if (i % 4 == 0) == (split == "eval") and i % 5 != 0]
+        assert got == sorted(ids, key=lambda i: hashlib.md5(f"shuffle:{i}".encode()).hexdigest())
+    assert set(spark.read.parquet(out).columns) == {"id", "split"}
