@@ -76,7 +76,7 @@ def render_and_budget(split_df: DataFrame, cfg: CorpusConfig,
 
 def sft_corpus(sources: Sequence[tuple[str, DataFrame]], cfg: CorpusConfig, key: str | None = None,
                counter: Callable[[str], int] | None = None, unique_key: bool = True,
-               stage: bool = True) -> DataFrame:
+               stage: bool = True, usable: tuple[Observation, Sequence[Column]] | None = None) -> DataFrame:
     """Union of normalised sources -> structural budget -> exact split ->
     rendered text with token count and ``kept`` flag.
 
@@ -91,8 +91,15 @@ def sft_corpus(sources: Sequence[tuple[str, DataFrame]], cfg: CorpusConfig, key:
     normalised once, the cut's histograms read only the key column of the
     staged table, repeated keys are told apart by the staged files' row
     identity (no second staging), and a lost executor re-reads files.
+    ``usable`` = (``Observation``, metric columns) is then observed over the
+    normalised pairs, before the structural budget, during that staging
+    write (e.g. usable rows per source at no extra pass).
     """
     pairs = union_sources(sources)
+    if usable is not None:
+        if not stage:
+            raise ValueError("usable counts are observed during the staging write; use stage=True")
+        pairs = pairs.observe(usable[0], *usable[1])
     fit = pairs.where(within_structure("svg", cfg.budget))
     if key is None:
         fit = fit.withColumn(PAIR_KEY, content_key(["prompt", "svg"]))
@@ -130,7 +137,12 @@ def corpus_job(spark: SparkSession, specs: Sequence[SourceSpec], cfg: CorpusConf
     loaded, skipped, counts = load_sources(spark, specs, prepare, verify=verify,
                                            with_position=bool(cfg.head_per_source))
     require_sources(loaded)
-    corpus = sft_corpus(loaded, cfg, key=None, counter=counter)
+    names = [name for name, _ in loaded]
+    usable = Observation("usable-per-source")
+    per_source_usable = [F.count_if(F.col("source_name") == F.lit(n)).alias(f"u{i}") for i, n in enumerate(names)]
+    corpus = sft_corpus(loaded, cfg, key=None, counter=counter, usable=(usable, per_source_usable))
+    if not counts:  # observed during the staging write inside sft_corpus
+        counts = {n: usable.get[f"u{i}"] for i, n in enumerate(names)}
     report = {"skipped": skipped, "usable_per_source": counts}
     if not out_path:
         report["per_source"] = rows_per_group(corpus, "source_name")
@@ -138,7 +150,6 @@ def corpus_job(spark: SparkSession, specs: Sequence[SourceSpec], cfg: CorpusConf
         return corpus, report
     # The reports are observed during the write (one pass over the corpus,
     # tokens counted once); sources and split labels are known up front.
-    names = [name for name, _ in loaded]
     labels = ("train", "eval")
     src, split, kept = F.col("source_name"), F.col("split"), F.col("kept")
     metrics = [F.count_if(src == F.lit(n)).alias(f"src{i}") for i, n in enumerate(names)]

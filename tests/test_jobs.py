@@ -164,3 +164,20 @@ def test_corpus_job_observed_reports_equal_lazy_ones(spark):
     kept = sum(k for _, _, k in observed_split)
     assert 0 < kept <= sum(e for _, e, _ in observed_split)
     assert spark.read.parquet(os.path.join(d, "out")).count() == kept
+
+
+def test_corpus_job_usable_counts_without_extra_passes(spark):
+    # verify="schema" runs no count job, yet the usable rows per source are
+    # reported (observed during the staging write) and equal verify="count"'s.
+    d = tempfile.mkdtemp(prefix="mf-usable-")
+    src = fx.svg_pairs(spark, SF)
+    src.select(F.col("caption").alias("prompt"), F.col("svg_code").alias("svg")).write.parquet(os.path.join(d, "a"))
+    src.select("doc_id", "name", "svg_code").write.parquet(os.path.join(d, "b"))
+    specs = [SourceSpec("a", path=os.path.join(d, "a"), split=None),
+             SourceSpec("b", path=os.path.join(d, "b"), prompt_fields=("name",), markup_fields=("svg_code",),
+                        key_fields=("doc_id",), split=None)]
+    cfg = CorpusConfig(system_prompt="S", max_per_source=150, budget=StructuralBudget(400))
+    _, observed = corpus_job(spark, specs, cfg, verify="schema")
+    _, counted = corpus_job(spark, specs, cfg, verify="count")
+    assert observed["usable_per_source"] == counted["usable_per_source"]
+    assert all(v > 0 for v in observed["usable_per_source"].values())
