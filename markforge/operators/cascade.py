@@ -135,22 +135,24 @@ def first_valid_round(ids: DataFrame, cands: DataFrame, id_col: str = "id", roun
     valid round wins; ids without a valid candidate get the fallback.
 
     The id table and the valid candidates are unioned and grouped once by id
-    (partial + final ``min`` / ``min_by``, one exchange), so every id yields
-    exactly one row and no join is needed; a hot id is pre-aggregated
-    map-side like any other.
+    (partial + final ``min`` of ``(round, svg)``, one exchange), so every id
+    yields exactly one row and no join is needed; a hot id is pre-aggregated
+    map-side like any other. Equal rounds of one id (a repeated candidate)
+    resolve to the smallest markup, so the choice is deterministic.
     """
     c = cands.select(F.col(id_col).alias("id"), F.col(round_col).cast("int").alias("round"),
                      postprocess(raw_col, tag, renames).alias("svg"))
     valid = c.where(is_valid_markup("svg", tag, validity))
     base = ids.select(F.col(id_col).alias("id"), F.lit(None).cast("int").alias("round"),
                       F.lit(None).cast("string").alias("svg"))
-    best = base.unionByName(valid).groupBy("id").agg(
-        F.min("round").alias("won_round"), F.min_by("svg", "round").alias("best_svg"))
+    # The id rows carry a NULL struct (ignored by min), not a struct of NULLs.
+    candidate = F.when(F.col("round").isNotNull(), F.struct("round", "svg"))
+    best = base.unionByName(valid).groupBy("id").agg(F.min(candidate).alias("best"))
     return best.select(
         "id",
-        F.coalesce("best_svg", F.lit(fallback_doc)).alias("svg"),
-        F.col("best_svg").isNull().alias("used_fallback"),
-        "won_round",
+        F.coalesce(F.col("best.svg"), F.lit(fallback_doc)).alias("svg"),
+        F.col("best").isNull().alias("used_fallback"),
+        F.col("best.round").alias("won_round"),
     )
 
 

@@ -173,3 +173,13 @@ def test_first_valid_round_with_a_hot_id(spark):
     assert got[0] == (137, False)
     assert all(got[i] == (i % 3 + 1, False) for i in range(1, 201))
     assert len(got) == 201
+
+
+def test_first_valid_round_repeated_candidates_are_deterministic(spark):
+    rows = [(1, 2, "<svg><b/></svg>"), (1, 2, "<svg><a/></svg>"), (1, 3, "<svg><0/></svg>"), (2, 1, "<svg><g>")]
+    cands = spark.createDataFrame(rows, "id long, round int, raw string")
+    for parts in (1, 3):
+        got = {r.id: (r.svg, r.won_round, r.used_fallback)
+               for r in first_valid_round(spark.range(1, 3), cands.repartition(parts)).collect()}
+        assert got[1] == ("<svg><a/></svg>", 2, False)
+        assert got[2] == (FALLBACK_SVG, None, True)
