@@ -104,7 +104,8 @@ def cascade(inputs: DataFrame, generator: Generator, rounds: Sequence[RoundSpec]
     input row. Each round's output is written before the next round reads
     its failures, so the rows retried are exactly the rows that failed, even
     if an executor is lost. Winners of different rounds are disjoint, so the
-    result is a plain union: no join, no grouping, no shuffle.
+    result is a plain union: no join, no grouping, and no exchange besides
+    the spread below.
 
     Generation dominates the cost, so inputs arriving in fewer partitions
     than ``partitions`` (default: the cluster's parallelism) are first
