@@ -5,11 +5,11 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from markforge.config import DEFAULT_ROUNDS, FALLBACK_SVG, RoundSpec
 from markforge.operators.cascade import Generator, cascade, generation_inputs
-from markforge.operators.report import fallback_report
 from markforge.session import materialize
 from markforge.sources.readers import read_test_prompts
 from markforge.sources.sinks import write_submission
@@ -34,17 +34,19 @@ def inference_job(spark: SparkSession, test_csv: str, generator: Generator, syst
     """Read the test CSV, run the cascade, write the submission CSV in test
     file order and report rows, fallbacks and minutes.
 
-    The result is written to the checkpoint folder once and both the
-    submission and the report read it, so the generator runs once per row
-    and round. ``counter`` (e.g. ``bpe_counter()``) sizes each row's
-    new-token budget from its prompt's token count; the default is the
-    native proxy.
+    The result is written to the checkpoint folder once, so the generator
+    runs once per row and round; its rows and fallbacks are observed during
+    that write, and the submission reads it. ``counter`` (e.g.
+    ``bpe_counter()``) sizes each row's new-token budget from its prompt's
+    token count; the default is the native proxy.
     """
     t0 = time.time()
     test = read_test_prompts(spark, test_csv, with_position=True)
-    result = materialize(run_inference(test, generator, system_prompt, rounds, carry=("input_pos",),
-                                       completion_only=completion_only, validity=validity, counter=counter),
-                         "inference-result")
+    res = run_inference(test, generator, system_prompt, rounds, carry=("input_pos",),
+                        completion_only=completion_only, validity=validity, counter=counter)
+    obs = Observation("inference-report")
+    result = materialize(res.observe(obs, F.count(F.lit(1)).alias("n_rows"),
+                                     F.count_if("used_fallback").alias("n_fallback")), "inference-result")
     write_submission(result, out_path, order_by="input_pos", single_file=single_file)
-    rep = fallback_report(result).first()
+    rep = obs.get
     return {"rows": rep["n_rows"], "fallbacks": rep["n_fallback"], "minutes": round((time.time() - t0) / 60, 2)}
