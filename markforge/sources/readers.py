@@ -73,7 +73,7 @@ def with_csv_position(df: DataFrame, out: str = "input_pos") -> DataFrame:
     spark = df.sparkSession
     files = sorted(re.sub(SCHEME, "", f) for f in df.inputFiles())
     ranks = spark.createDataFrame([(f, i) for i, f in enumerate(files)], "_fp string, _file_rank long")
-    x = df.select("*", F.regexp_replace(F.input_file_name(), SCHEME, "").alias("_fp"),
+    x = df.select("*", F.regexp_replace(F.col("_metadata.file_path"), SCHEME, "").alias("_fp"),
                   F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1)).alias("_row"))
     x = x.join(broadcast_if_small(ranks, len(files)), "_fp", "left")
     return x.withColumn(out, F.col("_file_rank") * F.lit(2**33) + F.col("_row")).drop("_fp", "_row", "_file_rank")
