@@ -10,6 +10,7 @@ nondeterministic and a recomputed round would change which rows retry.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -113,7 +114,8 @@ def cascade(inputs: DataFrame, generator: Generator, rounds: Sequence[RoundSpec]
     file and would otherwise generate every row in one task.
     """
     cols = inputs.columns
-    pending = spread(inputs, partitions)
+    # generation dominates: spread any under-partitioned input, however large
+    pending = spread(inputs, partitions, max_input_partitions=sys.maxsize)
     winners = []
     for i, spec in enumerate(rounds, start=1):
         res = generate_round(pending, generator, spec, i, tag, renames, completion_only, validity)

@@ -92,19 +92,33 @@ def broadcast_if_small(small: DataFrame, n_rows: int) -> DataFrame:
     return F.broadcast(small) if n_rows <= limit else small
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over at least ``min_partitions`` tasks (default: the
-    cluster's default parallelism) when the scan yields fewer, e.g. a small
-    table in one Parquet row group feeding CPU-heavy regex or Python work.
+# Inputs with more partitions than this are never spread by default: at
+# ~128 MB per split that is ~32 GB, beyond which the input's own splits are
+# parallel enough and a full round-robin shuffle would cost more than it gains.
+DEFAULT_SPREAD_MAX_INPUT_PARTITIONS = 256
+
 
-    Planning only, no job; a large input already has many splits and passes
-    through untouched, so this never adds a shuffle at scale. Set
+def spread(df: DataFrame, min_partitions: int | None = None,
+           max_input_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over at least ``min_partitions`` tasks (default: the
+    cluster's default parallelism) when the scan yields fewer, e.g. a few
+    large multi-line CSV files (one task each) or a small table in one
+    Parquet row group feeding CPU-heavy regex or Python work.
+
+    Only inputs of at most ``max_input_partitions`` partitions are spread
+    (default ``markforge.spread.maxInputPartitions``, 256); a large input
+    with many splits passes through untouched even on a cluster with more
+    cores than splits. Callers whose per-row work dwarfs moving the rows
+    (generation) pass a larger bound. Planning only, no job. Set
     ``markforge.spread.enabled=false`` to see the at-scale plan shapes.
     """
     spark = df.sparkSession
     if spark.conf.get("markforge.spread.enabled", "true") != "true":
         return df
     want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    limit = max_input_partitions or int(spark.conf.get("markforge.spread.maxInputPartitions",
+                                                       str(DEFAULT_SPREAD_MAX_INPUT_PARTITIONS)))
+    have = df.rdd.getNumPartitions()
+    if have >= want or have > limit:
         return df
     return df.repartition(want)

@@ -157,3 +157,17 @@ def test_write_corpus_keep_and_observe_keep_the_order(spark):
         ids = [i for i in range(500) if (i % 4 == 0) == (split == "eval") and i % 5 != 0]
         assert got == sorted(ids, key=lambda i: hashlib.md5(f"shuffle:{i}".encode()).hexdigest())
     assert set(spark.read.parquet(out).columns) == {"id", "split"}
+
+
+def test_spread_leaves_large_inputs_alone(spark):
+    from markforge.session import spread
+
+    df = spark.range(1000).repartition(10)
+    assert spread(df, min_partitions=40).rdd.getNumPartitions() == 40
+    assert spread(df, min_partitions=40, max_input_partitions=5).rdd.getNumPartitions() == 10
+    spark.conf.set("markforge.spread.maxInputPartitions", "8")
+    try:
+        assert spread(df, min_partitions=40).rdd.getNumPartitions() == 10
+    finally:
+        spark.conf.unset("markforge.spread.maxInputPartitions")
+    assert spread(df, min_partitions=5).rdd.getNumPartitions() == 10
