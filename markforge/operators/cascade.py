@@ -111,9 +111,14 @@ def cascade(inputs: DataFrame, generator: Generator, rounds: Sequence[RoundSpec]
     Generation dominates the cost, so inputs arriving in fewer partitions
     than ``partitions`` (default: the cluster's parallelism) are first
     spread round-robin; a multi-line CSV of test prompts is one task per
-    file and would otherwise generate every row in one task.
+    file and would otherwise generate every row in one task. With ``stage``
+    the inputs are written first, so the rounds read stable inputs and the
+    spread is planned on a plain scan (counting the partitions of a plan
+    with an exchange would run it).
     """
     cols = inputs.columns
+    if stage:
+        inputs = materialize(inputs, "gen-inputs")
     # generation dominates: spread any under-partitioned input, however large
     pending = spread(inputs, partitions, max_input_partitions=sys.maxsize)
     winners = []

@@ -109,7 +109,9 @@ def spread(df: DataFrame, min_partitions: int | None = None,
     (default ``markforge.spread.maxInputPartitions``, 256); a large input
     with many splits passes through untouched even on a cluster with more
     cores than splits. Callers whose per-row work dwarfs moving the rows
-    (generation) pass a larger bound. Planning only, no job. Set
+    (generation) pass a larger bound. Call it on a scan or a plan without
+    exchanges: the partition count is then found by planning alone, while
+    for a plan with an exchange Spark runs that exchange to count them. Set
     ``markforge.spread.enabled=false`` to see the at-scale plan shapes.
     """
     spark = df.sparkSession

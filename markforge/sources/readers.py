@@ -65,16 +65,19 @@ def read_test_prompts(spark: SparkSession, path: str, id_col: str = "id", prompt
     return with_csv_position(df)
 
 
-def with_csv_position(df: DataFrame, out: str = "input_pos") -> DataFrame:
+def with_csv_position(df: DataFrame, out: str = "input_pos", spread_rows: bool = False) -> DataFrame:
     """File-order position for a multi-line CSV read (one task per file):
     file rank by path (from the driver's file index, one row per file,
     broadcast within the bound of ``broadcast_if_small``) times 2**33 plus
-    the row's index within its task."""
+    the row's index within its task. ``spread_rows`` round-robins the rows
+    (see ``spread``) once that index is taken, before the file-rank join."""
     spark = df.sparkSession
     files = sorted(re.sub(SCHEME, "", f) for f in df.inputFiles())
     ranks = spark.createDataFrame([(f, i) for i, f in enumerate(files)], "_fp string, _file_rank long")
     x = df.select("*", F.regexp_replace(F.col("_metadata.file_path"), SCHEME, "").alias("_fp"),
                   F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1)).alias("_row"))
+    if spread_rows:
+        x = spread(x)
     x = x.join(broadcast_if_small(ranks, len(files)), "_fp", "left")
     return x.withColumn(out, F.col("_file_rank") * F.lit(2**33) + F.col("_row")).drop("_fp", "_row", "_file_rank")
 
@@ -103,7 +106,7 @@ def read_source(spark: SparkSession, spec: SourceSpec, with_position: bool = Fal
             raw = read_csv_text(spark, path, spec.options.get("columns", cols))
             # A multi-line CSV is one task per file: spread a few large files
             # over the cluster before the per-row work (no-op with many files).
-            df = spread(with_csv_position(raw) if with_position else raw)
+            df = with_csv_position(raw, spread_rows=True) if with_position else spread(raw)
         else:
             df = spark.read.format(spec.format).options(**spec.options).load(path)
             if with_position:
