@@ -10,7 +10,6 @@ nondeterministic and a recomputed round would change which rows retry.
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -23,7 +22,7 @@ from markforge.functions.chat import completion_text, generation_prompt
 from markforge.functions.markup import extract_last_block, is_valid_markup, repair_attributes
 from markforge.functions.text import evaluate_once
 from markforge.functions.tokens import count_tokens, generation_budget
-from markforge.session import materialize, spread
+from markforge.session import materialize
 
 # A generator maps a pandas batch with columns (id, prompt, chat, round,
 # max_new_tokens) and the round's knobs to the decoded text of each row.
@@ -106,21 +105,17 @@ def cascade(inputs: DataFrame, generator: Generator, rounds: Sequence[RoundSpec]
     its failures, so the rows retried are exactly the rows that failed, even
     if an executor is lost. Winners of different rounds are disjoint, so the
     result is a plain union: no join, no grouping, and no exchange besides
-    the spread below.
-
-    Generation dominates the cost, so inputs arriving in fewer partitions
-    than ``partitions`` (default: the cluster's parallelism) are first
-    spread round-robin; a multi-line CSV of test prompts is one task per
-    file and would otherwise generate every row in one task. With ``stage``
-    the inputs are written first, so the rounds read stable inputs and the
-    spread is planned on a plain scan (counting the partitions of a plan
-    with an exchange would run it).
+    the deal of the inputs below.
+
+    Generation dominates the cost, so the inputs are first dealt
+    round-robin over ``partitions`` tasks (default: the cluster's
+    parallelism): every slot generates and tasks are balanced whatever the
+    input's partitioning (a multi-line CSV of test prompts is one task per
+    file). Moving the prompts costs little next to generating from them,
+    and the deal is deterministic, so a retried task gets the same rows.
     """
     cols = inputs.columns
-    if stage:
-        inputs = materialize(inputs, "gen-inputs")
-    # generation dominates: spread any under-partitioned input, however large
-    pending = spread(inputs, partitions, max_input_partitions=sys.maxsize)
+    pending = inputs.repartition(partitions or inputs.sparkSession.sparkContext.defaultParallelism)
     winners = []
     for i, spec in enumerate(rounds, start=1):
         res = generate_round(pending, generator, spec, i, tag, renames, completion_only, validity)
