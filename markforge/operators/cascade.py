@@ -96,7 +96,7 @@ def generate_round(inputs: DataFrame, generator: Generator, spec: RoundSpec, rou
 def cascade(inputs: DataFrame, generator: Generator, rounds: Sequence[RoundSpec] = DEFAULT_ROUNDS,
             tag: str = "svg", fallback_doc: str = FALLBACK_SVG, renames: dict | None = None,
             stage: bool = True, carry: Sequence[str] = (), completion_only: bool = False,
-            partitions: int | None = None, validity: str = "strict") -> DataFrame:
+            partitions: int | None = None, validity: str = "strict", deal: bool = True) -> DataFrame:
     """N-round generation: round i runs only on ids that failed rounds < i;
     ids failing every round get the fallback.
 
@@ -113,9 +113,12 @@ def cascade(inputs: DataFrame, generator: Generator, rounds: Sequence[RoundSpec]
     input's partitioning (a multi-line CSV of test prompts is one task per
     file). Moving the prompts costs little next to generating from them,
     and the deal is deterministic, so a retried task gets the same rows.
+    ``deal=False`` when the caller already dealt the rows (before rendering
+    and counting, as :func:`run_inference` does).
     """
     cols = inputs.columns
-    pending = inputs.repartition(partitions or inputs.sparkSession.sparkContext.defaultParallelism)
+    want = partitions or inputs.sparkSession.sparkContext.defaultParallelism
+    pending = inputs.repartition(want) if deal else inputs
     winners = []
     for i, spec in enumerate(rounds, start=1):
         res = generate_round(pending, generator, spec, i, tag, renames, completion_only, validity)

@@ -93,8 +93,10 @@ def candidates(spark: SparkSession, sf_dir: str, rounds: int = 2) -> DataFrame:
 
 
 def test_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Test table ``(id, prompt)``: whole text; NULL when doc_id%17=0."""
-    d = read_table(spark, sf_dir, "documents")
+    """Test table ``(id, prompt)``: whole text; NULL when doc_id%17=0.
+
+    Read as is: the cascade deals its inputs over the slots itself."""
+    d = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     prompt = F.when(_mod(F.col("doc_id"), 17) == 0, F.lit(None).cast("string")).otherwise(F.col("text"))
     return d.select(F.col("doc_id").alias("id"), prompt.alias("prompt"))
 

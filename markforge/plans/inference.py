@@ -21,10 +21,15 @@ def run_inference(test: DataFrame, generator: Generator, system_prompt: str,
                   counter: Callable[[str], int] | None = None, stage: bool = True,
                   carry: Sequence[str] = (), completion_only: bool = False,
                   partitions: int | None = None, validity: str = "strict") -> DataFrame:
-    """(id, svg, used_fallback, won_round), one row per test row."""
-    inputs = generation_inputs(test, system_prompt, id_col, prompt_col, compat_nan, counter, carry)
+    """(id, svg, used_fallback, won_round), one row per test row.
+
+    The test rows are dealt round-robin over the slots first, so rendering
+    and token counting run in parallel too and the shuffle carries each
+    prompt once (not again inside its rendered chat)."""
+    dealt = test.repartition(partitions or test.sparkSession.sparkContext.defaultParallelism)
+    inputs = generation_inputs(dealt, system_prompt, id_col, prompt_col, compat_nan, counter, carry)
     return cascade(inputs, generator, rounds, tag, fallback_doc, stage=stage, carry=carry,
-                   completion_only=completion_only, partitions=partitions, validity=validity)
+                   completion_only=completion_only, partitions=partitions, validity=validity, deal=False)
 
 
 def inference_job(spark: SparkSession, test_csv: str, generator: Generator, system_prompt: str,
