@@ -31,9 +31,9 @@ from markforge.llm.words import SLICE_BYTES, Words, document_of, slices
 
 WIDTH = 50
 # Windows kept back by a map task before it sends them; bounds its memory.
-PACK = 1_000_000
+PACK = 2_000_000
 
-_PACKED = "bucket int, settled boolean, docs binary, keys binary, doc_index binary, hashes binary, positions binary"
+_PACKED = "bucket int, settled boolean, docs binary, keys binary, counts binary, hashes binary, positions binary"
 _REMOVED = "doc_id long, row_key long, positions binary"
 
 
@@ -49,6 +49,29 @@ def _combine(docs, hashes, doc_index, positions):
     return order[~lost], order[lost]
 
 
+def _planes(values) -> bytes:
+    """int32 values, byte plane by byte plane: small values compress to about a byte."""
+    return np.ascontiguousarray(values.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _from_planes(raw: bytes):
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<i4").ravel()
+
+
+def _steps(positions, counts):
+    """Positions, ascending per document, as steps from the one before."""
+    steps = np.diff(positions, prepend=0)
+    at = np.cumsum(counts)[:-1]
+    steps[at] = positions[at]
+    return steps
+
+
+def _from_steps(steps, counts):
+    total = np.cumsum(steps, dtype=np.int64)
+    at = np.concatenate(([0], np.cumsum(counts)[:-1])).astype(np.int64)
+    return total - np.repeat(total[at] - steps[at], counts)
+
+
 def _by_document(docs, keys, doc_index, positions):
     """Rows (doc_id, row_key, positions) from entry arrays."""
     order = np.argsort(doc_index, kind="stable")
@@ -78,11 +101,10 @@ def _pack(width: int, buckets: int, pack: int):
                 pick, to = pick[order], to[order]
                 at = np.flatnonzero(np.concatenate(([True], to[1:] != to[:-1])))
                 for s, e in zip(at, [*at[1:], len(pick)]):
-                    used, local = np.unique(doc_index[pick[s:e]], return_inverse=True)
-                    rows.append((int(to[s]), settled, docs[used].tobytes(), keys[used].tobytes(),
-                                 local.astype(np.int32).tobytes(),
+                    used, counts = np.unique(doc_index[pick[s:e]], return_counts=True)
+                    rows.append((int(to[s]), settled, docs[used].tobytes(), keys[used].tobytes(), _planes(counts),
                                  b"" if settled else hashes[pick[s:e]].tobytes(),
-                                 positions[pick[s:e]].astype(np.int32).tobytes()))
+                                 _planes(_steps(positions[pick[s:e]], counts))))
                     if len(rows) >= 512:
                         yield _batch(rows)
                         rows = []
@@ -114,26 +136,24 @@ def _pack(width: int, buckets: int, pack: int):
 
 def _batch(rows) -> pa.RecordBatch:
     kinds = (pa.int32(), pa.bool_(), *[pa.binary()] * 5)
-    names = ("bucket", "settled", "docs", "keys", "doc_index", "hashes", "positions")
+    names = ("bucket", "settled", "docs", "keys", "counts", "hashes", "positions")
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
 
 def _settle(pdf: pd.DataFrame) -> pd.DataFrame:
     """One bucket: entries whose hash also starts in a smaller document."""
     out = []
-    opened = pdf[~pdf.settled]
-    for r in pdf[pdf.settled].itertuples():
-        out.extend(_by_document(np.frombuffer(r.docs, np.int64), np.frombuffer(r.keys, np.int64),
-                                np.frombuffer(r.doc_index, np.int32), np.frombuffer(r.positions, np.int32)))
-    if len(opened):
-        docs = np.concatenate([np.frombuffer(x, np.int64) for x in opened.docs])
-        keys = np.concatenate([np.frombuffer(x, np.int64) for x in opened["keys"]])
-        base = np.cumsum([0, *[len(x) // 8 for x in opened.docs]])
-        doc_index = np.concatenate([np.frombuffer(x, np.int32) + b for x, b in zip(opened.doc_index, base)])
-        hashes = np.concatenate([np.frombuffer(x, np.uint64) for x in opened.hashes])
-        positions = np.concatenate([np.frombuffer(x, np.int32) for x in opened.positions])
-        _, lost = _combine(docs, hashes, doc_index, positions)
-        out.extend(_by_document(docs, keys, doc_index[lost], positions[lost]))
+    for settled, rows in pdf.groupby("settled"):
+        docs = np.concatenate([np.frombuffer(x, np.int64) for x in rows.docs])
+        keys = np.concatenate([np.frombuffer(x, np.int64) for x in rows["keys"]])
+        counts = [_from_planes(x) for x in rows.counts]
+        positions = np.concatenate([_from_steps(_from_planes(x), c) for x, c in zip(rows.positions, counts)])
+        doc_index = np.repeat(np.arange(len(docs)), np.concatenate(counts))
+        if not settled:
+            hashes = np.concatenate([np.frombuffer(x, np.uint64) for x in rows.hashes])
+            lost = _combine(docs, hashes, doc_index, positions)[1]
+            doc_index, positions = doc_index[lost], positions[lost]
+        out.extend(_by_document(docs, keys, doc_index, positions))
     return pd.DataFrame(out, columns=["doc_id", "row_key", "positions"])
 
 
@@ -141,7 +161,7 @@ def removed_windows(docs: DataFrame, width: int = WIDTH, buckets: int | None = N
     """``(doc_id, row_key, positions)``: starts (packed int32) of every window
     that also starts in a document with a smaller id. ``docs`` is ``keyed``."""
     spark = docs.sparkSession
-    buckets = buckets or 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     packed = docs.select("doc_id", "text", "row_key").mapInArrow(_pack(width, buckets, pack), _PACKED)
     found = packed.groupBy("bucket").applyInPandas(_settle, _REMOVED)
     return found.groupBy("doc_id", "row_key").agg(F.collect_list("positions").alias("positions"))
