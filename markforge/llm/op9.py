@@ -40,7 +40,7 @@ _REMOVED = "doc_id long, row_key long, positions binary"
 def _combine(docs, hashes, doc_index, positions):
     """Split entries into those of the smallest document of each hash and the
     rest, which a smaller document of this slice removes."""
-    order = np.argsort(hashes, kind="stable")
+    order = np.argsort(hashes)
     h, d = hashes[order], docs[doc_index[order]]
     begins = np.concatenate(([True], h[1:] != h[:-1])) if len(h) else np.zeros(0, bool)
     group = np.cumsum(begins) - 1
@@ -50,16 +50,21 @@ def _combine(docs, hashes, doc_index, positions):
 
 
 def _planes(values) -> bytes:
-    """int32 values, byte plane by byte plane: small values compress to about a byte."""
-    return np.ascontiguousarray(values.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    """Whole numbers from 0, byte plane by byte plane, without the highest planes that are all zero."""
+    planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    return planes[:max(1, 8 - int(np.argmax(planes.any(axis=1)[::-1])))].tobytes()
 
 
-def _from_planes(raw: bytes):
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<i4").ravel()
+def _from_planes(raw: bytes, n: int):
+    planes = np.zeros((8, n), np.uint8)
+    got = np.frombuffer(raw, np.uint8).reshape(-1, n)
+    planes[:len(got)] = got
+    return np.ascontiguousarray(planes.T).view("<u8").ravel().astype(np.int64)
 
 
 def _steps(positions, counts):
     """Positions, ascending per document, as steps from the one before."""
+    positions = positions.astype(np.int64)
     steps = np.diff(positions, prepend=0)
     at = np.cumsum(counts)[:-1]
     steps[at] = positions[at]
@@ -92,12 +97,13 @@ def _pack(width: int, buckets: int, pack: int):
             doc_index, hashes, positions = (np.concatenate([x[i] for x in held]) for i in (2, 3, 4))
             keep, lost = _combine(docs, hashes, doc_index, positions)
             rows = []
-            for settled, pick in ((False, keep), (True, lost)):
+            for settled, pick in ((False, np.sort(keep)), (True, np.sort(lost))):
                 if not len(pick):
                     continue
                 # settled entries are dealt by document, open ones by hash
-                to = (hashes[pick] % np.uint64(buckets)).astype(np.int64) if not settled else doc_index[pick] % buckets
-                order = np.lexsort((positions[pick], doc_index[pick], to))
+                to = (doc_index[pick] if settled else hashes[pick]) % np.uint64(buckets)
+                to = to.astype(np.int16 if buckets < 1 << 15 else np.int32)
+                order = np.argsort(to, kind="stable")  # documents and positions stay ascending
                 pick, to = pick[order], to[order]
                 at = np.flatnonzero(np.concatenate(([True], to[1:] != to[:-1])))
                 for s, e in zip(at, [*at[1:], len(pick)]):
@@ -122,7 +128,8 @@ def _pack(width: int, buckets: int, pack: int):
             start, h, doc = start[known], h[known], doc[known]
             if not len(start):
                 continue
-            held.append((np.asarray(ids.fill_null(0)), np.asarray(row_keys), doc + n_docs, h, start - first[doc]))
+            held.append((np.asarray(ids.fill_null(0)), np.asarray(row_keys), (doc + n_docs).astype(np.int32), h,
+                         (start - first[doc]).astype(np.int32)))
             n_docs += part.num_rows
             n_held += len(start)
             if n_held >= pack:
@@ -146,8 +153,9 @@ def _settle(pdf: pd.DataFrame) -> pd.DataFrame:
     for settled, rows in pdf.groupby("settled"):
         docs = np.concatenate([np.frombuffer(x, np.int64) for x in rows.docs])
         keys = np.concatenate([np.frombuffer(x, np.int64) for x in rows["keys"]])
-        counts = [_from_planes(x) for x in rows.counts]
-        positions = np.concatenate([_from_steps(_from_planes(x), c) for x, c in zip(rows.positions, counts)])
+        counts = [_from_planes(x, len(d) // 8) for x, d in zip(rows.counts, rows.docs)]
+        positions = np.concatenate([_from_steps(_from_planes(x, int(c.sum())), c)
+                                    for x, c in zip(rows.positions, counts)])
         doc_index = np.repeat(np.arange(len(docs)), np.concatenate(counts))
         if not settled:
             hashes = np.concatenate([np.frombuffer(x, np.uint64) for x in rows.hashes])

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 SPACE = bytes([0x20, *range(0x09, 0x0E)])  # separators of [^\x20\x09-\x0D]+
 NOT_ALNUM = bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])  # of [^\x00-\x2F\x3A-\x60\x7B-\x7F]+
