@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+from markforge.llm.op1 import op1_language_id
+from markforge.llm.op5 import op5_benchmark_decontamination
+from markforge.llm.op6 import op6_quality_rules
+from markforge.llm.op8 import op8_license_scan
 from markforge.llm.op9 import op9_substring_dedup
 
-QUERIES = {"op9_substring_dedup": op9_substring_dedup}
+QUERIES = {f.__name__: f for f in (op1_language_id, op5_benchmark_decontamination, op6_quality_rules, op8_license_scan,
+                                   op9_substring_dedup)}
 ORACLES: dict[str, str] = {}
