@@ -124,6 +124,15 @@ class Words:
         h = polynomial(hashes, starts, ends, self.windows_of)
         return mix64(h + (ends - starts).astype(np.uint64) * np.uint64(_ODD))
 
+    def deletions(self, hashes: np.ndarray) -> np.ndarray:
+        """For each p, the hash (as of ``spans``) of the words without word p."""
+        n = len(hashes)
+        at = np.arange(n)
+        left = polynomial(hashes, np.zeros(n, np.int64), at, self.windows_of)
+        right = polynomial(hashes, at + 1, np.full(n, n), self.windows_of)
+        h = left + self.windows_of.get(n + 1)[0][:n] * right
+        return mix64(h + np.full(n, n - 1, np.uint64) * np.uint64(_ODD))
+
     def windows(self, hashes: np.ndarray, first: np.ndarray, width: int):
         """``(start, hash)`` of every window of ``width`` words inside one document."""
         n = len(hashes)
