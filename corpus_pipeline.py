@@ -1,15 +1,64 @@
-"""Corpus pipeline: the stages, in order, over ``documents``."""
+"""Corpus pipeline: the stages, in order, over ``documents``.
+
+Each stage takes and returns whole rows of documents (other columns ride along)
+and is judged on its own input; the last one adds ``mix_rate`` and ``mix_copies``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from markforge.llm.common import attach, checked_broadcast, staged, without
+from markforge.llm.op1 import held_out, language_id
+from markforge.llm.op2 import line_dedup
+from markforge.llm.op3 import near_duplicates
+from markforge.llm.op5 import benchmark_hits
+from markforge.llm.op7 import mix_sources
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or without a learned language, go."""
+    found = language_id(docs, docs.filter(~held_out()))
+    return without(docs, found.filter("lang_pred = 'und'"), "stage-language")
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated and near-repeated lines go, all but the earliest; a document that loses all its words goes."""
+    found = line_dedup(docs).filter("n_removed > 0").select("doc_id", "row_key", "kept_text").dropDuplicates(["doc_id", "row_key"])
+    changed = attach(docs, staged(found, "stage-lines"))
+    text = F.when(F.col("__d_row_key").isNull(), docs["text"]).otherwise(F.col("__d_kept_text"))
+    left = changed.filter(F.col("__d_row_key").isNull() | F.col("__d_kept_text").rlike("[^\\x20\\x09-\\x0D]"))
+    return left.select(*(text.alias(c) if c == "text" else docs[c] for c in docs.columns))
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays, the one with the smallest id."""
+    return without(docs, near_duplicates(docs).filter(~F.col("kept")), "stage-near")
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Contaminated documents go."""
+    hits = benchmark_hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return without(docs, hits.filter("contaminated"), "stage-benchmark")
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rates that mix the labelled domains to their targets; rows with no copy go."""
+    mixed = mix_sources(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    mixed = staged(mixed.select("doc_id", "row_key", "rate", "copies").dropDuplicates(["doc_id", "row_key"]), "stage-mixing")
+    rows = attach(docs, checked_broadcast(mixed), "inner").filter("__d_copies > 0")
+    return rows.select(*(docs[c] for c in docs.columns if c not in ("mix_rate", "mix_copies")),
+                       F.col("__d_rate").alias("mix_rate"), F.col("__d_copies").alias("mix_copies"))
+
 
-STAGES = []
+STAGES = [("language_id", language), ("line_dedup", lines), ("near_dedup", near), ("decontamination", benchmark),
+          ("mixing", mixing)]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -44,3 +44,23 @@ def by_key(docs: DataFrame, decisions: DataFrame, how: str = "left") -> DataFram
     """Join ``keyed`` rows with decisions on (doc_id, row_key), null ids included."""
     d = decisions.withColumnsRenamed({"doc_id": "__id", "row_key": "__key"})
     return docs.join(d, docs["doc_id"].eqNullSafe(d["__id"]) & (docs["row_key"] == d["__key"]), how).drop("__id", "__key")
+
+
+def keys_of(docs: DataFrame) -> tuple[Column, Column]:
+    """The key columns of rows that are not ``keyed`` (they may hold any other columns)."""
+    return docs["doc_id"].cast("long"), F.xxhash64(docs["doc_id"], docs["text"])
+
+
+def attach(docs: DataFrame, decisions: DataFrame, how: str = "left") -> DataFrame:
+    """Whole rows of ``docs`` joined with decisions by key; decision columns
+    come as ``__d_<name>``, so they never clash."""
+    side = decisions.select(F.col("doc_id").alias("__d_doc_id"), F.col("row_key").alias("__d_row_key"),
+                            *(F.col(c).alias(f"__d_{c}") for c in decisions.columns if c not in ("doc_id", "row_key")))
+    doc_id, row_key = keys_of(docs)
+    return docs.join(side, doc_id.eqNullSafe(side["__d_doc_id"]) & (row_key == side["__d_row_key"]), how)
+
+
+def without(docs: DataFrame, dropped: DataFrame, name: str) -> DataFrame:
+    """Rows of ``docs`` that are not among the ``dropped`` keys."""
+    dropped = staged(dropped.select("doc_id", "row_key").distinct(), name)
+    return attach(docs, checked_broadcast(dropped), "left_anti")

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from markforge.llm.common import keyed
 from markforge.llm.words import mix64, slices
 
 DIMENSIONS = 512
@@ -147,20 +148,20 @@ def _predict(languages, made, mean, dimensions: int, n: int):
             else:
                 top, name = np.zeros(part.num_rows), ["und"] * part.num_rows
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(name, pa.string()), pa.array(np.where(has, top, 0.0), pa.float64())],
-                ["doc_id", "lang_pred", "score"])
+                [part.column(0), part.column(2), pa.array(name, pa.string()), pa.array(np.where(has, top, 0.0), pa.float64())],
+                ["doc_id", "row_key", "lang_pred", "score"])
 
     return run
 
 
 def language_id(docs: DataFrame, train: DataFrame, dimensions: int = DIMENSIONS, n: int = N,
                 sample: int = SAMPLE) -> DataFrame:
-    """``doc_id, lang_pred, score`` for every row of ``docs`` (``doc_id, text``)
+    """``doc_id, row_key, lang_pred, score`` for every row of ``docs`` (``doc_id, text``)
     by prototypes learned from ``train`` (``doc_id, lang, text``)."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     learned = prototypes(train.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"),
                                       F.col("doc_id")), dimensions, n, sample)
-    return rows.mapInArrow(_predict(*learned, dimensions, n), "doc_id long, lang_pred string, score double")
+    return keyed(docs).mapInArrow(_predict(*learned, dimensions, n),
+                                  "doc_id long, row_key long, lang_pred string, score double")
 
 
 def held_out(doc_id="doc_id"):

@@ -170,9 +170,9 @@ def _kept(batches):
             ["doc_id", "row_key", "n_lines", "n_removed", "n_near", "kept_text", "kept_sha256"])
 
 
-def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, min_near: int = MIN_NEAR) -> DataFrame:
-    """Per document: ``doc_id, row_key, n_lines, n_removed, n_near`` (removed
-    for an earlier line that is near, not equal), ``kept_text, kept_sha256``."""
+def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, min_near: int = MIN_NEAR) -> DataFrame:
+    """Staged ``doc_id, row_key, lines`` (numbers of removed lines) ``, n_near``
+    of the documents that lose a line."""
     rows = keyed(docs)
     lines = staged(rows.select("doc_id", "text", "row_key").mapInArrow(
         _hashed(min_words, min_near), "doc_id long, row_key long, line long, hash long, halves array<long>")
@@ -187,7 +187,14 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, min_near: int = MIN_
         F.collect_set("line").alias("lines"), F.count_distinct(F.when(is_first, F.col("line"))).alias("n_near"))
     gone = staged(gone, "op2-gone")
     release(lines, firsts)
-    joined = by_key(rows, checked_broadcast(gone, F.size("lines") * 8)).select("doc_id", "lines", "n_near", "row_key", "text")
+    return gone
+
+
+def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, min_near: int = MIN_NEAR) -> DataFrame:
+    """Per document: ``doc_id, row_key, n_lines, n_removed, n_near`` (removed
+    for an earlier line that is near, not equal), ``kept_text, kept_sha256``."""
+    gone = checked_broadcast(removed_lines(docs, min_words, min_near), F.size("lines") * 8)
+    joined = by_key(keyed(docs), gone).select("doc_id", "lines", "n_near", "row_key", "text")
     return joined.mapInArrow(_kept, "doc_id long, row_key long, n_lines long, n_removed long, n_near long, "
                                     "kept_text string, kept_sha256 string")
 
