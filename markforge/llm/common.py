@@ -33,9 +33,18 @@ def checked_broadcast(side: DataFrame, payload: Column | None = None, limit: int
     return F.broadcast(side) if size <= limit else side
 
 
+def bounded_batches(spark, rows: int = 1000) -> None:
+    """Arrow batches of whole texts are kept to ``rows`` rows in this session: a
+    task and its Python worker each hold two of them."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, text, row_key)``: rows of equal id and text share a key, rows
     of equal id and other text do not, so decisions find their own row."""
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                        F.xxhash64(F.col(id_col), F.col(text_col)).alias("row_key"))
 

@@ -34,7 +34,7 @@ WIDTH = 50
 PACK = 2_000_000
 
 _PACKED = "bucket int, settled boolean, docs binary, keys binary, counts binary, hashes binary, positions binary"
-_REMOVED = "doc_id long, row_key long, positions binary"
+_REMOVED = "doc_id long, row_key long, position int"
 
 
 def _combine(docs, hashes, doc_index, positions):
@@ -77,15 +77,6 @@ def _from_steps(steps, counts):
     return total - np.repeat(total[at] - steps[at], counts)
 
 
-def _by_document(docs, keys, doc_index, positions):
-    """Rows (doc_id, row_key, positions) from entry arrays."""
-    order = np.argsort(doc_index, kind="stable")
-    doc_index, positions = doc_index[order], positions[order]
-    at = np.flatnonzero(np.concatenate(([True], doc_index[1:] != doc_index[:-1]))) if len(order) else []
-    for s, e in zip(at, [*at[1:], len(order)]):
-        yield int(docs[doc_index[s]]), int(keys[doc_index[s]]), positions[s:e].astype(np.int32).tobytes()
-
-
 def _pack(width: int, buckets: int, pack: int):
     def run(batches):
         words = Words()
@@ -161,47 +152,55 @@ def _settle(pdf: pd.DataFrame) -> pd.DataFrame:
             hashes = np.concatenate([np.frombuffer(x, np.uint64) for x in rows.hashes])
             lost = _combine(docs, hashes, doc_index, positions)[1]
             doc_index, positions = doc_index[lost], positions[lost]
-        out.extend(_by_document(docs, keys, doc_index, positions))
-    return pd.DataFrame(out, columns=["doc_id", "row_key", "positions"])
+        out.append(pd.DataFrame({"doc_id": docs[doc_index], "row_key": keys[doc_index], "position": positions.astype(np.int32)}))
+    return pd.concat(out)
+
+
+def _merge(width: int):
+    """Window starts of a document as bounds of the intervals they cover."""
+
+    def run(batches):
+        for batch in batches:
+            bounds = []
+            for starts in batch.column(2).to_pylist():
+                p = np.unique(np.asarray(starts, np.int64))
+                apart = np.flatnonzero(np.diff(p) > width)
+                lo, hi = p[np.concatenate(([0], apart + 1))], p[np.concatenate((apart, [len(p) - 1]))] + width
+                bounds.append(np.stack((lo, hi), axis=1).ravel().tolist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bounds, pa.list_(pa.int64()))],
+                                             ["doc_id", "row_key", "removed"])
+
+    return run
 
 
 def removed_windows(docs: DataFrame, width: int = WIDTH, buckets: int | None = None, pack: int = PACK) -> DataFrame:
-    """``(doc_id, row_key, positions)``: starts (packed int32) of every window
-    that also starts in a document with a smaller id. ``docs`` is ``keyed``."""
+    """``(doc_id, row_key, removed)``: bounds of the intervals covered by windows
+    that also start in a document with a smaller id. ``docs`` is ``keyed``."""
     spark = docs.sparkSession
     buckets = buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     packed = docs.select("doc_id", "text", "row_key").mapInArrow(_pack(width, buckets, pack), _PACKED)
     found = packed.groupBy("bucket").applyInPandas(_settle, _REMOVED)
-    return found.groupBy("doc_id", "row_key").agg(F.collect_list("positions").alias("positions"))
-
-
-def _kept(width: int):
-    def run(batches):
-        words = Words()
-        for part, buf, offsets in slices(batches):
-            starts, ends, first = words.split(buf, offsets)
-            lists = part.column(1).to_pylist()
-            raw = buf.tobytes()
-            rows = []
-            for i, starts_of in enumerate(lists):
-                a, b = first[i], first[i + 1]
-                gone = np.zeros(b - a + 1, np.int32)
-                if starts_of:
-                    p = np.unique(np.concatenate([np.frombuffer(x, np.int32) for x in starts_of]))
-                    gone[p] += 1
-                    np.subtract.at(gone, p + width, 1)
-                keep = np.cumsum(gone[:-1]) == 0
-                text = b" ".join([raw[s:e] for s, e in zip(starts[a:b][keep].tolist(), ends[a:b][keep].tolist())])
-                edge = np.flatnonzero(np.diff(np.concatenate(([0], (~keep).astype(np.int8), [0]))))
-                rows.append((int(b - a), int(b - a - keep.sum()), text.decode(), hashlib.sha256(text).hexdigest(),
-                             edge.tolist()))
-            n_words, n_removed, kept, sha, spans = zip(*rows)
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
-                 pa.array(kept, pa.string()), pa.array(sha, pa.string()), pa.array(spans, pa.list_(pa.int64()))],
-                ["doc_id", "n_words", "n_removed", "kept_text", "kept_sha256", "removed"])
-
-    return run
+    found = found.groupBy("doc_id", "row_key").agg(F.collect_list("position").alias("positions"))
+    return found.mapInArrow(_merge(width), "doc_id long, row_key long, removed array<long>")
+
+
+def _kept(batches):
+    words = Words()
+    for part, buf, offsets in slices(batches):
+        starts, ends, first = words.split(buf, offsets)
+        raw, rows = buf.tobytes(), []
+        for i, bounds in enumerate(part.column(1).to_pylist()):
+            a, b = first[i], first[i + 1]
+            keep = np.ones(b - a, bool)
+            for s, e in zip(*[iter(bounds or ())] * 2):
+                keep[s:e] = False
+            text = b" ".join([raw[s:e] for s, e in zip(starts[a:b][keep].tolist(), ends[a:b][keep].tolist())])
+            rows.append((int(b - a), int(b - a - keep.sum()), text.decode(), hashlib.sha256(text).hexdigest(), bounds or []))
+        n_words, n_removed, kept, sha, spans = zip(*rows)
+        yield pa.RecordBatch.from_arrays(
+            [part.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
+             pa.array(kept, pa.string()), pa.array(sha, pa.string()), pa.array(spans, pa.list_(pa.int64()))],
+            ["doc_id", "n_words", "n_removed", "kept_text", "kept_sha256", "removed"])
 
 
 def substring_dedup(docs: DataFrame, width: int = WIDTH, buckets: int | None = None) -> DataFrame:
@@ -209,9 +208,9 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, buckets: int | None = N
     removed`` (bounds of the maximal removed word intervals: start, end, start, ...)."""
     rows = keyed(docs)
     found = staged(removed_windows(rows, width, buckets), "op9-removed")
-    side = checked_broadcast(found, F.expr("aggregate(positions, 0L, (a, x) -> a + length(x))"))
-    joined = by_key(rows, side).select("doc_id", "positions", "text")
-    return joined.mapInArrow(_kept(width), "doc_id long, n_words long, n_removed long, kept_text string, "
+    side = checked_broadcast(found, F.size("removed") * 8)
+    joined = by_key(rows, side).select("doc_id", "removed", "text")
+    return joined.mapInArrow(_kept, "doc_id long, n_words long, n_removed long, kept_text string, "
                                            "kept_sha256 string, removed array<long>")
 
 
