@@ -10,8 +10,8 @@ A document is its set of distinct 5-word shingles; documents with
    ``LEAF`` classes are leaves, larger ones branch again. In a larger node the
    classes that look alike its smallest one are compared with it in leaves of
    their own and then count as one group, so a node of one group ends there and
-   a huge family of near copies costs linear work. What is still large at
-   ``DEPTH`` is compared block against block, exhaustively.
+   a huge family of near copies costs linear work. A node at ``DEPTH`` of at
+   most ``DENSE`` classes is a leaf; a larger one is compared block against block.
 3. Leaves drop classes whose signature agrees with no other one of the leaf in half
    the coordinates (a true link fails that with probability 1e-5). Equal leaves of
    several trees are compared once.
@@ -38,7 +38,8 @@ from markforge.llm.common import by_key, checked_broadcast, keyed, release, stag
 from markforge.llm.words import Words, document_of, mix64, slices
 
 WIDTH, PERCENT = 5, 75
-COORDINATES, TREES, LEAF, DEPTH = 64, 10, 64, 6
+COORDINATES, TREES, LEAF, DEPTH = 64, 10, 128, 4
+DENSE = 4096  # classes of a node at DEPTH that one task compares
 ALIKE = 32  # equal coordinates that make a pair worth comparing
 _SEEDS = mix64(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
@@ -142,25 +143,24 @@ def _look_alikes(batches):
     for table in _whole_groups(batches):
         key, node, part = (table.column(i).to_numpy() for i in range(3))
         signature = _matrix(table.column(3))
-        label, near = np.arange(len(key)), []
+        row = np.arange(len(key))
+        label, used = row.copy(), np.zeros(len(key), bool)
         end = np.searchsorted(key, key, "right")
-        for d in range(1, int((end - np.arange(len(key))).max())):
-            i = np.flatnonzero(np.arange(len(key)) + d < end)
+        for d in range(1, int((end - row).max())):
+            i = np.flatnonzero(row + d < end)
             i = i[(part[i] != part[i + d]) & (node[i] != node[i + d])]
             i = i[(signature[i] == signature[i + d]).sum(axis=1) >= ALIKE]
-            near.append(np.stack((i, i + d)))
-        if not near:
-            continue
-        a, b = np.concatenate(near, axis=1)
-        while True:  # smallest label over the pairs of a leaf
-            least = np.minimum(label[a], label[b])
-            before = label.copy()
-            np.minimum.at(label, a, least)
-            np.minimum.at(label, b, least)
-            label = label[label]
-            if (label == before).all():
-                break
-        used = np.unique(np.concatenate((a, b)))
+            used[i] = used[i + d] = True
+            i = i[label[i] != label[i + d]]
+            while len(i):  # unite the labels of each pair
+                a, b = label[i], label[i + d]
+                to = row.copy()
+                np.minimum.at(to, np.maximum(a, b), np.minimum(a, b))
+                while (to[to] != to).any():
+                    to = to[to]
+                label = to[label]
+                i = i[label[i] != label[i + d]]
+        used = np.flatnonzero(used)
         order = used[np.lexsort((node[used], label[used]))]
         if not len(order):
             continue
@@ -233,9 +233,10 @@ def _leaves(classes: DataFrame, trees: int) -> list[DataFrame]:
         if large.isEmpty():
             return out
         if depth == DEPTH:
-            blocks = F.ceil(F.col("n") / (LEAF // 2))
+            out.append(large.filter(F.col("n") <= DENSE).select("key", "node", "part"))
+            blocks = F.ceil(F.col("n") / (DENSE // 2))
             mine = F.pmod(F.xxhash64("node", "key"), blocks)
-            pairs = large.select("key", "node", "part", mine.alias("x"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("y"))
+            pairs = large.filter(F.col("n") > DENSE).select("key", "node", "part", mine.alias("x"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("y"))
             out.append(pairs.select(F.xxhash64("key", F.least("x", "y"), F.greatest("x", "y")).alias("key"), "node", "part"))
             return out
         pivots = large.groupBy("key").agg(F.first("pivot").alias("node")).join(classes.select("node", "signature"), "node")
