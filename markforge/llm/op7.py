@@ -1,9 +1,9 @@
 """Mixing sources to target weights by soft membership, in DataFrame functions only.
 
-A multinomial naive Bayes classifier, fitted on a sample of the labelled rows of
+A naive Bayes classifier, fitted on a sample of the labelled rows of
 about ``SAMPLE`` rows (those with the smallest hash of their id), gives each
-document a posterior over domains; its features are hashed words and hashed word
-ends, counted in Spark. With ``a[i,d] = posterior * words / all words``, the
+document a posterior over domains; its features are the presence of
+hashed words and hashed word ends, counted in documents; only those whose odds differ surely between domains count. With ``a[i,d] = posterior * words / all words``, the
 rates ``r[i] >= 0`` minimise the squared distance between ``sum_i r[i] a[i,d]`` and the
 target weights by projected gradient from ``r = 1``. The gradient is taken per
 word, so a long document is not pushed harder than a short one. An
@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from markforge.llm.common import checked_broadcast, staged
 
 SPACES = "[\\x20\\x09-\\x0D]+"
-BUCKETS = 4096
-SAMPLE = 10_000
+BUCKETS = 1 << 15
+SAMPLE = 20_000
 STEPS, TOLERANCE = 60, 1e-3
 
 # Domains of the labels table and the shares of words they should have.
@@ -36,31 +36,40 @@ DOMAINS = {"good": "quality = 1 and toxic = 0", "low": "quality = 0 and toxic =
 TARGETS = {"good": 0.85, "low": 0.10, "toxic": 0.05}
 
 
-def features(text: Column, buckets: int) -> list[Column]:
-    """The word ``w`` of an exploded text as two buckets from 1: of the word
-    and, in a second range, of its last three characters."""
-    return [(F.pmod(F.xxhash64(F.lower(text)), F.lit(buckets)) + 1).cast("int"),
-            (F.pmod(F.xxhash64(F.right(text, F.lit(3))), F.lit(buckets)) + 1 + buckets).cast("int")]
+def words(text: Column) -> Column:
+    return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")
 
 
-def exploded(rows: DataFrame, *keep: str) -> DataFrame:
-    """One row per word ``w`` (an empty one for a text that starts with a blank or has no word)."""
-    return rows.select(*keep, F.explode(F.split(F.coalesce("text", F.lit("")), SPACES)).alias("w"))
+def features(ws: Column, buckets: int) -> Column:
+    """The distinct feature buckets of a document, from 1: of its words and, in a
+    second range, of their last three characters."""
+    ws = F.array_distinct(ws)
+    whole = F.transform(ws, lambda w: (F.pmod(F.xxhash64(F.lower(w)), F.lit(buckets)) + 1).cast("int"))
+    ends = F.transform(ws, lambda w: (F.pmod(F.xxhash64(F.right(w, F.lit(3))), F.lit(buckets)) + 1 + buckets).cast("int"))
+    return F.array_distinct(F.concat(whole, ends))
 
 
-def fit(labelled: DataFrame, domains: list[str], buckets: int = BUCKETS, smoothing: float = 0.5):
-    """Log priors and, per domain, log-probabilities of the feature buckets,
-    from a bounded sample of rows ``text, domain``."""
+def fit(labelled: DataFrame, domains: list[str], buckets: int = BUCKETS, smoothing: float = 1.0,
+        least: float = 1.1, sure: float = 6.0):
+    """Log priors and, per domain but the first, log odds of the feature buckets
+    against the first, from a bounded sample of rows ``text, domain``. A bucket
+    counts if its log odds are at least ``least`` and ``sure`` standard errors."""
     prior = {r["domain"]: r["count"] for r in labelled.groupBy("domain").count().collect()}
     # at most domains x 2 x buckets rows
-    counts = (exploded(labelled, "domain").filter("w <> ''")
-              .select("domain", F.explode(F.array(*features(F.col("w"), buckets))).alias("b")).groupBy("domain", "b").count())
+    counts = (labelled.select("domain", F.explode(features(words(F.col("text")), buckets)).alias("b"))
+              .groupBy("domain", "b").count())
     table = {d: [smoothing] * (2 * buckets) for d in domains}
     for r in counts.collect():
         table[r["domain"]][r["b"] - 1] += r["count"]
-    words = {d: math.log(sum(t[:buckets])) for d, t in table.items()}
-    logs = {d: [math.log(x) - words[d] for x in t] for d, t in table.items()}
-    return {d: math.log((prior.get(d, 0) + 1) / (sum(prior.values()) + len(domains))) for d in domains}, logs
+    base, docs = table[domains[0]], {d: math.log(prior.get(d, 0) + 2 * smoothing) for d in domains}
+
+    def odds(d, x, y):  # chance differences of many common words must not add up in a long text
+        ratio = math.log(x / y) - docs[d] + docs[domains[0]]
+        return ratio if abs(ratio) >= max(least, sure * math.sqrt(1 / x + 1 / y)) else 0.0
+
+    total = sum(prior.values()) + len(domains)
+    return ({d: math.log((prior.get(d, 0) + 1) / total) for d in domains},
+            {d: [odds(d, x, y) for x, y in zip(table[d], base)] for d in domains[1:]})
 
 
 def _constant(values: list[float]) -> Column:
@@ -70,19 +79,13 @@ def _constant(values: list[float]) -> Column:
 
 def posteriors(docs: DataFrame, model, domains: list[str], buckets: int = BUCKETS, keep=("doc_id",)) -> DataFrame:
     """``keep`` columns, ``n_tokens`` and the posterior ``p_<domain>`` per row of
-    ``docs``. Words are scored where they are read; only one sum per document is shuffled."""
+    ``docs``. Features are scored where the text is read; only one sum per document is shuffled."""
     priors, logs = model
     base = domains[0]
-    w = exploded(docs.withColumn("__row", F.monotonically_increasing_id()), "__row", *keep)
-    is_word = F.col("w") != ""
-    w = w.select("__row", *keep, is_word.cast("int").alias("is_word"), *(
-        c.alias(n) for c, n in zip(features(F.col("w"), buckets), ("b", "e"))))
-
-    def odds(name):  # against the first domain
-        table = _constant([x - y for x, y in zip(logs[name], logs[base])])
-        return F.sum(F.when(F.col("is_word") == 1, F.element_at(table, F.col("b")) + F.element_at(table, F.col("e"))).otherwise(0.0))
-
-    d = w.groupBy("__row", *keep).agg(F.sum("is_word").alias("n_tokens"), *(odds(x).alias(f"s_{x}") for x in domains[1:]))
+    d = docs.select(F.monotonically_increasing_id().alias("__row"), *keep, words(F.col("text")).alias("ws"))
+    d = d.select("__row", *keep, F.size("ws").cast("long").alias("n_tokens"), F.explode_outer(features(F.col("ws"), buckets)).alias("b"))
+    d = d.groupBy("__row", *keep, "n_tokens").agg(*(
+        F.sum(F.coalesce(F.element_at(_constant(logs[x]), F.col("b")), F.lit(0.0))).alias(f"s_{x}") for x in domains[1:]))
     s = {x: F.col(f"s_{x}") + (priors[x] - priors[base]) for x in domains[1:]} | {base: F.lit(0.0)}
     top = F.greatest(*s.values()) if len(s) > 1 else F.lit(0.0)
     d = d.select(*keep, "n_tokens", *(F.exp(s[x] - top).alias(f"e_{x}") for x in domains))
@@ -115,11 +118,13 @@ def fit_rates(scored: DataFrame, targets: dict[str, float], steps: int = STEPS,
     step = 1.0 / _largest(gram)
     rate, shares = F.lit(1.0), {}
     for _ in range(steps):
+        before = shares
         row = scored.agg(*(F.sum(rate * n * p[d]).alias(d) for d in domains)).first()
         shares = {d: (row[d] or 0.0) / total for d in domains}
         miss = {d: shares[d] - targets[d] for d in domains}
-        if max(abs(x) for x in miss.values()) <= tolerance or not got["n"]:
-            break
+        still = before and max(abs(shares[d] - before[d]) for d in domains) <= tolerance / 50
+        if still or max(abs(x) for x in miss.values()) <= tolerance or not got["n"]:
+            break  # the targets are met, or as near as rates of 0 and more can come
         push = sum((F.lit(step * miss[d]) * p[d] for d in domains[1:]), F.lit(step * miss[domains[0]]) * p[domains[0]])
         rate = F.greatest(F.lit(0.0), rate - push)
     return F.when(F.col("n_tokens") > 0, rate).otherwise(F.lit(1.0)), shares
