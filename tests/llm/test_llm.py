@@ -20,7 +20,7 @@ def low(text):
 
 def fixture_rows():
     rnd = random.Random(5)
-    word = [f"w{i}é" if i % 7 == 0 else f"W{i}" for i in range(400)]
+    word = [f"w{i}é" if i % 7 == 0 else f"W{i}" for i in range(1200)]
     passage = " ".join(rnd.choice(word) for _ in range(70))
     near = [rnd.choice(word) for _ in range(120)]
     rows = [(i, " ".join(rnd.choice(word) for _ in range(rnd.randrange(60)))) for i in range(30)]
@@ -110,8 +110,11 @@ def test_near_dedup(docs, rows, empty):
                 if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
                     component[a] = component[b] = min(component[a], component[b])
     for r in op3.near_duplicates(docs).collect():
+        if r.doc_id is None:
+            assert r.component_id is None and r.kept
+            continue
         assert r.n_shingles == len(sets[r.doc_id])
-        assert r.component_id == component.get(r.doc_id) and r.kept == (r.doc_id == r.component_id or r.doc_id is None)
+        assert r.component_id == component[r.doc_id] and r.kept == (r.doc_id == r.component_id)
     assert len(set(component.values())) < len(ids)
     assert op3.near_duplicates(empty).count() == 0
 
@@ -174,7 +177,7 @@ def test_longest_repeats(spark):
 def test_license_scan(docs, rows, empty):
     got = {r.doc_id: r for r in op8.license_scan(docs).collect()}
     assert got[60].base_labels == "apache,gpl,mit" and "apache-2.0" in got[60].labels.split(",")
-    assert (got[60].n_base, got[60].first_word, got[60].last_word, got[60].score) == (3, 3, 12, 1.0)
+    assert (got[60].n_base, got[60].first_word, got[60].last_word, got[60].score) == (3, 3, 11, 1.0)
     assert got[50].labels == "" and got[50].n_words == 0 and got[50].score == 0 and got[50].first_word is None
     assert op8.license_scan(empty).count() == 0
 
@@ -213,9 +216,9 @@ def test_chats_round_trip(spark):
 
 def test_rates_meet_targets(spark):
     rnd = random.Random(1)
-    rows = [(i, " ".join(rnd.choice(["good", "fine", "well"] if i % 4 else ["bad", "poor"]) for _ in range(20 + i % 50))) for i in range(400)]
-    docs = spark.createDataFrame([*rows, (900, None), (None, "good"), (901, "")], "doc_id long, text string")
-    labels = spark.createDataFrame([(i, int(i % 4 > 0), 0) for i in range(300)] + [(None, 1, 0), (5000, None, None)],
+    rows = [(i, " ".join(rnd.choice(["good", "fine", "well"] if i % 4 else ["bad", "poor"]) for _ in range(20 + i % 50))) for i in range(1200)]
+    docs = spark.createDataFrame([*rows, (1900, None), (None, "good"), (1901, "")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 > 0), 0) for i in range(1000)] + [(None, 1, 0), (5000, None, None)],
                                    "doc_id long, quality int, toxic int")
     got = op7.mix_sources(docs, labels, {"good": 0.6, "low": 0.4}).collect()
     total = sum(r.n_tokens for r in got)
