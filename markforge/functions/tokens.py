@@ -37,7 +37,7 @@ def count_tokens(c: Column | str, counter: Callable[[str], int] | None = None) -
     Python worker, not per row. The callable may also be a zero-argument
     factory marked with ``counter.is_factory = True``; one marked
     ``batch = True`` takes the list of non-null texts of an Arrow batch and
-    returns their counts (see :func:`bpe_counter`).
+    returns their counts (one call per Arrow batch).
     """
     c = _col(c)
     if counter is None:
@@ -62,53 +62,6 @@ def count_tokens(c: Column | str, counter: Callable[[str], int] | None = None) -
     return _count(c)
 
 
-def _load_bpe(vocab: str):
-    """A ``tiktoken`` encoding over an installed public byte-level BPE vocabulary."""
-    try:
-        import base64
-
-        import public_tokenizers as vocabs
-        import tiktoken
-    except ImportError as e:  # pragma: no cover - depends on the install
-        raise RuntimeError("BPE counting needs tiktoken and the public_tokenizers vocabularies") from e
-    with open(vocabs.path(f"{vocab}.tiktoken"), "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in (ln.split() for ln in f if ln.strip())}
-    return tiktoken.Encoding(vocab, pat_str=vocabs.PATTERN, mergeable_ranks=ranks, special_tokens={})
-
-
-def bpe_counter(vocab: str = "byte_bpe_50k") -> Callable[[], Callable[[list[str]], list[int]]]:
-    """A subword token counter over an installed byte-level BPE vocabulary
-    (``byte_bpe_50k`` or ``byte_bpe_multi_50k`` of the ``public_tokenizers``
-    package, read as ``tiktoken`` ranks; no network), for ``count_tokens``.
-
-    The reference counts with its model's byte-level BPE tokenizer, which
-    needs a download; a public vocabulary of the same kind gives counts of
-    the same nature, unlike the regex proxy (they still differ in number).
-    Text is encoded as ordinary text: chat markers are not special tokens
-    of these vocabularies. Returned as a batch factory: the vocabulary loads
-    once per Python worker and each Arrow batch is encoded in one call.
-    """
-
-    def factory() -> Callable[[list[str]], list[int]]:
-        enc = _load_bpe(vocab)
-        return lambda texts: [len(enc.encode_ordinary(t)) for t in texts]
-
-    factory.is_factory = True
-    factory.batch = True
-    return factory
-
-
-def bpe_encoder(vocab: str = "byte_bpe_50k") -> Callable[[], Callable[[str], list[int]]]:
-    """Factory of the ids encoder of :func:`bpe_counter`'s vocabulary, for
-    :func:`token_ids` (ids only when a caller needs them)."""
-
-    def factory() -> Callable[[str], list[int]]:
-        return _load_bpe(vocab).encode_ordinary
-
-    factory.is_factory = True
-    return factory
-
-
 def token_ids(c: Column | str, encoder: Callable[[str], list[int]], max_len: int | None = MAX_SEQ_LENGTH) -> Column:
     """Token ids of a text (``array<int>``), truncated to ``max_len``; only
     for callers that need the ids themselves (counting needs no ids).

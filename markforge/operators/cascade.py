@@ -138,8 +138,8 @@ def first_valid_round(ids: DataFrame, cands: DataFrame, id_col: str = "id", roun
     valid round wins; ids without a valid candidate get the fallback.
 
     The id table and the valid candidates are unioned and grouped once by id
-    (partial + final ``min`` of ``(round, svg)``, one exchange), so every id
-    yields exactly one row and no join is needed; a hot id is pre-aggregated
+    (partial + final ``min`` of ``(round, svg)``, one exchange), so every input
+    row yields exactly one row, ids that are not in the id table yield none, and no join is needed; a hot id is pre-aggregated
     map-side like any other. Equal rounds of one id (a repeated candidate)
     resolve to the smallest markup, so the choice is deterministic.
     """
@@ -147,10 +147,13 @@ def first_valid_round(ids: DataFrame, cands: DataFrame, id_col: str = "id", roun
                      postprocess(raw_col, tag, renames).alias("svg"))
     valid = c.where(is_valid_markup("svg", tag, validity))
     base = ids.select(F.col(id_col).alias("id"), F.lit(None).cast("int").alias("round"),
-                      F.lit(None).cast("string").alias("svg"))
+                      F.lit(None).cast("string").alias("svg"), F.lit(1).cast("long").alias("is_input"))
     # The id rows carry a NULL struct (ignored by min), not a struct of NULLs.
     candidate = F.when(F.col("round").isNotNull(), F.struct("round", "svg"))
-    best = base.unionByName(valid).groupBy("id").agg(F.min(candidate).alias("best"))
+    best = (base.unionByName(valid.withColumn("is_input", F.lit(0).cast("long"))).groupBy("id")
+            .agg(F.min(candidate).alias("best"), F.sum("is_input").alias("n_input")))
+    # Candidates of unknown ids go; a repeated id gets one row per input row.
+    best = best.where("n_input > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_input"))))
     return best.select(
         "id",
         F.coalesce(F.col("best.svg"), F.lit(fallback_doc)).alias("svg"),

@@ -54,7 +54,9 @@ def prepare_source(df: DataFrame, prompt_fields: Sequence[str], markup_fields: S
         # the position is a stable, unique row identity (file rank, row)
         tie_breaker, extra = long_order(position_col), [position_col]
     if keys:
-        capped = capped_sample(df, cfg.max_per_source, list(keys), salt=f"cap:{cfg.seed}:")
+        # a repeated key may meet the cap's boundary: rows are told apart by identity
+        capped = capped_sample(df, cfg.max_per_source, list(keys), salt=f"cap:{cfg.seed}:", unique=False,
+                               tie_breaker=tie_breaker, stage=tie_breaker is not None)
     else:
         fields = [c for c in dict.fromkeys([*prompt_fields, *markup_fields]) if c in df.columns]
         narrow = df.select(*dict.fromkeys([*keep, *fields, *extra])) if fields else df

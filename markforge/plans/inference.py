@@ -37,7 +37,7 @@ def inference_job(spark: SparkSession, test_csv: str, generator: Generator, syst
     The result is written to the checkpoint folder once, so the generator
     runs once per row and round; its rows and fallbacks are observed during
     that write, and the submission reads it. ``counter`` (e.g.
-    ``bpe_counter()``) sizes each row's new-token budget from its prompt's
+    a tokenizer's counter) sizes each row's new-token budget from its prompt's
     token count; the default is the native proxy.
     """
     t0 = time.time()

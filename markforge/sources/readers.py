@@ -30,7 +30,7 @@ WIDE_SOURCE_FIELDS = (
 
 def read_csv_text(spark: SparkSession, path: str, columns: Sequence[str], na_sentinels: bool = True) -> DataFrame:
     """A headed CSV whose fields may hold quoted newlines and doubled quotes,
-    read with an all-string schema (no inference pass).
+    read as strings by header name (no inference pass).
 
     ``multiLine`` and ``escape='"'`` are both required for quoted markup.
     ``na_sentinels`` maps pandas' default null spellings to NULL.
@@ -38,9 +38,12 @@ def read_csv_text(spark: SparkSession, path: str, columns: Sequence[str], na_sen
     A multi-line CSV file cannot be split, so each file is one task: at scale
     convert once to Parquet (see :func:`csv_to_parquet`) and read that.
     """
-    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
-    df = (spark.read.schema(schema).option("header", True).option("multiLine", True)
+    df = (spark.read.option("header", True).option("multiLine", True)
           .option("escape", '"').option("mode", "PERMISSIVE").csv(path))
+    if not set(columns) & set(df.columns):
+        raise ValueError(f"{path} has none of the fields {list(columns)}")
+    # fields are found by their name in the header; an absent one is NULL
+    df = df.select(*(df[f"`{c}`"] if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns))
     if na_sentinels:
         df = df.select(*[null_sentinels_to_null(c, NA_SENTINELS).alias(c) for c in columns])
     return df

@@ -8,15 +8,12 @@ checkpoint folder so a restarted query resumes where it stopped.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from markforge.functions.markup import is_valid_markup
 from markforge.operators.cascade import postprocess
-from markforge.session import checkpoint_dir
 
 CANDIDATE_SCHEMA = "id long, round int, raw string"
 
@@ -37,9 +34,10 @@ def postprocess_stream(stream: DataFrame, tag: str = "svg", renames: dict | None
 
 
 def write_stream(stream: DataFrame, out_path: str, name: str = "postprocess",
-                 available_now: bool = True) -> StreamingQuery:
-    """Append to Parquet with a checkpoint under the session's checkpoint folder."""
-    ckpt = f"{checkpoint_dir(stream.sparkSession).rstrip('/')}/markforge/stream-{name}-{uuid.uuid4().hex}"
+                 available_now: bool = True, checkpoint: str | None = None) -> StreamingQuery:
+    """Append to Parquet. The checkpoint belongs to the output (``<out_path>_checkpoint``
+    unless given), so a restart goes on with the files that are new."""
+    ckpt = checkpoint or f"{out_path.rstrip('/')}_checkpoint/{name}"
     w = stream.writeStream.format("parquet").option("path", out_path).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.outputMode("append").start()

@@ -183,3 +183,12 @@ def test_first_valid_round_repeated_candidates_are_deterministic(spark):
                for r in first_valid_round(spark.range(1, 3), cands.repartition(parts)).collect()}
         assert got[1] == ("<svg><a/></svg>", 2, False)
         assert got[2] == (FALLBACK_SVG, None, True)
+
+
+def test_first_valid_round_keeps_to_its_input_rows(spark):
+    from markforge.operators.cascade import first_valid_round
+
+    ids = spark.createDataFrame([(1,), (2,), (2,)], "id long")
+    cands = spark.createDataFrame([(1, 1, "<svg>a</svg>"), (99, 1, "<svg>b</svg>")], "id long, round int, raw string")
+    got = sorted((r.id, r.used_fallback) for r in first_valid_round(ids, cands).collect())
+    assert got == [(1, False), (2, True), (2, True)]

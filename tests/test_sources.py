@@ -171,3 +171,16 @@ def test_spread_leaves_large_inputs_alone(spark):
     finally:
         spark.conf.unset("markforge.spread.maxInputPartitions")
     assert spread(df, min_partitions=5).rdd.getNumPartitions() == 10
+
+
+def test_csv_fields_are_found_by_header_name(spark, tmp_path):
+    from markforge.sources.readers import read_pairs_csv
+
+    (tmp_path / "a.csv").write_text("id,prompt,svg\n7,a cat,<svg/>\n")
+    assert [tuple(r) for r in read_pairs_csv(spark, str(tmp_path / "a.csv")).collect()] == [("a cat", "<svg/>")]
+    (tmp_path / "b.csv").write_text("x,y\n1,2\n")
+    try:
+        read_pairs_csv(spark, str(tmp_path / "b.csv"))
+    except ValueError:
+        return
+    raise AssertionError("a file without a usable field was read")

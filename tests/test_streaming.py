@@ -20,3 +20,11 @@ def test_stream_postprocess_equals_batch(spark):
     expected = sum(1 for r in cands.select("id", "round").collect()
                    if (r.id + r.round) % 5 != 0 and r.id % 23 != 0)
     assert valid == expected and n_docs > 0
+
+
+def test_restarted_stream_appends_only_new_files(spark):
+    src, out = tempfile.mkdtemp(prefix="mf-stream-src-") + "/in", tempfile.mkdtemp(prefix="mf-stream-out-") + "/o"
+    for i in (1, 2):
+        spark.createDataFrame([(i, 1, "<svg/>")], "id long, round int, raw string").write.mode("append").parquet(src)
+        write_stream(postprocess_stream(candidate_stream(spark, src)), out).awaitTermination(120)
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == [1, 2]

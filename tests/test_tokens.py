@@ -39,36 +39,3 @@ def test_quality_summary(spark):
     df = spark.createDataFrame([(1, "<svg/>"), (2, "<svg>")], "id long, svg string")
     s = quality_summary(output_quality(df)).first()
     assert s.n_rows == 2 and s.share_valid == 0.5 and s.share_closed == 0.0
-
-
-def test_bpe_counter_matches_the_tokenizer(spark):
-    import base64
-
-    import public_tokenizers as vocabs
-    import pyarrow.parquet as pq
-    import tiktoken
-
-    from markforge.functions.tokens import bpe_counter
-
-    path = "/root/testdata/sf0.001/documents.parquet"
-    df = spark.read.parquet(path).select("doc_id", "text")
-    got = dict(df.select("doc_id", count_tokens("text", bpe_counter())).collect())
-    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(vocabs.path("byte_bpe_50k.tiktoken"), "rb"))}
-    enc = tiktoken.Encoding("t", pat_str=vocabs.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    t = pq.read_table(path, columns=["doc_id", "text"]).to_pydict()
-    exp = {i: None if x is None else len(enc.encode_ordinary(x)) for i, x in zip(t["doc_id"], t["text"])}
-    assert got == exp
-    # NULLs pass through in a batch counter; markers count as ordinary text
-    e = spark.createDataFrame([(None,), ("<|im_start|>user",)], "t string")
-    counts = [r[0] for r in e.select(count_tokens("t", bpe_counter())).collect()]
-    assert counts[0] is None and counts[1] == len(enc.encode_ordinary("<|im_start|>user"))
-
-
-def test_bpe_ids_truncate_and_agree_with_counts(spark):
-    from markforge.functions.tokens import bpe_counter, bpe_encoder
-
-    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text")
-    rows = df.select(F.size(token_ids("text", bpe_encoder(), max_len=None)).alias("n"),
-                     F.size(token_ids("text", bpe_encoder(), max_len=64)).alias("m"),
-                     count_tokens("text", bpe_counter()).alias("c")).collect()
-    assert all(r.n == r.c and r.m == min(r.c, 64) for r in rows if r.c is not None)
