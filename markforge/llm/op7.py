@@ -7,9 +7,9 @@ hashed words and hashed word ends, counted in documents; only those whose odds d
 rates ``r[i] >= 0`` minimise the squared distance between ``sum_i r[i] a[i,d]`` and the
 target weights by projected gradient from ``r = 1``. The gradient is taken per
 word, so a long document is not pushed harder than a short one. An
-iteration needs one sum per domain over the staged posteriors; a rate is a short
-column expression of the steps so far, so no rate table is rewritten and nothing
-but the sums reaches the driver.
+iteration needs one sum per domain over the staged posteriors; a rate is a
+column expression of the steps since the rates were last staged (every ``FOLD``
+steps, so the expression stays short), and nothing but the sums reaches the driver.
 
 Defined results: a text without words has the prior as posterior, rate 1 and no
 effect on the totals; repeated rows are rows of their own; labels that match no
@@ -29,7 +29,7 @@ from markforge.llm.common import checked_broadcast, staged
 SPACES = "[\\x20\\x09-\\x0D]+"
 BUCKETS = 1 << 15
 SAMPLE = 20_000
-STEPS, TOLERANCE = 60, 1e-3
+STEPS, TOLERANCE, FOLD = 60, 1e-3, 8
 
 # Domains of the labels table and the shares of words they should have.
 DOMAINS = {"good": "quality = 1 and toxic = 0", "low": "quality = 0 and toxic = 0", "toxic": "toxic = 1"}
@@ -40,13 +40,16 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")
 
 
+def buckets_of(w: Column, buckets: int) -> tuple[Column, Column]:
+    """The feature buckets of a word, from 1: its own and, in a second range, that of its last three characters."""
+    return ((F.pmod(F.xxhash64(F.lower(w)), F.lit(buckets)) + 1).cast("int"),
+            (F.pmod(F.xxhash64(F.right(w, F.lit(3))), F.lit(buckets)) + 1 + buckets).cast("int"))
+
+
 def features(ws: Column, buckets: int) -> Column:
-    """The distinct feature buckets of a document, from 1: of its words and, in a
-    second range, of their last three characters."""
-    ws = F.array_distinct(ws)
-    whole = F.transform(ws, lambda w: (F.pmod(F.xxhash64(F.lower(w)), F.lit(buckets)) + 1).cast("int"))
-    ends = F.transform(ws, lambda w: (F.pmod(F.xxhash64(F.right(w, F.lit(3))), F.lit(buckets)) + 1 + buckets).cast("int"))
-    return F.array_distinct(F.concat(whole, ends))
+    """The feature buckets of a document's distinct words; some may repeat."""
+    return F.concat(F.transform(ws, lambda w: buckets_of(w, buckets)[0]),
+                    F.transform(ws, lambda w: buckets_of(w, buckets)[1]))
 
 
 def fit(labelled: DataFrame, domains: list[str], buckets: int = BUCKETS, smoothing: float = 1.0,
@@ -56,7 +59,7 @@ def fit(labelled: DataFrame, domains: list[str], buckets: int = BUCKETS, smoothi
     counts if its log odds are at least ``least`` and ``sure`` standard errors."""
     prior = {r["domain"]: r["count"] for r in labelled.groupBy("domain").count().collect()}
     # at most domains x 2 x buckets rows
-    counts = (labelled.select("domain", F.explode(features(words(F.col("text")), buckets)).alias("b"))
+    counts = (labelled.select("domain", F.explode(F.array_distinct(features(F.array_distinct(words(F.col("text"))), buckets))).alias("b"))
               .groupBy("domain", "b").count())
     table = {d: [smoothing] * (2 * buckets) for d in domains}
     for r in counts.collect():
@@ -79,14 +82,23 @@ def _constant(values: list[float]) -> Column:
 
 def posteriors(docs: DataFrame, model, domains: list[str], buckets: int = BUCKETS, keep=("doc_id",)) -> DataFrame:
     """``keep`` columns, ``n_tokens`` and the posterior ``p_<domain>`` per row of
-    ``docs``. Features are scored where the text is read; only one sum per document is shuffled."""
+    ``docs``. A document is scored where its text is read; nothing is shuffled."""
     priors, logs = model
     base = domains[0]
-    d = docs.select(F.monotonically_increasing_id().alias("__row"), *keep, words(F.col("text")).alias("ws"))
-    d = d.select("__row", *keep, F.size("ws").cast("long").alias("n_tokens"), F.explode_outer(features(F.col("ws"), buckets)).alias("b"))
-    d = d.groupBy("__row", *keep, "n_tokens").agg(*(
-        F.sum(F.coalesce(F.element_at(_constant(logs[x]), F.col("b")), F.lit(0.0))).alias(f"s_{x}") for x in domains[1:]))
-    s = {x: F.col(f"s_{x}") + (priors[x] - priors[base]) for x in domains[1:]} | {base: F.lit(0.0)}
+    odds = {x: _constant(logs[x]) for x in domains[1:]}
+    sure = _constant([float(any(logs[x][i] for x in domains[1:])) for i in range(2 * buckets)])
+    d = docs.select(*keep, words(F.col("text")).alias("ws"))
+    d = d.select(*keep, F.size("ws").cast("long").alias("n_tokens"), F.array_distinct("ws").alias("ws"))
+    found = F.array_distinct(F.filter(features(F.col("ws"), buckets), lambda b: F.element_at(sure, b) > 0))
+    d = d.select(*keep, "n_tokens", found.alias("found"))
+    found = F.col("found")
+
+    def score(x: str) -> Column:
+        return F.aggregate(found, F.lit(priors[x] - priors[base]), lambda acc, b: acc + F.element_at(odds[x], b))
+
+    s = {x: score(x) for x in domains[1:]}
+    d = d.select(*keep, "n_tokens", *(v.alias(f"s_{x}") for x, v in s.items()))
+    s = {x: F.col(f"s_{x}") for x in domains[1:]} | {base: F.lit(0.0)}
     top = F.greatest(*s.values()) if len(s) > 1 else F.lit(0.0)
     d = d.select(*keep, "n_tokens", *(F.exp(s[x] - top).alias(f"e_{x}") for x in domains))
     total = sum((F.col(f"e_{x}") for x in domains[1:]), F.col(f"e_{base}"))
@@ -107,7 +119,7 @@ def _largest(gram: list[list[float]]) -> float:
 
 
 def fit_rates(scored: DataFrame, targets: dict[str, float], steps: int = STEPS, tolerance: float = TOLERANCE):
-    """``(rate column, achieved shares)`` for the staged posteriors."""
+    """``(scored with its rate, achieved shares)`` for the staged posteriors."""
     domains = list(targets)
     p = {d: F.col(f"p_{d}") for d in domains}
     n = F.col("n_tokens").cast("double")
@@ -116,10 +128,13 @@ def fit_rates(scored: DataFrame, targets: dict[str, float], steps: int = STEPS,
     total = got["n"] or 1.0
     gram = [[(got[f"{a}/{b}" if (a, b) in pairs else f"{b}/{a}"] or 0.0) / total for b in domains] for a in domains]
     step = 1.0 / _largest(gram)
-    rate, shares = F.lit(1.0), {}
-    for _ in range(steps):
+    rated, rate, shares = scored, F.lit(1.0), {}
+    for i in range(steps):
+        if i and i % FOLD == 0:
+            rated = staged(rated.withColumn("rate", rate), "op7-rates")
+            rate = F.col("rate")
         before = shares
-        row = scored.agg(*(F.sum(rate * n * p[d]).alias(d) for d in domains)).first()
+        row = rated.agg(*(F.sum(rate * n * p[d]).alias(d) for d in domains)).first()
         shares = {d: (row[d] or 0.0) / total for d in domains}
         miss = {d: shares[d] - targets[d] for d in domains}
         still = before and max(abs(shares[d] - before[d]) for d in domains) <= tolerance / 50
@@ -127,7 +142,7 @@ def fit_rates(scored: DataFrame, targets: dict[str, float], steps: int = STEPS,
             break  # the targets are met, or as near as rates of 0 and more can come
         push = sum((F.lit(step * miss[d]) * p[d] for d in domains[1:]), F.lit(step * miss[domains[0]]) * p[domains[0]])
         rate = F.greatest(F.lit(0.0), rate - push)
-    return F.when(F.col("n_tokens") > 0, rate).otherwise(F.lit(1.0)), shares
+    return rated.withColumn("rate", F.when(F.col("n_tokens") > 0, rate).otherwise(F.lit(1.0))), shares
 
 
 def mix_sources(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, domains: dict[str, str] = DOMAINS,
@@ -145,8 +160,7 @@ def mix_sources(docs: DataFrame, labels: DataFrame, targets: dict[str, float] =
     marks = staged(marks.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share * float(1 << 30)), "op7-sample")
     model = fit(rows.join(checked_broadcast(marks), "doc_id").select("text", "domain"), names, buckets)
     scored = staged(posteriors(rows, model, names, buckets, ("doc_id", "row_key")), "op7-posteriors")
-    rate, _ = fit_rates(scored, targets)
-    scored = scored.withColumn("rate", rate)
+    scored, _ = fit_rates(scored, targets)
     toss = F.pmod(F.xxhash64("doc_id", "row_key", F.lit("copies")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     copies = F.floor("rate") + F.when(toss < F.col("rate") - F.floor("rate"), 1).otherwise(0)
     return scored.withColumn("copies", copies.cast("long"))
