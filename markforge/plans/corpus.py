@@ -160,7 +160,8 @@ def corpus_job(spark: SparkSession, specs: Sequence[SourceSpec], cfg: CorpusConf
     obs = Observation("corpus-report")
     cols = ["source_name", "split", "text", "n_tokens", "kept"]
     if shuffle:
-        order = salted_hash(f"shuffle:{cfg.seed}:", [PAIR_KEY]).alias("_order")
+        # equal pairs share a hash: the staged row's identity lets a range bound split them
+        order = F.concat(salted_hash(f"shuffle:{cfg.seed}:", [PAIR_KEY]), file_row_id()).alias("_order")
         write_corpus(corpus.select(*cols, order), out_path, order_col="_order", keep_col="kept",
                      observation=(obs, metrics))
     else:

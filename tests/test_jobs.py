@@ -181,3 +181,23 @@ def test_corpus_job_usable_counts_without_extra_passes(spark):
     _, counted = corpus_job(spark, specs, cfg, verify="count")
     assert observed["usable_per_source"] == counted["usable_per_source"]
     assert all(v > 0 for v in observed["usable_per_source"].values())
+
+
+def test_seeded_order_splits_a_hot_pair_over_tasks(spark):
+    d = tempfile.mkdtemp(prefix="mf-hot-")
+    same = F.col("id") % 3 == 0
+    spark.range(24_000).repartition(6).select(F.when(same, F.lit("hot")).otherwise(F.concat(F.lit("p"), F.col("id").cast("string"))).alias("prompt"),
+                                              F.lit("<svg></svg>").alias("svg")).write.parquet(os.path.join(d, "in"))
+    conf = {"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        corpus_job(spark, [SourceSpec("a", path=os.path.join(d, "in"), split=None)],
+                   CorpusConfig(system_prompt="S", max_per_source=None), out_path=os.path.join(d, "out"))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    task = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1)
+    sizes = [r["count"] for r in spark.read.parquet(os.path.join(d, "out")).groupBy(task.alias("task")).count().collect()]
+    assert sum(sizes) == 24_000 and max(sizes) <= 2 * sum(sizes) / 8
