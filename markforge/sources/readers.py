@@ -92,7 +92,8 @@ def csv_to_parquet(df: DataFrame, path: str, partitions: int | None = None) -> N
 
 def read_source(spark: SparkSession, spec: SourceSpec, with_position: bool = False) -> DataFrame:
     """Read one catalog source. ``path`` may contain ``{split}``; the split
-    column, if present, is filtered (partition pruning when partitioned).
+    column, if present, is filtered (partition pruning when partitioned). A
+    split that neither can give is an error.
 
     ``with_position`` adds ``input_pos``, the row's place in file order,
     captured right at the scan (CSV, or Parquet files / tables)."""
@@ -116,9 +117,14 @@ def read_source(spark: SparkSession, spec: SourceSpec, with_position: bool = Fal
                 if spec.format != "parquet":
                     raise ValueError(f"source {spec.name}: file order needs csv or parquet, not {spec.format}")
                 df = with_input_position(df)
-    if spec.split is not None and spec.split_column in df.columns:
-        df = df.where(F.col(spec.split_column) == F.lit(spec.split))
-    return df
+    if spec.split is None:
+        return df
+    if spec.split_column in df.columns:
+        return df.where(F.col(spec.split_column) == F.lit(spec.split))
+    if spec.table is None and "{split}" in spec.path:
+        return df
+    raise ValueError(f"source {spec.name}: split {spec.split!r} asked for, but there is neither a {{split}} path "
+                     f"nor a column {spec.split_column!r}; use split=None to read all rows")
 
 
 def load_sources(spark: SparkSession, specs: Sequence[SourceSpec], prepare, verify: str = "schema",

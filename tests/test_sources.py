@@ -184,3 +184,12 @@ def test_csv_fields_are_found_by_header_name(spark, tmp_path):
     except ValueError:
         return
     raise AssertionError("a file without a usable field was read")
+
+
+def test_split_that_cannot_be_applied_is_an_error(spark):
+    d = tempfile.mkdtemp(prefix="mf-split-")
+    spark.createDataFrame([("a", "<svg/>")], "prompt string, svg string").write.parquet(d + "/t")
+    with pytest.raises(ValueError, match="split 'validation'"):
+        read_source(spark, SourceSpec("s", path=d + "/t", split="validation"))
+    assert read_source(spark, SourceSpec("s", path=d + "/t", split=None)).count() == 1
+    assert read_source(spark, SourceSpec("s", path=d + "/{split}", split="t")).count() == 1
