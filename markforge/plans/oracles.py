@@ -8,13 +8,19 @@ rebuilt from ``doc_id`` arithmetic, XML validity is stated by construction
 
 from __future__ import annotations
 
-from markforge.config import FALLBACK_SVG, IM_END, IM_START, PY_WHITESPACE, PY_WS_CLASS
-from markforge.functions.markup import block_pattern
-from markforge.functions.tokens import TOKEN_PATTERN
+from markforge.config import FALLBACK_SVG, IM_END, IM_START
 from markforge.plans import fixtures as fx
 from markforge.plans import queries as q
 
-WS = "||".join(f"chr({ord(c)})" for c in PY_WHITESPACE)
+# Stated here again, so that a wrong pattern in the library shows: Python's
+# whitespace, the token proxy and the last-block pattern.
+SPACES = (0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+          0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+SPACE_CLASS = "[" + "".join(f"\\x{{{c:x}}}" for c in SPACES) + "]"
+TOKEN = r"[A-Za-z0-9_]+|[^A-Za-z0-9_\t\n\x0B\f\r ]"
+BLOCK = r"(?i)<{tag}\b[^>]*>[\s\S]*?</{tag}>"
+
+WS = "||".join(f"chr({c})" for c in SPACES)
 NL = "chr(10)"
 
 
@@ -39,7 +45,7 @@ def within(e: str, budget) -> str:
 
 
 def tokens(e: str) -> str:
-    return f"CAST(len(regexp_extract_all({e}, {lit(TOKEN_PATTERN)})) AS INTEGER)"
+    return f"CAST(len(regexp_extract_all({e}, {lit(TOKEN)})) AS INTEGER)"
 
 
 def markup_body(m: str) -> str:
@@ -94,7 +100,7 @@ def chat_text(p: str, m: str) -> str:
 
 
 def extract_last(e: str, tag: str) -> str:
-    return f"coalesce({strip(f'list_extract(regexp_extract_all({e}, {lit(block_pattern(tag))}), -1)')}, '')"
+    return f"coalesce({strip(f'list_extract(regexp_extract_all({e}, {lit(BLOCK.format(tag=tag))}), -1)')}, '')"
 
 
 def split_sql(share: float) -> str:
@@ -137,7 +143,7 @@ FROM ({PAIRS}) p JOIN documents d ON p.doc_id = d.doc_id WHERE d.lang IN ({langs
 
 
 def _repair(e: str, old: str, new: str) -> str:
-    pat = rf'(?i)\b{old}{PY_WS_CLASS}*={PY_WS_CLASS}*"([^"]*)"'
+    pat = rf'(?i)\b{old}{SPACE_CLASS}*={SPACE_CLASS}*"([^"]*)"'
     replaced = f"regexp_replace({e}, {lit(pat)}, {lit(new + '=' + chr(34) + chr(92) + '1' + chr(34))}, 'g')"
     return f"coalesce({strip(replaced)}, '')"
 
