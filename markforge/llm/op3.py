@@ -10,8 +10,9 @@ A document is its set of distinct 5-word shingles; documents with
    ``LEAF`` classes are leaves, larger ones branch again. In a larger node the
    classes that look alike its smallest one are compared with it in leaves of
    their own and then count as one group, so a node of one group ends there and
-   a huge family of near copies costs linear work. A node at ``DEPTH`` of at
-   most ``DENSE`` classes is a leaf; a larger one is compared block against block.
+   a huge family of near copies costs linear work. From level ``DENSE_FROM`` on a
+   node of at most ``DENSE`` classes is a leaf (a family's nodes hardly shrink by
+   branching again); a larger one at ``DEPTH`` is compared block against block.
 3. Leaves drop classes whose signature agrees with no other one of the leaf in half
    the coordinates (a true link fails that with probability 1e-5). Equal leaves of
    several trees are compared once.
@@ -39,7 +40,7 @@ from markforge.llm.words import Words, document_of, mix64, slices
 
 WIDTH, PERCENT = 5, 75
 COORDINATES, TREES, LEAF, DEPTH = 64, 10, 128, 4
-DENSE = 4096  # classes of a node at DEPTH that one task compares
+DENSE, DENSE_FROM = 4096, 3  # classes of a node that one task compares, from this level on
 ALIKE = 32  # equal coordinates that make a pair worth comparing
 _SEEDS = mix64(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
@@ -230,13 +231,15 @@ def _leaves(classes: DataFrame, trees: int) -> list[DataFrame]:
         release(rows)
         out.append(level.filter(F.col("n") <= LEAF).select("key", "node", "part"))
         large = level.filter(F.col("n") > LEAF)
+        if depth >= DENSE_FROM:
+            out.append(large.filter(F.col("n") <= DENSE).select("key", "node", "part"))
+            large = large.filter(F.col("n") > DENSE)
         if large.isEmpty():
             return out
         if depth == DEPTH:
-            out.append(large.filter(F.col("n") <= DENSE).select("key", "node", "part"))
             blocks = F.ceil(F.col("n") / (DENSE // 2))
             mine = F.pmod(F.xxhash64("node", "key"), blocks)
-            pairs = large.filter(F.col("n") > DENSE).select("key", "node", "part", mine.alias("x"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("y"))
+            pairs = large.select("key", "node", "part", mine.alias("x"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("y"))
             out.append(pairs.select(F.xxhash64("key", F.least("x", "y"), F.greatest("x", "y")).alias("key"), "node", "part"))
             return out
         pivots = large.groupBy("key").agg(F.first("pivot").alias("node")).join(classes.select("node", "signature"), "node")
