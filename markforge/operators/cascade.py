@@ -95,7 +95,7 @@ def generate_round(inputs: DataFrame, generator: Generator, spec: RoundSpec, rou
 
 def cascade(inputs: DataFrame, generator: Generator, rounds: Sequence[RoundSpec] = DEFAULT_ROUNDS,
             tag: str = "svg", fallback_doc: str = FALLBACK_SVG, renames: dict | None = None,
-            stage: bool = True, carry: Sequence[str] = (), completion_only: bool = False,
+            carry: Sequence[str] = (), completion_only: bool = False,
             partitions: int | None = None, validity: str = "strict") -> DataFrame:
     """N-round generation: round i runs only on ids that failed rounds < i;
     ids failing every round get the fallback.
@@ -108,18 +108,23 @@ def cascade(inputs: DataFrame, generator: Generator, rounds: Sequence[RoundSpec]
     the deal of the inputs below.
 
     Generation dominates the cost, so the inputs are first dealt
-    round-robin over ``partitions`` tasks (default: the cluster's
-    parallelism): every slot generates and tasks are balanced whatever the
+    round-robin over ``partitions`` tasks (default: the cluster's slots or
+    ``spark.sql.shuffle.partitions``, whichever is more, so a large input can
+    be cut finer than one task a slot): every slot generates and tasks are balanced whatever the
     input's partitioning (a multi-line CSV of test prompts is one task per
-    file). Moving the prompts costs little next to generating from them,
+    file). Winners are staged without their prompts. Moving the prompts costs little next to generating from them,
     and the deal is deterministic, so a retried task gets the same rows.
     """
     cols = inputs.columns
-    pending = inputs.repartition(partitions or inputs.sparkSession.sparkContext.defaultParallelism)
+    spark = inputs.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    pending = inputs.repartition(partitions or tasks)
     winners = []
     for i, spec in enumerate(rounds, start=1):
         res = generate_round(pending, generator, spec, i, tag, renames, completion_only, validity)
-        res = materialize(res, f"gen-round{i}") if stage else res
+        # only a row to be retried needs its prompt again
+        retry = [F.when(~F.col("valid"), F.col(c)).alias(c) if c in ("prompt", "chat") else F.col(c) for c in res.columns]
+        res = materialize(res.select(*retry), f"gen-round{i}")
         winners.append(res.where("valid").select(*carry, "id", "svg", F.lit(False).alias("used_fallback"),
                                                  F.col("round").alias("won_round")))
         pending = res.where(~F.col("valid")).select(*cols)

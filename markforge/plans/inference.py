@@ -18,12 +18,12 @@ from markforge.sources.sinks import write_submission
 def run_inference(test: DataFrame, generator: Generator, system_prompt: str,
                   rounds: Sequence[RoundSpec] = DEFAULT_ROUNDS, id_col: str = "id", prompt_col: str = "prompt",
                   tag: str = "svg", fallback_doc: str = FALLBACK_SVG, compat_nan: bool = True,
-                  counter: Callable[[str], int] | None = None, stage: bool = True,
+                  counter: Callable[[str], int] | None = None,
                   carry: Sequence[str] = (), completion_only: bool = False,
                   partitions: int | None = None, validity: str = "strict") -> DataFrame:
     """(id, svg, used_fallback, won_round), one row per test row."""
     inputs = generation_inputs(test, system_prompt, id_col, prompt_col, compat_nan, counter, carry)
-    return cascade(inputs, generator, rounds, tag, fallback_doc, stage=stage, carry=carry,
+    return cascade(inputs, generator, rounds, tag, fallback_doc, carry=carry,
                    completion_only=completion_only, partitions=partitions, validity=validity)
 
 

@@ -69,8 +69,10 @@ SELECT doc_id, lang, source,
     || {markup_doc('doc_id', 'doc_id % 11 = 0', 'doc_id % 5 = 0')} || ' ' AS svg_code
 FROM documents"""
 
-PAIRS = f"""
-WITH sp AS ({SVG_PAIRS}),
+
+def pairs_sql(source: str) -> str:
+    return f"""
+WITH sp AS ({source}),
 n AS (SELECT doc_id,
         coalesce(nullif({strip('caption')}, ''), nullif({strip('name')}, ''), '') AS p,
         coalesce(nullif({strip('svg_code')}, ''), '') AS s FROM sp),
@@ -79,6 +81,9 @@ g AS (SELECT doc_id,
         CASE WHEN starts_with(lower(s), '<svg') THEN s ELSE '' END AS svg FROM n)
 SELECT doc_id, prompt, svg FROM g WHERE prompt <> '' AND svg <> ''"""
 
+
+PAIRS = pairs_sql(SVG_PAIRS)
+
 CANDIDATES = f"""
 SELECT doc_id, CAST(r AS INTEGER) AS round,
   {lit(fx.PREAMBLE_SYSTEM)} || coalesce(text, '') || {lit(fx.PREAMBLE_ASSISTANT)}
@@ -118,6 +123,22 @@ sp AS (SELECT doc_id, CASE WHEN rn <= ceil(0.5::DOUBLE * n) THEN 'eval' ELSE 'tr
 tk AS (SELECT *, {tokens('text')} AS n_tokens FROM sp)
 SELECT doc_id, split, text, n_tokens, n_tokens <= {q.CORPUS_CFG.max_tokens} AS kept FROM tk"""
 
+LANGS = ", ".join(lit(lang) for lang, _ in q.LANG_SOURCES)
+
+# Rows of sources without ids: equal rows are interchangeable, doc_id only makes the order total.
+IDLESS = f"""
+WITH ranked_source AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY md5({lit(f'cap:{q.SEED}:')} || md5(
+    coalesce(caption, '') || chr(31) || coalesce(name, '') || chr(31) || coalesce(svg_code, ''))), doc_id) AS cap_rn
+  FROM ({SVG_PAIRS}) WHERE lang IN ({LANGS})),
+pairs AS ({pairs_sql(f"SELECT * FROM ranked_source WHERE cap_rn <= {q.SOURCE_CAP}")}),
+fit AS (SELECT * FROM pairs WHERE {within('svg', q.FIXTURE_BUDGET)}),
+ranked AS (SELECT *, row_number() OVER (ORDER BY md5({lit(f'split:{q.SEED}:')} || md5(prompt || chr(31) || svg)), doc_id) AS rn,
+                  count(*) OVER () AS n FROM fit),
+sp AS (SELECT CASE WHEN rn <= ceil({q.IDLESS_CFG.eval_share!r}::DOUBLE * n) THEN 'eval' ELSE 'train' END AS split,
+              {chat_text('prompt', 'svg')} AS text FROM ranked),
+tk AS (SELECT *, {tokens('text')} AS n_tokens FROM sp)
+SELECT split, text, n_tokens FROM tk WHERE n_tokens <= {q.IDLESS_CFG.max_tokens}"""
+
 CHOICE = f"""
 WITH v AS (SELECT doc_id, r FROM documents, (VALUES (1), (2)) t(r)
            WHERE NOT ((doc_id + r) % 5 = 0 OR doc_id % 23 = 0)),
@@ -128,6 +149,23 @@ SELECT d.doc_id AS id,
 FROM documents d LEFT JOIN w ON d.doc_id = w.doc_id"""
 
 
+ONE_ROUND_CHOICE = f"""
+SELECT doc_id AS id,
+  CASE WHEN lost THEN {lit(FALLBACK_SVG)} ELSE {markup_doc('doc_id + 1', 'false', 'false')} END AS svg,
+  lost AS used_fallback, CASE WHEN lost THEN NULL ELSE 1::INTEGER END AS won_round
+FROM (SELECT doc_id, (doc_id + 1) % 5 = 0 OR doc_id % 23 = 0 AS lost FROM documents)"""
+
+
+def _csv_by_name() -> str:
+    n = len(q.CSV_LAYOUTS)
+    names = " ".join(f"WHEN {i} THEN {lit(name)}" for i, (name, _) in enumerate(q.CSV_LAYOUTS))
+    hidden = " ".join(f"WHEN doc_id % {n} = {i} THEN NULL" for i, (_, cols) in enumerate(q.CSV_LAYOUTS) if "caption" not in cols)
+    source = f"SELECT doc_id, CASE {hidden} ELSE caption END AS caption, name, svg_code FROM ({SVG_PAIRS})"
+    return f"""
+SELECT doc_id, prompt, svg, CASE doc_id % {n} {names} END AS source_name, false AS skipped FROM ({pairs_sql(source)})
+UNION ALL SELECT NULL, NULL, NULL, {lit(q.CSV_UNUSABLE)}, true"""
+
+
 def _validity(mode: str) -> str:
     idx = 2 if mode == "strict" else 3
     cases = " ".join(f"WHEN {i} THEN {str(v[idx]).upper()}" for i, v in enumerate(fx.VALIDITY_VARIANTS))
@@ -203,5 +241,20 @@ SELECT id, true AS valid, CAST(length(svg) AS INTEGER) AS n_chars, ends_with({st
 SELECT count(*) AS n_rows, round({q.RUNTIME_SAMPLE[0]!r}::DOUBLE / {q.RUNTIME_SAMPLE[1]}::DOUBLE * count(*), 2) AS est_minutes
 FROM documents""",
     "csv_round_trip": PAIRS,
+    "csv_by_name": _csv_by_name(),
+    "load_with_bad_source": f"""
+SELECT 'documents' AS source_name, count(*) AS n_rows, false AS skipped FROM ({PAIRS})
+UNION ALL SELECT 'corrupt', NULL, true""",
+    "capped_sample_repeated_key": f"""
+SELECT lang, CAST(least(c, {q.REPEATED_KEY_CAP} - (upto - c)) AS BIGINT) AS n_kept
+FROM (SELECT lang, c, sum(c) OVER (ORDER BY md5({lit(f'cap:{q.SEED}:')} || coalesce(lang, ''))) AS upto
+      FROM (SELECT lang, count(*) AS c FROM documents GROUP BY lang))
+WHERE upto - c < {q.REPEATED_KEY_CAP}""",
+    "head_cap_file_order": f"SELECT doc_id, lang, text FROM documents ORDER BY doc_id DESC LIMIT {q.HEAD_N}",
+    "corpus_idless": IDLESS,
+    "cascade_one_round": ONE_ROUND_CHOICE,
+    "submission_csv": f"SELECT id, svg FROM ({CHOICE})",
+    "attribute_repair_default": f"""
+SELECT doc_id, {strip("replace(svg_code, '<path d', '<path fill-rule=" + '"evenodd"' + " d')")} AS svg FROM ({SVG_PAIRS})""",
     "preview": "SELECT doc_id, lang, substring(text, 1, 400) AS text FROM documents ORDER BY doc_id LIMIT 5",
 }

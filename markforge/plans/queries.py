@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from markforge.config import DEFAULT_BUDGET, STRICT_BUDGET, CorpusConfig, SourceSpec, StructuralBudget
+from markforge.config import DEFAULT_BUDGET, ONE_ROUND, STRICT_BUDGET, CorpusConfig, SourceSpec, StructuralBudget
 from markforge.functions.chat import generation_prompt, training_text
 from markforge.functions.markup import extract_last_block, is_valid_markup, repair_attributes
 from markforge.functions.text import first_non_empty
@@ -25,11 +25,19 @@ from markforge.operators.report import (
     runtime_estimate,
     split_counts,
 )
-from markforge.operators.sampling import capped_sample, exact_split, head_cap, preview, seeded_shuffle
+from markforge.operators.sampling import (
+    capped_sample,
+    exact_split,
+    file_row_id,
+    head_cap,
+    preview,
+    seeded_shuffle,
+    with_input_position,
+)
 from markforge.operators.union import union_sources
 from markforge.plans import fixtures as fx
-from markforge.plans.corpus import sft_corpus
-from markforge.plans.inference import run_inference
+from markforge.plans.corpus import prepare_source, sft_corpus
+from markforge.plans.inference import inference_job, run_inference
 from markforge.sources.readers import WIDE_SOURCE_FIELDS, load_sources, read_csv_text
 from markforge.sources.sinks import write_csv
 from markforge.session import checkpoint_dir, spread
@@ -41,6 +49,9 @@ FIXTURE_BUDGET = StructuralBudget(max_len=400, max_counts=(("<path", 10), ("<cir
 PAGES_BUDGET = StructuralBudget(max_len=6000, max_counts=(("<p", 12), ("<li", 6), ("<a ", 5)))
 CORPUS_CFG = CorpusConfig(system_prompt=SYSTEM, budget=FIXTURE_BUDGET, max_tokens=1700, seed=SEED)
 SOURCE_CAP = 120
+IDLESS_CFG = CorpusConfig(system_prompt=SYSTEM, budget=FIXTURE_BUDGET, max_tokens=1700, seed=SEED,
+                          max_per_source=SOURCE_CAP)
+REPEATED_KEY_CAP = 333
 HEAD_N = 120
 RUNTIME_SAMPLE = (1.52, 5)
 # Languages of ``documents`` posing as sources with the wide field layouts.
@@ -237,8 +248,107 @@ def q_runtime_estimate(spark, sf):
     return runtime_estimate(fx.test_prompts(spark, sf), minutes, n)
 
 
+def _scratch(spark, name):
+    return f"{checkpoint_dir(spark).rstrip('/')}/markforge/{name}-{uuid.uuid4().hex}"
+
+
+# CSV layouts by doc_id % 3: permuted with an extra column, plain, without the
+# first candidate; the last source has no usable field and must be skipped.
+CSV_LAYOUTS = (
+    ("permuted", ("svg_code", "name", "lang", "caption", "doc_id")),
+    ("plain", ("doc_id", "caption", "name", "svg_code")),
+    ("no_caption", ("name", "doc_id", "svg_code")),
+)
+CSV_UNUSABLE = "unusable"
+
+
+def _skipped_rows(spark, skipped, schema):
+    return spark.createDataFrame([(name,) for name, _ in skipped], "source_name string").select(
+        *(F.col("source_name") if f.name == "source_name" else F.lit(f.name == "skipped" or None).cast(f.dataType).alias(f.name)
+          for f in schema.fields))
+
+
+def q_csv_by_name(spark, sf):
+    pairs = fx.svg_pairs(spark, sf)
+    specs = []
+    for i, (name, cols) in enumerate((*CSV_LAYOUTS, (CSV_UNUSABLE, ("doc_id", "lang")))):
+        path = _scratch(spark, f"csv-{name}")
+        rows = pairs if name == CSV_UNUSABLE else pairs.where(F.pmod("doc_id", F.lit(len(CSV_LAYOUTS))) == i)
+        write_csv(rows.select(*cols), path)
+        specs.append(SourceSpec(name, path=path, format="csv", split=None, prompt_fields=("caption", "name"),
+                                markup_fields=("svg", "svg_code"), key_fields=("doc_id",)))
+
+    def prepare(df, spec):
+        return normalize_pairs(df, spec.prompt_fields, spec.markup_fields, keep=["doc_id"])
+
+    loaded, skipped, _ = load_sources(spark, specs, prepare)
+    out = union_sources(require_sources(loaded)).select(
+        F.col("doc_id").cast("long").alias("doc_id"), "prompt", "svg", "source_name", F.lit(False).alias("skipped"))
+    return out.unionByName(_skipped_rows(spark, skipped, out.schema))
+
+
+def q_load_with_bad_source(spark, sf):
+    bad = _scratch(spark, "not-parquet")
+    fx.read_table(spark, sf, "documents").select(F.coalesce("lang", F.lit(""))).write.text(bad)
+    specs = [SourceSpec("documents", path=f"{sf.rstrip('/')}/documents.parquet", split=None),
+             SourceSpec("corrupt", path=bad, split=None)]
+
+    def prepare(df, spec):
+        return normalize_pairs(fx.svg_pairs_from(spread(df)), ["caption", "name"], ["svg_code"])
+
+    loaded, skipped, _ = load_sources(spark, specs, prepare, verify="count")
+    counts = rows_per_group(union_sources(require_sources(loaded)), "source_name")
+    out = counts.select("source_name", F.col("n_rows").cast("long").alias("n_rows"), F.lit(False).alias("skipped"))
+    return out.unionByName(_skipped_rows(spark, skipped, out.schema))
+
+
+def q_capped_sample_repeated_key(spark, sf):
+    """The key repeats in every row of a language: the cap's boundary lies inside a key."""
+    d = spark.read.parquet(f"{sf.rstrip('/')}/documents.parquet").select("doc_id", "lang", "text")
+    kept = capped_sample(d, REPEATED_KEY_CAP, ["lang"], salt=f"cap:{SEED}:", unique=False, tie_breaker=file_row_id())
+    return kept.groupBy("lang").agg(F.count("*").alias("n_kept"))
+
+
+def q_head_cap_file_order(spark, sf):
+    """Several files whose order is not the id's: the first rows in file order."""
+    path = _scratch(spark, "head")
+    last_first = F.col("doc_id").desc()
+    d = fx.read_table(spark, sf, "documents").select("doc_id", "lang", "text")
+    d.repartitionByRange(8, last_first).sortWithinPartitions(last_first).write.parquet(path)
+    return head_cap(with_input_position(spark.read.parquet(path)), HEAD_N, "input_pos").drop("input_pos")
+
+
+def q_corpus_idless(spark, sf):
+    """The whole corpus path over sources without ids: content keys, ties by row identity."""
+    def prepare(df, spec):
+        cols = LANG_COLUMNS[[n for _, n in LANG_SOURCES].index(spec.name)]
+        p = fx.svg_pairs_from(df)
+        src = p.select(*(F.col(c).alias(to) for c, to in zip(("caption", "name", "svg_code"), cols)))
+        return prepare_source(src, spec.prompt_fields, spec.markup_fields, IDLESS_CFG, tie_breaker=file_row_id())
+
+    loaded, _, _ = load_sources(spark, wide_catalog(sf), prepare)
+    return sft_corpus(require_sources(loaded), IDLESS_CFG).where("kept").select("split", "text", "n_tokens")
+
+
+def q_cascade_one_round(spark, sf):
+    return run_inference(fx.test_prompts(spark, sf), fx.stub_generator, SYSTEM, rounds=ONE_ROUND, validity="suffix")
+
+
+def q_submission_csv(spark, sf):
+    test, out = _scratch(spark, "test-csv"), _scratch(spark, "submission")
+    write_csv(fx.test_prompts(spark, sf), test)
+    inference_job(spark, test, fx.stub_generator, SYSTEM, out)
+    return read_csv_text(spark, out, ["id", "svg"]).select(F.col("id").cast("long").alias("id"), "svg")
+
+
+def q_attribute_repair_default(spark, sf):
+    p = fx.svg_pairs(spark, sf)
+    planted = F.replace("svg_code", F.lit("<path d"), F.lit('<path FILLING = "evenodd" d'))
+    return p.select("doc_id", repair_attributes(planted).alias("svg"))
+
+
 def q_csv_round_trip(spark, sf):
-    path = f"{checkpoint_dir(spark).rstrip('/')}/markforge/csv-{uuid.uuid4().hex}"
+    path = _scratch(spark, "csv")
     pairs = _pairs(spark, sf).select(F.col("doc_id").cast("string").alias("id"), "prompt", "svg")
     write_csv(pairs, path)
     r = read_csv_text(spark, path, ["id", "prompt", "svg"])
@@ -283,4 +393,12 @@ QUERIES = {
     "runtime_estimate": q_runtime_estimate,
     "csv_round_trip": q_csv_round_trip,
     "preview": q_preview,
+    "csv_by_name": q_csv_by_name,
+    "load_with_bad_source": q_load_with_bad_source,
+    "capped_sample_repeated_key": q_capped_sample_repeated_key,
+    "head_cap_file_order": q_head_cap_file_order,
+    "corpus_idless": q_corpus_idless,
+    "cascade_one_round": q_cascade_one_round,
+    "submission_csv": q_submission_csv,
+    "attribute_repair_default": q_attribute_repair_default,
 }

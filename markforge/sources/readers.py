@@ -28,20 +28,23 @@ WIDE_SOURCE_FIELDS = (
 )
 
 
-def read_csv_text(spark: SparkSession, path: str, columns: Sequence[str], na_sentinels: bool = True) -> DataFrame:
+def read_csv_text(spark: SparkSession, path: str, columns: Sequence[str], na_sentinels: bool = True,
+                  one_of: Sequence[Sequence[str]] = ()) -> DataFrame:
     """A headed CSV whose fields may hold quoted newlines and doubled quotes,
     read as strings by header name (no inference pass).
 
     ``multiLine`` and ``escape='"'`` are both required for quoted markup.
-    ``na_sentinels`` maps pandas' default null spellings to NULL.
+    ``na_sentinels`` maps pandas' default null spellings to NULL. The header
+    must have at least one of ``columns`` and of each group in ``one_of``.
 
     A multi-line CSV file cannot be split, so each file is one task: at scale
     convert once to Parquet (see :func:`csv_to_parquet`) and read that.
     """
     df = (spark.read.option("header", True).option("multiLine", True)
           .option("escape", '"').option("mode", "PERMISSIVE").csv(path))
-    if not set(columns) & set(df.columns):
-        raise ValueError(f"{path} has none of the fields {list(columns)}")
+    for group in (columns, *one_of):
+        if not set(group) & set(df.columns):
+            raise ValueError(f"{path} has none of the fields {list(group)}")
     # fields are found by their name in the header; an absent one is NULL
     df = df.select(*(df[f"`{c}`"] if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns))
     if na_sentinels:
@@ -107,7 +110,8 @@ def read_source(spark: SparkSession, spec: SourceSpec, with_position: bool = Fal
         path = spec.path.format(split=spec.split) if "{split}" in spec.path else spec.path
         if spec.format == "csv":
             cols = list(dict.fromkeys([*spec.key_fields, *spec.prompt_fields, *spec.markup_fields]))
-            raw = read_csv_text(spark, path, spec.options.get("columns", cols))
+            raw = read_csv_text(spark, path, spec.options.get("columns", cols),
+                                one_of=[g for g in (spec.prompt_fields, spec.markup_fields) if g])
             # A multi-line CSV is one task per file: spread a few large files
             # over the cluster before the per-row work (no-op with many files).
             df = with_csv_position(raw, spread_rows=True) if with_position else spread(raw)
