@@ -14,6 +14,7 @@ from markforge.operators.report import (
 )
 from markforge.operators.sampling import (
     capped_sample,
+    capped_sample_by,
     exact_split,
     file_row_id,
     head_cap,
@@ -25,7 +26,7 @@ from markforge.operators.sampling import (
 from markforge.operators.union import union_sources
 
 __all__ = [
-    "capped_sample", "cascade", "drop_empty", "exact_split", "fallback_report", "file_row_id", "first_valid_round",
+    "capped_sample", "capped_sample_by", "cascade", "drop_empty", "exact_split", "fallback_report", "file_row_id", "first_valid_round",
     "generate_round", "generation_inputs", "head_cap", "normalize_pairs", "output_quality", "preview",
     "quality_summary", "rank_cut", "require_sources", "rows_per_group", "runtime_estimate",
     "seeded_shuffle", "split_counts", "structural_filter", "submission", "to_pairs", "token_filter",

@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -239,6 +241,52 @@ def capped_sample(df: DataFrame, n: int | None, keys: Sequence[str | Column],
     return label.where(cut.predicate).drop(ORDER_KEY, ROW_ID)
 
 
+def capped_sample_by(df: DataFrame, group: str, groups: Sequence, n: int | None, keys: Sequence[str | Column],
+                     salt: str = "cap:", tie_breaker: Column | None = None, digits: int = 3,
+                     max_final: int = 100_000) -> DataFrame:
+    """:func:`capped_sample` for each of the listed ``groups`` of one table, in
+    shared passes: one histogram by group and key digits (at most 4,096 rows a
+    group to the driver), further ones only over buckets that are still large,
+    one read of the boundary buckets (``max_final`` keys in all), one predicate.
+    Rows of other groups go. The order (keys and ``tie_breaker``) must be total.
+    """
+    df = df.where(F.col(group).isin(list(groups)))
+    if not n or not groups:
+        return df
+    work = with_order_key(df, salted_hash(salt, keys), True, tie_breaker)
+    g, key = F.col(group), F.col(ORDER_KEY)
+
+    def inside(buckets):
+        return reduce(or_, ((g == F.lit(v)) & key.startswith(prefix) for v, (prefix, _) in buckets.items()))
+
+    whole, narrow, length = [], {}, 0
+    pending = {v: ("", n) for v in groups}
+    while pending:
+        counts = (work.where(inside(pending)).groupBy(g.alias("g"), F.substring(key, length + 1, digits).alias("b"))
+                  .agg(F.count(F.lit(1)).alias("c")).collect())
+        length += digits
+        large = {}
+        for v, (prefix, need) in pending.items():
+            buckets = sorted((r["b"], r["c"]) for r in counts if r["g"] == v)
+            if not prefix and sum(c for _, c in buckets) <= n:
+                whole.append(v)
+                continue
+            for b, c in buckets:
+                if need <= c:
+                    break
+                need -= c
+            (narrow if c <= max_final // len(groups) or len(b) < digits else large)[v] = (prefix + b, need)
+        pending = large
+    kept = [g == F.lit(v) for v in whole]
+    rows = work.where(inside(narrow)).select(g.alias("g"), key.alias("k")).collect() if narrow else []
+    for v, (_, need) in narrow.items():
+        found = sorted(r["k"] for r in rows if r["g"] == v)
+        if found[need - 1:need] == found[need:need + 1]:
+            raise ValueError("order key is not unique at the cut; give a tie_breaker")
+        kept.append((g == F.lit(v)) & (key <= F.lit(found[need - 1])))
+    return work.where(reduce(or_, kept)).drop(ORDER_KEY)
+
+
 SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
 
 

@@ -163,7 +163,7 @@ def _csv_by_name() -> str:
     source = f"SELECT doc_id, CASE {hidden} ELSE caption END AS caption, name, svg_code FROM ({SVG_PAIRS})"
     return f"""
 SELECT doc_id, prompt, svg, CASE doc_id % {n} {names} END AS source_name, false AS skipped FROM ({pairs_sql(source)})
-UNION ALL SELECT NULL, NULL, NULL, {lit(q.CSV_UNUSABLE)}, true"""
+UNION ALL SELECT -1, '', '', {lit(q.CSV_UNUSABLE)}, true"""
 
 
 def _validity(mode: str) -> str:
@@ -198,12 +198,12 @@ SELECT doc_id, coalesce(nullif({strip('caption')}, ''), nullif({strip('name')},
     "union_sources": _wide_union(),
     "source_counts": f"SELECT source_name, count(*) AS n_rows FROM ({_wide_union()}) GROUP BY source_name",
     "capped_sample": f"""
-SELECT doc_id, lang FROM (
-  SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY md5({lit(f'cap:{q.SEED}:')} || CAST(doc_id AS VARCHAR)), doc_id) AS rn
+SELECT doc_id, lang, text FROM (
+  SELECT doc_id, lang, text, row_number() OVER (PARTITION BY lang ORDER BY md5({lit(f'cap:{q.SEED}:')} || CAST(doc_id AS VARCHAR)), doc_id) AS rn
   FROM documents WHERE lang IN ({", ".join(lit(lang) for lang, _ in q.LANG_SOURCES)}))
 WHERE rn <= {q.SOURCE_CAP}""",
-    "head_cap": f"SELECT doc_id, lang FROM documents ORDER BY doc_id LIMIT {q.HEAD_N}",
-    "seeded_shuffle": f"SELECT doc_id, {rank('doc_id', f'shuffle:{q.SEED}:')} AS shuffle_rank FROM documents",
+    "head_cap": f"SELECT doc_id, lang, text FROM documents ORDER BY doc_id LIMIT {q.HEAD_N}",
+    "seeded_shuffle": f"SELECT doc_id, text, {rank('doc_id', f'shuffle:{q.SEED}:')} AS shuffle_rank FROM documents",
     "exact_split": split_sql(0.5),
     "split_2pct": split_sql(0.02),
     "sft_corpus": f"SELECT doc_id, split, text, n_tokens FROM ({CORPUS}) WHERE kept",
@@ -244,7 +244,7 @@ FROM documents""",
     "csv_by_name": _csv_by_name(),
     "load_with_bad_source": f"""
 SELECT 'documents' AS source_name, count(*) AS n_rows, false AS skipped FROM ({PAIRS})
-UNION ALL SELECT 'corrupt', NULL, true""",
+UNION ALL SELECT 'corrupt', 0, true""",
     "capped_sample_repeated_key": f"""
 SELECT lang, CAST(least(c, {q.REPEATED_KEY_CAP} - (upto - c)) AS BIGINT) AS n_kept
 FROM (SELECT lang, c, sum(c) OVER (ORDER BY md5({lit(f'cap:{q.SEED}:')} || coalesce(lang, ''))) AS upto

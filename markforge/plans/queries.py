@@ -4,9 +4,7 @@ over the driver's tables (or fixtures Spark derives from them)."""
 from __future__ import annotations
 
 import uuid
-from functools import reduce
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from markforge.config import DEFAULT_BUDGET, ONE_ROUND, STRICT_BUDGET, CorpusConfig, SourceSpec, StructuralBudget
@@ -27,6 +25,7 @@ from markforge.operators.report import (
 )
 from markforge.operators.sampling import (
     capped_sample,
+    capped_sample_by,
     exact_split,
     file_row_id,
     head_cap,
@@ -122,19 +121,17 @@ def q_source_counts(spark, sf):
 
 
 def q_capped_sample(spark, sf):
-    d = fx.read_table(spark, sf, "documents").select("doc_id", "lang")
-    parts = [capped_sample(d.where(F.col("lang") == lang), SOURCE_CAP, ["doc_id"], salt=f"cap:{SEED}:")
-             for lang, _ in LANG_SOURCES]
-    return reduce(DataFrame.unionByName, parts)
+    d = fx.read_table(spark, sf, "documents").select("doc_id", "lang", "text")
+    return capped_sample_by(d, "lang", [lang for lang, _ in LANG_SOURCES], SOURCE_CAP, ["doc_id"], salt=f"cap:{SEED}:")
 
 
 def q_head_cap(spark, sf):
-    d = fx.read_table(spark, sf, "documents").select("doc_id", "lang")
+    d = fx.read_table(spark, sf, "documents").select("doc_id", "lang", "text")
     return head_cap(d, HEAD_N, "doc_id")
 
 
 def q_seeded_shuffle(spark, sf):
-    d = fx.read_table(spark, sf, "documents").select("doc_id")
+    d = fx.read_table(spark, sf, "documents").select("doc_id", "text")
     return seeded_shuffle(d, ["doc_id"], salt=f"shuffle:{SEED}:")
 
 
@@ -262,10 +259,10 @@ CSV_LAYOUTS = (
 CSV_UNUSABLE = "unusable"
 
 
-def _skipped_rows(spark, skipped, schema):
-    return spark.createDataFrame([(name,) for name, _ in skipped], "source_name string").select(
-        *(F.col("source_name") if f.name == "source_name" else F.lit(f.name == "skipped" or None).cast(f.dataType).alias(f.name)
-          for f in schema.fields))
+def _skipped_rows(spark, skipped, **values):
+    """One row per skipped source, with ``values`` in the columns it cannot fill."""
+    rows = spark.createDataFrame([(name,) for name, _ in skipped], "source_name string")
+    return rows.select("source_name", F.lit(True).alias("skipped"), *(F.lit(v).alias(c) for c, v in values.items()))
 
 
 def q_csv_by_name(spark, sf):
@@ -284,7 +281,7 @@ def q_csv_by_name(spark, sf):
     loaded, skipped, _ = load_sources(spark, specs, prepare)
     out = union_sources(require_sources(loaded)).select(
         F.col("doc_id").cast("long").alias("doc_id"), "prompt", "svg", "source_name", F.lit(False).alias("skipped"))
-    return out.unionByName(_skipped_rows(spark, skipped, out.schema))
+    return out.unionByName(_skipped_rows(spark, skipped, doc_id=-1, prompt="", svg=""))
 
 
 def q_load_with_bad_source(spark, sf):
@@ -299,7 +296,7 @@ def q_load_with_bad_source(spark, sf):
     loaded, skipped, _ = load_sources(spark, specs, prepare, verify="count")
     counts = rows_per_group(union_sources(require_sources(loaded)), "source_name")
     out = counts.select("source_name", F.col("n_rows").cast("long").alias("n_rows"), F.lit(False).alias("skipped"))
-    return out.unionByName(_skipped_rows(spark, skipped, out.schema))
+    return out.unionByName(_skipped_rows(spark, skipped, n_rows=0))
 
 
 def q_capped_sample_repeated_key(spark, sf):

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from markforge.operators.sampling import (
     ORDER_KEY,
     capped_sample,
+    capped_sample_by,
+    file_row_id,
     exact_split,
     head_cap,
     rank_cut,
@@ -191,3 +193,23 @@ def test_broadcast_bound_falls_back_to_shuffle_join(spark, docs):
     assert "Broadcast" not in plan
     assert got == {i: r + 1 for r, i in enumerate(brute_order(ids, "sh:"))}
     assert n_pos == len(ids)
+
+
+@pytest.mark.parametrize("digits,max_final", [(3, 100_000), (1, 4)])
+def test_grouped_cap_equals_one_cap_per_group(spark, digits, max_final):
+    df = spark.range(3000).selectExpr("id", "case when id % 3 = 0 then 'a' when id % 50 = 1 then 'b' when id % 7 = 2 then 'c' end as g")
+    got = capped_sample_by(df, "g", ["a", "b", "c", "none"], 200, ["id"], digits=digits, max_final=max_final)
+    expected = {(r.id, r.g) for g in "abc" for r in capped_sample(df.where(F.col("g") == g), 200, ["id"]).collect()}
+    rows = [(r.id, r.g) for r in got.collect()]
+    assert len(rows) == len(expected) and set(rows) == expected
+    assert got.columns == ["id", "g"]
+
+
+def test_grouped_cap_inside_a_repeated_key(spark):
+    d = spark.read.parquet(f"{SF}/documents.parquet")
+    languages = [r[0] for r in d.select("lang").distinct().collect() if r[0] is not None]
+    sizes = dict(d.where("lang is not null").groupBy("lang").count().collect())
+    got = capped_sample_by(d.select("doc_id", "lang"), "lang", languages, 3, ["lang"], tie_breaker=file_row_id())
+    assert dict(got.groupBy("lang").count().collect()) == {g: min(3, c) for g, c in sizes.items()}
+    with pytest.raises(ValueError):
+        capped_sample_by(d.select("doc_id", "lang"), "lang", languages, 3, ["lang"])

@@ -193,3 +193,13 @@ def test_split_that_cannot_be_applied_is_an_error(spark):
         read_source(spark, SourceSpec("s", path=d + "/t", split="validation"))
     assert read_source(spark, SourceSpec("s", path=d + "/t", split=None)).count() == 1
     assert read_source(spark, SourceSpec("s", path=d + "/{split}", split="t")).count() == 1
+
+
+def test_csv_source_without_a_usable_field_is_skipped(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,note\n1,x\n")
+    (tmp_path / "b.csv").write_text("svg,id,prompt\n<svg/>,1,x\n")
+    specs = [SourceSpec(n, path=str(tmp_path / f"{n}.csv"), format="csv", split=None, prompt_fields=("caption", "prompt"),
+                        markup_fields=("svg",), key_fields=("id",)) for n in "ab"]
+    loaded, skipped, _ = load_sources(spark, specs, lambda df, spec: normalize_pairs(df, spec.prompt_fields, spec.markup_fields))
+    assert [n for n, _ in skipped] == ["a"] and "none of the fields" in skipped[0][1]
+    assert [tuple(r) for r in loaded[0][1].collect()] == [("x", "<svg/>")]
