@@ -30,7 +30,7 @@ from markforge.sources.readers import load_sources
 from markforge.session import materialize
 from markforge.sources.sinks import write_corpus
 
-PAIR_KEY = "pair_key"
+PAIR_KEY, PAIR_ID = "pair_key", "pair_id"
 
 
 def prepare_source(df: DataFrame, prompt_fields: Sequence[str], markup_fields: Sequence[str],
@@ -78,7 +78,7 @@ def render_and_budget(split_df: DataFrame, cfg: CorpusConfig,
 
 def sft_corpus(sources: Sequence[tuple[str, DataFrame]], cfg: CorpusConfig, key: str | None = None,
                counter: Callable[[str], int] | None = None, unique_key: bool = True,
-               stage: bool = True, usable: tuple[Observation, Sequence[Column]] | None = None) -> DataFrame:
+               stage: bool = True) -> DataFrame:
     """Union of normalised sources -> structural budget -> exact split ->
     rendered text with token count and ``kept`` flag.
 
@@ -93,15 +93,8 @@ def sft_corpus(sources: Sequence[tuple[str, DataFrame]], cfg: CorpusConfig, key:
     normalised once, the cut's histograms read only the key column of the
     staged table, repeated keys are told apart by the staged files' row
     identity (no second staging), and a lost executor re-reads files.
-    ``usable`` = (``Observation``, metric columns) is then observed over the
-    normalised pairs, before the structural budget, during that staging
-    write (e.g. usable rows per source at no extra pass).
     """
     pairs = union_sources(sources)
-    if usable is not None:
-        if not stage:
-            raise ValueError("usable counts are observed during the staging write; use stage=True")
-        pairs = pairs.observe(usable[0], *usable[1])
     fit = pairs.where(within_structure("svg", cfg.budget))
     if key is None:
         fit = fit.withColumn(PAIR_KEY, content_key(["prompt", "svg"]))
@@ -117,13 +110,25 @@ def sft_corpus(sources: Sequence[tuple[str, DataFrame]], cfg: CorpusConfig, key:
     return render_and_budget(split, cfg, counter)
 
 
+def stage_source(pairs: DataFrame, name: str, cfg: CorpusConfig) -> tuple[DataFrame, int]:
+    """Write one source's pairs that fit the structural budget; returns them
+    with their content key and row identity, and the source's usable rows
+    (before the budget), observed during that write."""
+    usable = Observation(f"usable-{name}")
+    pairs = pairs.observe(usable, F.count(F.lit(1)).alias("n"))
+    fit = pairs.where(within_structure("svg", cfg.budget)).withColumn(PAIR_KEY, content_key(["prompt", "svg"]))
+    stored = materialize(fit, "corpus-source")
+    return stored.withColumn(PAIR_ID, file_row_id()), usable.get.get("n", 0)
+
+
 def corpus_job(spark: SparkSession, specs: Sequence[SourceSpec], cfg: CorpusConfig, out_path: str | None = None,
-               counter: Callable[[str], int] | None = None, verify: str = "schema", shuffle: bool = True):
+               counter: Callable[[str], int] | None = None, shuffle: bool = True):
     """The whole preparation run over a source catalog.
 
-    Loads every source with failure isolation (a bad source is skipped and
-    reported; none loaded is an error), caps and normalises each, then builds
-    the corpus. Writes the kept rows partitioned by split when ``out_path`` is
+    Loads every source with failure isolation, caps, normalises and stages
+    each by itself, so a source whose content cannot be read is skipped and
+    reported like one whose path is missing (none loaded is an error), then
+    builds the corpus from the staged pairs. Writes the kept rows partitioned by split when ``out_path`` is
     given, in a seeded shuffled order (``md5('shuffle:<seed>:' || pair key)``)
     unless ``shuffle`` is off. Returns ``(corpus, report)`` where ``report``
     holds the skipped sources and rows per source and entered / kept rows
@@ -134,17 +139,16 @@ def corpus_job(spark: SparkSession, specs: Sequence[SourceSpec], cfg: CorpusConf
         keys = [k for k in spec.key_fields if k in df.columns]
         # A Parquet file source has a stable row identity; others stage row ids.
         tie = file_row_id() if spec.table is None and spec.format == "parquet" else None
-        return prepare_source(df, spec.prompt_fields, spec.markup_fields, cfg, keys, tie_breaker=tie)
-
-    loaded, skipped, counts = load_sources(spark, specs, prepare, verify=verify,
-                                           with_position=bool(cfg.head_per_source))
-    require_sources(loaded)
-    names = [name for name, _ in loaded]
-    usable = Observation("usable-per-source")
-    per_source_usable = [F.count_if(F.col("source_name") == F.lit(n)).alias(f"u{i}") for i, n in enumerate(names)]
-    corpus = sft_corpus(loaded, cfg, key=None, counter=counter, usable=(usable, per_source_usable))
-    if not counts:  # observed during the staging write inside sft_corpus
-        counts = {n: usable.get[f"u{i}"] for i, n in enumerate(names)}
+        pairs = prepare_source(df, spec.prompt_fields, spec.markup_fields, cfg, keys, tie_breaker=tie)
+        stored, counts[spec.name] = stage_source(pairs, spec.name, cfg)
+        return stored
+
+    counts = {}
+    loaded, skipped, _ = load_sources(spark, specs, prepare, with_position=bool(cfg.head_per_source))
+    names = [name for name, _ in require_sources(loaded)]
+    split = exact_split(union_sources(loaded), [PAIR_KEY], cfg.eval_share, salt=f"split:{cfg.seed}:",
+                        unique=False, tie_breaker=F.col(PAIR_ID))
+    corpus = render_and_budget(split, cfg, counter)
     report = {"skipped": skipped, "usable_per_source": counts}
     if not out_path:
         report["per_source"] = rows_per_group(corpus, "source_name")
@@ -161,7 +165,7 @@ def corpus_job(spark: SparkSession, specs: Sequence[SourceSpec], cfg: CorpusConf
     cols = ["source_name", "split", "text", "n_tokens", "kept"]
     if shuffle:
         # equal pairs share a hash: the staged row's identity lets a range bound split them
-        order = F.concat(salted_hash(f"shuffle:{cfg.seed}:", [PAIR_KEY]), file_row_id()).alias("_order")
+        order = F.concat(salted_hash(f"shuffle:{cfg.seed}:", [PAIR_KEY]), F.col(PAIR_ID)).alias("_order")
         write_corpus(corpus.select(*cols, order), out_path, order_col="_order", keep_col="kept",
                      observation=(obs, metrics))
     else:

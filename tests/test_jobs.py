@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from markforge.config import CorpusConfig, SourceSpec, StructuralBudget
 from markforge.plans import fixtures as fx
-from markforge.plans.corpus import corpus_job, sft_corpus
+from markforge.plans.corpus import corpus_job, prepare_source, sft_corpus
 from markforge.plans.inference import inference_job
 from markforge.operators.normalize import normalize_pairs
+from markforge.operators.sampling import file_row_id
+from markforge.sources.readers import load_sources
 
 SF = "/root/testdata/sf0.001"
 
@@ -39,7 +41,7 @@ def test_corpus_job_over_catalog(spark):
         SourceSpec("broken", path=os.path.join(d, "nope")),
     ]
     cfg = CorpusConfig(system_prompt="S", max_per_source=100, budget=StructuralBudget(400), max_tokens=1700)
-    corpus, report = corpus_job(spark, specs, cfg, out_path=os.path.join(d, "out"), verify="count")
+    corpus, report = corpus_job(spark, specs, cfg, out_path=os.path.join(d, "out"))
     assert [n for n, _ in report["skipped"]] == ["broken"]
     per_source = {r.source_name: r.n_rows for r in report["per_source"].collect()}
     assert set(per_source) == {"local_train_csv", "wide"}
@@ -167,8 +169,7 @@ def test_corpus_job_observed_reports_equal_lazy_ones(spark):
 
 
 def test_corpus_job_usable_counts_without_extra_passes(spark):
-    # verify="schema" runs no count job, yet the usable rows per source are
-    # reported (observed during the staging write) and equal verify="count"'s.
+    # observed during each source's staging write
     d = tempfile.mkdtemp(prefix="mf-usable-")
     src = fx.svg_pairs(spark, SF)
     src.select(F.col("caption").alias("prompt"), F.col("svg_code").alias("svg")).write.parquet(os.path.join(d, "a"))
@@ -177,9 +178,10 @@ def test_corpus_job_usable_counts_without_extra_passes(spark):
              SourceSpec("b", path=os.path.join(d, "b"), prompt_fields=("name",), markup_fields=("svg_code",),
                         key_fields=("doc_id",), split=None)]
     cfg = CorpusConfig(system_prompt="S", max_per_source=150, budget=StructuralBudget(400))
-    _, observed = corpus_job(spark, specs, cfg, verify="schema")
-    _, counted = corpus_job(spark, specs, cfg, verify="count")
-    assert observed["usable_per_source"] == counted["usable_per_source"]
+    _, observed = corpus_job(spark, specs, cfg)
+    _, _, counted = load_sources(spark, specs, lambda df, spec: prepare_source(
+        df, spec.prompt_fields, spec.markup_fields, cfg, list(spec.key_fields), tie_breaker=file_row_id()), verify="count")
+    assert observed["usable_per_source"] == counted
     assert all(v > 0 for v in observed["usable_per_source"].values())
 
 
@@ -201,3 +203,19 @@ def test_seeded_order_splits_a_hot_pair_over_tasks(spark):
     task = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1)
     sizes = [r["count"] for r in spark.read.parquet(os.path.join(d, "out")).groupBy(task.alias("task")).count().collect()]
     assert sum(sizes) == 24_000 and max(sizes) <= 2 * sum(sizes) / 8
+
+
+def test_corpus_job_skips_a_source_with_corrupt_content(spark, tmp_path):
+    rows = pd.DataFrame({"prompt": [f"p{i}" for i in range(500)], "svg": [f"<svg>{i}</svg>" for i in range(500)]})
+    for name in ("good", "corrupt"):
+        (tmp_path / name).mkdir()
+        rows.to_parquet(tmp_path / name / "a.parquet", compression="snappy", use_dictionary=False)
+    f = tmp_path / "corrupt" / "a.parquet"  # the footer stays, the pages go
+    data = bytearray(f.read_bytes())
+    data[4:2000] = b"\xff" * 1996
+    f.write_bytes(data)
+    specs = [SourceSpec(n, path=str(tmp_path / n), split=None) for n in ("corrupt", "good")]
+    corpus, report = corpus_job(spark, specs, CorpusConfig(system_prompt="S"), out_path=str(tmp_path / "out"))
+    assert [n for n, _ in report["skipped"]] == ["corrupt"]
+    assert report["usable_per_source"] == {"good": 500}
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 500 == corpus.where("kept").count()
