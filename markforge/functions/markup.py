@@ -15,11 +15,11 @@ from markforge.functions.text import _col, py_strip
 def block_pattern(tag: str = "svg") -> str:
     """Lazy, case-insensitive, multi-line block ``<tag ...>...</tag>``.
 
-    ``\\b`` after the tag name also admits ``<tag-x>``; the lazy body stops
+    The word boundary after the tag name also admits ``<tag-x>``; the lazy body stops
     at the first closing tag, so a nested block is cut short.
     """
     t = re.escape(tag)
-    return rf"(?i)<{t}\b[^>]*>[\s\S]*?</{t}>"
+    return rf"(?i)<{t}(?![\p{{L}}\p{{N}}_])[^>]*>[\s\S]*?</{t}>"
 
 
 def extract_last_block(c: Column | str, tag: str = "svg") -> Column:
@@ -38,7 +38,7 @@ def extract_last_block(c: Column | str, tag: str = "svg") -> Column:
 def rename_pattern(old: str) -> str:
     """``old="v"`` (case-insensitive, double quotes, optional blanks around =)."""
     ws = PY_WS_CLASS
-    return rf'(?i)\b{re.escape(old)}{ws}*={ws}*"([^"]*)"'
+    return rf'(?i)(?<![\p{{L}}\p{{N}}_]){re.escape(old)}{ws}*={ws}*"([^"]*)"'
 
 
 def repair_attributes(c: Column | str, renames: dict[str, str] | None = None) -> Column:
