@@ -3,7 +3,8 @@
 A naive Bayes classifier, fitted on a sample of the labelled rows of
 about ``SAMPLE`` rows (those with the smallest hash of their id), gives each
 document a posterior over domains; its features are the presence of
-hashed words and hashed word ends, counted in documents; only those whose odds differ surely between domains count. With ``a[i,d] = posterior * words / all words``, the
+hashed words and hashed word ends, counted in documents; only those whose share of
+documents differs surely between domains, by a G-test, count. With ``a[i,d] = posterior * words / all words``, the
 rates ``r[i] >= 0`` minimise the squared distance between ``sum_i r[i] a[i,d]`` and the
 target weights by projected gradient from ``r = 1``. The gradient is taken per
 word, so a long document is not pushed harder than a short one. An
@@ -20,6 +21,7 @@ posteriors are equal; empty tables give empty results.
 from __future__ import annotations
 
 import math
+from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,23 +54,34 @@ def features(ws: Column, buckets: int) -> Column:
                     F.transform(ws, lambda w: buckets_of(w, buckets)[1]))
 
 
-def fit(labelled: DataFrame, domains: list[str], buckets: int = BUCKETS, smoothing: float = 1.0,
-        least: float = 1.1, sure: float = 6.0):
+def g_statistic(a: float, b: float, n: float, m: float) -> float:
+    """G of the table of ``a`` of ``n`` and ``b`` of ``m`` documents; exact counts of 0 are evidence too."""
+    whole, found = n + m, a + b
+    cells = ((a, found * n), (b, found * m), (n - a, (whole - found) * n), (m - b, (whole - found) * m))
+    return 2 * sum(x * math.log(x * whole / e) for x, e in cells if x)
+
+
+def fit(labelled: DataFrame, domains: list[str], buckets: int = BUCKETS, smoothing: float = 1.0, least: float = 1.1):
     """Log priors and, per domain but the first, log odds of the feature buckets
     against the first, from a bounded sample of rows ``text, domain``. A bucket
-    counts if its log odds are at least ``least`` and ``sure`` standard errors."""
+    counts if its log odds are at least ``least`` and its G is one that chance
+    gives to one of all buckets at most."""
     prior = {r["domain"]: r["count"] for r in labelled.groupBy("domain").count().collect()}
     # at most domains x 2 x buckets rows
     counts = (labelled.select("domain", F.explode(F.array_distinct(features(F.array_distinct(words(F.col("text"))), buckets))).alias("b"))
               .groupBy("domain", "b").count())
-    table = {d: [smoothing] * (2 * buckets) for d in domains}
+    table = {d: [0] * (2 * buckets) for d in domains}
     for r in counts.collect():
         table[r["domain"]][r["b"] - 1] += r["count"]
-    base, docs = table[domains[0]], {d: math.log(prior.get(d, 0) + 2 * smoothing) for d in domains}
+    base, docs = table[domains[0]], {d: prior.get(d, 0) for d in domains}
+    sure = NormalDist().inv_cdf(1 - 1 / (4 * buckets)) ** 2  # two sides, 2 * buckets features
 
     def odds(d, x, y):  # chance differences of many common words must not add up in a long text
-        ratio = math.log(x / y) - docs[d] + docs[domains[0]]
-        return ratio if abs(ratio) >= max(least, sure * math.sqrt(1 / x + 1 / y)) else 0.0
+        n, m = docs[d], docs[domains[0]]
+        if not x and not y or g_statistic(x, y, n, m) < sure:
+            return 0.0
+        ratio = math.log((x + smoothing) / (y + smoothing)) - math.log((n + 2 * smoothing) / (m + 2 * smoothing))
+        return ratio if abs(ratio) >= least else 0.0
 
     total = sum(prior.values()) + len(domains)
     return ({d: math.log((prior.get(d, 0) + 1) / total) for d in domains},
