@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from markforge.llm.common import attach, checked_broadcast, staged, without
 from markforge.llm.op1 import held_out, language_id
-from markforge.llm.op2 import EVERY, line_dedup
+from markforge.llm.op2 import EVERY, NEAR, line_dedup
 from markforge.llm.op3 import near_duplicates
 from markforge.llm.op5 import benchmark_hits
 from markforge.llm.op7 import mix_sources
@@ -25,7 +25,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated and near-repeated lines go, all but the earliest; a document that loses all its words goes."""
-    found = line_dedup(docs, EVERY).filter("n_removed > 0").select("doc_id", "row_key", "kept_text").dropDuplicates(["doc_id", "row_key"])
+    found = line_dedup(docs, EVERY, NEAR).filter("n_removed > 0").select("doc_id", "row_key", "kept_text").dropDuplicates(["doc_id", "row_key"])
     changed = attach(docs, staged(found, "stage-lines"))
     text = F.when(F.col("__d_row_key").isNull(), docs["text"]).otherwise(F.col("__d_kept_text"))
     left = changed.filter(F.col("__d_row_key").isNull() | F.col("__d_kept_text").rlike("[^\\x20\\x09-\\x0D]"))

@@ -4,7 +4,8 @@ A line is its words, A-Z lower-cased. Lines of ``min_words`` words or more are
 removed if an earlier line (by doc_id, then line number; judged on the input) is
 equal; lines of ``min_near`` words or more also if an earlier one is within one
 word edit (a word replaced, inserted or deleted). The query and the pipeline
-remove equal lines of every length with a word (``EVERY``).
+remove equal lines of every length with a word (``EVERY``) and near ones of
+``NEAR`` words or more: in shorter ones a word is a quarter of the line.
 
 1. Every line is hashed where it is read; Spark keeps the first place of each
    distinct line (a map-side combine bounds very common lines).
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from markforge.llm.common import by_key, checked_broadcast, keyed, release, staged
 from markforge.llm.words import Words, mix64, slices
 
-MIN_WORDS, MIN_NEAR, EVERY = 3, 8, 1
+MIN_WORDS, MIN_NEAR, EVERY, NEAR = 3, 8, 1, 5
 _PLACE = ("late", "doc_id", "line", "row_key")  # late: the id is null
 
 
@@ -201,5 +202,5 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, min_near: int = MIN_
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), EVERY)
+    found = line_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), EVERY, NEAR)
     return found.select("doc_id", "n_lines", "n_removed", "n_near", "kept_sha256")
