@@ -271,7 +271,10 @@ def q_csv_by_name(spark, sf):
     for i, (name, cols) in enumerate((*CSV_LAYOUTS, (CSV_UNUSABLE, ("doc_id", "lang")))):
         path = _scratch(spark, f"csv-{name}")
         rows = pairs if name == CSV_UNUSABLE else pairs.where(F.pmod("doc_id", F.lit(len(CSV_LAYOUTS))) == i)
-        write_csv(rows.select(*cols), path)
+        # every other row of a layout under the same path, columns permuted and one more
+        odd = F.pmod(F.floor(F.col("doc_id") / len(CSV_LAYOUTS)), F.lit(2)) == 1
+        write_csv(rows.where(~odd).select(*cols), path)
+        write_csv(rows.where(odd).select(F.lit("x").alias("extra"), *reversed(cols)), path, mode="append")
         specs.append(SourceSpec(name, path=path, format="csv", split=None, prompt_fields=("caption", "name"),
                                 markup_fields=("svg", "svg_code"), key_fields=("doc_id",)))
 

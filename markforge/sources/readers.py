@@ -3,9 +3,14 @@ failure-isolated multi-source load."""
 
 from __future__ import annotations
 
+import csv
+import io
 import logging
 import re
+from collections import Counter
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,28 +33,80 @@ WIDE_SOURCE_FIELDS = (
 )
 
 
+def _header_text(spark: SparkSession, file: str) -> str:
+    """The first record of a CSV file as it is written; empty for a file without one."""
+    hadoop, java = spark._jvm.org.apache.hadoop, spark._jvm.java
+    conf, path = spark._jsc.hadoopConfiguration(), hadoop.fs.Path(java.net.URI(file))
+    stream = path.getFileSystem(conf).open(path)
+    try:
+        codec = hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+        lines = java.io.BufferedReader(java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+        text = ""
+        while (line := lines.readLine()) is not None:
+            text = f"{text}\n{line}" if text else line.removeprefix("\ufeff")
+            if text.strip() and text.count('"') % 2 == 0:  # a quoted name may hold newlines
+                return text
+            text = text if text.strip() else ""
+        return text
+    finally:
+        stream.close()
+
+
+def _header_names(text: str) -> list[str]:
+    """Column names of a header, named as Spark's reader does: empty and repeated ones get their place."""
+    names = next(csv.reader(io.StringIO(text, newline="")))
+    times = Counter(n.lower() for n in names)
+    return [f"{n}{i}" if n and times[n.lower()] > 1 else n or f"_c{i}" for i, n in enumerate(names)]
+
+
+def _csv_layouts(spark: SparkSession, path: str, columns: Sequence[str], na_sentinels: bool,
+                 one_of: Sequence[Sequence[str]]) -> list[DataFrame]:
+    """``columns`` of a CSV path, one frame per distinct header of its files.
+
+    Spark binds all files of one read to one header by position, so files of
+    another header are a read of their own, with their own schema."""
+    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("mode", "PERMISSIVE")
+    whole = reader.csv(path)
+    files = whole.inputFiles()
+    with ThreadPoolExecutor(16) as pool:
+        headers = list(pool.map(lambda f: _header_text(spark, f), files))
+    layouts: dict[str, list[str]] = {}
+    for file, header in zip(files, headers):
+        if header:
+            layouts.setdefault(header, []).append(re.sub(SCHEME, "", file))
+    frames = [whole]
+    if len(layouts) > 1:
+        at = F.regexp_replace(F.col("_metadata.file_path"), SCHEME, "")
+        # the filter is on a constant of each file: other layouts' files are not read
+        frames = [reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in _header_names(header)]))
+                  .csv(path).where(at.isin(group)) for header, group in sorted(layouts.items())]
+    out = []
+    for df in frames:
+        for group in (columns, *one_of):
+            if not set(group) & set(df.columns):
+                raise ValueError(f"{path} has none of the fields {list(group)}")
+        # fields are found by their name in the header; an absent one is NULL
+        df = df.select(*(df[f"`{c}`"] if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns))
+        if na_sentinels:
+            df = df.select(*[null_sentinels_to_null(c, NA_SENTINELS).alias(c) for c in columns])
+        out.append(df)
+    return out
+
+
 def read_csv_text(spark: SparkSession, path: str, columns: Sequence[str], na_sentinels: bool = True,
                   one_of: Sequence[Sequence[str]] = ()) -> DataFrame:
     """A headed CSV whose fields may hold quoted newlines and doubled quotes,
-    read as strings by header name (no inference pass).
+    read as strings by header name (no inference pass). Files of one path may
+    differ in their headers.
 
     ``multiLine`` and ``escape='"'`` are both required for quoted markup.
-    ``na_sentinels`` maps pandas' default null spellings to NULL. The header
+    ``na_sentinels`` maps pandas' default null spellings to NULL. Every header
     must have at least one of ``columns`` and of each group in ``one_of``.
 
     A multi-line CSV file cannot be split, so each file is one task: at scale
     convert once to Parquet (see :func:`csv_to_parquet`) and read that.
     """
-    df = (spark.read.option("header", True).option("multiLine", True)
-          .option("escape", '"').option("mode", "PERMISSIVE").csv(path))
-    for group in (columns, *one_of):
-        if not set(group) & set(df.columns):
-            raise ValueError(f"{path} has none of the fields {list(group)}")
-    # fields are found by their name in the header; an absent one is NULL
-    df = df.select(*(df[f"`{c}`"] if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns))
-    if na_sentinels:
-        df = df.select(*[null_sentinels_to_null(c, NA_SENTINELS).alias(c) for c in columns])
-    return df
+    return reduce(DataFrame.unionByName, _csv_layouts(spark, path, columns, na_sentinels, one_of))
 
 
 def read_pairs_csv(spark: SparkSession, path: str, prompt_col: str = "prompt", markup_col: str = "svg") -> DataFrame:
@@ -65,23 +122,25 @@ def read_test_prompts(spark: SparkSession, path: str, id_col: str = "id", prompt
     (a multi-line CSV file is read by one task, so the id of the row within
     its task is its line order; files are ordered by path).
     """
-    df = read_csv_text(spark, path, [id_col, prompt_col])
     if not with_position:
-        return df
-    return with_csv_position(df)
+        return read_csv_text(spark, path, [id_col, prompt_col])
+    return with_csv_position(*_csv_layouts(spark, path, [id_col, prompt_col], True, ()))
 
 
-def with_csv_position(df: DataFrame, out: str = "input_pos", spread_rows: bool = False) -> DataFrame:
-    """File-order position for a multi-line CSV read (one task per file):
+def with_csv_position(*layouts: DataFrame, out: str = "input_pos", spread_rows: bool = False) -> DataFrame:
+    """File-order position for a multi-line CSV read (one task per file), given
+    as one frame per header (see :func:`_csv_layouts`):
     file rank by path (from the driver's file index, one row per file,
     broadcast within the bound of ``broadcast_if_small``) times 2**33 plus
     the row's index within its task. ``spread_rows`` round-robins the rows
     (see ``spread``) once that index is taken, before the file-rank join."""
-    spark = df.sparkSession
-    files = sorted(re.sub(SCHEME, "", f) for f in df.inputFiles())
+    spark = layouts[0].sparkSession
+    files = sorted({re.sub(SCHEME, "", f) for df in layouts for f in df.inputFiles()})
     ranks = spark.createDataFrame([(f, i) for i, f in enumerate(files)], "_fp string, _file_rank long")
-    x = df.select("*", F.regexp_replace(F.col("_metadata.file_path"), SCHEME, "").alias("_fp"),
-                  F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1)).alias("_row"))
+    # file and row are taken at each scan: a union has neither
+    x = reduce(DataFrame.unionByName, (
+        df.select("*", F.regexp_replace(F.col("_metadata.file_path"), SCHEME, "").alias("_fp"),
+                  F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1)).alias("_row")) for df in layouts))
     if spread_rows:
         x = spread(x)
     x = x.join(broadcast_if_small(ranks, len(files)), "_fp", "left")
@@ -110,11 +169,12 @@ def read_source(spark: SparkSession, spec: SourceSpec, with_position: bool = Fal
         path = spec.path.format(split=spec.split) if "{split}" in spec.path else spec.path
         if spec.format == "csv":
             cols = list(dict.fromkeys([*spec.key_fields, *spec.prompt_fields, *spec.markup_fields]))
-            raw = read_csv_text(spark, path, spec.options.get("columns", cols),
-                                one_of=[g for g in (spec.prompt_fields, spec.markup_fields) if g])
+            layouts = _csv_layouts(spark, path, spec.options.get("columns", cols), True,
+                                   [g for g in (spec.prompt_fields, spec.markup_fields) if g])
             # A multi-line CSV is one task per file: spread a few large files
             # over the cluster before the per-row work (no-op with many files).
-            df = with_csv_position(raw, spread_rows=True) if with_position else spread(raw)
+            df = (with_csv_position(*layouts, spread_rows=True) if with_position
+                  else spread(reduce(DataFrame.unionByName, layouts)))
         else:
             df = spark.read.format(spec.format).options(**spec.options).load(path)
             if with_position:
