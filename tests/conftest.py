@@ -26,6 +26,6 @@ def duck():
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations", "labels", "benchmark"):
+    for t in ("documents", "pages", "conversations", "labels", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
     return con
