@@ -248,7 +248,7 @@ def test_warc_round_trip(spark, tmp_path):
 
 
 def test_registered():
-    assert set(ORACLES) <= set(QUERIES) and len(QUERIES) == 10
+    assert set(ORACLES) <= set(QUERIES) and len(QUERIES) == 13
 
 
 def test_pipeline(spark):
