@@ -49,6 +49,7 @@ class Anchors:
     def __init__(self, key, vec_id, label, vectors, low, high, count: int):
         self.key, self.vec_id, self.label, self.vectors = key, vec_id, label, vectors
         self.low, self.high, self.count = low, high, count
+        self.read = 0  # components read so far
         self.order = np.argsort(-np.abs(vectors), axis=1, kind="stable")
         self.scores = [np.full((len(w), count), LEAST, np.int64) for w in low]
         self.ids = [np.full((len(w), count), MOST, np.int64) for w in low]
@@ -84,6 +85,7 @@ class Anchors:
         for at in range(0, dims, STEP):
             read = self.order[a, at:at + STEP]
             block = columns[read]
+            self.read += len(read) * len(alive)
             score = score + vector[read] @ (block if len(alive) == block.shape[1] else block[:, alive])
             left = min(at + STEP, dims)
             keep = (score + rest[1, left] >= least) & (score + rest[0, left] <= most)
