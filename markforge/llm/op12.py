@@ -106,6 +106,7 @@ class Vocabulary:
         self.keys = np.array(sorted(pairs), np.int64)
         self.merged = np.array([pairs[k] for k in self.keys], np.int32)
         self.ranks, self.lone, self.pairs = rank[self.merged], lone, pairs
+        self._fill_slots()
         self.piece_rank = rank
         # neighbours that a piece may hold; a chance entry only leaves a cut out
         self.beside = np.zeros(1 << 20, bool)
@@ -129,14 +130,35 @@ class Vocabulary:
     def _slot(left: np.ndarray, right: np.ndarray) -> np.ndarray:
         return (left * 0x9E3779B1 + right * 0x85EBCA77 >> 7) & ((1 << 20) - 1)
 
+    def _start(self, key: np.ndarray) -> np.ndarray:
+        return (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(65 - len(self.slots).bit_length())).astype(np.int64)
+
+    def _fill_slots(self) -> None:
+        """An open hash table of the pairs, at most a quarter full."""
+        self.slots = np.full(1 << (4 * len(self.keys) + 1).bit_length(), -1, np.int32)
+        left = np.arange(len(self.keys), dtype=np.int32)
+        slot = self._start(self.keys)
+        while len(left):
+            free = np.flatnonzero(self.slots[slot] < 0)
+            taken, first = np.unique(slot[free], return_index=True)
+            self.slots[taken] = left[free[first]]
+            rest = np.ones(len(left), bool)
+            rest[free[first]] = False
+            left, slot = left[rest], (slot[rest] + 1) & (len(self.slots) - 1)
+
     def find(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank (``NONE`` without a piece) and merged piece of neighbouring symbols."""
         if not len(self.keys):
             return np.full(len(left), NONE), np.zeros(len(left), np.int32)
-        key = left.astype(np.int64) * self.symbols + right
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        known = (self.keys[at] == key) & (left >= 0) & (right >= 0)
-        return np.where(known, self.ranks[at], NONE), self.merged[at]
+        key = np.where((left >= 0) & (right >= 0), left.astype(np.int64) * self.symbols + right, -1)
+        slot = self._start(key)
+        at = self.slots[slot]
+        open_ = np.flatnonzero((at >= 0) & (self.keys[at] != key))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & (len(self.slots) - 1)
+            at[open_] = self.slots[slot[open_]]
+            open_ = open_[(at[open_] >= 0) & (self.keys[at[open_]] != key[open_])]
+        return np.where(at >= 0, self.ranks[at], NONE), self.merged[at]
 
     # -- encoding ---------------------------------------------------------
 

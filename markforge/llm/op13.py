@@ -24,10 +24,13 @@ a slice of its own.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +40,10 @@ from markforge.llm.words import slices, sums
 
 BYTE_MODEL = "byte_bpe_50k.json"
 MAX_PAIRS = 1 << 20
+CACHED = 1 << 18, 1 << 25  # distinct words whose ids a Python worker keeps, and characters of them
+
+# Fixed value: where byte-level pre-tokenizers cut a text into words.
+WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -48,7 +55,12 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class ByteTokens:
-    """A byte-level BPE with the bytes of its entries."""
+    """A byte-level BPE with the bytes of its entries.
+
+    Merges stay inside the words that the pre-tokenizer cuts, so a word is encoded by the library
+    once and its ids are kept for later texts. The words are cut here by the same pattern; each
+    new character is tried in both, and texts with one that the two see differently (their
+    Unicode tables differ) are encoded whole, as with a model of other rules."""
 
     def __init__(self, model: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
@@ -66,10 +78,56 @@ class ByteTokens:
         self.width = np.array([len(s) for s in spelled], np.int64)
         self.offset = np.cumsum(self.width) - self.width
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        rules = json.loads(model)
+        cut = rules.get("pre_tokenizer") or {}
+        self.by_word = (rules.get("normalizer") is None and cut.get("type") == "ByteLevel" and cut.get("use_regex")
+                        and not cut.get("add_prefix_space") and not rules["model"].get("dropout"))
+        self.word = regex.compile(WORD)
+        self.tried, self.differ = set(), set()
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.held = 0
+        self.flat, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         counts = np.array([len(x) for x in found], np.int64)
-        return np.fromiter((i for x in found for i in x), np.int64, counts.sum()), counts
+        return np.fromiter(chain.from_iterable(found), np.int64, counts.sum()), counts
+
+    def _try(self, chars: set[str]) -> None:
+        for c in chars - self.tried:
+            text = f"a{c}a1{c}1!{c}!{c} {c}"  # tells letters, numbers, blanks and others apart
+            if [m.span() for m in self.word.finditer(text)] != [span for _, span in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]:
+                self.differ.add(c)
+        self.tried |= chars
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts: flat, and the number of each text."""
+        if not self.by_word:
+            return self._ids(texts)
+        chars = set("".join(texts))
+        self._try(chars)
+        odd = chars & self.differ
+        words, sizes = [], []
+        for text in texts:
+            # a whole text stands as one word
+            found = [text] if odd and not odd.isdisjoint(text) else self.word.findall(text)
+            words += found
+            sizes.append(len(found))
+        if len(self.number) > CACHED[0] or self.held > CACHED[1]:
+            self._forget()
+        new = list(set(words) - self.number.keys())
+        if new:
+            ids, counts = self._ids(new)
+            self.held += sum(map(len, new))
+            self.number.update(zip(new, range(len(self.counts), len(self.counts) + len(new))))
+            self.flat, self.counts = np.concatenate([self.flat, ids]), np.concatenate([self.counts, counts])
+        of = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        n = self.counts[of]
+        return (self.flat[ranges((np.cumsum(self.counts) - self.counts)[of], n)],
+                sums(n, np.concatenate(([0], np.cumsum(np.array(sizes, np.int64))))))
 
 
 def spelled(table, ids: np.ndarray) -> np.ndarray:
@@ -161,12 +219,11 @@ class Alignment:
         first = np.concatenate(([0], last[:-1] + met[:-1]))[:len(last)]
         return first, last
 
-    def spelling(self, b_ids: int) -> tuple[bytes, np.ndarray]:
+    def spelling(self, digits: np.ndarray) -> tuple[bytes, np.ndarray]:
         """The groups of all documents as text (A ids, ``|``, B ids; groups apart by ``;``)
-        and the bounds of each document's part."""
+        and the bounds of each document's part. ``digits``: see :func:`decimals`."""
         n_a, n_b = len(self.ids_a), len(self.ids_b)
-        group_a = np.searchsorted(self.cut_a, np.arange(n_a))
-        group_b = np.searchsorted(self.cut_b, np.arange(n_b))
+        group_a, group_b = (np.cumsum(c) - c for c in (np.bincount(self.cut_a, minlength=n_a), np.bincount(self.cut_b, minlength=n_b)))
         before_b = np.concatenate(([0], self.cut_b + 1))
         at_a = np.arange(n_a) + before_b[group_a]
         at_b = np.arange(n_b) + self.cut_a[group_b] + 1 if n_b else np.zeros(0, np.int64)
@@ -175,20 +232,25 @@ class Alignment:
         mark = np.full(len(ids), ord(","), np.uint8)
         mark[at_a[self.cut_a]] = ord("|")
         mark[at_b[self.cut_b]] = ord(";")
-        digits = len(str(max(int(ids.max(initial=0)), 1)))
-        power = 10 ** np.arange(digits - 1, -1, -1)
-        width = np.maximum((ids[:, None] >= power).sum(axis=1), 1)
-        text = np.empty((len(ids), digits + 1), np.uint8)
-        text[:, :digits] = ids[:, None] // power % 10 + ord("0")
-        text[:, digits] = mark
-        shown = np.arange(digits + 1) >= (digits - width)[:, None]
+        text = digits[ids]
+        text[:, -1] = mark
+        shown = text > 0
         ends = self.first_a + self.first_b
         closing = (ends[1:] - 1)[np.diff(ends) > 0]
-        shown[closing, digits] = False  # nothing after a document's last group
+        shown[closing, -1] = False  # nothing after a document's last group
         size = np.concatenate(([0], np.cumsum(shown.sum(axis=1))))
         return text[shown].tobytes(), size[ends]
 
 
+def decimals(size: int) -> np.ndarray:
+    """The decimal digits of 0 ... size - 1 as bytes, zero bytes before them and one place after."""
+    power = 10 ** np.arange(len(str(size)) - 1, -1, -1)
+    ids = np.arange(size)[:, None]
+    text = np.zeros((size, len(power) + 1), np.uint8)
+    text[:, :-1] = np.where((ids >= power) | (power == 1), ids // power % 10 + ord("0"), 0)
+    return text
+
+
 def align_slice(a: ByteTokens, b, part: pa.RecordBatch, buf: np.ndarray, offsets: np.ndarray) -> Alignment:
     texts = [t or "" for t in part.column(part.schema.get_field_index("text")).to_pylist()]
     sizes = np.diff(offsets)
@@ -258,9 +320,10 @@ def linked(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
 
     def run(batches):
         a, b = byte_tokens(models[0]), vocabulary(models[1])
+        digits = decimals(max(a.size, b.size))
         for part, buf, offsets in slices(batches):
             x = align_slice(a, b, part, buf, offsets)
-            text, at = x.spelling(b.size)
+            text, at = x.spelling(digits)
             digests = [hashlib.sha256(text[s:e]).hexdigest() if e > s else "" for s, e in zip(at[:-1], at[1:])]
             n = np.diff(x.bounds)
             of = np.repeat(np.arange(len(n)), n)

@@ -218,6 +218,23 @@ def test_groups_and_overlaps(docs, piece):
             assert (r.b_first[i], r.b_last[i]) == (over[0], over[-1])
 
 
+def test_words_are_cut_as_by_the_library():
+    """Every character alone and between letters, digits, marks and blanks."""
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(BYTES)
+    whole.encode_special_tokens = True
+    with open(BYTES, "rb") as f:
+        table = op13.ByteTokens(f.read())
+    chars = [chr(c) for c in [*range(0x3100), *range(0xA000, 0xD800, 7), *range(0xE000, 0x11000, 3), *range(0x11000, 0x110000, 997)]
+             if not 0xD800 <= c < 0xE000]
+    rnd = random.Random(6)
+    found = [f"a{c}b 1{c}2 !{c}? {c}{c}\n{c}'s" for c in chars] + ["".join(rnd.choice(chars) for _ in range(30)) for _ in range(500)]
+    ids, n = table.encode(found)
+    want = [e.ids for e in whole.encode_batch_fast(found, add_special_tokens=False)]
+    assert n.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
+
+
 def test_gallop():
     rnd = np.random.default_rng(1)
     for _ in range(200):
