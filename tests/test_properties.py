@@ -14,7 +14,6 @@ from markforge.functions.tokens import TOKEN_PATTERN, count_tokens
 ALPHABET = st.sampled_from(list("ab_Z09 <>/=\"'.,;-\n\t\r\x0b\x0céñ😀") + list(PY_WHITESPACE[:12]) + ["svg", "<svg", "</svg>", "<path"])
 TEXTS = st.lists(st.lists(ALPHABET, max_size=40).map("".join), min_size=1, max_size=60)
 SLOW = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-SVG_RE = re.compile(r"<svg\b[^>]*>[\s\S]*?</svg>", flags=re.IGNORECASE)
 
 
 def _frame(spark, texts):
@@ -35,30 +34,42 @@ def test_strip_and_counts(spark, texts):
     assert [tuple(r) for r in rows] == [(t.strip(), t.count("<path"), t.count("sv")) for t in texts]
 
 
+# Cases are drawn together with their expected value: no pattern is stated again.
+BODY = st.lists(st.sampled_from(["<path/>", "<g>", "</g>", "</svg", "svg>", " ", "\n", "x", "é😀", "<SV", '"']), max_size=6).map("".join)
+CASE = st.sampled_from([("svg", "svg"), ("SVG", "svg"), ("sVg", "SVG")])
+ATTRS = st.sampled_from(["", " ", ' a="1"', "\n b='<'", "\t/"])
+BLOCKS = st.tuples(CASE, ATTRS, BODY).map(lambda x: f"<{x[0][0]}{x[1]}>{x[2]}</{x[0][1]}>")
+FILLER = st.lists(st.sampled_from(["text ", "<p>", "</svg>", "<svgs>", "<sv g>", "\u3000", "\n", "é", ">", "<"]), max_size=5).map(
+    lambda x: "".join(x).rstrip("<"))
+OPEN_END = st.sampled_from(["", "<svg>", "<svg a='1'> and no end", "<svg", " "])
+EXTRACTIONS = st.lists(st.tuples(st.lists(st.tuples(FILLER, BLOCKS), max_size=3), FILLER, OPEN_END), min_size=1, max_size=40)
+
+
 @SLOW
-@given(texts=TEXTS)
-def test_extraction_agrees_with_python(spark, texts):
+@given(cases=EXTRACTIONS)
+def test_the_last_complete_block_is_taken(spark, cases):
+    texts = ["".join(f + b for f, b in blocks) + tail + end for blocks, tail, end in cases]
     got = [r[0] for r in _frame(spark, texts).select(extract_last_block("t")).collect()]
-    exp = []
-    for t in texts:
-        m = SVG_RE.findall(t)
-        exp.append(m[-1].strip() if m else "")
-    assert got == exp
+    assert got == [blocks[-1][1] if blocks else "" for blocks, _, _ in cases]
 
 
-REPAIR_ALPHABET = st.sampled_from(["filling", "FiLLing", "data-", "é", "_", " ", " ", "\n", "=", '"', "'",
-                                   "evenodd", "x", "<path ", "/>", "fill-rule"])
-REPAIR_TEXTS = st.lists(st.lists(REPAIR_ALPHABET, max_size=30).map("".join), min_size=1, max_size=60)
+NAME = st.sampled_from(["filling", "FILLING", "FiLLing"])
+GAP = st.sampled_from(["", " ", "\n", " \t "])
+VALUE = st.sampled_from(["evenodd", "", "a b", "'", "filling=x", "é"])
+# (as written, as repaired)
+REPAIRED = st.tuples(NAME, GAP, GAP, VALUE).map(lambda x: (f'{x[0]}{x[1]}={x[2]}"{x[3]}"', f'fill-rule="{x[3]}"'))
+KEPT = st.sampled_from(["<path", "/>", "filling='x'", 'unfilling="y"', 'fillings="z"', "filling=w", 'fill="q"', "é", "text"]).map(lambda x: (x, x))
+REPAIRS = st.lists(st.lists(st.one_of(REPAIRED, KEPT), min_size=1, max_size=8), min_size=1, max_size=40)
 
 
 @SLOW
-@given(texts=REPAIR_TEXTS)
-def test_attribute_repair_agrees_with_python(spark, texts):
+@given(cases=REPAIRS)
+def test_attributes_are_renamed_where_they_stand(spark, cases):
     from markforge.functions.markup import repair_attributes
 
+    texts = ["  " + " ".join(old for old, _ in case) + "\n" for case in cases]
     got = [r[0] for r in _frame(spark, texts).select(repair_attributes("t")).collect()]
-    exp = [re.sub(r'\bfilling\s*=\s*"([^"]*)"', r'fill-rule="\1"', t, flags=re.IGNORECASE).strip() for t in texts]
-    assert got == exp
+    assert got == [" ".join(new for _, new in case) for case in cases]
 
 
 GATE_ALPHABET = st.sampled_from(["<", "s", "S", "v", "V", "g", "G", "ſ", "İ", "K", " ", "x", "<svg", "<SVG"])
@@ -74,24 +85,22 @@ def test_prefix_gate_agrees_with_python_lower(spark, texts):
     assert got == [t.lower().startswith("<svg") for t in texts]
 
 
-CELL = st.one_of(st.none(), st.sampled_from(["", " ", "\n\t", "　", "a", " b ", " c "]))
+BLANK_CELL = st.sampled_from([None, "", " ", "\n\t", "\u3000"])
+FULL_CELL = st.sampled_from([("a", "a"), (" b ", "b"), ("\u3000c\n", "c"), (" d e", "d e")])
+LATER = st.sampled_from([None, "", "late", " later "])
 
 
 @SLOW
-@given(rows=st.lists(st.tuples(CELL, CELL, CELL), min_size=1, max_size=40))
-def test_first_non_empty_agrees_with_python(spark, rows):
+@given(cases=st.lists(st.tuples(st.integers(0, 3), FULL_CELL, st.lists(BLANK_CELL, min_size=3, max_size=3), LATER), min_size=1, max_size=40))
+def test_first_filled_field_wins(spark, cases):
     from markforge.functions.text import first_non_empty
 
+    rows, want = [], []
+    for at, (written, stripped), blanks, later in cases:  # blanks before place ``at``, anything after it
+        rows.append(tuple([*blanks[:at], written, later, later][:3]))
+        want.append(stripped if at < 3 else "")
     df = spark.createDataFrame(rows, "a string, b string, c string")
-    got = [r[0] for r in df.select(first_non_empty(df.columns, ["missing", "a", "b", "c"])).collect()]
-
-    def pick(row):
-        for v in row:  # field present, not None, non-blank after str() + strip()
-            if v is not None and str(v).strip():
-                return str(v).strip()
-        return ""
-
-    assert got == [pick(r) for r in rows]
+    assert [r[0] for r in df.select(first_non_empty(df.columns, ["missing", "a", "b", "c"])).collect()] == want
 
 
 XML_PARTS = st.sampled_from(["<svg>", "</svg>", "<svg/>", "<SVG>", "</SVG>", "<g>", "</g>", "<g/>", " ", "&amp;",
