@@ -22,6 +22,7 @@ from markforge.functions.chat import completion_text, generation_prompt
 from markforge.functions.markup import extract_last_block, is_valid_markup, repair_attributes
 from markforge.functions.text import evaluate_once
 from markforge.functions.tokens import count_tokens, generation_budget
+from markforge.operators.runs import Run
 from markforge.session import materialize
 
 # A generator maps a pandas batch with columns (id, prompt, chat, round,
@@ -96,7 +97,8 @@ def generate_round(inputs: DataFrame, generator: Generator, spec: RoundSpec, rou
 def cascade(inputs: DataFrame, generator: Generator, rounds: Sequence[RoundSpec] = DEFAULT_ROUNDS,
             tag: str = "svg", fallback_doc: str = FALLBACK_SVG, renames: dict | None = None,
             carry: Sequence[str] = (), completion_only: bool = False,
-            partitions: int | None = None, validity: str = "strict") -> DataFrame:
+            partitions: int | None = None, validity: str = "strict", run: Run | None = None, slices: int = 1,
+            rows_per_task: int | None = None) -> DataFrame:
     """N-round generation: round i runs only on ids that failed rounds < i;
     ids failing every round get the fallback.
 
@@ -114,26 +116,59 @@ def cascade(inputs: DataFrame, generator: Generator, rounds: Sequence[RoundSpec]
     input's partitioning (a multi-line CSV of test prompts is one task per
     file). Winners are staged without their prompts. Moving the prompts costs little next to generating from them,
     and the deal is deterministic, so a retried task gets the same rows.
+
+    With a ``run`` (:class:`Run`) the cascade can be resumed: its inputs are staged once, cut into ``slices`` by
+    their stored row number, and every round of a slice is a piece of the run's ledger. Called again with the
+    same run after a stop, it reads the pieces that were committed and generates only the others; another
+    input or other settings under the same name are an error. ``rows_per_task`` then sizes the tasks of a piece from its
+    rows. The caller finishes the run when the result is stored.
     """
     cols = inputs.columns
     spark = inputs.sparkSession
-    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    pending = inputs.repartition(partitions or tasks)
-    winners = []
-    for i, spec in enumerate(rounds, start=1):
+    slots = spark.sparkContext.defaultParallelism
+
+    def one_round(pending, i, spec):
         res = generate_round(pending, generator, spec, i, tag, renames, completion_only, validity)
         # only a row to be retried needs its prompt again
         retry = [F.when(~F.col("valid"), F.col(c)).alias(c) if c in ("prompt", "chat") else F.col(c) for c in res.columns]
-        res = materialize(res.select(*retry), f"gen-round{i}")
-        winners.append(res.where("valid").select(*carry, "id", "svg", F.lit(False).alias("used_fallback"),
-                                                 F.col("round").alias("won_round")))
-        pending = res.where(~F.col("valid")).select(*cols)
-    lost = pending.select(*carry, "id", F.lit(fallback_doc).alias("svg"), F.lit(True).alias("used_fallback"),
-                          F.lit(None).cast("int").alias("won_round"))
+        return res.select(*retry)
+
+    if run is None:
+        pieces = [inputs.repartition(partitions or max(slots, int(spark.conf.get("spark.sql.shuffle.partitions"))))]
+    else:
+        run.open({"rounds": [repr(spec) for spec in rounds], "tag": tag, "renames": repr(renames), "validity": validity,
+                  "completion_only": completion_only, "slices": slices, "inputs": _digest(inputs)})
+        number = F.pmod(F.monotonically_increasing_id(), F.lit(slices)).alias("_slice")
+        staged = run.stage("inputs", lambda: inputs.select("*", number), counted=False)
+        pieces = [staged.where(F.col("_slice") == k).select(*cols) for k in range(slices)]
+    winners = []
+    for i, spec in enumerate(rounds, start=1):
+        pending = []
+        for k, piece in enumerate(pieces):
+            if run is None:
+                res = materialize(one_round(piece, i, spec), f"gen-round{i}")
+            else:
+                def make(piece=piece):
+                    tasks = max(slots, -(-piece.count() // rows_per_task)) if rows_per_task else slots
+                    return one_round(piece.repartition(partitions or tasks), i, spec)
+
+                res = run.stage(f"round{i}-slice{k}", make)
+            winners.append(res.where("valid").select(*carry, "id", "svg", F.lit(False).alias("used_fallback"),
+                                                     F.col("round").alias("won_round")))
+            pending.append(res.where(~F.col("valid")).select(*cols))
+        pieces = pending
+    winners += [piece.select(*carry, "id", F.lit(fallback_doc).alias("svg"), F.lit(True).alias("used_fallback"),
+                             F.lit(None).cast("int").alias("won_round")) for piece in pieces]
     out = winners[0]
     for w in winners[1:]:
         out = out.unionByName(w)
-    return out.unionByName(lost)
+    return out
+
+
+def _digest(inputs: DataFrame) -> str:
+    """Rows and an order-free sum of row hashes: tells whether a resumed run has the same inputs."""
+    h = F.xxhash64(*inputs.columns).cast("decimal(38,0)")
+    return "{}:{}:{}".format(*inputs.agg(F.count(F.lit(1)), F.sum(h)).first(), ",".join(inputs.columns))
 
 
 def first_valid_round(ids: DataFrame, cands: DataFrame, id_col: str = "id", round_col: str = "round",

@@ -20,6 +20,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from markforge.operators.positions import with_file_position
 from markforge.session import broadcast_if_small, materialize
 
 ORDER_KEY = "_order_key"
@@ -287,29 +288,10 @@ def capped_sample_by(df: DataFrame, group: str, groups: Sequence, n: int | None,
     return work.where(reduce(or_, kept)).drop(ORDER_KEY)
 
 
-SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
-
-
 def with_input_position(df_reader_result: DataFrame, out: str = "input_pos") -> DataFrame:
-    """Position of each row in file order (file path order, then row index)
-    for a Parquet scan; call it right on the result of ``spark.read``.
-
-    The file list comes from the driver's file index (no job); the rank
-    table has one row per file and is broadcast only within the bound of
-    :func:`broadcast_if_small`. Paths are compared without their scheme
-    and authority (``file:///x`` and ``file:/x``).
-    """
-    import re
-
-    spark = df_reader_result.sparkSession
-    files = sorted(re.sub(SCHEME, "", f) for f in df_reader_result.inputFiles())
-    ranks = spark.createDataFrame([(f, i) for i, f in enumerate(files)], "_fp string, file_rank long")
-    with_meta = df_reader_result.select(
-        "*", F.regexp_replace(F.col("_metadata.file_path"), SCHEME, "").alias("_fp"),
-        F.col("_metadata.row_index").alias("_ri"))
-    joined = with_meta.join(broadcast_if_small(ranks, len(files)), "_fp", "left")
-    pos = F.col("file_rank") * F.lit(2**40) + F.col("_ri")
-    return joined.withColumn(out, pos).drop("_fp", "_ri", "file_rank")
+    """Position of each row in file order (file path order, then row index) for a Parquet scan; see
+    :func:`markforge.operators.positions.with_file_position`."""
+    return with_file_position(df_reader_result, out)
 
 
 def head_cap(df: DataFrame, n: int | None, order_col: str, unique: bool = True,

@@ -5,6 +5,7 @@ chat text -> token budget, as one lazy plan with a few small driver actions
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from markforge.functions.text import evaluate_once
 from markforge.functions.tokens import count_tokens
 from markforge.operators.budgets import within_structure
 from markforge.operators.normalize import normalize_pairs
+from markforge.operators.positions import position_tie
 from markforge.operators.report import require_sources, rows_per_group, split_counts
 from markforge.operators.sampling import (
     capped_sample,
@@ -35,18 +37,20 @@ PAIR_KEY, PAIR_ID = "pair_key", "pair_id"
 
 def prepare_source(df: DataFrame, prompt_fields: Sequence[str], markup_fields: Sequence[str],
                    cfg: CorpusConfig, keys: Sequence[str] = (), keep: Sequence[str] = (),
-                   tie_breaker: Column | None = None, position_col: str = "input_pos") -> DataFrame:
+                   tie_breaker: Column | None = None, position_col: str = "input_pos",
+                   identity: Sequence[str] = ()) -> DataFrame:
     """Cap (before normalising, as the reference does), normalise, drop empties.
 
-    ``cfg.head_per_source`` first keeps the first rows in file order, read
-    from ``position_col`` (``read_source(with_position=True)``). Without
+    ``cfg.head_per_source`` first keeps the first rows by the integer ``position_col``
+    (``with_input_position``); ``corpus_job`` takes them while reading instead
+    (``read_source(head=...)``). ``identity`` names the columns ``tie_breaker`` reads. Without
     ``keys`` the seeded cap ranks rows by the content of their candidate
     fields. Equal contents repeat, so ties are broken by ``tie_breaker``
     (:func:`file_row_id` for a Parquet scan, or the file-order position:
     only the order keys are staged), else by stored row ids, for which the
     source is first narrowed to the fields normalisation reads.
     """
-    extra = []
+    extra = list(identity)
     if cfg.head_per_source:
         if position_col not in df.columns:
             raise ValueError(f"a head cap needs the file-order position column {position_col!r}")
@@ -135,16 +139,21 @@ def corpus_job(spark: SparkSession, specs: Sequence[SourceSpec], cfg: CorpusConf
     per split: observed during the write (no extra pass) when ``out_path``
     is given, else lazy aggregations.
     """
+    rules = replace(cfg, head_per_source=None)  # the head is taken while reading
+
     def prepare(df, spec):
         keys = [k for k in spec.key_fields if k in df.columns]
-        # A Parquet file source has a stable row identity; others stage row ids.
-        tie = file_row_id() if spec.table is None and spec.format == "parquet" else None
-        pairs = prepare_source(df, spec.prompt_fields, spec.markup_fields, cfg, keys, tie_breaker=tie)
+        if cfg.head_per_source:
+            tie = position_tie("input_pos")
+        else:  # a Parquet file source has a stable row identity; others stage row ids
+            tie = file_row_id() if spec.table is None and spec.format == "parquet" else None
+        pairs = prepare_source(df, spec.prompt_fields, spec.markup_fields, rules, keys, tie_breaker=tie,
+                               identity=("input_pos",) if cfg.head_per_source else ())
         stored, counts[spec.name] = stage_source(pairs, spec.name, cfg)
         return stored
 
     counts = {}
-    loaded, skipped, _ = load_sources(spark, specs, prepare, with_position=bool(cfg.head_per_source))
+    loaded, skipped, _ = load_sources(spark, specs, prepare, head=cfg.head_per_source)
     names = [name for name, _ in require_sources(loaded)]
     split = exact_split(union_sources(loaded), [PAIR_KEY], cfg.eval_share, salt=f"split:{cfg.seed}:",
                         unique=False, tie_breaker=F.col(PAIR_ID))

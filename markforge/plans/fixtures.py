@@ -155,3 +155,10 @@ def stub_generator(pdf, spec):
         trunc = m % 5 == 0 or int(i) % 23 == 0
         out.append(PREAMBLE_SYSTEM + (prompt or "") + PREAMBLE_ASSISTANT + markup_doc_py(m, False, trunc))
     return out
+
+
+def later_rounds_generator(pdf, spec):
+    """:func:`stub_generator` for rounds after the first; a row of the first one is an error."""
+    if (pdf["round"] == 1).any():
+        raise ValueError("round 1 is committed and must not be generated again")
+    return stub_generator(pdf, spec)

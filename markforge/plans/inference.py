@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from markforge.config import DEFAULT_ROUNDS, FALLBACK_SVG, RoundSpec
 from markforge.operators.cascade import Generator, cascade, generation_inputs
+from markforge.operators.runs import Run
 from markforge.session import materialize
 from markforge.sources.readers import read_test_prompts
 from markforge.sources.sinks import write_submission
@@ -20,17 +21,20 @@ def run_inference(test: DataFrame, generator: Generator, system_prompt: str,
                   tag: str = "svg", fallback_doc: str = FALLBACK_SVG, compat_nan: bool = True,
                   counter: Callable[[str], int] | None = None,
                   carry: Sequence[str] = (), completion_only: bool = False,
-                  partitions: int | None = None, validity: str = "strict") -> DataFrame:
+                  partitions: int | None = None, validity: str = "strict", run: Run | None = None, slices: int = 1,
+                  rows_per_task: int | None = None) -> DataFrame:
     """(id, svg, used_fallback, won_round), one row per test row."""
     inputs = generation_inputs(test, system_prompt, id_col, prompt_col, compat_nan, counter, carry)
     return cascade(inputs, generator, rounds, tag, fallback_doc, carry=carry,
-                   completion_only=completion_only, partitions=partitions, validity=validity)
+                   completion_only=completion_only, partitions=partitions, validity=validity, run=run, slices=slices,
+                   rows_per_task=rows_per_task)
 
 
 def inference_job(spark: SparkSession, test_csv: str, generator: Generator, system_prompt: str,
                   out_path: str, rounds: Sequence[RoundSpec] = DEFAULT_ROUNDS, single_file: bool = False,
                   validity: str = "strict", completion_only: bool = False,
-                  counter: Callable[[str], int] | None = None) -> dict:
+                  counter: Callable[[str], int] | None = None, run: Run | None = None, slices: int = 1,
+                  rows_per_task: int | None = None) -> dict:
     """Read the test CSV, run the cascade, write the submission CSV in test
     file order and report rows, fallbacks and minutes.
 
@@ -39,14 +43,20 @@ def inference_job(spark: SparkSession, test_csv: str, generator: Generator, syst
     that write, and the submission reads it. ``counter`` (e.g.
     a tokenizer's counter) sizes each row's new-token budget from its prompt's
     token count; the default is the native proxy.
+
+    With a ``run`` a job that stopped goes on where its ledger ends when it is called again with
+    the same run; the run is deleted once the submission is written.
     """
     t0 = time.time()
     test = read_test_prompts(spark, test_csv, with_position=True)
     res = run_inference(test, generator, system_prompt, rounds, carry=("input_pos",),
-                        completion_only=completion_only, validity=validity, counter=counter)
+                        completion_only=completion_only, validity=validity, counter=counter, run=run, slices=slices,
+                        rows_per_task=rows_per_task)
     obs = Observation("inference-report")
     result = materialize(res.observe(obs, F.count(F.lit(1)).alias("n_rows"),
                                      F.count_if("used_fallback").alias("n_fallback")), "inference-result")
     write_submission(result, out_path, order_by="input_pos", single_file=single_file)
+    if run is not None:
+        run.finish()
     rep = obs.get
     return {"rows": rep["n_rows"], "fallbacks": rep["n_fallback"], "minutes": round((time.time() - t0) / 60, 2)}

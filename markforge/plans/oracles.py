@@ -110,8 +110,29 @@ def extract_last(e: str, tag: str) -> str:
 
 def split_sql(share: float) -> str:
     return f"""
-SELECT doc_id, CASE WHEN rn <= ceil({share!r}::DOUBLE * n) THEN 'eval' ELSE 'train' END AS split
-FROM (SELECT doc_id, {rank('doc_id', f'split:{q.SEED}:')} AS rn, count(*) OVER () AS n FROM documents)"""
+SELECT doc_id, text, CASE WHEN rn <= ceil({share!r}::DOUBLE * n) THEN 'eval' ELSE 'train' END AS split
+FROM (SELECT doc_id, text, {rank('doc_id', f'split:{q.SEED}:')} AS rn, count(*) OVER () AS n FROM documents)"""
+
+
+# Round keys of the shuffle's permutation for seed 42: the first 12 hex digits of
+# md5('42:<round>') modulo 2147483647.
+KEYS = tuple(f"(CAST('0x' || substring(md5('{q.SEED}:{i}'), 1, 12) AS BIGINT) % 2147483647)" for i in range(6))
+
+
+def permuted_sql() -> str:
+    """The row's place in the file, sent through a six-round network over a x b cells, again while it falls beyond n."""
+    x = "SELECT pos, step, a, b, y // b AS l, y % b AS r FROM walk, size WHERE step = 0 OR y >= n"
+    for i, key in enumerate(KEYS):
+        h = f"((r * 1103515245 + {key}) % 2147483647)"
+        x = f"SELECT pos, step, a, b, r AS l, (l + ({h} * {h} + {key}) % 2147483647) % {'b' if i % 2 else 'a'} AS r FROM ({x})"
+    return f"""
+WITH RECURSIVE rows AS MATERIALIZED (SELECT doc_id, text, row_number() OVER () - 1 AS pos FROM documents),
+size AS (SELECT n, a, (n + a - 1) // a AS b FROM (SELECT count(*) AS n, CAST(ceil(sqrt(count(*))) AS BIGINT) AS a FROM rows)),
+walk AS (
+  SELECT pos, pos AS y, 0 AS step FROM rows
+  UNION ALL
+  SELECT pos, l * b + r AS y, step + 1 AS step FROM ({x}))
+SELECT doc_id, text, y + 1 AS shuffle_rank FROM rows JOIN walk USING (pos), size WHERE step > 0 AND y < n"""
 
 
 CORPUS = f"""
@@ -203,7 +224,10 @@ SELECT doc_id, lang, text FROM (
   FROM documents WHERE lang IN ({", ".join(lit(lang) for lang, _ in q.LANG_SOURCES)}))
 WHERE rn <= {q.SOURCE_CAP}""",
     "head_cap": f"SELECT doc_id, lang, text FROM documents ORDER BY doc_id LIMIT {q.HEAD_N}",
-    "seeded_shuffle": f"SELECT doc_id, text, {rank('doc_id', f'shuffle:{q.SEED}:')} AS shuffle_rank FROM documents",
+    "seeded_shuffle": permuted_sql(),
+    "ordered_shuffle": f"SELECT doc_id, text, {rank('doc_id', f'shuffle:{q.SEED}:')} AS shuffle_rank FROM documents",
+    "position_file_order": """
+SELECT doc_id, md5(text) AS text_md5, row_number() OVER (ORDER BY doc_id DESC) - 1 AS input_pos FROM documents""",
     "exact_split": split_sql(0.5),
     "split_2pct": split_sql(0.02),
     "sft_corpus": f"SELECT doc_id, split, text, n_tokens FROM ({CORPUS}) WHERE kept",
@@ -253,6 +277,7 @@ WHERE upto - c < {q.REPEATED_KEY_CAP}""",
     "head_cap_file_order": f"SELECT doc_id, lang, text FROM documents ORDER BY doc_id DESC LIMIT {q.HEAD_N}",
     "corpus_idless": IDLESS,
     "cascade_one_round": ONE_ROUND_CHOICE,
+    "cascade_resumed": CHOICE,
     "submission_csv": f"SELECT id, svg FROM ({CHOICE})",
     "attribute_repair_default": f"""
 SELECT doc_id, {strip("replace(svg_code, '<path d', '<path fill-rule=" + '"evenodd"' + " d')")} AS svg FROM ({SVG_PAIRS})""",

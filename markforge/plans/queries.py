@@ -15,6 +15,7 @@ from markforge.functions.tokens import count_tokens, generation_budget, truncate
 from markforge.operators.budgets import structural_filter, token_filter
 from markforge.operators.cascade import first_valid_round
 from markforge.operators.normalize import normalize_pairs
+from markforge.operators.positions import seeded_permutation
 from markforge.operators.report import (
     fallback_report,
     output_quality,
@@ -23,6 +24,7 @@ from markforge.operators.report import (
     runtime_estimate,
     split_counts,
 )
+from markforge.operators.runs import Run, RunPaused
 from markforge.operators.sampling import (
     capped_sample,
     capped_sample_by,
@@ -37,9 +39,9 @@ from markforge.operators.union import union_sources
 from markforge.plans import fixtures as fx
 from markforge.plans.corpus import prepare_source, sft_corpus
 from markforge.plans.inference import inference_job, run_inference
-from markforge.sources.readers import WIDE_SOURCE_FIELDS, load_sources, read_csv_text
+from markforge.sources.readers import WIDE_SOURCE_FIELDS, load_sources, read_csv_text, read_source
 from markforge.sources.sinks import write_csv
-from markforge.session import checkpoint_dir, spread
+from markforge.session import checkpoint_dir, materialize, spread
 
 # Query parameters (fixed so that Spark and the SQL oracles agree).
 SYSTEM = "You draw SVG."
@@ -131,12 +133,19 @@ def q_head_cap(spark, sf):
 
 
 def q_seeded_shuffle(spark, sf):
+    """A keyed permutation of the rows' positions: no sort, no exchange of the rows."""
+    d = spark.read.parquet(f"{sf.rstrip('/')}/documents.parquet").select("doc_id", "text")
+    return seeded_permutation(d, SEED)
+
+
+def q_ordered_shuffle(spark, sf):
+    """The order on disk: rows sorted by a salted hash of their id and numbered."""
     d = fx.read_table(spark, sf, "documents").select("doc_id", "text")
     return seeded_shuffle(d, ["doc_id"], salt=f"shuffle:{SEED}:")
 
 
 def _split(spark, sf, share):
-    d = fx.read_table(spark, sf, "documents").select("doc_id")
+    d = fx.read_table(spark, sf, "documents").select("doc_id", "text")
     return exact_split(d, ["doc_id"], share, salt=f"split:{SEED}:")
 
 
@@ -310,12 +319,22 @@ def q_capped_sample_repeated_key(spark, sf):
 
 
 def q_head_cap_file_order(spark, sf):
-    """Several files whose order is not the id's: the first rows in file order."""
+    """64 files whose order is not the id's: the first rows in file order, read from the files up
+    to the boundary only."""
     path = _scratch(spark, "head")
     last_first = F.col("doc_id").desc()
     d = fx.read_table(spark, sf, "documents").select("doc_id", "lang", "text")
-    d.repartitionByRange(8, last_first).sortWithinPartitions(last_first).write.parquet(path)
-    return head_cap(with_input_position(spark.read.parquet(path)), HEAD_N, "input_pos").drop("input_pos")
+    d.repartitionByRange(64, last_first).sortWithinPartitions(last_first).write.parquet(path)
+    return read_source(spark, SourceSpec("head", path=path, split=None), head=HEAD_N).drop("input_pos")
+
+
+def q_position_file_order(spark, sf):
+    """The dense position of each row over files whose order is not the id's."""
+    path = _scratch(spark, "positions")
+    last_first = F.col("doc_id").desc()
+    d = fx.read_table(spark, sf, "documents").select("doc_id", "text")
+    d.repartitionByRange(16, last_first).sortWithinPartitions(last_first).write.parquet(path)
+    return with_input_position(spark.read.parquet(path)).select("doc_id", F.md5("text").alias("text_md5"), "input_pos")
 
 
 def q_corpus_idless(spark, sf):
@@ -330,6 +349,22 @@ def q_corpus_idless(spark, sf):
     return sft_corpus(require_sources(loaded), IDLESS_CFG).where("kept").select("split", "text", "n_tokens")
 
 
+def q_cascade_resumed(spark, sf):
+    """A run that stops after three of its four pieces (two rounds of two slices) and goes on from its ledger
+    with a generator that refuses the first round."""
+    name = f"cascade-{uuid.uuid4().hex}"
+    prompts = fx.test_prompts(spark, sf)
+    try:
+        run_inference(prompts, fx.stub_generator, SYSTEM, run=Run(spark, name, max_pieces=3), slices=2)
+        raise AssertionError("the run should have stopped")
+    except RunPaused:
+        pass
+    run = Run(spark, name)
+    result = materialize(run_inference(prompts, fx.later_rounds_generator, SYSTEM, run=run, slices=2), "resumed")
+    run.finish()
+    return result
+
+
 def q_cascade_one_round(spark, sf):
     return run_inference(fx.test_prompts(spark, sf), fx.stub_generator, SYSTEM, rounds=ONE_ROUND, validity="suffix")
 
@@ -399,6 +434,9 @@ QUERIES = {
     "head_cap_file_order": q_head_cap_file_order,
     "corpus_idless": q_corpus_idless,
     "cascade_one_round": q_cascade_one_round,
+    "cascade_resumed": q_cascade_resumed,
+    "ordered_shuffle": q_ordered_shuffle,
+    "position_file_order": q_position_file_order,
     "submission_csv": q_submission_csv,
     "attribute_repair_default": q_attribute_repair_default,
 }

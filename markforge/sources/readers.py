@@ -12,14 +12,14 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from markforge.config import NA_SENTINELS, SourceSpec
 from markforge.functions.text import null_sentinels_to_null
-from markforge.operators.sampling import SCHEME, with_input_position
-from markforge.session import broadcast_if_small, spread
+from markforge.operators.positions import SCHEME, head_of_files, position_key
+from markforge.session import spread
 
 log = logging.getLogger(__name__)
 
@@ -127,24 +127,18 @@ def read_test_prompts(spark: SparkSession, path: str, id_col: str = "id", prompt
     return with_csv_position(*_csv_layouts(spark, path, [id_col, prompt_col], True, ()))
 
 
+def csv_row() -> Column:
+    """The index of a row within its multi-line CSV file, which one task reads whole (rising, not
+    dense, where a task reads several files)."""
+    return F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
+
+
 def with_csv_position(*layouts: DataFrame, out: str = "input_pos", spread_rows: bool = False) -> DataFrame:
-    """File-order position for a multi-line CSV read (one task per file), given
-    as one frame per header (see :func:`_csv_layouts`):
-    file rank by path (from the driver's file index, one row per file,
-    broadcast within the bound of ``broadcast_if_small``) times 2**33 plus
-    the row's index within its task. ``spread_rows`` round-robins the rows
-    (see ``spread``) once that index is taken, before the file-rank join."""
-    spark = layouts[0].sparkSession
-    files = sorted({re.sub(SCHEME, "", f) for df in layouts for f in df.inputFiles()})
-    ranks = spark.createDataFrame([(f, i) for i, f in enumerate(files)], "_fp string, _file_rank long")
-    # file and row are taken at each scan: a union has neither
-    x = reduce(DataFrame.unionByName, (
-        df.select("*", F.regexp_replace(F.col("_metadata.file_path"), SCHEME, "").alias("_fp"),
-                  F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1)).alias("_row")) for df in layouts))
-    if spread_rows:
-        x = spread(x)
-    x = x.join(broadcast_if_small(ranks, len(files)), "_fp", "left")
-    return x.withColumn(out, F.col("_file_rank") * F.lit(2**33) + F.col("_row")).drop("_fp", "_row", "_file_rank")
+    """File-order position of a multi-line CSV read (one task per file), given as one frame per header
+    (see :func:`_csv_layouts`): a :func:`position_key` of the file's path and the row's index, taken
+    at each scan; no table of files. ``spread_rows`` round-robins the rows (see ``spread``) after that."""
+    x = reduce(DataFrame.unionByName, (df.select("*", position_key(csv_row()).alias(out)) for df in layouts))
+    return spread(x) if spread_rows else x
 
 
 def csv_to_parquet(df: DataFrame, path: str, partitions: int | None = None) -> None:
@@ -152,35 +146,65 @@ def csv_to_parquet(df: DataFrame, path: str, partitions: int | None = None) -> N
     (df.repartition(partitions) if partitions else df).write.mode("overwrite").parquet(path)
 
 
-def read_source(spark: SparkSession, spec: SourceSpec, with_position: bool = False) -> DataFrame:
+def read_source(spark: SparkSession, spec: SourceSpec, with_position: bool = False, head: int | None = None) -> DataFrame:
     """Read one catalog source. ``path`` may contain ``{split}``; the split
     column, if present, is filtered (partition pruning when partitioned). A
     split that neither can give is an error.
 
     ``with_position`` adds ``input_pos``, the row's place in file order,
-    captured right at the scan (CSV, or Parquet files / tables)."""
+    captured right at the scan (CSV, or Parquet files / tables). ``head`` keeps the source's first
+    rows in file order (before a split is filtered) and gives their position; files behind them are not read."""
     if spec.table:
         df = spark.table(spec.table)
+        if head:
+            raise ValueError(f"source {spec.name}: a head cap needs files, not a table")
         if with_position:
-            df = with_input_position(df)
+            df = df.select("*", position_key().alias("input_pos"))
     else:
         if spec.path is None:
             raise ValueError(f"source {spec.name}: no path or table")
         path = spec.path.format(split=spec.split) if "{split}" in spec.path else spec.path
         if spec.format == "csv":
             cols = list(dict.fromkeys([*spec.key_fields, *spec.prompt_fields, *spec.markup_fields]))
-            layouts = _csv_layouts(spark, path, spec.options.get("columns", cols), True,
-                                   [g for g in (spec.prompt_fields, spec.markup_fields) if g])
+
+            def layouts_of(paths):
+                return _csv_layouts(spark, paths, spec.options.get("columns", cols), True,
+                                    [g for g in (spec.prompt_fields, spec.markup_fields) if g])
+
+            if head:
+                def read(paths):
+                    return reduce(DataFrame.unionByName, (df.select("*", "_metadata") for df in layouts_of(paths)))
+
+                # the text reader only lists the files
+                got = head_of_files(spark.read.text(path), head, read, row_index=csv_row, whole=read(path))
+                return _of_split(got.drop("_metadata"), spec)
+            layouts = layouts_of(path)
             # A multi-line CSV is one task per file: spread a few large files
             # over the cluster before the per-row work (no-op with many files).
             df = (with_csv_position(*layouts, spread_rows=True) if with_position
                   else spread(reduce(DataFrame.unionByName, layouts)))
         else:
             df = spark.read.format(spec.format).options(**spec.options).load(path)
-            if with_position:
+            if with_position or head:
                 if spec.format != "parquet":
                     raise ValueError(f"source {spec.name}: file order needs csv or parquet, not {spec.format}")
-                df = with_input_position(df)
+                if head:
+                    part = spark.read.schema(df.schema).options(**spec.options)
+                    if _is_folder(spark, path):  # keeps the columns that its subfolders give
+                        part = part.option("basePath", path)
+                    return _of_split(head_of_files(df, head, lambda paths: part.parquet(*paths)), spec)
+                df = df.select("*", position_key().alias("input_pos"))
+    return _of_split(df, spec)
+
+
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(at) and fs.getFileStatus(at).isDirectory()
+
+
+def _of_split(df: DataFrame, spec: SourceSpec) -> DataFrame:
+    """The rows of the source's split."""
     if spec.split is None:
         return df
     if spec.split_column in df.columns:
@@ -192,7 +216,7 @@ def read_source(spark: SparkSession, spec: SourceSpec, with_position: bool = Fal
 
 
 def load_sources(spark: SparkSession, specs: Sequence[SourceSpec], prepare, verify: str = "schema",
-                 with_position: bool = False):
+                 with_position: bool = False, head: int | None = None):
     """Load and prepare every source, skipping (and logging) those that fail.
 
     ``prepare(df, spec) -> DataFrame`` normalises one source. ``verify``:
@@ -200,13 +224,13 @@ def load_sources(spark: SparkSession, specs: Sequence[SourceSpec], prepare, veri
     schemas are caught), ``"count"`` also runs the per-source usable-row
     count, as the reference does, which catches corrupt content at the cost
     of one pass per source. ``with_position`` reads each source with its
-    file-order position (see :func:`read_source`). Returns
+    file-order position, ``head`` only its first rows in file order (see :func:`read_source`). Returns
     ``(loaded, skipped, counts)``.
     """
     loaded, skipped, counts = [], [], {}
     for spec in specs:
         try:
-            df = prepare(read_source(spark, spec, with_position), spec)
+            df = prepare(read_source(spark, spec, with_position, head), spec)
             df.schema  # resolves the plan
             if verify == "count":
                 counts[spec.name] = df.count()
