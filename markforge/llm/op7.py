@@ -1,16 +1,17 @@
 """Mixing sources to target weights by soft membership, in DataFrame functions only.
 
-A naive Bayes classifier, fitted on a sample of the labelled rows of
-about ``SAMPLE`` rows (those with the smallest hash of their id), gives each
+A logistic regression, fitted by Spark on a sample of the labelled rows of
+about ``SAMPLE`` rows (those with the smallest hash of their id; a quarter of them is held out and gives
+its errors, which are logged), gives each
 document a posterior over domains; its features are the presence of
-hashed words and hashed word ends, counted in documents; only those whose share of
-documents differs surely between domains, by a G-test, count. With ``a[i,d] = posterior * words / all words``, the
+hashed words and hashed word ends. With ``a[i,d] = posterior * words / all words``, the
 rates ``r[i] >= 0`` minimise the squared distance between ``sum_i r[i] a[i,d]`` and the
-target weights by projected gradient from ``r = 1``. The gradient is taken per
+target weights by projected gradient from ``r = 1``, scaled by the inverse Gram matrix of
+the rows whose rate is positive. The gradient is taken per
 word, so a long document is not pushed harder than a short one. An
-iteration needs one sum per domain over the staged posteriors; a rate is a
-column expression of the steps since the rates were last staged (every ``FOLD``
-steps, so the expression stays short), and nothing but the sums reaches the driver.
+iteration needs one aggregate over the staged posteriors (a sum per domain and per pair of domains);
+a rate is a column expression of one number per domain, and nothing but the sums reaches the driver. The shares that
+the rates give are part of the result, with a mark whether they meet the targets.
 
 Defined results: a text without words has the prior as posterior, rate 1 and no
 effect on the totals; repeated rows are rows of their own; labels that match no
@@ -20,18 +21,23 @@ posteriors are equal; empty tables give empty results.
 
 from __future__ import annotations
 
+import logging
 import math
-from statistics import NormalDist
 
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from markforge.llm.common import checked_broadcast, staged
 
+log = logging.getLogger(__name__)
+
 SPACES = "[\\x20\\x09-\\x0D]+"
 BUCKETS = 1 << 15
 SAMPLE = 20_000
-STEPS, TOLERANCE, FOLD = 60, 1e-3, 8
+STEPS, TOLERANCE, RIDGE = 60, 1e-3, 1e-6
+PRIOR, ITERATIONS = 2.0, 60  # of the classifier: its penalty is PRIOR / rows, a weight's variance of 1 / PRIOR at every size
 
 # Domains of the labels table and the shares of words they should have.
 DOMAINS = {"good": "quality = 1 and toxic = 0", "low": "quality = 0 and toxic = 0", "toxic": "toxic = 1"}
@@ -61,31 +67,39 @@ def g_statistic(a: float, b: float, n: float, m: float) -> float:
     return 2 * sum(x * math.log(x * whole / e) for x, e in cells if x)
 
 
-def fit(labelled: DataFrame, domains: list[str], buckets: int = BUCKETS, smoothing: float = 1.0, least: float = 1.1):
-    """Log priors and, per domain but the first, log odds of the feature buckets
-    against the first, from a bounded sample of rows ``text, domain``. A bucket
-    counts if its log odds are at least ``least`` and its G is one that chance
-    gives to one of all buckets at most."""
-    prior = {r["domain"]: r["count"] for r in labelled.groupBy("domain").count().collect()}
+def fit(labelled: DataFrame, domains: list[str], buckets: int = BUCKETS, least: float = 1.0, prior: float = PRIOR):
+    """Weights of the feature buckets and constants of the domains but the first, against the first: a
+    multinomial logistic regression with a squared penalty, fitted by Spark on a bounded sample of rows ``text,
+    domain``. The penalty shrinks every weight, so the sum over a long text stays calibrated. Buckets that
+    hardly differ between the domains (G below ``least``) are left out before."""
+    rows = staged(labelled.select("domain", F.array_distinct(features(F.array_distinct(words(F.col("text"))), buckets)).alias("found")),
+                  "op7-training")
+    docs = {r["domain"]: r["count"] for r in rows.groupBy("domain").count().collect()}
+    present, total = [d for d in domains if docs.get(d)], sum(docs.values())
     # at most domains x 2 x buckets rows
-    counts = (labelled.select("domain", F.explode(F.array_distinct(features(F.array_distinct(words(F.col("text"))), buckets))).alias("b"))
-              .groupBy("domain", "b").count())
     table = {d: [0] * (2 * buckets) for d in domains}
-    for r in counts.collect():
+    for r in rows.select("domain", F.explode("found").alias("b")).groupBy("domain", "b").count().collect():
         table[r["domain"]][r["b"] - 1] += r["count"]
-    base, docs = table[domains[0]], {d: prior.get(d, 0) for d in domains}
-    sure = NormalDist().inv_cdf(1 - 1 / (4 * buckets)) ** 2  # two sides, 2 * buckets features
-
-    def odds(d, x, y):  # chance differences of many common words must not add up in a long text
-        n, m = docs[d], docs[domains[0]]
-        if not x and not y or g_statistic(x, y, n, m) < sure:
-            return 0.0
-        ratio = math.log((x + smoothing) / (y + smoothing)) - math.log((n + 2 * smoothing) / (m + 2 * smoothing))
-        return ratio if abs(ratio) >= least else 0.0
-
-    total = sum(prior.values()) + len(domains)
-    return ({d: math.log((prior.get(d, 0) + 1) / total) for d in domains},
-            {d: [odds(d, x, y) for x, y in zip(table[d], base)] for d in domains[1:]})
+    every = [sum(c) for c in zip(*table.values())]
+    kept = [b for b in range(2 * buckets) if every[b] and any(
+        g_statistic(table[d][b], every[b] - table[d][b], docs[d], total - docs[d]) >= least for d in present)]
+    # a domain without labelled rows has the weights 0 and a small constant
+    weights = {d: [0.0] * (2 * buckets) for d in domains}
+    constant = {d: math.log((docs.get(d, 0) + 1) / (total + len(domains))) for d in domains}
+    if len(present) > 1 and kept:
+        names = [str(b + 1) for b in kept]
+        terms = CountVectorizerModel.from_vocabulary(names, "terms", "features").setBinary(True)
+        number = F.array_position(F.array(*map(F.lit, present)), F.col("domain")) - 1
+        train = terms.transform(rows.select(number.cast("double").alias("label"), F.col("found").cast("array<string>").alias("terms")))
+        fitted = LogisticRegression(family="multinomial", regParam=prior / total, maxIter=ITERATIONS, tol=1e-4, standardization=False).fit(train)
+        matrix, constants = fitted.coefficientMatrix.toArray(), fitted.interceptVector.toArray()
+        for d, row, c in zip(present, matrix, constants):
+            constant[d] = float(c)
+            for b, w in zip(kept, row):
+                weights[d][b] = float(w)
+    base = domains[0]
+    return ({d: [x - y for x, y in zip(weights[d], weights[base])] for d in domains[1:]},
+            {d: constant[d] - constant[base] for d in domains[1:]})
 
 
 def _constant(values: list[float]) -> Column:
@@ -93,75 +107,112 @@ def _constant(values: list[float]) -> Column:
     return F.split(F.lit(",".join(f"{x:.9g}" for x in values)), ",").cast("array<double>")
 
 
-def posteriors(docs: DataFrame, model, domains: list[str], buckets: int = BUCKETS, keep=("doc_id",)) -> DataFrame:
-    """``keep`` columns, ``n_tokens`` and the posterior ``p_<domain>`` per row of
-    ``docs``. A document is scored where its text is read; nothing is shuffled."""
-    priors, logs = model
-    base = domains[0]
+def log_odds(docs: DataFrame, model, domains: list[str], buckets: int = BUCKETS, keep=("doc_id",)) -> DataFrame:
+    """``keep`` columns, ``n_tokens`` and ``s_<domain>``, the sum of the log odds of the row's features against
+    the first domain. A document is scored where its text is read; nothing is shuffled."""
+    logs, constant = model
     odds = {x: _constant(logs[x]) for x in domains[1:]}
     sure = _constant([float(any(logs[x][i] for x in domains[1:])) for i in range(2 * buckets)])
     d = docs.select(*keep, words(F.col("text")).alias("ws"))
     d = d.select(*keep, F.size("ws").cast("long").alias("n_tokens"), F.array_distinct("ws").alias("ws"))
     found = F.array_distinct(F.filter(features(F.col("ws"), buckets), lambda b: F.element_at(sure, b) > 0))
     d = d.select(*keep, "n_tokens", found.alias("found"))
-    found = F.col("found")
 
-    def score(x: str) -> Column:
-        return F.aggregate(found, F.lit(priors[x] - priors[base]), lambda acc, b: acc + F.element_at(odds[x], b))
+    def summed(table: Column, none: float) -> Column:
+        return F.aggregate("found", F.lit(none), lambda acc, b: acc + F.element_at(table, b))
 
-    s = {x: score(x) for x in domains[1:]}
-    d = d.select(*keep, "n_tokens", *(v.alias(f"s_{x}") for x, v in s.items()))
-    s = {x: F.col(f"s_{x}") for x in domains[1:]} | {base: F.lit(0.0)}
-    top = F.greatest(*s.values()) if len(s) > 1 else F.lit(0.0)
-    d = d.select(*keep, "n_tokens", *(F.exp(s[x] - top).alias(f"e_{x}") for x in domains))
-    total = sum((F.col(f"e_{x}") for x in domains[1:]), F.col(f"e_{base}"))
+    return d.select(*keep, "n_tokens", F.lit(0.0).alias(f"s_{domains[0]}"), *(summed(odds[x], constant[x]).alias(f"s_{x}") for x in domains[1:]))
+
+
+def posteriors(docs: DataFrame, model, domains: list[str], buckets: int = BUCKETS, keep=("doc_id",)) -> DataFrame:
+    """``keep`` columns, ``n_tokens`` and the posterior ``p_<domain>`` per row of ``docs``."""
+    d = log_odds(docs, model, domains, buckets, keep)
+    top = F.greatest(*(F.col(f"s_{x}") for x in domains)) if len(domains) > 1 else F.col(f"s_{domains[0]}")
+    d = d.select(*keep, "n_tokens", *(F.exp(F.col(f"s_{x}") - top).alias(f"e_{x}") for x in domains))
+    total = sum((F.col(f"e_{x}") for x in domains[1:]), F.col(f"e_{domains[0]}"))
     return d.select(*keep, "n_tokens", *((F.col(f"e_{x}") / total).alias(f"p_{x}") for x in domains))
 
 
-def _largest(gram: list[list[float]]) -> float:
-    """Largest eigenvalue of a small symmetric matrix, by power iteration."""
-    v = [1.0] * len(gram)
-    size = 0.0
-    for _ in range(200):
-        v = [sum(g * x for g, x in zip(row, v)) for row in gram]
-        size = math.sqrt(sum(x * x for x in v))
-        if not size:
-            return 1.0
-        v = [x / size for x in v]
-    return size
+def held_out_table(labelled: DataFrame, model, domains: list[str], buckets: int = BUCKETS) -> dict:
+    """``{(label, likeliest domain): rows}`` of labelled rows (``text, domain``) that the fit has not seen."""
+    rows = posteriors(labelled, model, domains, buckets, ("domain",))
+    best = F.greatest(*(F.struct(F.col(f"p_{d}").alias("p"), F.lit(d).alias("d")) for d in domains))["d"]
+    found = rows.groupBy("domain", best.alias("best")).count().collect()  # one row a pair of domains
+    return {(r["domain"], r["best"]): r["count"] for r in found}
+
+
+def _solve(matrix: list[list[float]], vector: list[float]) -> list[float]:
+    """Solve a small positive definite system."""
+    n = len(vector)
+    rows = [[*row, v] for row, v in zip(matrix, vector)]
+    for i in range(n):
+        rows[i] = [x / rows[i][i] for x in rows[i]]
+        for k in range(n):
+            if k != i:
+                rows[k] = [x - rows[k][i] * y for x, y in zip(rows[k], rows[i])]
+    return [row[n] for row in rows]
 
 
 def fit_rates(scored: DataFrame, targets: dict[str, float], steps: int = STEPS, tolerance: float = TOLERANCE):
-    """``(scored with its rate, achieved shares)`` for the staged posteriors."""
+    """``(scored with its rate, achieved shares, whether they meet the targets)`` for the staged posteriors.
+
+    Projected gradient: the gradient of a row's rate, per word, is its posterior times the shares' distance from the
+    targets. Steps add up in ``push``, one number a domain, and the rate is their sum projected onto rates of 0 and
+    more, ``max(0, 1 - posterior . push)``. A step is scaled by the inverse Gram matrix of the posteriors
+    of the rows whose rate is positive, so one that changes no row's sign meets the targets at once, and halved while it does not
+    lower the convex function whose gradient it follows. ``RIDGE`` keeps that function bounded where targets cannot be met;
+    the rates then give the nearest shares that rates of 0 and more can reach."""
     domains = list(targets)
-    p = {d: F.col(f"p_{d}") for d in domains}
-    n = F.col("n_tokens").cast("double")
-    pairs = [(a, b) for i, a in enumerate(domains) for b in domains[i:]]
-    got = scored.agg(F.sum(n).alias("n"), *(F.sum(n * p[a] * p[b]).alias(f"{a}/{b}") for a, b in pairs)).first()
-    total = got["n"] or 1.0
-    gram = [[(got[f"{a}/{b}" if (a, b) in pairs else f"{b}/{a}"] or 0.0) / total for b in domains] for a in domains]
-    step = 1.0 / _largest(gram)
-    rated, rate, shares = scored, F.lit(1.0), {}
-    for i in range(steps):
-        if i and i % FOLD == 0:
-            rated = staged(rated.withColumn("rate", rate), "op7-rates")
-            rate = F.col("rate")
-        before = shares
-        row = rated.agg(*(F.sum(rate * n * p[d]).alias(d) for d in domains)).first()
-        shares = {d: (row[d] or 0.0) / total for d in domains}
-        miss = {d: shares[d] - targets[d] for d in domains}
-        still = before and max(abs(shares[d] - before[d]) for d in domains) <= tolerance / 50
-        if still or max(abs(x) for x in miss.values()) <= tolerance or not got["n"]:
-            break  # the targets are met, or as near as rates of 0 and more can come
-        push = sum((F.lit(step * miss[d]) * p[d] for d in domains[1:]), F.lit(step * miss[domains[0]]) * p[domains[0]])
-        rate = F.greatest(F.lit(0.0), rate - push)
-    return rated.withColumn("rate", F.when(F.col("n_tokens") > 0, rate).otherwise(F.lit(1.0))), shares
+    size = range(len(domains))
+    p = [F.col(f"p_{d}") for d in domains]
+    n, t = F.col("n_tokens").cast("double"), [targets[d] for d in domains]
+    total = scored.agg(F.sum(n)).first()[0] or 0.0
+
+    def rate(push: list[float]) -> Column:
+        return F.greatest(F.lit(0.0), F.lit(1.0) - sum((F.lit(x) * c for x, c in zip(push[1:], p[1:])), F.lit(push[0]) * p[0]))
+
+    def measured(push: list[float]):
+        """Value, shares and Gram matrix of the rows in use: one aggregate."""
+        r = rate(push)
+        used = F.when(r > 0, n).otherwise(F.lit(0.0))
+        got = scored.agg(F.sum(n * r * r), *(F.sum(n * r * c) for c in p), *(F.sum(used * p[i] * p[j]) for i in size for j in size if i <= j)).first()
+        got = [(x or 0.0) / total for x in got]
+        cells = iter(got[1 + len(p):])
+        gram = [[0.0] * len(p) for _ in p]
+        for i in size:
+            for j in size:
+                if i <= j:
+                    gram[i][j] = gram[j][i] = next(cells)
+        value = got[0] / 2 + sum(x * y + RIDGE / 2 * x * x for x, y in zip(push, t))
+        return value, got[1:1 + len(p)], gram
+
+    push, shares, taken = [0.0] * len(p), list(t), 0
+    if total:
+        value, shares, gram = measured(push)
+    while total and taken < steps and max(abs(x - y) for x, y in zip(shares, t)) > tolerance:
+        slope = [y - x + RIDGE * u for x, y, u in zip(shares, t, push)]
+        if max(map(abs, slope)) <= tolerance / 100:
+            break  # the nearest shares
+        move = _solve([[g + (RIDGE if i == j else 0.0) for j, g in enumerate(row)] for i, row in enumerate(gram)], [-x for x in slope])
+        fall, length = sum(x * y for x, y in zip(slope, move)), 1.0
+        while True:
+            tried = [u + length * x for u, x in zip(push, move)]
+            found = measured(tried)
+            taken += 1
+            if found[0] <= value + 1e-4 * length * fall or taken >= steps:
+                break
+            length /= 2
+        push, (value, shares, gram) = tried, found
+    met = max((abs(x - y) for x, y in zip(shares, t)), default=0.0) <= tolerance
+    return (scored.withColumn("rate", F.when(F.col("n_tokens") > 0, rate(push)).otherwise(F.lit(1.0))),
+            dict(zip(domains, shares)), met)
 
 
 def mix_sources(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, domains: dict[str, str] = DOMAINS,
-                buckets: int = BUCKETS, sample: int = SAMPLE) -> DataFrame:
-    """Per row of ``docs``: ``doc_id, row_key, n_tokens, p_<domain>, rate`` and
-    ``copies`` (the rate, its fraction rounded up or down by a hash of the id)."""
+                buckets: int = BUCKETS, sample: int = SAMPLE, strict: bool = False) -> DataFrame:
+    """Per row of ``docs``: ``doc_id, row_key, n_tokens, p_<domain>, rate``, ``copies`` (the rate, its fraction
+    rounded up or down by a hash of the id), ``share_<domain>``, the share of words that the rates give each
+    domain, and ``targets_met``. Targets that cannot be met are logged, and an error with ``strict``."""
     names = list(targets)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.xxhash64("doc_id", "text").alias("row_key"))
@@ -170,13 +221,23 @@ def mix_sources(docs: DataFrame, labels: DataFrame, targets: dict[str, float] =
                    .filter("doc_id is not null and domain is not null").dropDuplicates(["doc_id"]), "op7-labels")
     # the sample is taken before the texts are joined, so the join is bounded
     share = min(1.0, sample / max(1, marks.count()))
-    marks = staged(marks.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share * float(1 << 30)), "op7-sample")
-    model = fit(rows.join(checked_broadcast(marks), "doc_id").select("text", "domain"), names, buckets)
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    marks = staged(marks.filter(part < share * float(1 << 30)), "op7-sample")
+    known = rows.join(checked_broadcast(marks), "doc_id").select("doc_id", "text", "domain")
+    held = F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(4)) == 0
+    model = fit(known.filter(~held), names, buckets)
+    log.info("mixing: held-out rows by (label, likeliest domain): %s", held_out_table(known.filter(held), model, names, buckets))
     scored = staged(posteriors(rows, model, names, buckets, ("doc_id", "row_key")), "op7-posteriors")
-    scored, _ = fit_rates(scored, targets)
+    scored, shares, met = fit_rates(scored, targets)
+    if not met:
+        message = f"mixing: no rates of 0 and more meet the targets {targets}; the nearest shares are {shares}"
+        if strict:
+            raise ValueError(message)
+        log.warning(message)
     toss = F.pmod(F.xxhash64("doc_id", "row_key", F.lit("copies")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     copies = F.floor("rate") + F.when(toss < F.col("rate") - F.floor("rate"), 1).otherwise(0)
-    return scored.withColumn("copies", copies.cast("long"))
+    return scored.select("*", copies.cast("long").alias("copies"), *(F.lit(shares[d]).alias(f"share_{d}") for d in names),
+                         F.lit(met).alias("targets_met"))
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
