@@ -37,6 +37,7 @@ SPACES = "[\\x20\\x09-\\x0D]+"
 BUCKETS = 1 << 15
 SAMPLE = 20_000
 STEPS, TOLERANCE, RIDGE = 60, 1e-3, 1e-6
+FIT_TASKS, LEAST_G = 6, 2.7
 PRIOR, ITERATIONS = 2.0, 60  # of the classifier: its penalty is PRIOR / rows, a weight's variance of 1 / PRIOR at every size
 
 # Domains of the labels table and the shares of words they should have.
@@ -67,7 +68,7 @@ def g_statistic(a: float, b: float, n: float, m: float) -> float:
     return 2 * sum(x * math.log(x * whole / e) for x, e in cells if x)
 
 
-def fit(labelled: DataFrame, domains: list[str], buckets: int = BUCKETS, least: float = 1.0, prior: float = PRIOR):
+def fit(labelled: DataFrame, domains: list[str], buckets: int = BUCKETS, least: float = LEAST_G, prior: float = PRIOR):
     """Weights of the feature buckets and constants of the domains but the first, against the first: a
     multinomial logistic regression with a squared penalty, fitted by Spark on a bounded sample of rows ``text,
     domain``. The penalty shrinks every weight, so the sum over a long text stays calibrated. Buckets that
@@ -91,7 +92,9 @@ def fit(labelled: DataFrame, domains: list[str], buckets: int = BUCKETS, least:
         terms = CountVectorizerModel.from_vocabulary(names, "terms", "features").setBinary(True)
         number = F.array_position(F.array(*map(F.lit, present)), F.col("domain")) - 1
         train = terms.transform(rows.select(number.cast("double").alias("label"), F.col("found").cast("array<string>").alias("terms")))
-        fitted = LogisticRegression(family="multinomial", regParam=prior / total, maxIter=ITERATIONS, tol=1e-4, standardization=False).fit(train)
+        # each task sends the driver one gradient an iteration: a few tasks for the bounded sample
+        fitted = LogisticRegression(family="multinomial", regParam=prior / total, maxIter=ITERATIONS, tol=1e-4,
+                                    standardization=False).fit(train.coalesce(FIT_TASKS))
         matrix, constants = fitted.coefficientMatrix.toArray(), fitted.interceptVector.toArray()
         for d, row, c in zip(present, matrix, constants):
             constant[d] = float(c)
