@@ -6,15 +6,17 @@ document bundles (adds) the vectors of all its n-grams; a language prototype
 bundles its training documents, each at unit length, less the mean over all
 languages' prototypes. A document takes the language of highest cosine.
 
-A slice of documents becomes a matrix of n-gram counts, so bundling is one
-matrix product. The prototypes are learned from a bounded sample: of the
+A slice of documents becomes a matrix of n-gram counts, bundled by a
+matrix product for each ``CHUNK`` distinct n-grams: beside a fixed multiple of the slice (or of a longer text), memory
+is the vectors of one chunk. The prototypes are learned from a bounded sample: of the
 training rows of each language at most about ``SAMPLE`` are used, those with the
 smallest hash of their id. Their sums are added up in Spark; what reaches the
 driver is one vector per language (at most ``MAX_LANGUAGES``).
 
 Defined results: null texts and texts without a letter are ``und`` with score 0,
 as is every text if there is no training row; rows with a null ``doc_id`` are
-never training rows and are not held out; other columns are not read.
+never training rows and are not held out; languages of one score: the first by name;
+repeated rows are rows of their own; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ N = 3
 SAMPLE = 2_000
 MAX_LANGUAGES = 2_000
 SLICE = 256 << 10
+CHUNK = 16_384  # distinct n-grams bundled at a time
 
 
 class Profiles:
@@ -46,7 +49,10 @@ class Profiles:
         bits = codes.astype(np.uint64)[:, None] * np.uint64(self.dimensions // 64) + np.arange(
             self.dimensions // 64, dtype=np.uint64)
         raw = mix64((bits + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)).view(np.uint8)
-        return np.unpackbits(raw.reshape(len(codes), -1), axis=1).astype(np.float32) * 2 - 1
+        signs = np.unpackbits(raw.reshape(len(codes), -1), axis=1).view(np.int8)
+        signs *= 2
+        signs -= 1
+        return signs
 
     def bundle(self, texts):
         """``(bundles, has a letter)`` of a list of strings."""
@@ -75,12 +81,16 @@ class Profiles:
         else:
             used, gram = np.unique(gram, return_inverse=True)
         letters = self.vectors(alphabet)
-        bound = np.ones((len(used), self.dimensions), np.float32)
-        for i in range(self.n):
-            place = used // len(alphabet) ** (self.n - 1 - i) % len(alphabet)
-            bound *= np.roll(letters, self.n - 1 - i, axis=1)[place]
-        counts = np.bincount(middle.astype(np.int64) * len(used) + gram, minlength=len(texts) * len(used))
-        bundles = counts.reshape(len(texts), len(used)).astype(np.float32) @ bound
+        rolled = [np.roll(letters, self.n - 1 - i, axis=1) for i in range(self.n)]
+        bundles = np.zeros((len(texts), self.dimensions), np.float32)
+        for low in range(0, len(used), CHUNK):
+            some = used[low:low + CHUNK]
+            bound = np.ones((len(some), self.dimensions), np.int8)
+            for i in range(self.n):
+                bound *= rolled[i][some // len(alphabet) ** (self.n - 1 - i) % len(alphabet)]
+            here = (gram >= low) & (gram < low + CHUNK) if len(used) > CHUNK else slice(None)
+            counts = np.bincount(middle[here].astype(np.int64) * len(some) + (gram[here] - low), minlength=len(texts) * len(some))
+            bundles += counts.reshape(len(texts), len(some)).astype(np.float32) @ bound.astype(np.float32)
         return bundles * has[:, None], has
 
 
