@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import logging
 import math
+from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
@@ -61,13 +62,23 @@ def features(ws: Column, buckets: int) -> Column:
                     F.transform(ws, lambda w: buckets_of(w, buckets)[1]))
 
 
+def _g_cells(a, b, n, m):
+    whole, found = n + m, a + b
+    return whole, ((a, found * n), (b, found * m), (n - a, (whole - found) * n), (m - b, (whole - found) * m))
+
+
 def g_statistic(a: float, b: float, n: float, m: float) -> float:
     """G of the table of ``a`` of ``n`` and ``b`` of ``m`` documents; exact counts of 0 are evidence too."""
-    whole, found = n + m, a + b
-    cells = ((a, found * n), (b, found * m), (n - a, (whole - found) * n), (m - b, (whole - found) * m))
+    whole, cells = _g_cells(a, b, n, m)
     return 2 * sum(x * math.log(x * whole / e) for x, e in cells if x)
 
 
+def g_column(a: Column, b: Column, n: int, m: int) -> Column:
+    """:func:`g_statistic` of columns of counts."""
+    whole, cells = _g_cells(a, b, n, m)
+    return 2 * sum((F.when(x > 0, x * F.log(x * whole / e)).otherwise(0.0) for x, e in cells), F.lit(0.0))
+
+
 def fit(labelled: DataFrame, domains: list[str], buckets: int = BUCKETS, least: float = LEAST_G, prior: float = PRIOR):
     """Weights of the feature buckets and constants of the domains but the first, against the first: a
     multinomial logistic regression with a squared penalty, fitted by Spark on a bounded sample of rows ``text,
@@ -77,13 +88,11 @@ def fit(labelled: DataFrame, domains: list[str], buckets: int = BUCKETS, least:
                   "op7-training")
     docs = {r["domain"]: r["count"] for r in rows.groupBy("domain").count().collect()}
     present, total = [d for d in domains if docs.get(d)], sum(docs.values())
-    # at most domains x 2 x buckets rows
-    table = {d: [0] * (2 * buckets) for d in domains}
-    for r in rows.select("domain", F.explode("found").alias("b")).groupBy("domain", "b").count().collect():
-        table[r["domain"]][r["b"] - 1] += r["count"]
-    every = [sum(c) for c in zip(*table.values())]
-    kept = [b for b in range(2 * buckets) if every[b] and any(
-        g_statistic(table[d][b], every[b] - table[d][b], docs[d], total - docs[d]) >= least for d in present)]
+    found = rows.select("domain", F.explode("found").alias("b")).groupBy("b").agg(
+        F.count(F.lit(1)).cast("double").alias("every"), *(F.count_if(F.col("domain") == d).cast("double").alias(f"n_{d}") for d in present))
+    tells = [g_column(F.col(f"n_{d}"), F.col("every") - F.col(f"n_{d}"), docs[d], total - docs[d]) >= least for d in present]
+    # one row of at most 2 x buckets numbers
+    kept = found.filter(reduce(Column.__or__, tells, F.lit(False))).agg(F.sort_array(F.collect_list(F.col("b") - 1))).first()[0]
     # a domain without labelled rows has the weights 0 and a small constant
     weights = {d: [0.0] * (2 * buckets) for d in domains}
     constant = {d: math.log((docs.get(d, 0) + 1) / (total + len(domains))) for d in domains}
