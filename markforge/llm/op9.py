@@ -5,8 +5,9 @@ windows of a slice of documents travel as packed rows, one per slice and hash
 bucket, so a shuffle row holds thousands of windows at about ten bytes each. A
 map-side combine settles windows that repeat inside a slice: only the document
 with the smallest id goes on, the others are known to be removed. A hot passage
-thus costs one entry per slice, not one per document. Each bucket is sorted by
-hash; windows that also start in a document with a smaller id are removed.
+thus costs one entry per slice, not one per document. The number of buckets
+follows the bytes of text, and each is a shuffle partition of its own, so a bucket is of one size
+at every size of the input. It is sorted by hash; windows that also start in a document with a smaller id are removed.
 Intervals of removed words are merged per document.
 
 Two different windows share a hash with probability below n**2 / 2**65 for n windows.
@@ -32,6 +33,8 @@ from markforge.llm.words import SLICE_BYTES, Words, document_of, slices
 WIDTH = 50
 # Windows kept back by a map task before it sends them; bounds its memory.
 PACK = 2_000_000
+# Bytes of text whose windows share a bucket: at six bytes a word and ten a packed window, about 40 MB.
+BUCKET_TEXT = 24 << 20
 
 _PACKED = "bucket int, settled boolean, docs binary, keys binary, counts binary, hashes binary, positions binary"
 _REMOVED = "doc_id long, row_key long, position int"
@@ -173,13 +176,18 @@ def _merge(width: int):
     return run
 
 
+def buckets_for(docs: DataFrame, text: int = BUCKET_TEXT) -> int:
+    """Buckets for the texts of ``docs``: one for each ``text`` bytes, and one a core of the cluster at least."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // text))
+
+
 def removed_windows(docs: DataFrame, width: int = WIDTH, buckets: int | None = None, pack: int = PACK) -> DataFrame:
     """``(doc_id, row_key, removed)``: bounds of the intervals covered by windows
     that also start in a document with a smaller id. ``docs`` is ``keyed``."""
-    spark = docs.sparkSession
-    buckets = buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or buckets_for(docs)
     packed = docs.select("doc_id", "text", "row_key").mapInArrow(_pack(width, buckets, pack), _PACKED)
-    found = packed.groupBy("bucket").applyInPandas(_settle, _REMOVED)
+    found = packed.repartitionById(buckets, "bucket").groupBy("bucket").applyInPandas(_settle, _REMOVED)
     found = found.groupBy("doc_id", "row_key").agg(F.collect_list("position").alias("positions"))
     return found.mapInArrow(_merge(width), "doc_id long, row_key long, removed array<long>")
 
