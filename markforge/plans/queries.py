@@ -39,7 +39,7 @@ from markforge.operators.union import union_sources
 from markforge.plans import fixtures as fx
 from markforge.plans.corpus import prepare_source, sft_corpus
 from markforge.plans.inference import inference_job, run_inference
-from markforge.sources.readers import WIDE_SOURCE_FIELDS, load_sources, read_csv_text, read_source
+from markforge.sources.readers import WIDE_SOURCE_FIELDS, load_shared_pairs, load_sources, read_csv_text, read_source
 from markforge.sources.sinks import write_csv
 from markforge.session import checkpoint_dir, materialize, spread
 
@@ -104,18 +104,22 @@ def wide_catalog(sf):
             for (lang, name), (pf, mf) in zip(LANG_SOURCES, WIDE_SOURCE_FIELDS)]
 
 
-def _as_wide_source(df, spec):
-    """Lay the pair fixture out in the source's own column names, normalise."""
-    cols = LANG_COLUMNS[[n for _, n in LANG_SOURCES].index(spec.name)]
+def _wide_layout(df):
+    """One table of the pair fixture with the columns of all wide sources; a row fills those of its language's source."""
     p = fx.svg_pairs_from(spread(df))
-    src = p.select("doc_id", F.col("caption").alias(cols[0]), F.col("name").alias(cols[1]),
-                   F.col("svg_code").alias(cols[2]))
-    return normalize_pairs(src, spec.prompt_fields, spec.markup_fields, keep=["doc_id"])
+    filled = {}
+    for (lang, _), cols in zip(LANG_SOURCES, LANG_COLUMNS):
+        for c, value in zip(cols, ("caption", "name", "svg_code")):
+            filled.setdefault(c, []).append(F.when(F.col("lang") == lang, F.col(value)))
+    return p.select("doc_id", "lang", *(F.coalesce(*values).alias(c) for c, values in filled.items()))
 
 
 def q_union_sources(spark, sf):
-    loaded, _, _ = load_sources(spark, wide_catalog(sf), _as_wide_source)
-    return union_sources(require_sources(loaded))
+    """Four sources of one path, by split and fields, from one scan."""
+    pairs, skipped = load_shared_pairs(spark, wide_catalog(sf), keep=["doc_id"], layout=_wide_layout)
+    if skipped:
+        raise ValueError(f"sources skipped: {skipped}")
+    return pairs
 
 
 def q_source_counts(spark, sf):

@@ -10,6 +10,7 @@ import re
 from collections import Counter
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +20,7 @@ from pyspark.sql import types as T
 from markforge.config import NA_SENTINELS, SourceSpec
 from markforge.functions.text import null_sentinels_to_null
 from markforge.operators.positions import SCHEME, head_of_files, position_key
+from markforge.operators.union import shared_pairs
 from markforge.session import spread
 
 log = logging.getLogger(__name__)
@@ -239,3 +241,57 @@ def load_sources(spark: SparkSession, specs: Sequence[SourceSpec], prepare, veri
             log.warning("Skipping %s: %s: %s", spec.name, type(e).__name__, e)
             skipped.append((spec.name, f"{type(e).__name__}: {e}"))
     return loaded, skipped, counts
+
+
+def _scan_of(spec: SourceSpec) -> tuple:
+    """What a source reads; sources that agree in it share one scan."""
+    path = spec.path.format(split=spec.split) if spec.path and "{split}" in spec.path else spec.path
+    return spec.table, path, spec.format, repr(sorted(spec.options.items()))
+
+
+def _split_rows(df: DataFrame, spec: SourceSpec) -> Column | None:
+    """The condition of a source's rows in the scan it shares; ``None``: all."""
+    if spec.split is None:
+        return None
+    if spec.split_column in df.columns:
+        return F.col(spec.split_column) == F.lit(spec.split)
+    _of_split(df, spec)  # an error if neither path nor column gives the split
+    return None
+
+
+def load_shared_pairs(spark: SparkSession, specs: Sequence[SourceSpec], keep: Sequence[str] = (), layout=None,
+                      root_tag: str = "svg"):
+    """The normalised pairs of every source, each scan read once: sources of one path or table (and format
+    and options) are taken from it in one pass (:func:`shared_pairs`), by the split and the candidate fields of each.
+
+    ``keep`` columns come along and must be in every source. ``layout(df)`` may rearrange a scan's columns before. Failures
+    are isolated as in :func:`load_sources`: a scan that cannot be resolved skips its sources, a split that a
+    source cannot apply skips that source; a source whose fields are all absent has no rows. Returns ``(pairs or None, skipped)``."""
+    scans: dict[tuple, list[SourceSpec]] = {}
+    frames, skipped = [], []
+    for spec in specs:
+        scans.setdefault(_scan_of(spec), []).append(spec)
+    for (table, path, *_), group in scans.items():
+        loaded = []
+        try:
+            splits = [s.split_column for s in group if s.split is not None and "{split}" not in (s.path or "")]
+            whole = replace(group[0], path=path, split=None, key_fields=tuple(dict.fromkeys([*keep, *splits])),
+                            prompt_fields=tuple(dict.fromkeys(f for s in group for f in s.prompt_fields)),
+                            markup_fields=tuple(dict.fromkeys(f for s in group for f in s.markup_fields)))
+            df = read_source(spark, whole)
+            df = layout(df) if layout else df
+            for spec in group:
+                try:
+                    loaded.append((spec, _split_rows(df, spec)))
+                except ValueError as e:
+                    log.warning("Skipping %s: %s", spec.name, e)
+                    skipped.append((spec.name, f"ValueError: {e}"))
+            if loaded:
+                pairs = shared_pairs(df, loaded, keep, root_tag)
+                pairs.schema  # resolves the plan
+                frames.append(pairs)
+        except Exception as e:  # isolate any failure to its own scan
+            names = [spec.name for spec, _ in loaded] or [spec.name for spec in group if spec.name not in dict(skipped)]
+            log.warning("Skipping %s: %s: %s", ", ".join(names), type(e).__name__, e)
+            skipped += [(name, f"{type(e).__name__}: {e}") for name in names]
+    return (reduce(DataFrame.unionByName, frames) if frames else None), skipped
