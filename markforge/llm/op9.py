@@ -188,7 +188,7 @@ def removed_windows(docs: DataFrame, width: int = WIDTH, buckets: int | None = N
     buckets = buckets or buckets_for(docs)
     packed = docs.select("doc_id", "text", "row_key").mapInArrow(_pack(width, buckets, pack), _PACKED)
     found = packed.repartitionById(buckets, "bucket").groupBy("bucket").applyInPandas(_settle, _REMOVED)
-    found = found.groupBy("doc_id", "row_key").agg(F.collect_list("position").alias("positions"))
+    found = found.repartition(buckets, "doc_id", "row_key").groupBy("doc_id", "row_key").agg(F.collect_list("position").alias("positions"))
     return found.mapInArrow(_merge(width), "doc_id long, row_key long, removed array<long>")
 
 
