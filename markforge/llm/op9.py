@@ -33,8 +33,9 @@ from markforge.llm.words import SLICE_BYTES, Words, document_of, slices
 WIDTH = 50
 # Windows kept back by a map task before it sends them; bounds its memory.
 PACK = 2_000_000
-# Bytes of text whose windows share a bucket: at six bytes a word and ten a packed window, about 40 MB.
-BUCKET_TEXT = 24 << 20
+# Bytes of text whose windows share a bucket: at six bytes a word and ten a packed window, about 14 MB; a
+# task holds a bucket unpacked at some 60 bytes a window.
+BUCKET_TEXT = 8 << 20
 
 _PACKED = "bucket int, settled boolean, docs binary, keys binary, counts binary, hashes binary, positions binary"
 _REMOVED = "doc_id long, row_key long, position int"
@@ -188,7 +189,7 @@ def removed_windows(docs: DataFrame, width: int = WIDTH, buckets: int | None = N
     buckets = buckets or buckets_for(docs)
     packed = docs.select("doc_id", "text", "row_key").mapInArrow(_pack(width, buckets, pack), _PACKED)
     found = packed.repartitionById(buckets, "bucket").groupBy("bucket").applyInPandas(_settle, _REMOVED)
-    found = found.repartition(buckets, "doc_id", "row_key").groupBy("doc_id", "row_key").agg(F.collect_list("position").alias("positions"))
+    found = found.groupBy("doc_id", "row_key").agg(F.collect_list("position").alias("positions"))
     return found.mapInArrow(_merge(width), "doc_id long, row_key long, removed array<long>")
 
 
