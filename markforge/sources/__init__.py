@@ -3,6 +3,7 @@
 from markforge.sources.readers import (
     WIDE_SOURCE_FIELDS,
     csv_to_parquet,
+    load_shared_pairs,
     load_sources,
     read_csv_text,
     read_pairs_csv,
