@@ -13,6 +13,6 @@ from markforge.sources.readers import (
 from markforge.sources.sinks import write_corpus, write_csv, write_submission
 
 __all__ = [
-    "WIDE_SOURCE_FIELDS", "csv_to_parquet", "load_sources", "read_csv_text", "read_pairs_csv",
+    "WIDE_SOURCE_FIELDS", "csv_to_parquet", "load_shared_pairs", "load_sources", "read_csv_text", "read_pairs_csv",
     "read_source", "read_test_prompts", "write_corpus", "write_csv", "write_submission",
 ]
