@@ -15,7 +15,6 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from markforge.config import DEFAULT_ROUNDS, FALLBACK_SVG, RoundSpec
 from markforge.functions.chat import completion_text, generation_prompt
@@ -31,6 +30,10 @@ from markforge.session import materialize
 # function is called once per task, so a model is loaded once per task and
 # not once per Arrow batch.
 Generator = Callable[[pd.DataFrame, RoundSpec], Sequence[str]]
+GENERATOR_COLUMNS = ("id", "prompt", "chat", "round", "max_new_tokens")
+
+# Rows that one generation task takes unless the caller says otherwise: also what a lost task repeats.
+ROWS_PER_TASK = 2_000
 
 
 def postprocess(raw_col: str | Column = "raw", tag: str = "svg", renames: dict | None = None):
@@ -59,15 +62,33 @@ def generation_inputs(df: DataFrame, system_prompt: str, id_col: str = "id", pro
     return x.withColumn("n_input", count_tokens("chat", counter))
 
 
+def generated_text(generator: Generator, spec: RoundSpec) -> Column:
+    """The decoded text of each row: an iterator pandas UDF over the generator's columns. It is marked
+    nondeterministic, so the optimizer neither repeats it nor moves a filter below it."""
+    is_factory = getattr(generator, "is_factory", False)
+
+    @F.pandas_udf("string")
+    def _text(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        generate = generator() if is_factory else generator
+        for pdf in batches:
+            texts = list(generate(pdf, spec)) if len(pdf) else []
+            if len(texts) != len(pdf):
+                raise ValueError(f"the generator returned {len(texts)} texts for {len(pdf)} rows")
+            yield pd.Series(texts, index=pdf.index, dtype=object)
+
+    return _text.asNondeterministic()(F.struct(*GENERATOR_COLUMNS))
+
+
 def generate_round(inputs: DataFrame, generator: Generator, spec: RoundSpec, round_no: int,
                    tag: str = "svg", renames: dict | None = None, completion_only: bool = False,
                    validity: str = "strict") -> DataFrame:
     """One round: budget per row, batch generation in ``mapInPandas``, then
     extraction, repair and validation as columns.
 
-    The input columns travel through the generator batch unchanged, so the
-    rows a later round retries are read from this round's output: no join
-    back to the inputs. Output: input columns + (round, svg, valid).
+    Python gets the columns a generator may read (:data:`GENERATOR_COLUMNS`) and returns the decoded
+    text alone; every other column, and the prompt and chat themselves, stay in the JVM beside it, so a
+    later round finds them in this round's output: no join back to the inputs and no copy of a prompt out of
+    Python. Output: input columns + (round, svg, valid).
     Extraction reads the whole decoded text (prompt included, as the
     reference does) unless ``completion_only`` drops the echoed prompt.
     ``validity`` is ``"strict"`` (root local name equals ``tag``) or
@@ -76,21 +97,9 @@ def generate_round(inputs: DataFrame, generator: Generator, spec: RoundSpec, rou
     cols = inputs.columns
     x = inputs.select(*cols, F.lit(round_no).alias("round"),
                       generation_budget("n_input", spec.max_cap).alias("max_new_tokens"))
-    out_schema = StructType([*inputs.schema.fields, StructField("raw", StringType())])
-
-    is_factory = getattr(generator, "is_factory", False)
-
-    def _run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        generate = generator() if is_factory else generator
-        for pdf in batches:
-            texts = list(generate(pdf, spec)) if len(pdf) else []
-            out = pdf[cols].copy()
-            out["raw"] = pd.Series(texts, index=pdf.index, dtype=object)
-            yield out
-
-    raw = x.mapInPandas(_run, out_schema)
+    raw = x.withColumn("raw", generated_text(generator, spec))
     source = completion_text("raw", "chat") if completion_only else F.col("raw")
-    out = raw.select(*cols, F.lit(round_no).alias("round"), postprocess(source, tag, renames).alias("svg"))
+    out = raw.select(*cols, "round", postprocess(source, tag, renames).alias("svg"))
     return out.withColumn("valid", is_valid_markup("svg", tag, validity))
 
 
@@ -98,7 +107,7 @@ def cascade(inputs: DataFrame, generator: Generator, rounds: Sequence[RoundSpec]
             tag: str = "svg", fallback_doc: str = FALLBACK_SVG, renames: dict | None = None,
             carry: Sequence[str] = (), completion_only: bool = False,
             partitions: int | None = None, validity: str = "strict", run: Run | None = None, slices: int = 1,
-            rows_per_task: int | None = None) -> DataFrame:
+            rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """N-round generation: round i runs only on ids that failed rounds < i;
     ids failing every round get the fallback.
 
@@ -109,19 +118,17 @@ def cascade(inputs: DataFrame, generator: Generator, rounds: Sequence[RoundSpec]
     result is a plain union: no join, no grouping, and no exchange besides
     the deal of the inputs below.
 
-    Generation dominates the cost, so the inputs are first dealt
-    round-robin over ``partitions`` tasks (default: the cluster's slots or
-    ``spark.sql.shuffle.partitions``, whichever is more, so a large input can
-    be cut finer than one task a slot): every slot generates and tasks are balanced whatever the
+    Generation dominates the cost, so the rows of every round are first dealt
+    round-robin over ``partitions`` tasks (default: one per ``rows_per_task`` rows, and
+    at least the cluster's slots): every slot generates and tasks are balanced whatever the
     input's partitioning (a multi-line CSV of test prompts is one task per
-    file). Winners are staged without their prompts. Moving the prompts costs little next to generating from them,
-    and the deal is deterministic, so a retried task gets the same rows.
+    file; the failures of a round lie in few small files). Winners are staged without their prompts. Moving the
+    prompts costs little next to generating from them, and the deal is deterministic, so a retried task gets the same rows.
 
     With a ``run`` (:class:`Run`) the cascade can be resumed: its inputs are staged once, cut into ``slices`` by
     their stored row number, and every round of a slice is a piece of the run's ledger. Called again with the
     same run after a stop, it reads the pieces that were committed and generates only the others; another
-    input or other settings under the same name are an error. ``rows_per_task`` then sizes the tasks of a piece from its
-    rows. The caller finishes the run when the result is stored.
+    input or other settings under the same name are an error. The caller finishes the run when the result is stored.
     """
     cols = inputs.columns
     spark = inputs.sparkSession
@@ -133,8 +140,11 @@ def cascade(inputs: DataFrame, generator: Generator, rounds: Sequence[RoundSpec]
         retry = [F.when(~F.col("valid"), F.col(c)).alias(c) if c in ("prompt", "chat") else F.col(c) for c in res.columns]
         return res.select(*retry)
 
+    def dealt(piece):
+        return piece.repartition(partitions or max(slots, -(-piece.count() // rows_per_task)))
+
     if run is None:
-        pieces = [inputs.repartition(partitions or max(slots, int(spark.conf.get("spark.sql.shuffle.partitions"))))]
+        pieces = [inputs]
     else:
         run.open({"rounds": [repr(spec) for spec in rounds], "tag": tag, "renames": repr(renames), "validity": validity,
                   "completion_only": completion_only, "slices": slices, "inputs": _digest(inputs)})
@@ -146,13 +156,9 @@ def cascade(inputs: DataFrame, generator: Generator, rounds: Sequence[RoundSpec]
         pending = []
         for k, piece in enumerate(pieces):
             if run is None:
-                res = materialize(one_round(piece, i, spec), f"gen-round{i}")
+                res = materialize(one_round(dealt(piece), i, spec), f"gen-round{i}")
             else:
-                def make(piece=piece):
-                    tasks = max(slots, -(-piece.count() // rows_per_task)) if rows_per_task else slots
-                    return one_round(piece.repartition(partitions or tasks), i, spec)
-
-                res = run.stage(f"round{i}-slice{k}", make)
+                res = run.stage(f"round{i}-slice{k}", lambda: one_round(dealt(piece), i, spec))
             winners.append(res.where("valid").select(*carry, "id", "svg", F.lit(False).alias("used_fallback"),
                                                      F.col("round").alias("won_round")))
             pending.append(res.where(~F.col("valid")).select(*cols))

@@ -1,9 +1,10 @@
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from markforge.config import FALLBACK_SVG, ONE_ROUND, RoundSpec
 from markforge.functions.markup import valid_markup_py
-from markforge.operators.cascade import cascade, first_valid_round, generation_inputs
+from markforge.operators.cascade import cascade, first_valid_round, generate_round, generation_inputs
 from markforge.operators.report import fallback_report, output_quality
 from markforge.plans import fixtures as fx
 from markforge.plans.inference import run_inference
@@ -192,3 +193,31 @@ def test_first_valid_round_keeps_to_its_input_rows(spark):
     cands = spark.createDataFrame([(1, 1, "<svg>a</svg>"), (99, 1, "<svg>b</svg>")], "id long, round int, raw string")
     got = sorted((r.id, r.used_fallback) for r in first_valid_round(ids, cands).collect())
     assert got == [(1, False), (2, True), (2, True)]
+
+
+def test_generator_gets_its_columns_only_and_rounds_are_dealt_by_rows(spark):
+    tasks = spark.sparkContext.accumulator(0)
+
+    def factory():
+        tasks.add(1)
+
+        def gen(pdf, spec):
+            assert list(pdf.columns) == ["id", "prompt", "chat", "round", "max_new_tokens"]
+            return ["<svg/>" if i % 2 or r == 2 else "none" for i, r in zip(pdf["id"], pdf["round"])]
+        return gen
+
+    factory.is_factory = True
+    df = spark.range(100).select("id", F.lit("p").alias("prompt"), F.lit("x" * 1000).alias("wide"))
+    inputs = generation_inputs(df, "S", carry=("wide",))
+    plan = generate_round(inputs, factory, RoundSpec(0.5, 0.9, 1.0, 100), 1)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" not in plan and "ArrowEvalPython" in plan and "Exchange" not in plan
+    rows = cascade(inputs, factory, carry=("wide",), rows_per_task=5).collect()
+    assert len(rows) == 100 and all(r.wide == "x" * 1000 for r in rows)
+    assert sum(r.won_round == 1 for r in rows) == sum(r.won_round == 2 for r in rows) == 50
+    assert tasks.value == 20 + 10  # 100 rows, then 50
+
+
+def test_generator_of_too_few_texts_is_an_error(spark):
+    inputs = generation_inputs(spark.createDataFrame([(1, "a"), (2, "b")], "id long, prompt string"), "S")
+    with pytest.raises(Exception, match="returned 0 texts"):
+        cascade(inputs, lambda pdf, spec: [], partitions=1)
