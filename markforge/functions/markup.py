@@ -103,6 +103,32 @@ def valid_markup_py(text, tag: str = "svg", mode: str = "strict") -> bool:
     return bool(name) and _ROOT_TESTS[mode](name, tag)
 
 
+def _count(c: Column, part: str) -> Column:
+    """Occurrences of ``part``, none overlapping, by the length that goes without it."""
+    return (F.length(c) - F.length(F.replace(c, F.lit(part), F.lit("")))) / F.lit(len(part))
+
+
+def may_be_well_formed(c: Column | str) -> Column:
+    """False only for texts that cannot be well-formed XML, by counts of their marks.
+
+    ``<`` stands raw only in tags, instructions, comments and the like. Without ``<!`` (comments,
+    CDATA sections and document types may hold any marks) and ``<?`` past the start, each ``<`` thus opens a start or an end
+    tag, and the start tags without an end tag are self-closing: no more of them than ``/>``, and none below zero.
+    """
+    c = _col(c)
+    starts = _count(c, "<") - _count(c, "</") - _count(c, "<?")
+    unclosed = starts - _count(c, "</")
+    balanced = (starts > 0) & (unclosed >= 0) & (unclosed <= _count(c, "/>"))
+    one_instruction = _count(c, "<?") <= F.startswith(c, F.lit("<?xml ")).cast("int")
+    return c.isNotNull() & F.when(c.contains("<!") | ~one_instruction, c.contains("/>") | c.contains("</")).otherwise(balanced)
+
+
+def may_have_root(c: Column | str, tag: str = "svg") -> Column:
+    """False only for texts whose first mark is a start tag with a name that does not end with ``tag``."""
+    name = F.regexp_extract(_col(c), r"^[ \t\r\n]*<([^\s/><?!]+)", 1)
+    return (name == "") | F.endswith(name, F.lit(tag))
+
+
 def _validity_udf(tag: str, mode: str):
     @F.pandas_udf("boolean")
     def _valid(s: pd.Series) -> pd.Series:
@@ -116,12 +142,10 @@ def is_valid_markup(c: Column | str, tag: str = "svg", mode: str = "strict") ->
     """Well-formed XML whose root's local name equals ``tag`` (``strict``) or
     whose root name merely ends with it (``suffix``).
 
-    A native pre-filter passes only rows that can possibly be well formed (a
-    non-blank text containing ``/>`` or ``</``); the rest reach the Arrow UDF
-    as NULL and cost no parse.
+    Native conditions (:func:`may_be_well_formed`, :func:`may_have_root`) keep most invalid texts, such
+    as truncated ones, from Python: they reach the Arrow UDF as NULL and cost no parse.
     """
     if mode not in ("strict", "suffix"):
         raise ValueError(mode)
     c = _col(c)
-    maybe = c.isNotNull() & (py_strip(c) != "") & (c.contains("/>") | c.contains("</"))
-    return _validity_udf(tag, mode)(F.when(maybe, c))
+    return _validity_udf(tag, mode)(F.when(may_be_well_formed(c) & may_have_root(c, tag), c))

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -28,11 +29,12 @@ from markforge.operators.sampling import (
     salted_hash,
 )
 from markforge.operators.union import union_sources
-from markforge.sources.readers import load_sources
+from markforge.sources.readers import load_sources, read_source
+from markforge.sources.salvage import salvage
 from markforge.session import materialize
 from markforge.sources.sinks import write_corpus
 
-PAIR_KEY, PAIR_ID = "pair_key", "pair_id"
+PAIR_KEY, PAIR_ID, SALVAGED_ID = "pair_key", "pair_id", "salvaged_id"
 
 
 def prepare_source(df: DataFrame, prompt_fields: Sequence[str], markup_fields: Sequence[str],
@@ -126,7 +128,7 @@ def stage_source(pairs: DataFrame, name: str, cfg: CorpusConfig) -> tuple[DataFr
 
 
 def corpus_job(spark: SparkSession, specs: Sequence[SourceSpec], cfg: CorpusConfig, out_path: str | None = None,
-               counter: Callable[[str], int] | None = None, shuffle: bool = True):
+               counter: Callable[[str], int] | None = None, shuffle: bool = True, salvaged: bool = False):
     """The whole preparation run over a source catalog.
 
     Loads every source with failure isolation, caps, normalises and stages
@@ -138,27 +140,48 @@ def corpus_job(spark: SparkSession, specs: Sequence[SourceSpec], cfg: CorpusConf
     holds the skipped sources and rows per source and entered / kept rows
     per split: observed during the write (no extra pass) when ``out_path``
     is given, else lazy aggregations.
+
+    With ``salvaged`` a Parquet or JSON source loses only its unreadable files and records (:func:`salvage`), which the
+    report lists as ``bad_files`` and ``bad_records``; sources of other formats are read as usual.
     """
     rules = replace(cfg, head_per_source=None)  # the head is taken while reading
 
     def prepare(df, spec):
         keys = [k for k in spec.key_fields if k in df.columns]
+        identity = ("input_pos",) if cfg.head_per_source else ()
         if cfg.head_per_source:
             tie = position_tie("input_pos")
         else:  # a Parquet file source has a stable row identity; others stage row ids
             tie = file_row_id() if spec.table is None and spec.format == "parquet" else None
-        pairs = prepare_source(df, spec.prompt_fields, spec.markup_fields, rules, keys, tie_breaker=tie,
-                               identity=("input_pos",) if cfg.head_per_source else ())
+        if can_salvage(spec):
+            tie, identity = F.col(SALVAGED_ID), (SALVAGED_ID,)
+        pairs = prepare_source(df, spec.prompt_fields, spec.markup_fields, rules, keys, tie_breaker=tie, identity=identity)
         stored, counts[spec.name] = stage_source(pairs, spec.name, cfg)
         return stored
 
-    counts = {}
-    loaded, skipped, _ = load_sources(spark, specs, prepare, head=cfg.head_per_source)
+    def can_salvage(spec):
+        return salvaged and spec.table is None and spec.format in ("parquet", "json")
+
+    def read(spark, spec):
+        if not can_salvage(spec):
+            return read_source(spark, spec, head=cfg.head_per_source)
+        got = salvage(spark, spec, list(dict.fromkeys([*spec.key_fields, *spec.prompt_fields, *spec.markup_fields])), SALVAGED_ID)
+        bad_files.append(got.files)
+        bad_records.append(got.records)
+        return got.rows
+
+    if salvaged and cfg.head_per_source:
+        raise ValueError("a head cap needs every file of a source: it cannot be salvaged")
+    counts, bad_files, bad_records = {}, [], []
+    loaded, skipped, _ = load_sources(spark, specs, prepare, read=read)
     names = [name for name, _ in require_sources(loaded)]
     split = exact_split(union_sources(loaded), [PAIR_KEY], cfg.eval_share, salt=f"split:{cfg.seed}:",
                         unique=False, tie_breaker=F.col(PAIR_ID))
     corpus = render_and_budget(split, cfg, counter)
     report = {"skipped": skipped, "usable_per_source": counts}
+    if bad_files:
+        report["bad_files"] = reduce(DataFrame.unionByName, bad_files)
+        report["bad_records"] = reduce(DataFrame.unionByName, bad_records)
     if not out_path:
         report["per_source"] = rows_per_group(corpus, "source_name")
         report["per_split"] = split_counts(corpus)

@@ -111,8 +111,9 @@ def conversation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------
-# Validity fixture: eight root / closing variants by doc_id % 8, so the
-# expected strict and suffix verdicts follow from the id alone.
+# Validity fixture: eight root / closing variants by doc_id % 8 around the whole
+# text, escaped, as a <desc>. The verdicts follow from the variant and from
+# characters that XML does not allow at all.
 # --------------------------------------------------------------------------
 
 SVG_NS = "http://www.w3.org/2000/svg"
@@ -130,12 +131,16 @@ VALIDITY_VARIANTS = (
 
 
 def validity_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, markup) with the variant of ``doc_id % 8``."""
-    d = read_table(spark, sf_dir, "documents").select("doc_id")
+    """(doc_id, markup) with the variant of ``doc_id % 8`` around shapes and the escaped text."""
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     v = _mod(F.col("doc_id"), len(VALIDITY_VARIANTS))
     opening = F.element_at(F.array(*[F.lit(o) for o, _, _, _ in VALIDITY_VARIANTS]), (v + 1).cast("int"))
     closing = F.element_at(F.array(*[F.lit(c) for _, c, _, _ in VALIDITY_VARIANTS]), (v + 1).cast("int"))
-    return d.select("doc_id", F.concat(opening, markup_body(F.col("doc_id")), closing).alias("markup"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    for plain, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        text = F.replace(text, F.lit(plain), F.lit(entity))
+    return d.select("doc_id", F.concat(opening, markup_body(F.col("doc_id")), F.lit("<desc>"), text, F.lit("</desc>"),
+                                       closing).alias("markup"))
 
 
 def markup_doc_py(m: int, upper: bool = False, truncated: bool = False) -> str:

@@ -190,7 +190,10 @@ UNION ALL SELECT -1, '', '', {lit(q.CSV_UNUSABLE)}, true"""
 def _validity(mode: str) -> str:
     idx = 2 if mode == "strict" else 3
     cases = " ".join(f"WHEN {i} THEN {str(v[idx]).upper()}" for i, v in enumerate(fx.VALIDITY_VARIANTS))
-    return f"SELECT doc_id, CASE doc_id % {len(fx.VALIDITY_VARIANTS)} {cases} END AS valid FROM documents"
+    return f"""
+SELECT doc_id, (CASE doc_id % {len(fx.VALIDITY_VARIANTS)} {cases} END)
+  AND NOT regexp_matches(coalesce(text, ''), '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\x{{FFFE}}\\x{{FFFF}}]') AS valid
+FROM documents"""
 
 
 def _wide_union() -> str:
@@ -278,6 +281,11 @@ WHERE upto - c < {q.REPEATED_KEY_CAP}""",
     "corpus_idless": IDLESS,
     "cascade_one_round": ONE_ROUND_CHOICE,
     "cascade_resumed": CHOICE,
+    "salvaged_sources": f"""
+SELECT CASE WHEN doc_id % 5 = 4 THEN 'lines' ELSE 'files' END AS source_name, doc_id, prompt, svg, NULL AS lost
+FROM ({PAIRS}) WHERE doc_id % 10 <> 4
+UNION ALL SELECT 'files', NULL, NULL, NULL, 'no row could be read'
+UNION ALL SELECT 'lines', NULL, NULL, NULL, concat('{{"doc_id": ', doc_id) FROM documents WHERE doc_id % 10 = 4""",
     "submission_csv": f"SELECT id, svg FROM ({CHOICE})",
     "attribute_repair_default": f"""
 SELECT doc_id, {strip("replace(svg_code, '<path d', '<path fill-rule=" + '"evenodd"' + " d')")} AS svg FROM ({SVG_PAIRS})""",

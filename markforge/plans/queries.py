@@ -7,11 +7,11 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from markforge.config import DEFAULT_BUDGET, ONE_ROUND, STRICT_BUDGET, CorpusConfig, SourceSpec, StructuralBudget
+from markforge.config import DEFAULT_BUDGET, MAX_SEQ_LENGTH, ONE_ROUND, STRICT_BUDGET, CorpusConfig, SourceSpec, StructuralBudget
 from markforge.functions.chat import generation_prompt, training_text
 from markforge.functions.markup import extract_last_block, is_valid_markup, repair_attributes
-from markforge.functions.text import first_non_empty
-from markforge.functions.tokens import count_tokens, generation_budget, truncated_length
+from markforge.functions.text import evaluate_once, first_non_empty
+from markforge.functions.tokens import count_tokens, generation_budget, token_ids, truncated_length
 from markforge.operators.budgets import structural_filter, token_filter
 from markforge.operators.cascade import first_valid_round
 from markforge.operators.normalize import normalize_pairs
@@ -40,6 +40,7 @@ from markforge.plans import fixtures as fx
 from markforge.plans.corpus import prepare_source, sft_corpus
 from markforge.plans.inference import inference_job, run_inference
 from markforge.sources.readers import WIDE_SOURCE_FIELDS, load_shared_pairs, load_sources, read_csv_text, read_source
+from markforge.sources.salvage import salvage
 from markforge.sources.sinks import write_csv
 from markforge.session import checkpoint_dir, materialize, spread
 
@@ -54,6 +55,7 @@ IDLESS_CFG = CorpusConfig(system_prompt=SYSTEM, budget=FIXTURE_BUDGET, max_token
                           max_per_source=SOURCE_CAP)
 REPEATED_KEY_CAP = 333
 HEAD_N = 120
+TOKENIZER = "byte_bpe_50k.tiktoken"
 RUNTIME_SAMPLE = (1.52, 5)
 # Languages of ``documents`` posing as sources with the wide field layouts.
 LANG_SOURCES = (("en", "wide_a"), ("fr", "wide_b"), ("de", "wide_c"), ("es", "wide_d"))
@@ -315,6 +317,59 @@ def q_load_with_bad_source(spark, sf):
     return out.unionByName(_skipped_rows(spark, skipped, n_rows=0))
 
 
+def q_salvaged_sources(spark, sf):
+    """A folder of Parquet files with one file of another kind among them, and JSON lines of which every second is cut
+    off: the readable rows, one ledger row for the file and one for each broken line."""
+    folder, lines = _scratch(spark, "salvage-parquet"), _scratch(spark, "salvage-json")
+    pairs = fx.svg_pairs(spark, sf).select("doc_id", "caption", "name", "svg_code")
+    in_lines = F.pmod("doc_id", F.lit(5)) == 4
+    pairs.where(~in_lines).write.parquet(folder)
+    spark.range(1).select(F.lit("not a Parquet file")).write.mode("append").text(folder)
+    cut = F.concat(F.lit('{"doc_id": '), F.col("doc_id"))
+    whole = F.to_json(F.struct("doc_id", "caption", "name", "svg_code"))
+    pairs.where(in_lines).select(F.when(F.pmod("doc_id", F.lit(10)) == 4, cut).otherwise(whole)).write.text(lines)
+    specs = [SourceSpec("files", path=folder, split=None),
+             SourceSpec("lines", path=lines, format="json", split=None,
+                        options={"schema": "doc_id long, caption string, name string, svg_code string"})]
+    found = {}
+
+    def read(spark, spec):
+        found[spec.name] = salvage(spark, spec)
+        return found[spec.name].rows
+
+    def prepare(df, spec):
+        return normalize_pairs(df, ["caption", "name"], ["svg_code"], keep=["doc_id"])
+
+    loaded, _, _ = load_sources(spark, specs, prepare, read=read)
+    rows = union_sources(require_sources(loaded)).select("source_name", "doc_id", "prompt", "svg", F.lit(None).cast("string").alias("lost"))
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("doc_id", "long"), ("prompt", "string"), ("svg", "string"))]
+    files = found["files"].files.select("source_name", *none, F.col("reason").alias("lost"))
+    return rows.unionByName(files).unionByName(found["lines"].records.select("source_name", *none, F.col("record").alias("lost")))
+
+
+def byte_tokenizer():
+    """Encoder factory: the byte-level vocabulary of ``TOKENIZER`` without special tokens."""
+    import base64
+
+    import public_tokenizers
+    import tiktoken
+
+    with open(public_tokenizers.path(TOKENIZER), "rb") as f:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+    return tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+
+byte_tokenizer.is_factory = True
+
+
+def q_token_ids(spark, sf):
+    """Subword ids of every whole text, cut at the sequence length."""
+    d = fx.read_table(spark, sf, "documents").select("doc_id", evaluate_once(token_ids("text", byte_tokenizer, None)).alias("ids"))
+    n = F.size("ids")
+    return d.select("doc_id", n.alias("n_tokens"), truncated_length(n).alias("n_kept"), (n > MAX_SEQ_LENGTH).alias("truncated"),
+                    F.slice("ids", 1, MAX_SEQ_LENGTH).alias("ids"))
+
+
 def q_capped_sample_repeated_key(spark, sf):
     """The key repeats in every row of a language: the cap's boundary lies inside a key."""
     d = spark.read.parquet(f"{sf.rstrip('/')}/documents.parquet").select("doc_id", "lang", "text")
@@ -441,6 +496,8 @@ QUERIES = {
     "cascade_resumed": q_cascade_resumed,
     "ordered_shuffle": q_ordered_shuffle,
     "position_file_order": q_position_file_order,
+    "salvaged_sources": q_salvaged_sources,
+    "token_ids": q_token_ids,
     "submission_csv": q_submission_csv,
     "attribute_repair_default": q_attribute_repair_default,
 }

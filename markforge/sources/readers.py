@@ -8,7 +8,7 @@ import io
 import logging
 import re
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from functools import reduce
@@ -165,7 +165,7 @@ def read_source(spark: SparkSession, spec: SourceSpec, with_position: bool = Fal
     else:
         if spec.path is None:
             raise ValueError(f"source {spec.name}: no path or table")
-        path = spec.path.format(split=spec.split) if "{split}" in spec.path else spec.path
+        path = path_of(spec)
         if spec.format == "csv":
             cols = list(dict.fromkeys([*spec.key_fields, *spec.prompt_fields, *spec.markup_fields]))
 
@@ -179,7 +179,7 @@ def read_source(spark: SparkSession, spec: SourceSpec, with_position: bool = Fal
 
                 # the text reader only lists the files
                 got = head_of_files(spark.read.text(path), head, read, row_index=csv_row, whole=read(path))
-                return _of_split(got.drop("_metadata"), spec)
+                return of_split(got.drop("_metadata"), spec)
             layouts = layouts_of(path)
             # A multi-line CSV is one task per file: spread a few large files
             # over the cluster before the per-row work (no-op with many files).
@@ -194,9 +194,9 @@ def read_source(spark: SparkSession, spec: SourceSpec, with_position: bool = Fal
                     part = spark.read.schema(df.schema).options(**spec.options)
                     if _is_folder(spark, path):  # keeps the columns that its subfolders give
                         part = part.option("basePath", path)
-                    return _of_split(head_of_files(df, head, lambda paths: part.parquet(*paths)), spec)
+                    return of_split(head_of_files(df, head, lambda paths: part.parquet(*paths)), spec)
                 df = df.select("*", position_key().alias("input_pos"))
-    return _of_split(df, spec)
+    return of_split(df, spec)
 
 
 def _is_folder(spark: SparkSession, path: str) -> bool:
@@ -205,7 +205,12 @@ def _is_folder(spark: SparkSession, path: str) -> bool:
     return fs.exists(at) and fs.getFileStatus(at).isDirectory()
 
 
-def _of_split(df: DataFrame, spec: SourceSpec) -> DataFrame:
+def path_of(spec: SourceSpec) -> str | None:
+    """The path of a source's files, its split filled in."""
+    return spec.path.format(split=spec.split) if spec.path and "{split}" in spec.path else spec.path
+
+
+def of_split(df: DataFrame, spec: SourceSpec) -> DataFrame:
     """The rows of the source's split."""
     if spec.split is None:
         return df
@@ -218,7 +223,7 @@ def _of_split(df: DataFrame, spec: SourceSpec) -> DataFrame:
 
 
 def load_sources(spark: SparkSession, specs: Sequence[SourceSpec], prepare, verify: str = "schema",
-                 with_position: bool = False, head: int | None = None):
+                 with_position: bool = False, head: int | None = None, read: Callable[..., DataFrame] | None = None):
     """Load and prepare every source, skipping (and logging) those that fail.
 
     ``prepare(df, spec) -> DataFrame`` normalises one source. ``verify``:
@@ -226,13 +231,13 @@ def load_sources(spark: SparkSession, specs: Sequence[SourceSpec], prepare, veri
     schemas are caught), ``"count"`` also runs the per-source usable-row
     count, as the reference does, which catches corrupt content at the cost
     of one pass per source. ``with_position`` reads each source with its
-    file-order position, ``head`` only its first rows in file order (see :func:`read_source`). Returns
-    ``(loaded, skipped, counts)``.
+    file-order position, ``head`` only its first rows in file order (see :func:`read_source`). ``read(spark, spec)`` replaces
+    :func:`read_source`, for instance by one that salvages bad files. Returns ``(loaded, skipped, counts)``.
     """
     loaded, skipped, counts = [], [], {}
     for spec in specs:
         try:
-            df = prepare(read_source(spark, spec, with_position, head), spec)
+            df = prepare(read(spark, spec) if read else read_source(spark, spec, with_position, head), spec)
             df.schema  # resolves the plan
             if verify == "count":
                 counts[spec.name] = df.count()
@@ -245,8 +250,7 @@ def load_sources(spark: SparkSession, specs: Sequence[SourceSpec], prepare, veri
 
 def _scan_of(spec: SourceSpec) -> tuple:
     """What a source reads; sources that agree in it share one scan."""
-    path = spec.path.format(split=spec.split) if spec.path and "{split}" in spec.path else spec.path
-    return spec.table, path, spec.format, repr(sorted(spec.options.items()))
+    return spec.table, path_of(spec), spec.format, repr(sorted(spec.options.items()))
 
 
 def _split_rows(df: DataFrame, spec: SourceSpec) -> Column | None:
@@ -255,7 +259,7 @@ def _split_rows(df: DataFrame, spec: SourceSpec) -> Column | None:
         return None
     if spec.split_column in df.columns:
         return F.col(spec.split_column) == F.lit(spec.split)
-    _of_split(df, spec)  # an error if neither path nor column gives the split
+    of_split(df, spec)  # an error if neither path nor column gives the split
     return None
 
 
