@@ -1,12 +1,13 @@
 """License scans by diagonal voting.
 
-One Arrow pass hashes the words of every text, finds the base phrases and hands
-every rolling k-gram hash to Spark, which joins them to the template positions
+One Arrow pass hashes the words of every text and hands
+every rolling k-gram hash to Spark (templates of fewer words are one gram, of their own length), which joins them to the template positions
 (a broadcast: the templates are a parameter of bounded size). Hits are counted
 per document, template and diagonal (place in the text minus place in the
 template). Neighbouring diagonals of a document are merged, so a match survives
 inserted or missing words, and each merged span is verified by aligning its
-words with the template's.
+words with the template's. Of overlapping spans one that explains as many words and fits better stands for
+the other; a span of a label that overlaps a better one of the same label is the same match.
 
 Defined results: null and empty texts have no words and no labels (empty
 strings, score 0); repeated rows are reported each; a null ``doc_id`` is a row
@@ -23,32 +24,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from markforge.llm.common import by_key, checked_broadcast, keyed, staged
+from markforge.llm.licences import LICENCES, SPDX
 from markforge.llm.words import NOT_ALNUM, Words, document_of, slices, sums
 
-K = 3
-MIN_SHARE = 0.85  # of a template's words, in order, in the verified span
-NEAR = 4  # diagonals this close belong to one match
+K = 5
+TEMPLATE_CHARS = 4 << 20  # templates of at most so many characters are broadcast
+MIN_SHARE = 0.85  # words in order that template and verified span share, of the longer of the two
+NEAR = 4  # diagonals this close belong to one match; less for short templates, so that repeats stay apart
 
 # Phrases that the base rule looks for, and their labels.
 BASE_PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-# Widely published licence notices.
-TEMPLATES = {
-    "all-rights-reserved": "All rights reserved",
-    "apache-2.0": "Licensed under the Apache License, Version 2.0",
-    "apache-2.0-notice": "you may not use this file except in compliance with the License. You may obtain a copy of the License at",
-    "bsd-redistribution": "Redistribution and use in source and binary forms, with or without modification, are permitted "
-                          "provided that the following conditions are met",
-    "cc-by-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License",
-    "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0",
-    "cc-by-sa-4.0": "Licensed under CC BY-SA 4.0",
-    "gpl-3.0": "This work is licensed under the GNU General Public License, version 3",
-    "gpl-notice": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
-                  "the Free Software Foundation",
-    "mit-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
-                 "documentation files",
-    "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
-}
+# Licence bodies and notices, and the identifier lines that files carry.
+TEMPLATES = {**LICENCES, **{f"spdx:{name.lower()}": f"SPDX-License-Identifier: {name}" for name in SPDX}}
 
 
 def _words() -> Words:
@@ -61,25 +49,36 @@ def _hashes_of(words: Words, text: str):
 
 
 def template_grams(spark: SparkSession, templates: dict[str, str], k: int) -> DataFrame:
-    """``(gram, label, at)``: the places of every k-gram hash of the templates."""
+    """``(gram, label, at)``: the places of every k-gram hash of the templates; one gram of a shorter template."""
     words, rows = _words(), []
     for label, text in templates.items():
         h = _hashes_of(words, text)
-        start = np.arange(max(len(h) - k + 1, 0))
-        rows += [(int(g), label, int(i)) for i, g in zip(start, words.spans(h, start, start + k).view(np.int64))]
+        n = min(k, len(h))
+        start = np.arange(len(h) - n + 1 if n else 0)
+        rows += [(int(g), label, int(i)) for i, g in zip(start, words.spans(h, start, start + n).view(np.int64))]
     return spark.createDataFrame(rows, "gram long, label string, at int")
 
 
-def _grams(k: int):
+def gram_lengths(templates: dict[str, str], k: int) -> list[int]:
+    """The lengths of the templates' grams."""
+    words = _words()
+    return sorted({min(k, len(_hashes_of(words, text))) for text in templates.values()} - {0})
+
+
+def _grams(lengths: list[int]):
     def run(batches):
         words = _words()
         for part, buf, offsets in slices(batches):
             starts, ends, first = words.split(buf, offsets)
-            start, grams = words.windows(words.hashes(buf, starts, ends), first, k)
+            h = words.hashes(buf, starts, ends)
+            start, grams = (np.concatenate(x) for x in zip(*(words.windows(h, first, n) for n in lengths)))
+            order = np.argsort(start, kind="stable")
+            start, grams = start[order], grams[order]
             bounds = pa.array(np.searchsorted(start, first), pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(2), pa.ListArray.from_arrays(bounds, pa.array(grams.view(np.int64)))],
-                ["doc_id", "row_key", "grams"])
+            place = start - first[document_of(first, start)]
+            pairs = pa.StructArray.from_arrays([pa.array(place, pa.int32()), pa.array(grams.view(np.int64))], ["place", "gram"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.ListArray.from_arrays(bounds, pairs)],
+                                             ["doc_id", "row_key", "grams"])
 
     return run
 
@@ -106,26 +105,37 @@ def _base(h, first, wanted):
 
 def _spans(text, hits, known, k, min_share, near):
     """Merge neighbouring diagonals of each template and align what they span."""
-    by_label, spans = {}, set()
+    by_label, spans = {}, {}
     for x in hits or ():
-        by_label.setdefault(x["label"], []).append((x["low"], x["high"], x["diagonal"], x["votes"]))
+        by_label.setdefault(x["label"], []).append((x["low"], x["high"], x["diagonal"], x["diagonal"]))
     for label, diagonals in by_label.items():
         template, runs = known[label], []
-        for low, high, d, votes in sorted(diagonals):
-            if runs and abs(d - runs[-1][2]) <= near and low <= runs[-1][1] + near + k:
-                low, high, d0, votes = runs[-1][0], max(high, runs[-1][1]), min(d, runs[-1][3]), votes + runs[-1][4]
-                runs[-1] = (low, high, d, d0, votes)
+        reach = min(near, (len(template) - 1) // 2)
+        for low, high, d, _ in sorted(diagonals):
+            if runs and abs(d - runs[-1][3]) <= reach and low <= runs[-1][1] + reach + k:
+                runs[-1] = (runs[-1][0], max(high, runs[-1][1]), min(d, runs[-1][2]), d)
             else:
-                runs.append((low, high, d, d, votes))
-        for low, high, d, d0, _ in runs:
-            a = max(min(low, d, d0) - near, 0)
-            b = max(high + k, d + len(template)) + near
+                runs.append((low, high, d, d))
+        for low, high, d0, d in runs:
+            a = max(min(low, d, d0) - reach, 0)
+            b = max(high + k, d + len(template)) + reach
             match = SequenceMatcher(None, template, text[a:b].tolist(), autojunk=False)
             blocks = [x for x in match.get_matching_blocks() if x.size]
-            share = sum(x.size for x in blocks) / len(template)
+            found = sum(x.size for x in blocks)
+            start, end = (a + blocks[0].b, a + blocks[-1].b + blocks[-1].size) if found else (0, 0)
+            share = found / max(len(template), end - start)
             if share >= min_share:
-                spans.add((label, a + blocks[0].b, a + blocks[-1].b + blocks[-1].size, share))
-    return sorted(spans)
+                spans[label, start, end, share] = found
+    return sorted(x for x, n in spans.items() if not any(_stands_for(y, m, x, n) for y, m in spans.items()))
+
+
+def _stands_for(y, m, x, n) -> bool:
+    """Whether span ``y`` (of ``m`` matched words) takes the place of span ``x`` (of ``n``), which it overlaps."""
+    if y[1] >= x[2] or x[1] >= y[2]:
+        return False
+    if x[0] == y[0]:
+        return (m, -y[1], -y[2]) > (n, -x[1], -x[2])
+    return m >= n and y[3] > x[3]
 
 
 _SCANNED = ("doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, "
@@ -161,12 +171,14 @@ def _verify(templates: dict[str, str], phrases: dict[str, str], k: int, min_shar
 def license_scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, phrases: dict[str, str] = BASE_PHRASES,
                  k: int = K, min_share: float = MIN_SHARE, near: int = NEAR) -> DataFrame:
     """Per document: word count, base places, labels, score and verified
-    ``spans`` (label, first word, end, share of the template)."""
+    ``spans`` (label, first word, end, share of the template or of the span, whichever is longer)."""
     rows = keyed(docs)
+    lengths = gram_lengths(templates, k)
     grams = rows.select("doc_id", "text", "row_key").mapInArrow(
-        _grams(k), "doc_id long, row_key long, grams array<long>")
-    places = grams.select("doc_id", "row_key", F.posexplode("grams").alias("place", "gram"))
-    hits = places.join(F.broadcast(template_grams(docs.sparkSession, templates, k)), "gram")
+        _grams(lengths), "doc_id long, row_key long, grams array<struct<place:int,gram:long>>")
+    places = grams.select("doc_id", "row_key", F.inline("grams"))
+    at = template_grams(docs.sparkSession, templates, k)
+    hits = places.join(F.broadcast(at) if sum(map(len, templates.values())) <= TEMPLATE_CHARS else at, "gram")
     hits = hits.select("doc_id", "row_key", "label", (F.col("place") - F.col("at")).alias("diagonal"), "place")
     votes = (hits.distinct().groupBy("doc_id", "row_key", "label", "diagonal")
              .agg(F.count("*").alias("votes"), F.min("place").alias("low"), F.max("place").alias("high"))
