@@ -11,7 +11,8 @@ block, hit intervals of a document are united over the blocks.
 
 A window is ``width`` consecutive words of an item; a shorter item is one
 window. Words inside any occurrence are hit. A document is contaminated if
-``n_hit > 0`` and ``100 * n_hit >= min_percent * n_words``.
+``n_hit > 0`` and ``100 * n_hit >= min_percent * n_words``. ``remove_spans`` takes the hit
+spans that exceed a length or coverage limit out of the texts.
 
 Defined results: null or empty texts have no words; items without words and
 items with a null id have no windows; repeated items count once; an empty
@@ -20,9 +21,8 @@ benchmark hits nothing; repeated documents are reported each.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +32,7 @@ from markforge.llm.words import NOT_ALNUM, Words, slices
 
 WIDTH = 13
 MIN_PERCENT = 5
+BLANKS = (b" ", b"\t", b"")  # or an end of the text
 BLOCK_BYTES = 1 << 20
 
 
@@ -122,7 +123,7 @@ class Automaton:
                 s = self.shorter[self.link[s]]
 
 
-def _match(items, width: int):
+def _match(items, width: int, keep_text: bool = False):
     """Arrow pass over documents for one block of ``(item id, text)``."""
 
     def run(batches):
@@ -174,10 +175,12 @@ def _match(items, width: int):
                     else:
                         spans[d].append([base + x, base + y])
                     found[d].update(names)
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(2), pa.array(np.diff(first), pa.int64()),
-                 pa.array(spans, pa.list_(pa.list_(pa.int64()))), pa.array([sorted(f) for f in found], pa.list_(pa.string()))],
-                ["doc_id", "row_key", "n_words", "spans", "items"])
+            columns = {"doc_id": part.column(0), "row_key": part.column(2), "n_words": pa.array(np.diff(first), pa.int64()),
+                       "spans": pa.array(spans, pa.list_(pa.list_(pa.int64()))),
+                       "items": pa.array([sorted(f) for f in found], pa.list_(pa.string()))}
+            if keep_text:
+                columns["text"] = part.column(1)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return run
 
@@ -204,18 +207,20 @@ def _merged(spans):
 
 
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, min_percent: int = MIN_PERCENT,
-                   block_bytes: int = BLOCK_BYTES, item_col: str = "item_id") -> DataFrame:
+                   block_bytes: int = BLOCK_BYTES, item_col: str = "item_id", keep_text: bool = False) -> DataFrame:
     """Per document: ``doc_id, row_key, n_words, spans`` (united hit intervals of
-    words)``, items`` (ids as strings, sorted)``, n_hit, contaminated``."""
+    words)``, items`` (ids as strings, sorted)``, n_hit, contaminated``; with ``keep_text`` its ``text`` as well."""
     sc = docs.sparkSession.sparkContext
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col("text").cast("string").alias("text"))
     items = items.filter("item is not null and text is not null").distinct()
     rows = keyed(docs).select("doc_id", "text", "row_key")
-    parts = [rows.mapInArrow(_match(sc.broadcast(block), width),
-                             "doc_id long, row_key long, n_words long, spans array<array<long>>, items array<string>")
-             for block in _blocks(items, block_bytes)]
-    found = parts[0]
+    schema = "doc_id long, row_key long, n_words long, spans array<array<long>>, items array<string>"
+    parts = [rows.mapInArrow(_match(sc.broadcast(block), width, keep_text and not i), schema + ", text string" * (keep_text and not i))
+             for i, block in enumerate(_blocks(items, block_bytes))]
+    found, text = parts[0], ["text"] if keep_text else []
     if len(parts) > 1:
+        parts[0] = staged(parts[0], "op5-first-block")
+        found = parts[0].drop("text")
         some = [p.filter("size(items) > 0") for p in parts[1:]]
         for p in some:
             found = found.union(p)
@@ -225,26 +230,55 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, mi
         merged = staged(merged, "op5-blocks")
         found = by_key(parts[0].drop("spans", "items"), merged).select(
             "doc_id", "row_key", "n_words", F.coalesce("spans", F.expr("cast(array() as array<array<bigint>>)")).alias("spans"),
-            F.coalesce("items", F.expr("cast(array() as array<string>)")).alias("items"))
+            F.coalesce("items", F.expr("cast(array() as array<string>)")).alias("items"), *text)
     found = found.withColumn("spans", F.when(F.size("spans") > 1, _merged("spans")).otherwise(F.col("spans")))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s[1] - s[0])
     return found.withColumn("n_hit", n_hit).withColumn(
         "contaminated", (F.col("n_hit") > 0) & (100 * F.col("n_hit") >= min_percent * F.col("n_words")))
 
 
-def remove_spans(docs: DataFrame, hits: DataFrame, max_words: int = 0, max_percent: float = MIN_PERCENT) -> DataFrame:
-    """``doc_id, text`` without the hit spans of documents that exceed a limit:
-    a span of over ``max_words`` words where hits cover ``max_percent`` percent or more."""
-    separators = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
-    wanted = hits.filter((F.col("n_hit") > 0) & (100 * F.col("n_hit") >= max_percent * F.col("n_words"))).select(
-        "doc_id", "row_key", F.filter("spans", lambda s: s[1] - s[0] > max_words).alias("spans")).distinct()
-    rows = by_key(keyed(docs), staged(wanted, "op5-spans"))
-    words = F.filter(F.split("text", separators + "+"), lambda w: w != "")
-    kept = F.filter(words, lambda w, i: ~F.exists("spans", lambda s: (s[0] <= i) & (i < s[1])))
-    return rows.select("doc_id", F.when(F.size("spans") > 0, F.array_join(kept, " ")).otherwise(F.col("text")).alias("text"))
+def _without(words: Words, text: str, spans) -> str:
+    """``text`` without the words of sorted, separate ``spans`` and what stands between them."""
+    raw = text.encode()
+    buf = np.frombuffer(raw, np.uint8)
+    starts, ends, _ = words.split(buf, np.array([0, len(buf)]))
+    parts, at = [], 0
+    for a, b in spans:
+        parts.append(raw[at:starts[a]])
+        at = int(ends[b - 1])
+        if (not parts[-1] or parts[-1][-1:] in BLANKS) and raw[at:at + 1] in BLANKS:
+            at += len(raw[at:at + 1])  # two blanks would meet
+    return b"".join([*parts, raw[at:]]).decode()
+
+
+def _cut(text, spans):
+    @F.pandas_udf("string")
+    def run(texts: pd.Series, spans: pd.Series) -> pd.Series:
+        words = Words(NOT_ALNUM, lower=True)
+        return pd.Series([None if t is None else _without(words, t, s) for t, s in zip(texts, spans)], dtype=object)
+
+    return run(text, spans)
+
+
+def remove_spans(hits: DataFrame, max_words: int = WIDTH, max_percent: float = MIN_PERCENT) -> DataFrame:
+    """``hits`` (with ``text``) plus ``removed`` (spans), ``n_removed`` (words) and ``kept_text``.
+
+    A span is removed if it has more than ``max_words`` words; every span is, if the hits cover ``max_percent`` percent of
+    the document's words or more. A span goes from the first byte of its first word to the last of its last;
+    all else stays as it is (punctuation, lines), but for one of two blanks that would meet. Texts without such spans,
+    null and empty ones too, stay as they are."""
+    covered = 100 * F.col("n_hit") >= max_percent * F.col("n_words")
+    rows = hits.withColumn("removed", F.filter("spans", lambda s: covered | (s[1] - s[0] > max_words)))
+    some = F.size("removed") > 0
+    kept = F.when(some, _cut(F.when(some, F.col("text")), F.when(some, F.col("removed")))).otherwise(F.col("text"))
+    n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda acc, s: acc + s[1] - s[0])
+    return rows.withColumn("n_removed", n_removed).withColumn("kept_text", kept)
 
 
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits = benchmark_hits(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return hits.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+    hits = benchmark_hits(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"),
+                          keep_text=True)
+    return remove_spans(hits).select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated", "n_removed",
+        F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
