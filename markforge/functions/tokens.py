@@ -75,7 +75,7 @@ def token_ids(c: Column | str, encoder: Callable[[str], list[int]], max_len: int
     def _ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         fn = encoder() if is_factory else encoder
         for s in batches:
-            yield pd.Series([None if v is None else [int(t) for t in fn(v)][:max_len] for v in s], dtype=object)
+            yield pd.Series([None if v is None else np.asarray(fn(v)[:max_len], dtype="int32") for v in s], dtype=object)
 
     return _ids(_col(c))
 
