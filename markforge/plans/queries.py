@@ -363,7 +363,11 @@ byte_tokenizer.is_factory = True
 
 
 def q_token_ids(spark, sf):
-    """Subword ids of every whole text, cut at the sequence length."""
+    """Subword ids of every whole text, cut at the sequence length. Arrow batches are kept to 500 whole texts in this
+    session: a task and its worker each hold two of them, with their ids."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= 500:
+        spark.conf.set(rows, "500")
     d = fx.read_table(spark, sf, "documents").select("doc_id", evaluate_once(token_ids("text", byte_tokenizer, None)).alias("ids"))
     n = F.size("ids")
     return d.select("doc_id", n.alias("n_tokens"), truncated_length(n).alias("n_kept"), (n > MAX_SEQ_LENGTH).alias("truncated"),
