@@ -118,6 +118,15 @@ def test_seeded_shuffle_with_split_files(spark, docs):
     assert got == {i: r + 1 for r, i in enumerate(brute_order(ids, "sh:"))}
 
 
+def test_seeded_shuffle_query_ranks_all_rows_by_their_hash(spark):
+    from markforge.plans.queries import QUERIES, SEED
+
+    ids = [r[0] for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id").collect()]
+    got = QUERIES["seeded_shuffle"](spark, SF).select("doc_id", "shuffle_rank").collect()
+    assert dict(got) == {i: r + 1 for r, i in enumerate(brute_order(ids, f"shuffle:{SEED}:"))}
+    assert sorted(r.shuffle_rank for r in QUERIES["keyed_permutation"](spark, SF).collect()) == list(range(1, len(ids) + 1))
+
+
 @pytest.fixture(scope="module")
 def hot_parquet(spark):
     """Parquet in several files where a third of all rows carry one content
