@@ -114,26 +114,27 @@ def fit(labelled: DataFrame, domains: list[str], buckets: int = BUCKETS, least:
             {d: constant[d] - constant[base] for d in domains[1:]})
 
 
-def _constant(values: list[float]) -> Column:
-    """A constant array; as one string it folds to one literal."""
-    return F.split(F.lit(",".join(f"{x:.9g}" for x in values)), ",").cast("array<double>")
+def weight_table(spark: SparkSession, model, domains: list[str], buckets: int = BUCKETS) -> DataFrame:
+    """``b`` and ``w_<domain>``: a row for each feature bucket with a weight, at most 2 x buckets. A table, as
+    constants of this size would be written out in every plan, its string and its events on the driver."""
+    logs = model[0]
+    rows = [(i + 1, *(float(f"{logs[x][i]:.9g}") for x in domains[1:])) for i in range(2 * buckets) if any(logs[x][i] for x in domains[1:])]
+    return spark.createDataFrame(rows, "b int" + "".join(f", `w_{x}` double" for x in domains[1:]))
 
 
 def log_odds(docs: DataFrame, model, domains: list[str], buckets: int = BUCKETS, keep=("doc_id",)) -> DataFrame:
     """``keep`` columns, ``n_tokens`` and ``s_<domain>``, the sum of the log odds of the row's features against
-    the first domain. A document is scored where its text is read; nothing is shuffled."""
-    logs, constant = model
-    odds = {x: _constant(logs[x]) for x in domains[1:]}
-    sure = _constant([float(any(logs[x][i] for x in domains[1:])) for i in range(2 * buckets)])
+    the first domain. The weights are broadcast to the features of a row, which are summed where its text
+    is read; what is shuffled is one row of sums a document."""
+    constant = model[1]
     d = docs.select(*keep, words(F.col("text")).alias("ws"))
-    d = d.select(*keep, F.size("ws").cast("long").alias("n_tokens"), F.array_distinct("ws").alias("ws"))
-    found = F.array_distinct(F.filter(features(F.col("ws"), buckets), lambda b: F.element_at(sure, b) > 0))
-    d = d.select(*keep, "n_tokens", found.alias("found"))
-
-    def summed(table: Column, none: float) -> Column:
-        return F.aggregate("found", F.lit(none), lambda acc, b: acc + F.element_at(table, b))
-
-    return d.select(*keep, "n_tokens", F.lit(0.0).alias(f"s_{domains[0]}"), *(summed(odds[x], constant[x]).alias(f"s_{x}") for x in domains[1:]))
+    d = d.select(*keep, F.size("ws").cast("long").alias("n_tokens"), F.monotonically_increasing_id().alias("__row"),
+                 F.array_distinct(features(F.array_distinct("ws"), buckets)).alias("found"))
+    found = d.select("*", F.explode_outer("found").alias("b")).drop("found")
+    weighed = found.join(F.broadcast(weight_table(docs.sparkSession, model, domains, buckets)), "b", "left")
+    n, first = F.first("n_tokens").alias("n_tokens"), F.lit(0.0).alias(f"s_{domains[0]}")
+    summed = weighed.groupBy("__row", *keep).agg(n, *(F.coalesce(F.sum(f"w_{x}"), F.lit(0.0)).alias(f"w_{x}") for x in domains[1:]))
+    return summed.select(*keep, "n_tokens", first, *((F.lit(constant[x]) + F.col(f"w_{x}")).alias(f"s_{x}") for x in domains[1:]))
 
 
 def posteriors(docs: DataFrame, model, domains: list[str], buckets: int = BUCKETS, keep=("doc_id",)) -> DataFrame:

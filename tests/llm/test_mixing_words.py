@@ -28,3 +28,26 @@ def test_g_statistic():
     assert op7.g_statistic(10, 60, 50, 300) == pytest.approx(0)
     assert op7.g_statistic(0, 0, 50, 300) == pytest.approx(0)
     assert op7.g_statistic(50, 0, 50, 50) == pytest.approx(2 * 100 * 0.6931471805599453)
+
+
+def test_log_odds_are_sums_over_the_distinct_features_and_the_weights_are_in_no_plan(spark):
+    from pyspark.sql import functions as F
+
+    buckets = 1 << 12
+    rnd = random.Random(5)
+    logs = {"low": [rnd.uniform(-1, 1) if i % 3 else 0.0 for i in range(2 * buckets)], "toxic": [rnd.uniform(-1, 1) if i % 4 else 0.0 for i in range(2 * buckets)]}
+    model = logs, {"low": -1.5, "toxic": -2.5}
+    texts = ["a b a word", "", None, " \t", "word " * 500, " ".join(f"w{i}" for i in range(3000)), "a b a word"]
+    docs = spark.createDataFrame([(i if i else None, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = op7.log_odds(docs, model, ["good", "low", "toxic"], buckets, ("doc_id", "text"))
+    found = docs.select("doc_id", "text", F.array_distinct(op7.features(F.array_distinct(op7.words(F.col("text"))), buckets)).alias("f")).collect()
+    rows = {r.doc_id: r for r in got.collect()}
+    assert len(rows) == got.count() == len(texts)
+    for r in found:
+        mine = rows[r.doc_id]
+        assert mine.n_tokens == len((r.text or "").split()) and mine.s_good == 0
+        for x in ("low", "toxic"):
+            assert getattr(mine, f"s_{x}") == pytest.approx(model[1][x] + sum(logs[x][b - 1] for b in r.f), abs=1e-6)
+    assert len(got._jdf.queryExecution().toString()) < 50_000
+    twice = op7.log_odds(docs.unionAll(docs), model, ["good", "low", "toxic"], buckets)  # repeated rows stay rows of their own
+    assert twice.count() == 2 * len(texts)
