@@ -38,7 +38,7 @@ SPACES = "[\\x20\\x09-\\x0D]+"
 BUCKETS = 1 << 15
 SAMPLE = 20_000
 STEPS, TOLERANCE, RIDGE = 60, 1e-3, 1e-6
-FIT_TASKS, LEAST_G = 6, 2.7
+FIT_TASKS, LEAST_G = 4, 2.7
 PRIOR, ITERATIONS = 2.0, 60  # of the classifier: its penalty is PRIOR / rows, a weight's variance of 1 / PRIOR at every size
 
 # Domains of the labels table and the shares of words they should have.
@@ -101,7 +101,8 @@ def fit(labelled: DataFrame, domains: list[str], buckets: int = BUCKETS, least:
         terms = CountVectorizerModel.from_vocabulary(names, "terms", "features").setBinary(True)
         number = F.array_position(F.array(*map(F.lit, present)), F.col("domain")) - 1
         train = terms.transform(rows.select(number.cast("double").alias("label"), F.col("found").cast("array<string>").alias("terms")))
-        # each task sends the driver one gradient an iteration: a few tasks for the bounded sample
+        # an iteration is a stage that adds a gradient a task, and one that adds those of all tasks; from six tasks on
+        # there is a third between them, and each stage costs the driver a broadcast of 4 MB
         fitted = LogisticRegression(family="multinomial", regParam=prior / total, maxIter=ITERATIONS, tol=1e-4,
                                     standardization=False).fit(train.coalesce(FIT_TASKS))
         matrix, constants = fitted.coefficientMatrix.toArray(), fitted.interceptVector.toArray()

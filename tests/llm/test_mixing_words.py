@@ -51,3 +51,22 @@ def test_log_odds_are_sums_over_the_distinct_features_and_the_weights_are_in_no_
     assert len(got._jdf.queryExecution().toString()) < 50_000
     twice = op7.log_odds(docs.unionAll(docs), model, ["good", "low", "toxic"], buckets)  # repeated rows stay rows of their own
     assert twice.count() == 2 * len(texts)
+
+
+def test_a_step_of_the_fit_has_two_stages(spark):
+    rnd = random.Random(7)
+    rows = [(" ".join(f"word{rnd.randrange(60)}" for _ in range(12)) + (" bad" if i % 4 == 0 else ""), "toxic" if i % 4 == 0 else "good") for i in range(400)]
+    docs = spark.createDataFrame(rows, "text string, domain string").repartition(8)
+    sc, name = spark.sparkContext, "spark.sql.files.minPartitionNum"
+    spark.conf.set(name, "8")  # else the few small files are read by as many tasks as there are cores
+    sc.setJobGroup("op7-fit-stages", "fit")
+    try:
+        op7.fit(docs, ["good", "toxic"])
+    finally:
+        spark.conf.unset(name)
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    stages = [[x for x in map(tracker.getStageInfo, tracker.getJobInfo(job).stageIds) if x and "RDDLossFunction" in x.name]
+              for job in tracker.getJobIdsForGroup("op7-fit-stages")]
+    steps = [found for found in stages if found]
+    assert len(steps) > 2 and all(len(found) == 2 and max(x.numTasks for x in found) > 1 for found in steps)
